@@ -21,6 +21,8 @@ IDENTITY = ["dataset", "version", "dataset_source"]
 ENTRY_KEY = IDENTITY + ["time_coverage_start", "time_coverage_end", "latitude_coverage_start",
                         "latitude_coverage_end", "longitude_coverage_start", "longitude_coverage_end"]
 PAGE_SIZE = 50
+# Bytes of the narrow types; all others take 8.
+FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4}
 
 
 def row_hash(columns) -> Column:
@@ -28,6 +30,18 @@ def row_hash(columns) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(columns)])
 
 
+def row_bytes(df: DataFrame, columns) -> Column:
+    """In-memory size of a row: type widths, and the real length of text and binary values."""
+    fixed, variable = 0, []
+    for name in columns:
+        kind = df.schema[name].dataType
+        if kind.typeName() in ("string", "binary"):
+            variable.append(F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)))
+        else:
+            fixed += FIXED_BYTES.get(kind.typeName(), 8)
+    return reduce(lambda a, b: a + b, variable, F.lit(fixed)).cast("bigint")
+
+
 def tile_parts(tiled: DataFrame, hashed: list[str] | None = None) -> DataFrame:
     """One row per (tile, station, variable): everything a catalogue row is made of.
 
@@ -37,8 +51,7 @@ def tile_parts(tiled: DataFrame, hashed: list[str] | None = None) -> DataFrame:
     content = hashed or [c for c in tiled.columns if c not in TILE_KEYS + ["lat_size", "lon_size"] + IDENTITY]
     identity = [c for c in IDENTITY if c in tiled.columns]
     with_hash = tiled.withColumn("_hash", row_hash(content))
-    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in content])
-    return with_hash.withColumn("_size", size).groupBy(
+    return with_hash.withColumn("_size", row_bytes(tiled, content)).groupBy(
         *identity, *TILE_KEYS, "lat_size", "lon_size", F.col("primary_station_id").cast("string").alias("station"),
         F.col("observed_variable").cast("string").alias("variable"),
     ).agg(

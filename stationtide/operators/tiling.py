@@ -61,7 +61,7 @@ def cluster_by_tile(df: DataFrame, keys: list[str], space: SpaceColumns = SpaceC
     ``rebalance`` lets adaptive execution split a tile that is far larger than
     the others and merge small ones, so no task has to hold a whole tile.
     """
-    order = [F.col(k) for k in keys]
+    order = [F.col(k).asc() for k in keys]
     order += [F.col(c).asc_nulls_last() for c in ("report_timestamp", space.y, space.x)]
     if "observation_id" in df.columns:
         order.append(F.col("observation_id").asc_nulls_last())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.config import DatasetConfig
 from stationtide.functions.tiles import latitude_tile_end, longitude_tile_end
-from stationtide.functions.times import period_end
+from stationtide.functions.times import period_start
 from stationtide.operators.catalogue import (
     IDENTITY, absent_datasets, absent_versions, build_catalogue, tile_parts, tile_status,
 )
@@ -15,6 +15,7 @@ from stationtide.operators.homogenise import homogenise, missing_mandatory, sele
 from stationtide.operators.quality import assert_period
 from stationtide.operators.reshape import melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles
+from stationtide.session import spread_small
 from stationtide.sources.store import append_catalogue, has_catalogue, read_catalogue, read_tiles, write_tiles
 
 
@@ -23,12 +24,18 @@ class IngestError(RuntimeError):
 
 
 def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: DataFrame | None = None,
-                    period=None) -> DataFrame:
-    """Homogenised long observations with units. One narrow stage: joins are with code tables only."""
+                    period=None, done: DataFrame | None = None) -> DataFrame:
+    """Homogenised long observations with units. Narrow: the only joins are with code tables.
+
+    ``done`` lists period starts to leave out; they are removed before the rows
+    are multiplied by melting.
+    """
     definition = config.sources[source]
     rows = homogenise(raw, definition, config.space)
+    if done is not None:
+        rows = without_periods(rows, done, config.time_tile_size)
     if definition.melt:
-        rows = melt_source(rows, definition)
+        rows = melt_source(spread_small(rows, definition.observation_key[0]) if definition.observation_key else rows, definition)
     if period is not None:
         rows = assert_period(rows, *period)
     if "units" not in rows.columns:
@@ -36,72 +43,69 @@ def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: D
     return decode_units(rows, units) if units is not None else rows
 
 
+def without_periods(rows: DataFrame, done: DataFrame, time_size: str) -> DataFrame:
+    """Rows of periods that are not listed. The list is bounded by the calendar."""
+    listed = done.select(F.col("time_start").alias("_done"))
+    start = period_start(F.col("report_timestamp"), time_size)
+    return rows.join(listed, start == F.col("_done"), "left_anti")
+
+
 def tiled_observations(raw: DataFrame, config: DatasetConfig, source: str, version: str,
-                       graph=None, units: DataFrame | None = None, period=None) -> DataFrame:
+                       graph=None, units: DataFrame | None = None, period=None, done: DataFrame | None = None) -> DataFrame:
     """Observations with tile keys and identity columns, ready to be written."""
-    rows = observations_of(raw, config, source, units, period)
+    rows = observations_of(raw, config, source, units, period, done)
     if graph is not None:
         rows = select_model_columns(rows, graph)
     rows = rows.withColumns({"dataset": F.lit(config.name), "version": F.lit(version), "dataset_source": F.lit(source)})
     return assign_dataset_tiles(rows, config, source)
 
 
-def new_tiles_only(tiled: DataFrame, catalogue: DataFrame | None, time_size: str, global_batches: bool = True) -> DataFrame:
-    """Rows of batches without a catalogue entry.
-
-    A global batch is a whole period: one stored tile of it marks it as done.
-    Otherwise every tile is a batch of its own.
-    """
-    if catalogue is None:
-        return tiled
-    done = catalogue.select(
-        *IDENTITY, F.col("time_coverage_start").cast("date").alias("time_start"),
-        F.col("time_coverage_end").cast("date").alias("_end"),
+def stored_batches(catalogue: DataFrame, config: DatasetConfig, source: str, version: str) -> DataFrame:
+    """Tile keys that the catalogue lists for one source and version."""
+    return catalogue.where(
+        (F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source)
+    ).select(
+        F.col("time_coverage_start").cast("date").alias("time_start"),
         F.col("latitude_coverage_start").cast("int").alias("lat_start"),
         F.col("longitude_coverage_start").cast("int").alias("lon_start"),
-    ).where(F.col("_end") == period_end(F.col("time_start"), time_size))
-    keys = IDENTITY + (["time_start"] if global_batches else TILE_KEYS)
-    return tiled.join(done.select(*keys).distinct(), keys, "left_anti")
+    ).distinct()
 
 
 def ingest(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: str, version: str, root: str,
            graph=None, units: DataFrame | None = None) -> DataFrame:
     """Write the missing batches of ``raw`` and return their catalogue entries.
 
-    The catalogue is written last and is the commit point. Its rows are computed
-    from the stored tiles, so they describe exactly what can be read back. A run
-    that died before the commit is repeated by writing the same tiles again.
+    A batch is a whole period, or a single tile where the source is read by
+    space; one catalogue entry marks it as done. The catalogue is written last
+    and is the commit point. Its rows are computed from the stored tiles, so
+    they describe exactly what can be read back. A run that died before the
+    commit is repeated by writing the same tiles again.
     """
     existing = read_catalogue(spark, root) if has_catalogue(spark, root) else None
-    tiled = tiled_observations(raw, config, source, version, graph, units)
-    pending = new_tiles_only(tiled, existing, config.time_tile_size, not config.read_by_space)
-    if existing is not None and pending.isEmpty():
+    stored = stored_batches(existing, config, source, version) if existing is not None else None
+    batch_keys = TILE_KEYS if config.read_by_space else ["time_start"]
+    by_period = stored.select("time_start").distinct() if stored is not None and not config.read_by_space else None
+    if by_period is not None and without_periods(homogenise(raw, config.sources[source], config.space), by_period, config.time_tile_size).isEmpty():
         return existing.where("false")
-    before = batches_listed(existing)
-    write_tiles(pending, root, config.space_of(source))
-    stored = read_tiles(spark, root).where(
+    pending = tiled_observations(raw, config, source, version, graph, units, done=by_period)
+    if stored is not None and config.read_by_space:
+        pending = pending.join(stored, TILE_KEYS, "left_anti")
+        if pending.isEmpty():
+            return existing.where("false")
+    identity = {"dataset": config.name, "version": version, "dataset_source": source}
+    write_tiles(pending, root, identity, config.space_of(source))
+    written = read_tiles(spark, root).where(
         (F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source)
     )
-    if before is not None:
-        keys = IDENTITY + (["time_start"] if not config.read_by_space else TILE_KEYS)
-        stored = stored.join(before.select(*keys).distinct(), keys, "left_anti")
+    if stored is not None:
+        written = written.join(stored.select(*batch_keys).distinct(), batch_keys, "left_anti")
     entries = build_catalogue(
-        tile_parts(stored), config.time_tile_size, declared_variables=list(config.sources[source].main_variables)
+        tile_parts(written), config.time_tile_size, declared_variables=list(config.sources[source].main_variables)
     )
     append_catalogue(entries, root)
     return entries
 
 
-def batches_listed(catalogue: DataFrame | None) -> DataFrame | None:
-    if catalogue is None:
-        return None
-    return catalogue.select(
-        *IDENTITY, F.col("time_coverage_start").cast("date").alias("time_start"),
-        F.col("latitude_coverage_start").cast("int").alias("lat_start"),
-        F.col("longitude_coverage_start").cast("int").alias("lon_start"),
-    )
-
-
 def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, source: str, root: str) -> DataFrame:
     """Tile-level save: identical tiles are skipped, different ones are an error, new ones are written."""
     entries = build_catalogue(tile_parts(tiled), config.time_tile_size)
@@ -115,7 +119,7 @@ def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, sou
         F.col("latitude_coverage_start").cast("int").alias("lat_start"),
         F.col("longitude_coverage_start").cast("int").alias("lon_start"),
     )
-    write_tiles(tiled.join(new, IDENTITY + TILE_KEYS, "left_semi"), root, config.space_of(source))
+    write_tiles(tiled.join(new, IDENTITY + TILE_KEYS, "left_semi"), root, space=config.space_of(source))
     added = status.where(F.col("status") == "new").drop("status")
     append_catalogue(added.select(*entries.columns), root)
     return status

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stationtide.config import SpaceColumns
@@ -11,23 +13,36 @@ from stationtide.operators.tiling import TILE_KEYS, cluster_by_tile
 LAYOUT = IDENTITY + TILE_KEYS
 
 
-def write_tiles(tiled: DataFrame, root: str, space: SpaceColumns = SpaceColumns("longitude", "latitude"),
-                compression: str = "zstd", max_rows_per_file: int = 20_000_000) -> None:
-    """Write tiles as partition directories; a rerun replaces exactly the tiles it produces."""
-    ordered = cluster_by_tile(tiled, LAYOUT, space)
+def write_tiles(tiled: DataFrame, root: str, constants: dict[str, str] | None = None,
+                space: SpaceColumns = SpaceColumns("longitude", "latitude"), compression: str = "zstd",
+                max_rows_per_file: int = 20_000_000) -> None:
+    """Write tiles as partition directories; a rerun replaces exactly the tiles it produces.
+
+    ``constants`` are the leading layout columns with one value for all rows.
+    They go into the path instead of the partition columns: Spark drops constant
+    sort keys, and would then re-sort by the partition columns alone and lose
+    the order inside a tile.
+    """
+    constants = constants or {}
+    if list(constants) != LAYOUT[: len(constants)]:
+        raise ValueError(f"constants must be the first of {LAYOUT}, in this order")
+    keys = LAYOUT[len(constants):]
+    folder = "/".join([f"{root}/tiles", *[f"{k}={quote(v, safe='')}" for k, v in constants.items()]])
+    ordered = cluster_by_tile(tiled.drop(*constants), keys, space)
     (
         ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
-        .option("maxRecordsPerFile", max_rows_per_file).partitionBy(*LAYOUT).parquet(f"{root}/tiles")
+        .option("maxRecordsPerFile", max_rows_per_file).partitionBy(*keys).parquet(folder)
     )
 
 
-def read_tiles(spark: SparkSession, root: str) -> DataFrame:
+def read_tiles(spark: SparkSession, *roots: str) -> DataFrame:
     """Stored tiles with their keys as typed columns; predicates on the keys prune directories."""
-    df = spark.read.parquet(f"{root}/tiles")
+    folders = [f"{root}/tiles" for root in roots]
+    df = spark.read.parquet(*folders)
     if any(df.schema[c].dataType.typeName() != "string" for c in IDENTITY):
         # Identity values that look like numbers must come back as they were written.
         schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in IDENTITY else f for f in df.schema])
-        df = spark.read.schema(schema).parquet(f"{root}/tiles")
+        df = spark.read.schema(schema).parquet(*folders)
     return df.withColumns({
         "time_start": F.col("time_start").cast("date"),
         "lat_start": F.col("lat_start").cast("int"), "lon_start": F.col("lon_start").cast("int"),

@@ -192,7 +192,7 @@ def q_retrieve_via_catalogue(spark, folder):
     rows = placed_reports(spark, folder).drop("station_key", "station_record_number")
     version = F.when(F.col("dataset_source") == "O", "10.0.0").otherwise("2.0.0")
     tiled = assign_tiles(rows.withColumns({"dataset": F.lit("orders"), "version": version}), 90, 180, "year")
-    write_tiles(tiled, root)
+    write_tiles(tiled, root, {"dataset": "orders"})
     from stationtide.operators.catalogue import build_catalogue, tile_parts
 
     append_catalogue(build_catalogue(tile_parts(read_tiles(spark, root)), "year"), root)
