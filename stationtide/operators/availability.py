@@ -39,6 +39,12 @@ def narrow_availability(wide: DataFrame, variables: list[str], keys=()) -> DataF
     return wide.unpivot([*keys, "station", "day"], variables, "variable", "found").where("found").drop("found")
 
 
+def from_parts(parts: DataFrame, keys=("dataset_source", "version")) -> DataFrame:
+    """Availability rows of stored parts at day grain, named for the constraint functions."""
+    return parts.select(
+        F.col(keys[0]).alias("source"), F.col(keys[1]).alias("version"), "station", "day", "variable").distinct()
+
+
 def encode_constraints(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per entry: sorted stations and days, and per variable the positions in station x day order.
 
@@ -48,8 +54,7 @@ def encode_constraints(rows: DataFrame, keys: list[str]) -> DataFrame:
     axes = rows.groupBy(*keys).agg(
         F.array_sort(F.collect_set("station")).alias("stations"), F.array_sort(F.collect_set("day")).alias("days")
     )
-    station_axis = axes.select(*keys, F.size("days").alias("n_days"), F.posexplode("stations").alias("station_index", "station"))
-    day_axis = axes.select(*keys, F.posexplode("days").alias("day_index", "day"))
+    station_axis, day_axis = _axes(axes, keys)
     placed = rows.join(station_axis, [*keys, "station"]).join(day_axis, [*keys, "day"])
     position = F.col("station_index") * F.col("n_days") + F.col("day_index")
     per_variable = placed.groupBy(*keys, "variable").agg(F.array_sort(F.collect_set(position)).alias("positions"))
@@ -59,31 +64,44 @@ def encode_constraints(rows: DataFrame, keys: list[str]) -> DataFrame:
     return axes.join(encoded, keys)
 
 
+def _axes(encoded: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Numbered stations (with the number of days) and numbered days of each entry."""
+    stations = encoded.select(
+        *keys, F.size("days").alias("n_days"), F.posexplode("stations").alias("station_index", "station"))
+    days = encoded.select(*keys, F.posexplode("days").alias("day_index", "day"))
+    return stations, days
+
+
+def _positions(encoded: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, variable, position). Only positions are exploded: no row carries the axes along."""
+    flat = encoded.select(*keys, F.explode("variable_constraints").alias("variable", "positions"))
+    return flat.select(*keys, "variable", F.explode("positions").alias("position"))
+
+
 def decode_constraints(encoded: DataFrame, keys: list[str]) -> DataFrame:
-    """Inverse of :func:`encode_constraints`, straight from the positions and without a product of the axes."""
-    flat = encoded.select(*keys, "stations", "days", F.explode("variable_constraints").alias("variable", "positions"))
-    each = flat.select(*keys, "stations", "days", "variable", F.explode("positions").alias("position"))
-    n_days = F.size("days")
-    return each.select(
-        *keys,
-        F.element_at("stations", (F.floor(F.col("position") / n_days) + 1).cast("int")).alias("station"),
-        F.element_at("days", (F.col("position") % n_days + 1).cast("int")).alias("day"),
-        "variable",
-    )
+    """Inverse of :func:`encode_constraints`: positions joined with the numbered axes."""
+    stations, days = _axes(encoded, keys)
+    n_days = encoded.select(*keys, F.size("days").alias("_n"))
+    placed = _positions(encoded, keys).join(n_days, keys).select(
+        *keys, "variable", F.floor(F.col("position") / F.col("_n")).cast("int").alias("station_index"),
+        (F.col("position") % F.col("_n")).cast("int").alias("day_index"))
+    found = placed.join(stations.drop("n_days"), [*keys, "station_index"]).join(days, [*keys, "day_index"])
+    return found.select(*keys, "station", "day", "variable")
 
 
 def constraint_table(encoded: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
-    """Full station x day table of each entry with one boolean per variable (false cells included)."""
+    """Full station x day table of each entry with one boolean per variable.
+
+    The false cells are the point of this view; use the exploded rows elsewhere.
+    """
     grid = encoded.select(
-        *keys, F.size("days").alias("n_days"), "days", "variable_constraints",
-        F.posexplode("stations").alias("station_index", "station"),
-    ).select("*", F.posexplode("days").alias("day_index", "day"))
-    position = F.col("station_index") * F.col("n_days") + F.col("day_index")
-    flags = [
-        F.coalesce(F.array_contains(F.try_element_at("variable_constraints", F.lit(v)), position), F.lit(False)).alias(v)
-        for v in variables
-    ]
-    return grid.select(*keys, "station", "day", *flags)
+        *keys, F.size("days").alias("n_days"), "days", F.posexplode("stations").alias("station_index", "station")
+    ).select(*keys, "n_days", "station_index", "station", F.posexplode("days").alias("day_index", "day"))
+    grid = grid.withColumn("position", F.col("station_index") * F.col("n_days") + F.col("day_index"))
+    flags = _positions(encoded, keys).groupBy(*keys, "position").agg(
+        *[F.bool_or(F.col("variable") == v).alias(v) for v in variables])
+    joined = grid.join(flags, [*keys, "position"], "left")
+    return joined.select(*keys, "station", "day", *[F.coalesce(F.col(v), F.lit(False)).alias(v) for v in variables])
 
 
 def constraint_size(encoded: DataFrame, keys: list[str]) -> DataFrame:

@@ -42,11 +42,13 @@ def row_bytes(df: DataFrame, columns) -> Column:
     return reduce(lambda a, b: a + b, variable, F.lit(fixed)).cast("bigint")
 
 
-def tile_parts(tiled: DataFrame, hashed: list[str] | None = None) -> DataFrame:
+def tile_parts(tiled: DataFrame, hashed: list[str] | None = None, by_day: bool = False) -> DataFrame:
     """One row per (tile, station, variable): everything a catalogue row is made of.
 
     Counts, hashes and extremes combine on the map side and merge further, so
-    parts of several ingests can be added up.
+    parts of several ingests can be added up. ``by_day`` adds the day to the
+    grain: the parts then are the availability of the tile as well, and one pass
+    over the rows serves both.
     """
     content = hashed or [c for c in tiled.columns if c not in TILE_KEYS + ["lat_size", "lon_size"] + IDENTITY]
     identity = [c for c in IDENTITY if c in tiled.columns]
@@ -54,6 +56,7 @@ def tile_parts(tiled: DataFrame, hashed: list[str] | None = None) -> DataFrame:
     return with_hash.withColumn("_size", row_bytes(tiled, content)).groupBy(
         *identity, *TILE_KEYS, "lat_size", "lon_size", F.col("primary_station_id").cast("string").alias("station"),
         F.col("observed_variable").cast("string").alias("variable"),
+        *([F.col("report_timestamp").cast("date").alias("day")] if by_day else []),
     ).agg(
         F.count(F.lit(1)).alias("n_obs"), F.sum("_size").alias("data_size"),
         F.bit_xor("_hash").alias("hash_xor"), F.sum(F.col("_hash").bitwiseAND(F.lit(0xFFFFF))).alias("hash_sum"),

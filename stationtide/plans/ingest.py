@@ -15,8 +15,10 @@ from stationtide.operators.homogenise import homogenise, missing_mandatory, sele
 from stationtide.operators.quality import assert_period
 from stationtide.operators.reshape import melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles
-from stationtide.session import spread_small
-from stationtide.sources.store import append_catalogue, has_catalogue, read_catalogue, read_tiles, write_tiles
+from stationtide.session import cut_lineage, spread_small
+from stationtide.sources.store import (
+    append_catalogue, has_catalogue, new_run, read_catalogue, read_tiles, stored_sizes, write_parts, write_tiles,
+)
 
 
 class IngestError(RuntimeError):
@@ -78,12 +80,10 @@ def ingest(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: s
     A batch is a whole period, or a single tile where the source is read by
     space; one catalogue entry marks it as done. The catalogue is written last
     and is the commit point. Its rows are computed from the stored tiles, so
-    they describe exactly what can be read back. A run that died before the
-    commit is repeated by writing the same tiles again.
+    they describe exactly what can be read back.
     """
     existing = read_catalogue(spark, root) if has_catalogue(spark, root) else None
     stored = stored_batches(existing, config, source, version) if existing is not None else None
-    batch_keys = TILE_KEYS if config.read_by_space else ["time_start"]
     by_period = stored.select("time_start").distinct() if stored is not None and not config.read_by_space else None
     if by_period is not None and without_periods(homogenise(raw, config.sources[source], config.space), by_period, config.time_tile_size).isEmpty():
         return existing.where("false")
@@ -92,25 +92,36 @@ def ingest(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: s
         pending = pending.join(stored, TILE_KEYS, "left_anti")
         if pending.isEmpty():
             return existing.where("false")
+    run = new_run()
     identity = {"dataset": config.name, "version": version, "dataset_source": source}
-    write_tiles(pending, root, identity, config.space_of(source))
-    written = read_tiles(spark, root).where(
-        (F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source)
-    )
-    if stored is not None:
-        written = written.join(stored.select(*batch_keys).distinct(), batch_keys, "left_anti")
-    entries = build_catalogue(
-        tile_parts(written), config.time_tile_size, declared_variables=list(config.sources[source].main_variables)
+    write_tiles(pending, root, run, identity, config.space_of(source))
+    return commit_run(spark, root, run, config.time_tile_size, list(config.sources[source].main_variables))
+
+
+def commit_run(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None) -> DataFrame:
+    """List the tiles of a run: parts first, catalogue last."""
+    written = read_tiles(spark, root).where(F.col("run") == run).drop("run")
+    parts = write_parts(tile_parts(written, by_day=True), root, run)
+    entries = build_catalogue(parts, time_size, declared_variables=declared_variables)
+    append_catalogue(with_file_size(entries, stored_sizes(spark, root, run)).withColumn("run", F.lit(run)), root)
+    return read_catalogue(spark, root).where(F.col("run") == run)
+
+
+def with_file_size(entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Add the stored bytes of each tile."""
+    keyed = sizes.select(
+        *IDENTITY, F.col("time_start").cast("timestamp_ntz").alias("time_coverage_start"),
+        F.col("lat_start").cast("double").alias("latitude_coverage_start"),
+        F.col("lon_start").cast("double").alias("longitude_coverage_start"), "file_size",
     )
-    append_catalogue(entries, root)
-    return entries
+    return entries.join(keyed, IDENTITY + ["time_coverage_start", "latitude_coverage_start", "longitude_coverage_start"])
 
 
-def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, source: str, root: str) -> DataFrame:
+def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, source: str, version: str, root: str) -> DataFrame:
     """Tile-level save: identical tiles are skipped, different ones are an error, new ones are written."""
     entries = build_catalogue(tile_parts(tiled), config.time_tile_size)
     existing = read_catalogue(spark, root) if has_catalogue(spark, root) else entries.where("false")
-    status = tile_status(entries, existing)
+    status = cut_lineage(tile_status(entries, existing))
     clash = status.where(F.col("status") == "exists_different").first()
     if clash is not None:
         raise IngestError(f"{clash.asset} is stored with different content")
@@ -119,9 +130,11 @@ def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, sou
         F.col("latitude_coverage_start").cast("int").alias("lat_start"),
         F.col("longitude_coverage_start").cast("int").alias("lon_start"),
     )
-    write_tiles(tiled.join(new, IDENTITY + TILE_KEYS, "left_semi"), root, space=config.space_of(source))
-    added = status.where(F.col("status") == "new").drop("status")
-    append_catalogue(added.select(*entries.columns), root)
+    if not new.isEmpty():
+        run = new_run()
+        rows = tiled.join(new, IDENTITY + TILE_KEYS, "left_semi")
+        write_tiles(rows, root, run, {"dataset": config.name, "version": version, "dataset_source": source}, config.space_of(source))
+        commit_run(spark, root, run, config.time_tile_size)
     return status
 
 

@@ -12,6 +12,7 @@ from stationtide.functions.intervals import (
 )
 from stationtide.functions.times import ts
 from stationtide.model.lite import lite_columns
+from stationtide.session import broadcast_if_small
 from stationtide.operators.catalogue import holds_any_month, in_catalogue_order, last_versions, shares_element
 
 FORMATS = {"netCDF": "parquet", "parquet": "parquet", "csv": "csv"}
@@ -152,22 +153,25 @@ def retrieve_rows(observations: DataFrame, request: Request, disabled=()) -> Dat
 
 def retrieve_from_store(tiles: DataFrame, catalogue: DataFrame, versions: DataFrame, dataset: str, request: Request,
                         time_size: str, disabled=()) -> DataFrame:
-    """Retrieve through the catalogue.
+    """Retrieve through the catalogue; tiles that are not listed there are not read.
 
-    The catalogue is filtered to the request and semi-joined on the tile keys.
-    The keys are partition columns, so the join prunes directories at run time,
-    and the static tile predicate prunes them already at planning time.
+    The static tile predicate prunes directories at planning time. The filtered
+    catalogue is semi-joined on the tile keys, which are partition columns, so
+    that the join prunes further directories at run time. It is broadcast only
+    after its rows were counted.
     """
-    entries = catalogue.where(request.entry_condition(dataset))
-    if request.version == "last":
-        entries = entries.join(last_versions(versions), ["dataset", "version"], "left_semi")
+    version = request.version if request.version != "last" else resolve_version(versions, dataset)
+    entries = catalogue.where(request.entry_condition(dataset) & (F.col("version") == version))
     keys = entries.select(
         "dataset", "version", "dataset_source", F.col("time_coverage_start").cast("date").alias("time_start"),
         F.col("latitude_coverage_start").cast("int").alias("lat_start"),
         F.col("longitude_coverage_start").cast("int").alias("lon_start"),
+        *[c for c in ("run",) if c in entries.columns and c in tiles.columns],
     )
-    pruned = tiles.where((F.col("dataset") == dataset) & request.tile_condition(time_size))
-    rows = pruned.where(request.row_condition()).join(keys, keys.columns, "left_semi")
+    pruned = tiles.where((F.col("dataset") == dataset) & (F.col("version") == version) & request.tile_condition(time_size))
+    if request.dataset_source:
+        pruned = pruned.where(F.col("dataset_source") == request.dataset_source)
+    rows = pruned.where(request.row_condition()).join(broadcast_if_small(keys), keys.columns, "left_semi")
     offered = lite_columns(disabled)
     return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in offered])
 

@@ -79,3 +79,12 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
     if input_bytes(df) >= cores * SPREAD_BYTES_PER_CORE:
         return df
     return df.repartition(cores, F.col(f"`{key}`"))
+
+
+# Fixed rows of a few short columns: this many take some tens of megabytes at most.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint behind a count; above the bound Spark joins by shuffle and splits skew."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

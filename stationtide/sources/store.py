@@ -1,7 +1,18 @@
-"""The tile store: one directory per tile, a catalogue written last."""
+"""The tile store: one directory per tile and run, and a catalogue written last.
+
+Layout below the root::
+
+    tiles/run=<run>/dataset=/version=/dataset_source=/time_start=/lat_start=/lon_start=/*.parquet
+    parts/run=<run>/*.parquet      availability and catalogue parts of the run's tiles
+    catalogue/*.parquet            one row per listed tile, naming its run
+
+A run that dies leaves files that no catalogue row names, so nobody reads them;
+its repetition is a new run. Nothing is overwritten while others may read it.
+"""
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -9,14 +20,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from stationtide.config import SpaceColumns
 from stationtide.operators.catalogue import IDENTITY
 from stationtide.operators.tiling import TILE_KEYS, cluster_by_tile
+from stationtide.session import broadcast_if_small, cut_lineage
 
 LAYOUT = IDENTITY + TILE_KEYS
 
 
-def write_tiles(tiled: DataFrame, root: str, constants: dict[str, str] | None = None,
+def new_run() -> str:
+    return "r" + uuid.uuid4().hex
+
+
+def write_tiles(tiled: DataFrame, root: str, run: str, constants: dict[str, str] | None = None,
                 space: SpaceColumns = SpaceColumns("longitude", "latitude"), compression: str = "zstd",
                 max_rows_per_file: int = 20_000_000) -> None:
-    """Write tiles as partition directories; a rerun replaces exactly the tiles it produces.
+    """Write the tiles of one run as partition directories, sorted inside each tile.
 
     ``constants`` are the leading layout columns with one value for all rows.
     They go into the path instead of the partition columns: Spark drops constant
@@ -27,34 +43,62 @@ def write_tiles(tiled: DataFrame, root: str, constants: dict[str, str] | None =
     if list(constants) != LAYOUT[: len(constants)]:
         raise ValueError(f"constants must be the first of {LAYOUT}, in this order")
     keys = LAYOUT[len(constants):]
-    folder = "/".join([f"{root}/tiles", *[f"{k}={quote(v, safe='')}" for k, v in constants.items()]])
+    folder = "/".join([f"{root}/tiles/run={run}", *[f"{k}={quote(v, safe='')}" for k, v in constants.items()]])
     ordered = cluster_by_tile(tiled.drop(*constants), keys, space)
     (
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
+        ordered.write.mode("overwrite").option("compression", compression)
         .option("maxRecordsPerFile", max_rows_per_file).partitionBy(*keys).parquet(folder)
     )
 
 
-def read_tiles(spark: SparkSession, *roots: str) -> DataFrame:
-    """Stored tiles with their keys as typed columns; predicates on the keys prune directories."""
-    folders = [f"{root}/tiles" for root in roots]
-    df = spark.read.parquet(*folders)
-    if any(df.schema[c].dataType.typeName() != "string" for c in IDENTITY):
+def read_tiles(spark: SparkSession, root: str) -> DataFrame:
+    """All stored tiles with typed keys; predicates on the keys and on ``run`` prune directories."""
+    text = ["run", *IDENTITY]
+    df = spark.read.parquet(f"{root}/tiles")
+    if any(df.schema[c].dataType.typeName() != "string" for c in text):
         # Identity values that look like numbers must come back as they were written.
-        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in IDENTITY else f for f in df.schema])
-        df = spark.read.schema(schema).parquet(*folders)
+        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in text else f for f in df.schema])
+        df = spark.read.schema(schema).parquet(f"{root}/tiles")
+    return _typed(df)
+
+
+def read_listed_tiles(spark: SparkSession, root: str) -> DataFrame:
+    """Tiles of committed runs only."""
+    runs = read_catalogue(spark, root).select("run").distinct()
+    return read_tiles(spark, root).join(broadcast_if_small(runs), "run", "left_semi")
+
+
+def _typed(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "time_start": F.col("time_start").cast("date"),
         "lat_start": F.col("lat_start").cast("int"), "lon_start": F.col("lon_start").cast("int"),
     })
 
 
-def stored_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """File bytes per stored tile, from the reader's file metadata."""
-    files = spark.read.parquet(f"{root}/tiles").select(
-        *[F.col(c) for c in LAYOUT], F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
-    )
-    return files.distinct().groupBy(*LAYOUT).agg(F.sum("size").alias("file_size"), F.count(F.lit(1)).alias("n_files"))
+def stored_sizes(spark: SparkSession, root: str, run: str | None = None) -> DataFrame:
+    """File bytes per stored tile, from a file listing: no data file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    if run is not None:
+        files = files.option("basePath", f"{root}/tiles").load(f"{root}/tiles/run={run}")
+    else:
+        files = files.load(f"{root}/tiles")
+    listed = files.select(*[F.col(c) for c in ("run", *LAYOUT)], "length")
+    listed = listed.withColumns({c: F.col(c).cast("string") for c in ("run", *IDENTITY)})
+    return _typed(listed).groupBy("run", *LAYOUT).agg(F.sum("length").alias("file_size"), F.count(F.lit(1)).alias("n_files"))
+
+
+def write_parts(parts: DataFrame, root: str, run: str) -> DataFrame:
+    """Parts of one run; they count once the catalogue names the run."""
+    path = f"{root}/parts/run={run}"
+    parts.write.mode("overwrite").parquet(path)
+    return parts.sparkSession.read.schema(parts.schema).parquet(path)
+
+
+def read_parts(spark: SparkSession, root: str) -> DataFrame:
+    """Availability parts of the committed runs."""
+    runs = read_catalogue(spark, root).select("run").distinct()
+    df = spark.read.parquet(f"{root}/parts").withColumn("run", F.col("run").cast("string"))
+    return df.join(broadcast_if_small(runs), "run", "left_semi").drop("run")
 
 
 def append_catalogue(entries: DataFrame, root: str) -> None:
@@ -62,12 +106,17 @@ def append_catalogue(entries: DataFrame, root: str) -> None:
     entries.write.mode("append").parquet(f"{root}/catalogue")
 
 
+def replace_catalogue(entries: DataFrame, root: str) -> None:
+    """Rewrite the catalogue, for example after a deletion. The rows are saved before the old files go."""
+    cut_lineage(entries).write.mode("overwrite").parquet(f"{root}/catalogue")
+
+
 def read_catalogue(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/catalogue")
 
 
 def has_catalogue(spark: SparkSession, root: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/catalogue")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/catalogue/_SUCCESS")
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 

@@ -8,7 +8,7 @@ from stationtide.operators.joins import join_header_and_data
 from stationtide.plans.ingest import dry_run, ingest, observations_of
 from stationtide.session import scratch_path
 from stationtide.sources.registry import read_source
-from stationtide.sources.store import read_catalogue, read_tiles
+from stationtide.sources.store import read_catalogue, read_listed_tiles
 from stationtide.streaming.incremental import open_file_stream, read_stream_catalogue, read_stream_tiles, stream_tiles
 from stationtide.functions.times import ts
 from stationtide.suite.registry import query
@@ -69,7 +69,7 @@ def q_ingest_then_read(spark, folder):
     """Stored tiles of one year and one latitude band, read back through their partition keys."""
     root = scratch_path(spark, "reread")
     ingest(spark, _raw(spark, folder), REPORTS, _SOURCE, "1.0.0", root)
-    rows = read_tiles(spark, root).where((F.year("time_start") == 1997) & (F.col("lat_start") == 0))
+    rows = read_listed_tiles(spark, root).where((F.year("time_start") == 1997) & (F.col("lat_start") == 0))
     return rows.groupBy("observed_variable").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("primary_station_id").alias("n_stations"),
         F.min("observation_value").alias("min_value"), F.max("observation_value").alias("max_value"))

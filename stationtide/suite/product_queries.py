@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationtide.operators.availability import (
-    availability, constraint_size, constraint_table, decode_constraints, encode_constraints, flat_constraints,
+    availability, constraint_size, constraint_table, decode_constraints, encode_constraints, flat_constraints, from_parts,
     merge_constraints, narrow_availability, variable_names, wide_availability,
 )
 from stationtide.operators.factorise import compress, expand, request_set
 from stationtide.operators.tiling import assign_tiles
-from stationtide.plans.products import described_variables, form_choices, station_summary, statistics
+from stationtide.plans.ingest import commit_run
+from stationtide.plans.products import compressed_constraints, described_variables, form_choices, station_summary, statistics
 from stationtide.plans.retrieve import Request, request_entries, retrieve_from_store, retrieve_rows
 from stationtide.session import scratch_path
-from stationtide.sources.store import append_catalogue, read_catalogue, read_tiles, write_tiles
+from stationtide.sources.store import new_run, read_catalogue, read_parts, read_tiles, write_tiles
 from stationtide.suite.registry import query
 from stationtide.suite.views import EVENTS, VARIABLES, catalogue, hdr, obs, placed_reports, station, versions_of
 
@@ -192,10 +193,9 @@ def q_retrieve_via_catalogue(spark, folder):
     rows = placed_reports(spark, folder).drop("station_key", "station_record_number")
     version = F.when(F.col("dataset_source") == "O", "10.0.0").otherwise("2.0.0")
     tiled = assign_tiles(rows.withColumns({"dataset": F.lit("orders"), "version": version}), 90, 180, "year")
-    write_tiles(tiled, root, {"dataset": "orders"})
-    from stationtide.operators.catalogue import build_catalogue, tile_parts
-
-    append_catalogue(build_catalogue(tile_parts(read_tiles(spark, root)), "year"), root)
+    run = new_run()
+    write_tiles(tiled, root, run, {"dataset": "orders"})
+    commit_run(spark, root, run, "year")
     entries = read_catalogue(spark, root)
     versions = versions_of(entries)
     request = Request(dataset_source="O", latitude_coverage=(-45.0, 30.0), longitude_coverage=(10.0, 180.0),
@@ -203,6 +203,19 @@ def q_retrieve_via_catalogue(spark, folder):
     return retrieve_from_store(read_tiles(spark, root), entries, versions, "orders", request, "year")
 
 
+@query("""SELECT DISTINCT dataset_source, '1.0.0' AS version, observed_variable AS variables, strftime(report_timestamp, '%Y') AS year,
+            strftime(report_timestamp, '%m') AS month, strftime(report_timestamp, '%d') AS day FROM hdr""")
+def q_constraints_from_store(spark, folder):
+    """Compressed constraints of a stored dataset, expanded again."""
+    root = scratch_path(spark, "constraints")
+    rows = placed_reports(spark, folder).drop("station_key", "station_record_number")
+    run = new_run()
+    write_tiles(assign_tiles(rows.withColumns({"dataset": F.lit("orders"), "version": F.lit("1.0.0")}), 90, 180, "year"),
+                root, run, {"dataset": "orders", "version": "1.0.0"})
+    commit_run(spark, root, run, "year")
+    return expand(compressed_constraints(from_parts(read_parts(spark, root))))
+
+
 @query("""SELECT asset FROM cat WHERE dataset_source = 'O' AND version = '10.0.0' AND lat0 < 30 AND lat1 >= -45 AND lon1 >= 10
           AND t0 < TIMESTAMP '1998-03-05' AND TIMESTAMP '1996-02-10' < t1 AND list_contains(variables, '1-URGENT')""")
 def q_retrieve_entries(spark, folder):

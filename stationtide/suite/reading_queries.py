@@ -83,7 +83,7 @@ def q_code_table(spark, folder):
 def q_stored_tile_read(spark, folder):
     root = scratch_path(spark, "tiles")
     coded = encode_variables(obs(spark, folder), varcode(spark))
-    write_tiles(assign_tiles(coded, 90, 180), root, {"dataset": "events", "version": "1.0.0", "dataset_source": "events"})
+    write_tiles(assign_tiles(coded, 90, 180), root, "first", {"dataset": "events", "version": "1.0.0", "dataset_source": "events"})
     rows = decode_variables(read_tiles(spark, root), varcode(spark))
     return rows.select("observation_id", "observed_variable", "observation_value",
                        F.date_format("time_start", "yyyy-MM-dd").alias("time_start"), "lat_start", "lon_start")
