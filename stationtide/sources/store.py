@@ -76,14 +76,18 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def stored_sizes(spark: SparkSession, root: str, run: str | None = None) -> DataFrame:
-    """File bytes per stored tile, from a file listing: no data file is opened."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    if run is not None:
-        files = files.option("basePath", f"{root}/tiles").load(f"{root}/tiles/run={run}")
-    else:
-        files = files.load(f"{root}/tiles")
-    listed = files.select(*[F.col(c) for c in ("run", *LAYOUT)], "length")
-    listed = listed.withColumns({c: F.col(c).cast("string") for c in ("run", *IDENTITY)})
+    """File bytes per stored tile, from a file listing: no data file is opened.
+
+    The keys are taken from the path, where they are text, so that identity
+    values that look like numbers stay as they were written.
+    """
+    folder = f"{root}/tiles/run={run}" if run is not None else f"{root}/tiles"
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+        .load(folder).select("path", "length")
+    )
+    part = lambda name: F.url_decode(F.replace(F.regexp_extract("path", f"/{name}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    listed = files.select(*[part(c).alias(c) for c in ("run", *LAYOUT)], "length")
     return _typed(listed).groupBy("run", *LAYOUT).agg(F.sum("length").alias("file_size"), F.count(F.lit(1)).alias("n_files"))
 
 
