@@ -11,7 +11,7 @@ from stationtide.operators.catalogue import (
     with_deprecation, without_empty_versions,
 )
 from stationtide.suite.registry import query
-from stationtide.suite.views import catalogue, events_catalogue, versions_of
+from stationtide.suite.views import catalogue, events_catalogue, stored_catalogue, versions_of
 
 _EVERY = {"deprecated": "all"}
 
@@ -54,14 +54,14 @@ def q_cat_page(spark, folder):
 
 @query("""SELECT dataset, version, count(*) AS n_tiles FROM cat WHERE version = '10.0.0' GROUP BY ALL""")
 def q_version_last(spark, folder):
-    entries = catalogue(spark, folder).select("dataset", "version")
+    entries = stored_catalogue(spark, folder).select("dataset", "version")
     last = last_versions(versions_of(entries))
     return entries.join(last, ["dataset", "version"]).groupBy("dataset", "version").agg(F.count(F.lit(1)).alias("n_tiles"))
 
 
 @query("""SELECT dataset_source, deprecated, count(*) AS n_tiles FROM cat JOIN versions USING (dataset, version) GROUP BY ALL""")
 def q_deprecated_filter(spark, folder):
-    entries = catalogue(spark, folder).select("dataset", "version", "dataset_source")
+    entries = stored_catalogue(spark, folder).select("dataset", "version", "dataset_source")
     versions = versions_of(entries)
     parts = [with_deprecation(entries, versions, flag).withColumn("deprecated", F.lit(flag)) for flag in (True, False)]
     return parts[0].unionByName(parts[1]).groupBy("dataset_source", "deprecated").agg(F.count(F.lit(1)).alias("n_tiles"))
@@ -70,13 +70,13 @@ def q_deprecated_filter(spark, folder):
 @query("""SELECT asset FROM cat n WHERE NOT EXISTS (SELECT 1 FROM cat e WHERE year(e.t0) < 1998 AND e.dataset_source = n.dataset_source
             AND e.version = n.version AND e.t0 = n.t0 AND e.t1 = n.t1 AND e.lat0 >= n.lat0 AND e.lat1 <= n.lat1 AND e.lon0 >= n.lon0 AND e.lon1 <= n.lon1)""")
 def q_entry_anti(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     return missing_entries(entries, entries.where(F.year("time_coverage_start") < 1998)).select("asset")
 
 
 @query("""SELECT asset, CASE WHEN year(t0) >= 2000 THEN 'new' WHEN year(t0) = 1996 THEN 'exists_different' ELSE 'exists_identical' END AS status FROM cat""")
 def q_tile_status(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     year = F.year("time_coverage_start")
     stored = entries.where(year < 2000).withColumn(
         "file_checksum", F.when(year == 1996, F.concat("file_checksum", F.lit("x"))).otherwise(F.col("file_checksum")))
@@ -86,7 +86,7 @@ def q_tile_status(spark, folder):
 @query("""SELECT 'archive' AS dataset, version, concat('archive/', string_split(asset, '/')[2]) AS asset FROM cat
           WHERE version = '2.0.0' AND year(t0) >= 1997""")
 def q_cat_copy(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     # The target already holds the first two years.
     held = entries.where((F.year("time_coverage_start") < 1997) & (F.col("version") == "2.0.0")).withColumn("dataset", F.lit("archive"))
     both = insert_entries(entries, held)
@@ -98,7 +98,7 @@ def q_cat_copy(spark, folder):
             AND t0 < TIMESTAMP '1996-01-01' AND TIMESTAMP '1995-03-01' < t1 THEN 'deleted' ELSE 'kept' END AS kind FROM cat) GROUP BY 1""")
 def q_cat_delete(spark, folder):
     wanted = CatalogueFilter(dataset="orders", dataset_source="F", time=("1995-03-01 00:00:00", "1996-01-01 00:00:00"), versions=("2.0.0",), **_EVERY)
-    kept, deleted = delete_entries(catalogue(spark, folder), wanted)
+    kept, deleted = delete_entries(stored_catalogue(spark, folder), wanted)
     both = kept.withColumn("kind", F.lit("kept")).unionByName(deleted.withColumn("kind", F.lit("deleted")))
     return both.groupBy("kind").agg(F.count(F.lit(1)).alias("n_tiles"), F.sum("n_obs").alias("n_obs"))
 
@@ -115,7 +115,7 @@ def q_version_toggle(spark, folder):
 
 @query("""SELECT dataset, version, CASE WHEN version = '11.0.0' THEN 'emptied' ELSE 'kept' END AS state FROM versions""")
 def q_empty_versions(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     versions = versions_of(entries)
     remaining, _ = delete_entries(entries, CatalogueFilter(dataset="orders", versions=("11.0.0",), **_EVERY))
     gone = empty_versions(versions, remaining).withColumn("state", F.lit("emptied"))
@@ -125,7 +125,7 @@ def q_empty_versions(spark, folder):
 
 @query("""SELECT asset FROM cat WHERE month(t0) = 5""")
 def q_cat_exists(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     asked = entries.where(F.month("time_coverage_start") == 5).select("asset").unionByName(
         entries.select(F.concat(F.lit("absent/"), F.col("asset")).alias("asset")))
     return assets_present(asked, entries)
@@ -134,7 +134,7 @@ def q_cat_exists(spark, folder):
 @query("""SELECT dataset, version, true AS deprecated, n_tiles, false AS known_dataset FROM (
             SELECT concat('new_', dataset_source) AS dataset, version, count(*) AS n_tiles FROM cat WHERE dataset_source <> 'F' GROUP BY ALL)""")
 def q_create_if_absent(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     wanted = entries.withColumn("dataset", F.when(F.col("dataset_source") == "F", F.col("dataset")).otherwise(F.concat(F.lit("new_"), F.col("dataset_source"))))
     counted = wanted.groupBy("dataset", "version").agg(F.count(F.lit(1)).alias("n_tiles"))
     created = absent_versions(versions_of(entries), counted)
@@ -144,7 +144,7 @@ def q_create_if_absent(spark, folder):
 
 @query("""SELECT asset, n_obs FROM cat WHERE year(t0) <> 1997 UNION ALL SELECT concat('copy/', asset), n_obs FROM cat WHERE year(t0) = 1998""")
 def q_cat_insert_remove(spark, folder):
-    entries = catalogue(spark, folder).select("asset", "n_obs", "time_coverage_start")
+    entries = stored_catalogue(spark, folder).select("asset", "n_obs", "time_coverage_start")
     added = entries.where(F.year("time_coverage_start") == 1998).withColumn("asset", F.concat(F.lit("copy/"), F.col("asset")))
     removed = entries.where(F.year("time_coverage_start") == 1997)
     return remove_assets(insert_entries(entries, added), removed).select("asset", "n_obs")
@@ -159,7 +159,7 @@ def q_capabilities(spark, folder):
 @query("""SELECT asset, 'missing_in_storage' AS problem FROM cat WHERE month(t0) = 3 UNION ALL
           SELECT concat(asset, '.tmp'), 'missing_in_catalogue' FROM cat WHERE month(t0) = 8""")
 def q_consistency(spark, folder):
-    entries = catalogue(spark, folder).select("asset", "time_coverage_start")
+    entries = stored_catalogue(spark, folder).select("asset", "time_coverage_start")
     month = F.month("time_coverage_start")
     stored = entries.where(month != 3).select("asset").unionByName(
         entries.where(month == 8).select(F.concat("asset", F.lit(".tmp")).alias("asset")))

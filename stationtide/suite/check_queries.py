@@ -14,7 +14,7 @@ from stationtide.operators.quality import (
 from stationtide.plans.retrieve import retrieve_rows
 from stationtide.plans.sanity import routine_request, sanity_report, summary_check
 from stationtide.suite.registry import query
-from stationtide.suite.views import catalogue, hdr, obs, placed_reports, station, varcode, wide
+from stationtide.suite.views import catalogue, hdr, obs, placed_reports, station, stored_catalogue, varcode, wide
 
 
 @query("""SELECT c AS "check", n AS n_rows FROM (SELECT unnest([
@@ -90,7 +90,7 @@ def q_validation_report(spark, folder):
           UNION ALL SELECT 'variables', false, 2""")
 def q_summary_check(spark, folder):
     declared = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", "6-NEVER"]
-    return summary_check(catalogue(spark, folder), declared)
+    return summary_check(stored_catalogue(spark, folder), declared)
 
 
 @query("""SELECT 'missing_in_storage' AS "check", (SELECT count(*) FROM cat WHERE month(t0) = 3) AS n_rows
@@ -99,7 +99,7 @@ def q_summary_check(spark, folder):
           UNION ALL SELECT c, 0 FROM (VALUES ('time_outside'), ('time_null'), ('variable_null'), ('variable_unknown'), ('latitude_outside'), ('latitude_null'),
             ('longitude_outside'), ('longitude_null'), ('station_null')) AS t(c)""")
 def q_sanity_run(spark, folder):
-    entries = catalogue(spark, folder).select("asset", "time_coverage_start")
+    entries = stored_catalogue(spark, folder).select("asset", "time_coverage_start")
     stored = entries.where(F.month("time_coverage_start") != 3)
     variables = ("1-URGENT", "2-HIGH")
     rows = retrieve_rows(placed_reports(spark, folder), routine_request("F", 1996, variables))

@@ -13,10 +13,10 @@ from stationtide.operators.tiling import assign_tiles
 from stationtide.plans.ingest import commit_run
 from stationtide.plans.products import compressed_constraints, described_variables, form_choices, station_summary, statistics
 from stationtide.plans.retrieve import Request, request_entries, retrieve_from_store, retrieve_rows
-from stationtide.session import scratch_path
+from stationtide.session import cut_lineage, scratch_path
 from stationtide.sources.store import new_run, read_catalogue, read_parts, read_tiles, write_tiles
 from stationtide.suite.registry import query
-from stationtide.suite.views import EVENTS, VARIABLES, catalogue, hdr, obs, placed_reports, station, versions_of
+from stationtide.suite.views import EVENTS, VARIABLES, hdr, obs, placed_reports, station, stored_catalogue, versions_of
 
 
 def _day(column):
@@ -53,7 +53,7 @@ def _entry_rows(spark, folder):
             primary_station_id AS station, strftime(report_timestamp, '%Y-%m-%d') AS day, observed_variable AS variable FROM obs GROUP BY ALL""")
 def q_constraints_encode_decode(spark, folder):
     keys = ["lat_start", "lon_start"]
-    encoded = encode_constraints(_entry_rows(spark, folder), keys)
+    encoded = cut_lineage(encode_constraints(_entry_rows(spark, folder), keys))
     return decode_constraints(encoded, keys).select(*keys, "station", _day("day"), "variable")
 
 
@@ -65,7 +65,7 @@ def q_constraints_encode_decode(spark, folder):
               count(DISTINCT (primary_station_id, CAST(report_timestamp AS DATE))) FILTER (WHERE observed_variable = 'error') AS n_true FROM obs GROUP BY ALL)""")
 def q_constraints_table(spark, folder):
     keys = ["lat_start", "lon_start"]
-    encoded = encode_constraints(_entry_rows(spark, folder), keys)
+    encoded = cut_lineage(encode_constraints(_entry_rows(spark, folder), keys))
     cells = constraint_table(encoded, keys, ["error"]).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_cells"), F.count_if(F.col("error")).alias("n_true"))
     return constraint_size(encoded, keys).join(cells, keys)
@@ -129,7 +129,7 @@ def q_constraints_partial_explode(spark, folder):
           UNION ALL SELECT DISTINCT 'version', version FROM cat""")
 def q_stats_summary(spark, folder):
     # The size in bytes depends on the storage format, so it has no counterpart in SQL.
-    return statistics(catalogue(spark, folder)).where(F.col("metric") != "total size")
+    return statistics(stored_catalogue(spark, folder)).where(F.col("metric") != "total size")
 
 
 @query("""SELECT DISTINCT 'stations' AS widget, unnest(stations) AS value FROM cat
@@ -141,7 +141,7 @@ def q_stats_summary(spark, folder):
           UNION ALL SELECT 'month', lpad(CAST(m AS VARCHAR), 2, '0') FROM generate_series(1, 12) AS g(m)
           UNION ALL SELECT 'day', lpad(CAST(d AS VARCHAR), 2, '0') FROM generate_series(1, 31) AS g(d)""")
 def q_widgets(spark, folder):
-    return form_choices(catalogue(spark, folder))
+    return form_choices(stored_catalogue(spark, folder))
 
 
 @query("""SELECT DISTINCT primary_station_id AS station_id, longitude, latitude, dataset_source AS source FROM placed""")
@@ -219,7 +219,7 @@ def q_constraints_from_store(spark, folder):
 @query("""SELECT asset FROM cat WHERE dataset_source = 'O' AND version = '10.0.0' AND lat0 < 30 AND lat1 >= -45 AND lon1 >= 10
           AND t0 < TIMESTAMP '1998-03-05' AND TIMESTAMP '1996-02-10' < t1 AND list_contains(variables, '1-URGENT')""")
 def q_retrieve_entries(spark, folder):
-    entries = catalogue(spark, folder)
+    entries = stored_catalogue(spark, folder)
     request = Request(dataset_source="O", latitude_coverage=(-45.0, 30.0), longitude_coverage=(10.0, 180.0),
                       time_coverage=("1996-02-10", "1998-03-05"), variables=("1-URGENT",))
     return request_entries(entries, versions_of(entries), "orders", request).select("asset")

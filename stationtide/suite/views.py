@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationtide.config import AuxColumn, DatasetConfig, Description, SourceConfig, SpaceColumns, UnitChange
 from stationtide.model.literals import literal_table
-from stationtide.operators.catalogue import catalogue_of
+from stationtide.operators.catalogue import build_catalogue, catalogue_of, tile_parts
 from stationtide.operators.tiling import assign_tiles
+from stationtide.session import cut_lineage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,10 +29,15 @@ def longitude_of(key: Column) -> Column:
     return ((key * 73) % 361 - 180).cast("double")
 
 
+def _one(key: Column) -> Column:
+    """1, but not a constant to the optimizer, which would turn a key join on it into a product."""
+    return F.when(key.isNotNull(), 1)
+
+
 def station(spark, folder) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, folder, "customer").select(
-        key.alias("station_key"), station_id(key).alias("primary_station_id"), F.lit(1).alias("record_number"),
+        key.alias("station_key"), station_id(key).alias("primary_station_id"), _one(key).alias("record_number"),
         F.col("c_name").alias("station_name"), F.col("c_nationkey").alias("country"),
         latitude_of(key).alias("latitude"), longitude_of(key).alias("longitude"),
     )
@@ -50,7 +56,7 @@ def obs(spark, folder) -> DataFrame:
 def hdr(spark, folder) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("report_id"), F.col("o_custkey").alias("station_key"),
-        F.lit(1).alias("station_record_number"), F.col("o_orderdate").alias("report_timestamp"),
+        _one(F.col("o_orderkey")).alias("station_record_number"), F.col("o_orderdate").alias("report_timestamp"),
         F.col("o_orderstatus").alias("dataset_source"), F.col("o_orderpriority").alias("observed_variable"),
         F.col("o_totalprice").alias("observation_value"),
     )
@@ -91,12 +97,16 @@ def catalogue(spark, folder) -> DataFrame:
         "report_id", "primary_station_id", "latitude", "longitude", "report_timestamp", "observed_variable",
         "observation_value", "dataset_source",
     )
-    tiled = assign_tiles(rows, 45, 45).withColumns({"dataset": F.lit("orders"), "version": version})
-    from stationtide.operators.catalogue import build_catalogue, tile_parts
-
+    tiled = assign_tiles(rows, 45, 45).withColumns({
+        "dataset": F.when(F.col("dataset_source").isNotNull(), "orders"), "version": version})
     return build_catalogue(tile_parts(tiled), "month")
 
 
+def stored_catalogue(spark, folder) -> DataFrame:
+    """The same catalogue as a table on shared storage, for queries that read it several times."""
+    return cut_lineage(catalogue(spark, folder))
+
+
 def versions_of(entries: DataFrame) -> DataFrame:
     return entries.select("dataset", "version").distinct().withColumn("deprecated", F.col("version") == "11.0.0")
 
