@@ -232,6 +232,8 @@ def assets_present(assets: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 def copy_entries(catalogue: DataFrame, versions: DataFrame, dataset: str, version: str, target: str) -> tuple[DataFrame, DataFrame]:
     """(entries to add under ``target``, versions to add). Entries that already exist are skipped."""
+    if target == dataset or not target or target.replace(" ", "_").lower() != target:
+        raise ValueError(f"{target!r} is no other dataset name in lower case with underscores")
     source = catalogue.where((F.col("dataset") == dataset) & (F.col("version") == version))
     renamed = source.withColumns({
         "dataset": F.lit(target), "asset": F.concat(F.lit(target + "/"), asset_file(F.col("asset")))

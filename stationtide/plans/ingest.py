@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.config import DatasetConfig
-from stationtide.functions.tiles import latitude_tile_end, longitude_tile_end
 from stationtide.functions.times import period_start
 from stationtide.operators.catalogue import (
     IDENTITY, absent_datasets, absent_versions, build_catalogue, tile_parts, tile_status,
 )
-from stationtide.operators.codes import decode_units, define_units
+from stationtide.operators.codes import backfill_units, decode_units, define_units
 from stationtide.operators.homogenise import homogenise, missing_mandatory, select_model_columns
 from stationtide.operators.quality import assert_period
 from stationtide.operators.reshape import melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles
-from stationtide.session import cut_lineage, spread_small
+from stationtide.session import broadcast_if_small, cut_lineage, spread_small
 from stationtide.sources.store import (
-    append_catalogue, has_catalogue, new_run, read_catalogue, read_tiles, stored_sizes, write_parts, write_tiles,
+    append_catalogue, has_catalogue, new_run, read_catalogue, read_listed_tiles, read_tiles, replace_catalogue, stored_sizes, write_parts, write_tiles,
 )
 
 
@@ -47,7 +46,7 @@ def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: D
 
 def without_periods(rows: DataFrame, done: DataFrame, time_size: str) -> DataFrame:
     """Rows of periods that are not listed. The list is bounded by the calendar."""
-    listed = done.select(F.col("time_start").alias("_done"))
+    listed = broadcast_if_small(done.select(F.col("time_start").alias("_done")))
     start = period_start(F.col("report_timestamp"), time_size)
     return rows.join(listed, start == F.col("_done"), "left_anti")
 
@@ -89,7 +88,7 @@ def ingest(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: s
         return existing.where("false")
     pending = tiled_observations(raw, config, source, version, graph, units, done=by_period)
     if stored is not None and config.read_by_space:
-        pending = pending.join(stored, TILE_KEYS, "left_anti")
+        pending = pending.join(broadcast_if_small(stored), TILE_KEYS, "left_anti")
         if pending.isEmpty():
             return existing.where("false")
     run = new_run()
@@ -132,7 +131,7 @@ def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, sou
     )
     if not new.isEmpty():
         run = new_run()
-        rows = tiled.join(new, IDENTITY + TILE_KEYS, "left_semi")
+        rows = tiled.join(broadcast_if_small(new), IDENTITY + TILE_KEYS, "left_semi")
         write_tiles(rows, root, run, {"dataset": config.name, "version": version, "dataset_source": source}, config.space_of(source))
         commit_run(spark, root, run, config.time_tile_size)
     return status
@@ -172,8 +171,28 @@ def preparation_warnings(raw: DataFrame, config: DatasetConfig, source: str) ->
     return [f"mandatory column {c} is missing" for c in missing]
 
 
-def tile_bounds(tiles: DataFrame, lat_size: int, lon_size: int) -> DataFrame:
-    return tiles.withColumns({
-        "lat_end": latitude_tile_end(F.col("lat_start"), lat_size),
-        "lon_end": longitude_tile_end(F.col("lon_start"), lon_size),
-    })
+def backfill_stored_units(spark: SparkSession, root: str, units: DataFrame, time_size: str) -> DataFrame:
+    """Rewrite stored tiles whose units still are numeric codes; tiles with names are left alone.
+
+    The rewritten tiles are a new run. The catalogue then names it in place of
+    the old one, with the new sizes and checksums.
+    """
+    tiles, entries = read_listed_tiles(spark, root), read_catalogue(spark, root)
+    stale = cut_lineage(tiles.where(F.col("units").rlike(r"^\d+$")).select("run", *IDENTITY, *TILE_KEYS).distinct())
+    if stale.isEmpty():
+        return entries.where("false")
+    rows = tiles.join(broadcast_if_small(stale), stale.columns, "left_semi").drop("run")
+    run = new_run()
+    write_tiles(backfill_units(rows, units), root, run)
+    parts = write_parts(tile_parts(read_tiles(spark, root).where(F.col("run") == run).drop("run"), by_day=True), root, run)
+    fresh = with_file_size(build_catalogue(parts, time_size), stored_sizes(spark, root, run)).withColumn("run", F.lit(run))
+    old = stale.select(
+        "run", *IDENTITY, F.col("time_start").cast("timestamp_ntz").alias("time_coverage_start"),
+        F.col("lat_start").cast("double").alias("latitude_coverage_start"),
+        F.col("lon_start").cast("double").alias("longitude_coverage_start"),
+    )
+    kept = entries.join(old, old.columns, "left_anti")
+    # The variables of an entry are those declared at ingestion and do not change.
+    declared = entries.join(old, old.columns, "left_semi").select("asset", "variables")
+    replace_catalogue(kept.unionByName(fresh.drop("variables").join(declared, "asset").select(*kept.columns)), root)
+    return read_catalogue(spark, root).where(F.col("run") == run)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stationtide.functions.intervals import (
     LATITUDE_LIMIT, LONGITUDE_LIMIT, coordinate_within, overlaps, tile_may_hold, within,
 )
+from stationtide.functions.names import VERSION_PATTERN
 from stationtide.functions.times import ts
 from stationtide.model.lite import lite_columns
 from stationtide.session import broadcast_if_small
@@ -45,6 +47,8 @@ class Request:
                 raise ValueError(f"{name} must be increasing")
         if self.time_coverage is not None and self.year is not None:
             raise ValueError("use either time_coverage or year")
+        if self.version != "last" and not re.match(VERSION_PATTERN, self.version):
+            raise ValueError(f"{self.version!r} is neither 'last' nor a version")
         if self.format not in FORMATS:
             raise ValueError(f"format must be one of {sorted(FORMATS)}")
 

@@ -62,10 +62,27 @@ def read_tiles(spark: SparkSession, root: str) -> DataFrame:
     return _typed(df)
 
 
+def listed_keys(catalogue: DataFrame) -> DataFrame:
+    """(run, tile) of every catalogue row."""
+    return catalogue.select(
+        "run", *IDENTITY, F.col("time_coverage_start").cast("date").alias("time_start"),
+        F.col("latitude_coverage_start").cast("int").alias("lat_start"),
+        F.col("longitude_coverage_start").cast("int").alias("lon_start"),
+    )
+
+
 def read_listed_tiles(spark: SparkSession, root: str) -> DataFrame:
-    """Tiles of committed runs only."""
-    runs = read_catalogue(spark, root).select("run").distinct()
-    return read_tiles(spark, root).join(broadcast_if_small(runs), "run", "left_semi")
+    """Tiles that the catalogue lists.
+
+    Whole runs are selected by their few names, and the exceptions (tiles that
+    were deleted or rewritten since) are taken out. Both lists are counted
+    before they are broadcast, so reading all tiles needs no shuffle.
+    """
+    listed = listed_keys(read_catalogue(spark, root))
+    written = _parts(spark, root).select("run", *LAYOUT).distinct()
+    removed = written.join(listed, listed.columns, "left_anti")
+    tiles = read_tiles(spark, root).join(broadcast_if_small(listed.select("run").distinct()), "run", "left_semi")
+    return tiles.join(broadcast_if_small(removed), removed.columns, "left_anti")
 
 
 def _typed(df: DataFrame) -> DataFrame:
@@ -99,10 +116,13 @@ def write_parts(parts: DataFrame, root: str, run: str) -> DataFrame:
 
 
 def read_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Availability parts of the committed runs."""
-    runs = read_catalogue(spark, root).select("run").distinct()
-    df = spark.read.parquet(f"{root}/parts").withColumn("run", F.col("run").cast("string"))
-    return df.join(broadcast_if_small(runs), "run", "left_semi").drop("run")
+    """Availability parts of the listed tiles."""
+    listed = listed_keys(read_catalogue(spark, root))
+    return _parts(spark, root).join(listed, listed.columns, "left_semi").drop("run")
+
+
+def _parts(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/parts").withColumn("run", F.col("run").cast("string"))
 
 
 def append_catalogue(entries: DataFrame, root: str) -> None:

@@ -16,7 +16,7 @@ from stationtide.plans.retrieve import Request, request_entries, retrieve_from_s
 from stationtide.session import cut_lineage, scratch_path
 from stationtide.sources.store import new_run, read_catalogue, read_parts, read_tiles, write_tiles
 from stationtide.suite.registry import query
-from stationtide.suite.views import EVENTS, VARIABLES, hdr, obs, placed_reports, station, stored_catalogue, versions_of
+from stationtide.suite.views import EVENTS, VARIABLES, catalogue, hdr, obs, placed_reports, station, stored_catalogue, versions_of
 
 
 def _day(column):
@@ -219,7 +219,7 @@ def q_constraints_from_store(spark, folder):
 @query("""SELECT asset FROM cat WHERE dataset_source = 'O' AND version = '10.0.0' AND lat0 < 30 AND lat1 >= -45 AND lon1 >= 10
           AND t0 < TIMESTAMP '1998-03-05' AND TIMESTAMP '1996-02-10' < t1 AND list_contains(variables, '1-URGENT')""")
 def q_retrieve_entries(spark, folder):
-    entries = stored_catalogue(spark, folder)
+    entries = catalogue(spark, folder)
     request = Request(dataset_source="O", latitude_coverage=(-45.0, 30.0), longitude_coverage=(10.0, 180.0),
                       time_coverage=("1996-02-10", "1998-03-05"), variables=("1-URGENT",))
     return request_entries(entries, versions_of(entries), "orders", request).select("asset")

@@ -9,7 +9,7 @@ from stationtide.config import AuxColumn, DatasetConfig, Description, SourceConf
 from stationtide.model.literals import literal_table
 from stationtide.operators.catalogue import build_catalogue, catalogue_of, tile_parts
 from stationtide.operators.tiling import assign_tiles
-from stationtide.session import cut_lineage
+from stationtide.session import scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -104,7 +104,9 @@ def catalogue(spark, folder) -> DataFrame:
 
 def stored_catalogue(spark, folder) -> DataFrame:
     """The same catalogue as a table on shared storage, for queries that read it several times."""
-    return cut_lineage(catalogue(spark, folder))
+    path = scratch_path(spark, "catalogue")
+    catalogue(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def versions_of(entries: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stationtide.config import DatasetConfig, Description, SourceConfig, SpaceColumns
 from stationtide.operators.catalogue import tile_parts, build_catalogue
 from stationtide.operators.tiling import assign_tiles, declared_batches, space_batches
-from stationtide.plans.ingest import IngestError, commit_run, ingest, save_tiles, tiled_observations
+from stationtide.plans.ingest import IngestError, backfill_stored_units, ingest, save_tiles, tiled_observations
 from stationtide.plans.products import form_choices, statistics
 from stationtide.plans.retrieve import NoDataFound, Request, request_entries, require_entries, resolve_version, retrieve_from_store, retrieve_rows, write_result
 from stationtide.plans.sanity import require_summary
@@ -156,6 +156,8 @@ def test_result_formats(spark, frame, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == spark.read.parquet(str(tmp_path / "p")).count() == 12
     with pytest.raises(ValueError):
         Request(format="xml")
+    with pytest.raises(ValueError):
+        Request(version="newest")
     with pytest.raises(ValueError):
         Request(time_coverage=("2020-01-02", "2020-01-01"))
     with pytest.raises(ValueError):
@@ -167,6 +169,24 @@ def test_catalogue_can_be_rewritten(spark, frame, root):
     entries = read_catalogue(spark, root)
     replace_catalogue(entries.where(F.month("time_coverage_start") == 1), root)
     assert {r.time_coverage_start.month for r in read_catalogue(spark, root).collect()} == {1}
+    # Tiles that are no longer listed are no longer read.
+    assert {r.report_timestamp.month for r in read_listed_tiles(spark, root).collect()} == {1}
+    assert read_parts(spark, root).agg(F.sum("n_obs")).first()[0] == 12
+
+
+def test_stored_units_are_backfilled_once(spark, frame, root):
+    codes = frame([(5, "K"), (32, "Pa")], "code int, abbreviation string")
+    raw = frame(raw_rows((1, 2)), RAW).withColumn("units", F.when(F.month("report_timestamp") == 1, "5").otherwise("Pa"))
+    ingest(spark, raw, config(), "01", "1.0.0", root)
+    before = {r.asset: r.file_checksum for r in read_catalogue(spark, root).collect()}
+    fixed = backfill_stored_units(spark, root, codes, "month")
+    assert {r.time_coverage_start.month for r in fixed.collect()} == {1}
+    rows = read_listed_tiles(spark, root)
+    assert {(r.report_timestamp.month, r.units) for r in rows.collect()} == {(1, "K"), (2, "Pa")} and rows.count() == 24
+    after = {r.asset: r.file_checksum for r in read_catalogue(spark, root).collect()}
+    assert after.keys() == before.keys() and all((after[a] != before[a]) == ("_202001_" in a) for a in after)
+    assert read_parts(spark, root).agg(F.sum("n_obs")).first()[0] == 24
+    assert backfill_stored_units(spark, root, codes, "month").count() == 0
 
 
 def test_products_of_a_catalogue(spark, frame):
