@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from stationtide.session import cut_lineage
 
 
-def distinct_order(boxes: DataFrame, columns: list[str]) -> list[str]:
-    """Columns by ascending number of distinct values, ties by name."""
-    counts = boxes.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]).first()
-    return sorted(columns, key=lambda c: (counts[c], c))
+def measure(boxes: DataFrame, columns: list[str]) -> tuple[int, list[str]]:
+    """Number of boxes, and the columns by ascending number of distinct values (ties by name), in one job."""
+    counts = boxes.agg(
+        F.count(F.lit(1)).alias("n_boxes"), *[F.count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)]
+    ).first()
+    distinct = dict(zip(columns, counts[1:]))
+    return counts[0], sorted(columns, key=lambda c: (distinct[c], c))
 
 
 def merge_once(boxes: DataFrame, order: list[str]) -> DataFrame:
@@ -32,10 +35,10 @@ def compress(rows: DataFrame, columns: list[str] | None = None, max_rounds: int
     columns = columns or rows.columns
     distinct = rows.select(*[F.col(f"`{c}`") for c in columns]).distinct()
     boxes = cut_lineage(distinct.select(*[F.array(F.col(f"`{c}`")).alias(c) for c in columns]))
-    n_before = boxes.count()
+    n_before, order = measure(boxes, columns)
     for _ in range(max_rounds):
-        boxes = cut_lineage(merge_once(boxes, distinct_order(boxes, columns)))
-        n_after = boxes.count()
+        boxes = cut_lineage(merge_once(boxes, order))
+        n_after, order = measure(boxes, columns)
         if n_after >= n_before:
             break
         n_before = n_after
