@@ -124,10 +124,19 @@ def q_dtype_report(spark, folder):
     return type_report(rows, default_graph())
 
 
-@query()
+@query("""SELECT t.a AS "table", t.b AS field, t.c AS "column", t.d AS how, CASE WHEN t.c = 'longitude' THEN n1 ELSE n2 END AS n_values
+          FROM (SELECT count(nullif(longitude, 0)) AS n1, count(*) AS n2 FROM obs) CROSS JOIN (VALUES
+            ('station_configuration', 'longitude', 'longitude', 'found'), ('station_configuration', 'primary_id', 'primary_station_id', 'foreign'),
+            ('observations_table', 'observation_id', 'observation_id', 'found'), ('observations_table', 'report_id', 'report_id', 'found'),
+            ('observations_table', 'observed_variable', 'observed_variable', 'found'), ('observations_table', 'observation_value', 'observation_value', 'found'),
+            ('observations_table', 'longitude', 'longitude', 'found'), ('header_table', 'report_id', 'report_id', 'found'),
+            ('header_table', 'report_timestamp', 'report_timestamp', 'found'), ('header_table', 'primary_station_id', 'primary_station_id', 'found'),
+            ('header_table', 'longitude', 'longitude', 'found'), ('header_table', 'latitude', 'latitude|header_table', 'suffixed'),
+            ('uncertainty_table', 'observation_id', 'observation_id', 'found')) AS t(a, b, c, d)""")
 def q_field_mapping(spark, folder):
     """How each model field is provided by the data, next to its number of values."""
-    rows = obs(spark, folder).withColumnsRenamed({"latitude": "latitude|header_table"})
+    rows = obs(spark, folder).withColumn("longitude", F.nullif("longitude", F.lit(0.0)))
+    rows = rows.withColumnsRenamed({"latitude": "latitude|header_table"})
     counted = rows.agg(*[F.count(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(rows.columns)])
     values = counted.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("n_values")) for i, c in enumerate(rows.columns)])))
