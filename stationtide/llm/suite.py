@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe
+from stationtide.llm import bpe, simhash
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,9 @@ def query(sql: str | None = None):
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of ids and decoded text of every document."""
     return bpe.digest_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+@query()
+def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document, links at two differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
