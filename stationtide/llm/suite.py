@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, simhash
+from stationtide.llm import bpe, decontaminate, simhash
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, links at two differing bits or fewer."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark passage with at most eight edits for each hundred characters."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
