@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, decontaminate, simhash
+from stationtide.llm import bpe, covertree, decontaminate, simhash
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,20 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark passage with at most eight edits for each hundred characters."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM e
+           WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+          WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
+reach(id, other) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM e JOIN least l ON l.id = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+""")
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and representative of every vector, at a cosine of 0.9 or more."""
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
