@@ -48,7 +48,7 @@ def op3_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 usable AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM e
-           WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+           WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
           WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
 reach(id, other) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
