@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, decontaminate, simhash
+from stationtide.llm import bpe, covertree, decontaminate, language, simhash
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,8 @@ ORACLES: dict[str, str] = {}
 
 #: Tokenizer file of the encoding query.
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Pieces of the language models.
+PIECE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(sql: str | None = None):
@@ -60,3 +62,10 @@ FROM e JOIN least l ON l.id = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
 def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and representative of every vector, at a cosine of 0.9 or more."""
     return covertree.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@query()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the labelled rows of the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict_documents(docs, language.train(docs, PIECE_VOCABULARY))
