@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, decontaminate, language, simhash
+from stationtide.llm import bpe, covertree, decontaminate, language, quality, simhash
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the labelled rows of the other folds."""
     docs = table(spark, sf_dir, "documents")
     return language.predict_documents(docs, language.train(docs, PIECE_VOCABULARY))
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from trusted positives and unlabelled text of the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
