@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, decontaminate, language, quality, simhash
+from stationtide.llm import bpe, covertree, decontaminate, language, quality, simhash, tokencount
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,8 @@ ORACLES: dict[str, str] = {}
 
 #: Tokenizer file of the encoding query.
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Word pieces of the token counts.
+WORD_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Pieces of the language models.
 PIECE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -76,3 +78,9 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from trusted positives and unlabelled text of the other folds."""
     docs = table(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), WORD_PIECES)
