@@ -136,49 +136,65 @@ class PassageIndex:
 
     def _align(self, buffer, starts, lengths, regions) -> list[tuple[int, int, int, int, int]]:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for passage, diagonal in regions.T.tolist():
-            middle = max(diagonal, 0) + len(self.codes[passage]) // 2
-            text = int(np.searchsorted(starts, min(middle, len(buffer) - 1), "right")) - 1
-            low, high = int(starts[text]), int(starts[text]) + lengths[text]
-            found = banded_alignment(self.codes[passage], buffer, diagonal, int(self.width[passage] + self.edits[passage]), int(self.edits[passage]), low, high)
-            if found is not None:
-                edits, start, end = found
-                key, value = (text, passage), (edits, start - low, end - low)
-                best[key] = min(best.get(key, value), value)
-        return [(text, passage, start, end, edits) for (text, passage), (edits, start, end) in sorted(best.items())]
+        for at in range(0, regions.shape[1], 256):
+            passage, diagonal = regions[:, at:at + 256]
+            own = [self.codes[p] for p in passage.tolist()]
+            edits, start, end = banded_alignments(own, buffer, diagonal, self.width[passage] + self.edits[passage], self.edits[passage])
+            middle = np.clip(diagonal, 0, None) + np.array([len(c) // 2 for c in own])
+            text = np.searchsorted(starts, np.minimum(middle, len(buffer) - 1), "right") - 1
+            low = starts[text]
+            high = low + np.asarray(lengths)[text]
+            rows = np.stack([text, passage, edits, np.clip(start, low, high) - low, np.clip(end, low, high) - low], axis=1)
+            for t, k, e, i, j in rows[edits >= 0].tolist():
+                best[t, k] = min(best.get((t, k), (e, i, j)), (e, i, j))
+        return [(t, k, i, j, e) for (t, k), (e, i, j) in sorted(best.items())]
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes * MIX) >> np.uint64(64 - FILTER_BITS)
 
 
-def banded_alignment(pattern, buffer, diagonal: int, spread: int, edits: int, low: int, high: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best place of the whole pattern in buffer[low:high] that starts on diagonals
-    ``diagonal`` to ``diagonal + spread``, or None above the budget. Row i of the table has the cells of the diagonals up to
-    ``edits`` beyond that range on either side."""
-    first, size = diagonal - edits, spread + 2 * edits + 1
-    far = len(pattern) + size + 1
-    steps = np.arange(size)
-    row = np.where((first + steps >= low) & (first + steps <= high), 0, far)
-    begin = first + steps
-    for i, char in enumerate(pattern.tolist(), 1):
-        pos = first + i - 1 + steps  # the character that a step along each diagonal takes
-        inside = (pos >= low) & (pos < high)
-        match = np.where(inside, buffer[np.clip(pos, 0, len(buffer) - 1)] == char, False)
-        new = np.where(inside, row + ~match, far)
-        origin = begin.copy()
-        up = np.append(row[1:] + 1, far)  # the pattern's character has no partner
-        up = np.where((pos + 1 >= low) & (pos + 1 <= high), up, far)
+def banded_alignments(patterns: list, buffer: np.ndarray, diagonal: np.ndarray, spread: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """(edits, start, end) of the best place in ``buffer`` of each whole pattern that starts on its diagonals ``diagonal`` to
+    ``diagonal + spread``; edits is -1 above the budget. All patterns are aligned together: row i of the tables has the
+    cells of a pattern's diagonals, up to ``edits`` beyond that range on either side. A gap between documents is never
+    worth more than leaving the pattern's character out, and is wider than a band is long."""
+    length = np.array([len(c) for c in patterns])
+    size = spread + 2 * edits + 1
+    wide, far, pad = int(size.max()), 1 << 20, PASSAGE_CHARS * 2
+    chars = np.full((len(patterns), int(length.max())), GAP + 1, np.uint32)
+    for k, codes in enumerate(patterns):
+        chars[k, :len(codes)] = codes
+    steps = np.arange(wide)
+    outside = steps >= size[:, None]
+    begin = (diagonal - edits)[:, None] + steps
+    padded = np.concatenate([np.full(pad, GAP, np.uint32), buffer, np.full(pad, GAP, np.uint32)])
+    place = begin + pad
+    row = np.where(outside, far, 0)
+    out = np.full((3, len(patterns)), -1)
+    live = np.arange(len(patterns))
+    edge = np.full((len(patterns), 1), far)
+    for i in range(chars.shape[1]):
+        new = row + (padded[place + i] != chars[:, i:i + 1])
+        up = np.concatenate([row[:, 1:] + 1, edge], axis=1)  # the pattern's character has no partner
         better = up < new
-        new, origin = np.where(better, up, new), np.where(better, np.append(begin[1:], 0), origin)
-        run = np.minimum.accumulate(new - steps)  # the text's characters have no partner
-        reach = np.maximum.accumulate(np.where(new - steps == run, steps, 0))
-        row, begin = run + steps, origin[reach]
-        row = np.where((pos + 1 >= low) & (pos + 1 <= high), row, far)
-        if row.min() > edits:
-            return None
-    at = int(np.argmin(row))
-    return int(row[at]), int(begin[at]), int(first + len(pattern) + at)
+        origin = np.where(better, np.concatenate([begin[:, 1:], edge], axis=1), begin)
+        level = np.minimum(new, up) - steps
+        run = np.minimum.accumulate(level, axis=1)  # the text's characters have no partner
+        begin = np.take_along_axis(origin, np.maximum.accumulate(np.where(level == run, steps, 0), axis=1), axis=1)
+        row = np.where(outside, far, run + steps)
+        least = row.min(axis=1)
+        done = (length == i + 1) & (least <= edits)
+        if done.any():
+            at = row[done].argmin(axis=1)
+            out[:, live[done]] = least[done], begin[done, at], place[done, at] - pad + i + 1
+        keep = (least <= edits) & (length > i + 1)
+        if keep.sum() <= 0.7 * len(keep):
+            if not keep.any():
+                break
+            row, begin, place, outside, chars, edge = (x[keep] for x in (row, begin, place, outside, chars, edge))
+            length, edits, live = length[keep], edits[keep], live[keep]
+    return out
 
 
 def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
