@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, decontaminate, language, quality, simhash, tokencount
+from stationtide.llm import bpe, covertree, decontaminate, language, quality, simhash, tokencount, warc
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,19 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word-piece counts of every document."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), WORD_PIECES)
+
+
+@query("""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS code FROM pages),
+d AS (SELECT page_id, payload_bytes, code, array_to_string(list_transform(range(32), lambda i:
+          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(code, 1 + 10 * (i // 8), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest FROM p),
+f AS (SELECT code, min(page_id) AS first FROM d GROUP BY code)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN f.first IS NOT NULL AND d.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM d JOIN f ON f.code = d.code
+""")
+def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through archives of segmented records and back."""
+    found = warc.archived_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
