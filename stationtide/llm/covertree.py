@@ -3,7 +3,7 @@
 On unit vectors a cosine of at least c is a distance of at most t = sqrt(2 - 2c). The top of the tree is a bounded set of
 pivots: every vector goes to its nearest one, large cells are cut into blocks, and two blocks meet in a task only
 where pivot distance and covering radii allow a link; a vector goes there only if its own distance to the other pivot
-does. In the task nested nets with halving radii are built over each block and node pairs are walked from the top: a
+does. In the task nested nets with radii t, t/2, t/4 ... are built over each block and node pairs are walked from the top: a
 pair whose distance exceeds t by more than both covering radii is dropped, one whose members must all link is counted
 whole, and pairs of points are decided in double precision. Tasks return a count and one link for each vector, never pairs.
 """
@@ -26,38 +26,42 @@ BLOCK_ROWS = 8192
 #: Pivots at the top; the sample they are chosen from has four times as many vectors.
 MAX_PIVOTS = 1024
 LEAF = 32
-CHUNK = 1024
+#: Rows of a distance table that is held at once.
+CHUNK = 256
 #: What a vector is in its task: one of the block that meets itself, of the first or of the second of two.
 ALONE, FIRST, SECOND = 0, 1, 2
-SLACK = 1e-5  # of single precision, only ever used to look at more pairs
+SLACK = np.float32(1e-5)  # of single precision, only ever used to look at more pairs
 
 
 @dataclass
 class Node:
-    """Children of a tree node: a centre, a covering radius, the members and the node below, if any, of each."""
+    """Children of a tree node: of each a centre, a covering radius, whether it is a single point, its members, and the
+    node below it if it is not."""
 
     centres: np.ndarray
     radii: np.ndarray
+    points: np.ndarray
     members: list = field(default_factory=list)
     below: list = field(default_factory=list)
 
 
 class Block:
-    """Vectors with their multiplicities, and a cover tree over them."""
+    """Vectors with their multiplicities, and a cover tree over them whose first net has the given radius. Coarser nets
+    inside a block would prune little: the pivots stand above them."""
 
-    def __init__(self, vectors: np.ndarray, weights: np.ndarray):
+    def __init__(self, vectors: np.ndarray, weights: np.ndarray, radius: float):
         self.raw = vectors
         self.norm = np.sqrt((vectors * vectors).sum(axis=1))
         self.unit = vectors / self.norm[:, None]
         self.fast = self.unit.astype(np.float32)
         self.weights = weights
-        self.root = self._grow(np.arange(len(vectors)), 1.0)
+        self.root = self._grow(np.arange(len(vectors)), radius)
 
     def _grow(self, members: np.ndarray, radius: float) -> Node:
         if len(members) <= LEAF or radius < 1e-3:
-            return Node(members, np.zeros(len(members)), [members[i:i + 1] for i in range(len(members))], [None] * len(members))
+            return Node(members, np.zeros(len(members)), np.ones(len(members), bool), [members[i:i + 1] for i in range(len(members))], [None] * len(members))
         centres, owner = self._net(members, radius)
-        node = Node(centres, np.zeros(len(centres)))
+        node = Node(centres, np.zeros(len(centres)), np.bincount(owner) == 1)
         order = np.argsort(owner, kind="stable")
         for k, own in enumerate(np.split(members[order], np.cumsum(np.bincount(owner, minlength=len(centres)))[:-1])):
             node.members.append(own)
@@ -114,8 +118,8 @@ class Links:
         for at in range(0, len(x.centres), CHUNK):
             rows = slice(at, at + CHUNK)
             cos = self.a.fast[x.centres[rows]] @ self.b.fast[y.centres].T
-            reach = self.t + x.radii[rows, None] + y.radii[None, :]
-            keep = cos >= np.where(reach < 2, 1 - reach * reach / 2, -2) - SLACK
+            reach = np.minimum(x.radii[rows, None].astype(np.float32) + (y.radii + self.t).astype(np.float32), np.float32(2))
+            keep = cos >= 1 - SLACK - reach * reach / 2
             if own:
                 keep &= np.arange(len(y.centres))[None, :] >= np.arange(at, at + len(cos))[:, None]
             i, j = np.nonzero(keep)
@@ -127,7 +131,7 @@ class Links:
     def _decide(self, x: Node, y: Node, i: np.ndarray, j: np.ndarray, own: bool) -> list[tuple[Node, Node]]:
         p, q = x.centres[i], y.centres[j]
         dot = np.einsum("ij,ij->i", self.a.raw[p], self.b.raw[q]) / (self.a.norm[p] * self.b.norm[q])
-        points = np.array([x.below[k] is None for k in i.tolist()], bool) & np.array([y.below[k] is None for k in j.tolist()], bool)
+        points = x.points[i] & y.points[j]
         same = (i == j) & own
         link = points & (dot >= self.cosine) & ~same
         if link.any():
@@ -157,7 +161,7 @@ class Links:
 
 def _below(node: Node, k: int) -> Node:
     if node.below[k] is None:
-        return Node(node.centres[k:k + 1], np.zeros(1), [node.members[k]], [None])
+        return Node(node.centres[k:k + 1], np.zeros(1), np.ones(1, bool), [node.members[k]], [None])
     return node.below[k]
 
 
@@ -272,8 +276,9 @@ def _meet(cosine: float):
         some, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
         count = some
         if side[0] == ALONE or 0 < cut < len(side):
-            a = Block(v[:cut], m[:cut])
-            links = Links(a, Block(v[cut:], m[cut:]) if cut < len(side) else None, cosine)
+            t = math.sqrt(max(0.0, 2 - 2 * cosine))
+            a = Block(v[:cut], m[:cut], t)
+            links = Links(a, Block(v[cut:], m[cut:], t) if cut < len(side) else None, cosine)
             some = np.flatnonzero(links.count)
             count, root = links.count[some], cid[links.parent[some]]
         return pa.table({"cid": cid[some], "n": count, "root": root})

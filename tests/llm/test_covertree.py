@@ -54,7 +54,7 @@ def test_node_pairs_count_what_pairs_of_points_do():
     rng = np.random.default_rng(2)
     for d, n in ((3, 500), (24, 700)):
         x, y = clustered(rng, n, d), clustered(rng, n // 2, d)
-        a, b = covertree.Block(x, rng.integers(1, 5, n)), covertree.Block(y, rng.integers(1, 5, n // 2))
+        a, b = covertree.Block(x, rng.integers(1, 5, n), 0.447), covertree.Block(y, rng.integers(1, 5, n // 2), 0.447)
         links = covertree.Links(a, b, 0.9)
         near = a.unit @ b.unit.T >= 0.9
         assert np.array_equal(links.count, np.concatenate([near @ b.weights, near.T @ a.weights]))
@@ -70,7 +70,7 @@ def test_dense_group_is_counted_by_nodes(monkeypatch):
     seen = []
     decide = covertree.Links._decide
     monkeypatch.setattr(covertree.Links, "_decide", lambda self, *a: (seen.append(len(a[2])), decide(self, *a))[1])
-    links = covertree.Links(covertree.Block(x, np.ones(3000, np.int64)), None, 0.9)
+    links = covertree.Links(covertree.Block(x, np.ones(3000, np.int64), 0.447), None, 0.9)
     assert (links.count == 2999).all() and not links.parent.any() and sum(seen) < 10_000
 
 
