@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, decontaminate, language, quality, simhash, tokencount, warc
+from stationtide.llm import bpe, covertree, curve, decontaminate, language, quality, simhash, tokencount, warc
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through archives of segmented records and back."""
     found = warc.archived_pages(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards, runs of a Hilbert curve through language, source and size."""
+    return curve.shard_documents(table(spark, sf_dir, "documents"), 24)
