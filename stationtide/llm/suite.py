@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, curve, decontaminate, language, quality, simhash, tokencount, warc
+from stationtide.llm import bpe, covertree, curve, decontaminate, language, licences, quality, simhash, tokencount, warc
 from stationtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,9 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 24 shards, runs of a Hilbert curve through language, source and size."""
     return curve.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
+@query(licences.oracle_sql())
+def op6_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and wording in every document."""
+    return licences.scan_files(table(spark, sf_dir, "documents"))
