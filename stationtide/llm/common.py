@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationtide.session import scratch_path
@@ -43,3 +45,16 @@ def ids_and_texts(batch, id_column: str = "doc_id", text_column: str = "text", m
             start, n, out = i + 1, 0, []
     if out:
         yield ids.slice(start, len(out)), out
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[list], np.ndarray], text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` for whose texts ``decide`` gives True, all columns as they are; no shuffle and no key is needed.
+    ``decide`` gets lists of whole texts, null as None."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for _, texts in ids_and_texts(batch, text_column, text_column, 1_000_000):
+                yield batch.slice(at, len(texts)).filter(pa.array(np.asarray(decide(texts), bool)))
+                at += len(texts)
+
+    return docs.mapInArrow(run, docs.schema)

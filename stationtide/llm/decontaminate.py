@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stationtide.llm.common import ids_and_texts
+from stationtide.llm.common import ids_and_texts, keep_rows
 
 Q = 10
 #: Edits for each character of a passage.
@@ -240,3 +240,19 @@ def _searcher(index: PassageIndex):
                 ], ["doc_id", "item_id", "edits", "start", "end"])
 
     return run
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark passage, all columns unchanged."""
+    for block in benchmark_blocks(benchmark):
+        docs = keep_rows(docs, _clean(PassageIndex.build(block)))
+    return docs
+
+
+def _clean(index: PassageIndex):
+    def decide(texts: list[str | None]) -> np.ndarray:
+        keep = np.ones(len(texts), bool)
+        keep[[text for text, *_ in index.search(texts)]] = False
+        return keep
+
+    return decide

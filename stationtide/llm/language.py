@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stationtide.llm.common import held_out, ids_and_texts, written
+from stationtide.llm.common import held_out, ids_and_texts, keep_rows, written
 
 #: Longest piece of the vocabulary that is used, in bytes; every single byte is a piece.
 PIECE_BYTES = 16
@@ -268,3 +268,15 @@ def predict_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def keep_recognised(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised with a posterior of ``least`` or more, all columns unchanged; all rows
+    with a letter where nothing was learned."""
+    def decide(texts: list[str | None]) -> np.ndarray:
+        if not model.languages:
+            return np.array([bool(t and LETTER.search(t)) for t in texts])
+        names, scores = model.predict(texts)
+        return (np.array(names) != UNKNOWN) & (scores >= least)
+
+    return keep_rows(docs, decide)

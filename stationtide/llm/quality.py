@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stationtide.llm.common import held_out, ids_and_texts, written
+from stationtide.llm.common import held_out, ids_and_texts, keep_rows, written
 
 #: Bounds of the training sample: rows with the first hashes of their ids.
 TRAIN_POSITIVES = 4000
@@ -173,3 +173,10 @@ def score_documents(docs: DataFrame, net: Network | None) -> DataFrame:
 
     found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The rows of ``docs`` whose text scores THRESHOLD or more, all columns unchanged; all of them without a network."""
+    if net is None:
+        return docs
+    return keep_rows(docs, lambda texts: net.score(np.array([features(t) for t in texts], np.float32)) >= THRESHOLD)

@@ -169,6 +169,18 @@ def _walk_subtries(starts: np.ndarray, perm: np.ndarray, free: int) -> tuple[np.
     return moved, parent[moved]
 
 
+def _groups(marks: DataFrame) -> DataFrame:
+    """``fp``, ``first`` (smallest id of the fingerprint's rows), ``component_id`` and ``lowest`` (smallest fingerprint of the
+    component) of each fingerprint in ``marks`` (doc_id, fp)."""
+    leaves = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "leaves")
+    members = connected_components(trie_links(leaves)).withColumnRenamed("id", "fp")
+    linked = members.join(leaves, "fp")
+    least = linked.groupBy("component").agg(F.min("first").alias("component_id"), F.min("fp").alias("lowest"))
+    named = linked.join(least, "component").select("fp", "component_id", "lowest")
+    return leaves.join(named, "fp", "left").select(
+        "fp", "first", F.coalesce("component_id", "first").alias("component_id"), F.coalesce("lowest", "fp").alias("lowest"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` for each row of ``docs`` (doc_id, text).
 
@@ -178,10 +190,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows share them. An empty table gives an empty result; other columns are not read.
     """
     marks = written(fingerprint_documents(docs), "marks")
-    leaves = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "leaves")
-    members = connected_components(trie_links(leaves)).withColumnRenamed("id", "fp")
-    linked = members.join(leaves, "fp")
-    least = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "component").select("fp", "component_id")
-    groups = leaves.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    groups = _groups(marks).select("fp", "component_id")
     return marks.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component, that of the smallest doc_id, all columns unchanged.
+
+    Where rows repeat that id with the same fingerprint one of them stays; of different ones, and in components without
+    any id, the one with the smallest fingerprint.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for ids, texts in ids_and_texts(batch, max_chars=1_000_000):
+                yield pa.RecordBatch.from_arrays([ids, pa.array(fingerprints(texts).view(np.int64)), batch.column("row").slice(at, len(texts))], ["doc_id", "fp", "row"])
+                at += len(texts)
+
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row.alias("row"))
+    marked = keyed.mapInArrow(run, f"doc_id long, fp long, row {docs.select(row.alias('row')).schema['row'].dataType.simpleString()}")
+    groups = _groups(written(fingerprint_documents(docs), "marks"))
+    chosen = groups.filter(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("lowest", "component_id").agg(F.min("fp").alias("c"))
+    chosen = chosen.select(F.col("component_id").alias("least"), "c")
+    kept = marked.join(chosen, (F.col("fp") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+    return kept.dropDuplicates(["fp", "doc_id"]).select("row.*")
