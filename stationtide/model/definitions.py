@@ -8,9 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.config import DEFAULT_TABLES
-from stationtide.model.literals import bounded_rows, literal_table
+from stationtide.model.literals import literal_table
 
-MAX_DEFINITION_ROWS = 10_000
 # Numbered uncertainty fields and how many kinds there are.
 UNCERTAINTY_KINDS = 17
 NUMBERED_FIELDS = ("uncertainty_type", "uncertainty_units", "uncertainty_value")
@@ -120,8 +119,7 @@ def read_definitions(spark: SparkSession, folder: str, tables=DEFAULT_TABLES) ->
         frame = frame.select(
             "element_name", "kind", F.coalesce("external_table", F.lit("")).alias("external_table")
         )
-        rows = bounded_rows(frame, MAX_DEFINITION_ROWS, f"definition of {name}")
-        definitions.append(patched(TableDefinition(name, tuple((r[0], r[1], r[2]) for r in rows))))
+        definitions.append(patched(TableDefinition(name, tuple((r[0], r[1], r[2]) for r in frame.collect()))))
     return TableGraph.of(definitions)
 
 

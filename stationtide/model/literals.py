@@ -19,11 +19,3 @@ def literal_table(spark: SparkSession, columns: list[tuple[str, pa.DataType]], r
 
 def name_table(spark: SparkSession, column: str, names) -> DataFrame:
     return literal_table(spark, [(column, pa.string())], [(n,) for n in names])
-
-
-def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
-    """Rows of a configuration-sized table; more than ``limit`` rows is an error, not a truncation."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what} has more than {limit} rows, it is not a configuration table")
-    return rows

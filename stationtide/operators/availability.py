@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationtide.functions.names import zero_padded
 from stationtide.functions.times import day_of
-from stationtide.model.literals import bounded_rows
-
-MAX_VARIABLES = 1_000
 
 
 def availability(df: DataFrame, keys=(), time_column: str = "report_timestamp") -> DataFrame:
@@ -22,14 +19,8 @@ def availability(df: DataFrame, keys=(), time_column: str = "report_timestamp")
     ).distinct()
 
 
-def variable_names(rows: DataFrame) -> list[str]:
-    """Distinct variables. They come from a code table, so their number is bounded and checked."""
-    found = bounded_rows(rows.select("variable").distinct(), MAX_VARIABLES, "variable list")
-    return sorted(r.variable for r in found)
-
-
 def wide_availability(rows: DataFrame, variables: list[str], keys=()) -> DataFrame:
-    """One boolean column per variable for each (station, day)."""
+    """One boolean column per declared variable for each (station, day)."""
     group = rows.groupBy(*keys, "station", "day")
     return group.agg(*[F.coalesce(F.bool_or(F.col("variable") == v), F.lit(False)).alias(v) for v in variables])
 

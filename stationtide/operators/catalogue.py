@@ -26,8 +26,12 @@ FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "d
 
 
 def row_hash(columns) -> Column:
-    """64-bit hash of a row; columns go in name order so that column order does not matter."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(columns)])
+    """64-bit hash of a row; columns go in name order so that column order does not matter.
+
+    The hash function skips nulls, so a text with a mark for each column tells where they are.
+    """
+    cells = [F.col(f"`{c}`") for c in sorted(columns)]
+    return F.xxhash64(F.concat(*[F.when(c.isNull(), F.lit("0")).otherwise(F.lit("1")) for c in cells]), *cells)
 
 
 def row_bytes(df: DataFrame, columns) -> Column:

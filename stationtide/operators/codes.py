@@ -20,11 +20,19 @@ def encode_variables(df: DataFrame, codes: DataFrame, column: str = "observed_va
     return joined.withColumn(column, F.coalesce(F.col("_code"), unknown.cast("int"))).drop("_name", "_code")
 
 
+def one_per_code(lookup: DataFrame, code: str, name: str) -> DataFrame:
+    """A lookup that cannot multiply rows: of several names of a code the last in order counts."""
+    return lookup.groupBy(code).agg(F.max(name).alias(name))
+
+
+def repeated_codes(lookup: DataFrame, code: str, name: str) -> DataFrame:
+    """Codes with several different names: where the inverse mapping is not unique."""
+    return lookup.groupBy(code).agg(F.array_sort(F.collect_set(name)).alias("names")).where(F.size("names") > 1)
+
+
 def decode_variables(df: DataFrame, codes: DataFrame, column: str = "observed_variable") -> DataFrame:
     """Integer code -> variable name; unknown codes become null."""
-    lookup = codes.select(
-        F.col("code").cast("int").alias("_code"), underscored(F.col("name"), strip=False).alias("_name")
-    )
+    lookup = one_per_code(codes.select(F.col("code").cast("int").alias("_code"), underscored(F.col("name"), strip=False).alias("_name")), "_code", "_name")
     joined = df.join(lookup, F.col(column).cast("int") == F.col("_code"), "left")
     return joined.withColumn(column, F.col("_name")).drop("_name", "_code")
 
@@ -79,9 +87,7 @@ def integer_unit_columns(df: DataFrame) -> list[str]:
 def decode_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Integer unit codes -> abbreviations; 0 is ``none`` and an unmapped code raises."""
     for i, name in enumerate(integer_unit_columns(df)):
-        lookup = units.select(
-            F.col("code").cast("bigint").alias(f"_c{i}"), F.col("abbreviation").alias(f"_u{i}")
-        )
+        lookup = one_per_code(units.select(F.col("code").cast("bigint").alias(f"_c{i}"), F.col("abbreviation").alias(f"_u{i}")), f"_c{i}", f"_u{i}")
         code = F.col(f"`{name}`")
         unmapped = F.raise_error(F.concat(F.lit(f"unit code not mapped in {name}: "), F.coalesce(code.cast("string"), F.lit("null"))))
         decoded = F.when(code == 0, F.lit("none")).otherwise(F.coalesce(F.col(f"_u{i}"), unmapped.cast("string")))
@@ -92,7 +98,7 @@ def decode_units(df: DataFrame, units: DataFrame) -> DataFrame:
 
 def backfill_units(df: DataFrame, units: DataFrame, column: str = "units") -> DataFrame:
     """Rewrite stored numeric unit codes as names and leave rows that hold names alone."""
-    lookup = units.select(F.col("code").cast("string").alias("_c"), F.col("abbreviation").alias("_u"))
+    lookup = one_per_code(units.select(F.col("code").cast("string").alias("_c"), F.col("abbreviation").alias("_u")), "_c", "_u")
     joined = df.join(lookup, F.col(column) == F.col("_c"), "left")
     is_code = F.col(column).rlike(r"^\d+$")
     missing = F.raise_error(F.concat(F.lit("unit code not mapped: "), F.col(column))).cast("string")

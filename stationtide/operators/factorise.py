@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationtide.session import cut_lineage
 
+#: Equal rounds in a row that end a compression: the order of the columns may change between two of them.
+STEADY = 3
+
 
 def measure(boxes: DataFrame, columns: list[str]) -> tuple[int, list[str]]:
     """Number of boxes, and the columns by ascending number of distinct values (ties by name), in one job."""
@@ -25,22 +28,23 @@ def merge_once(boxes: DataFrame, order: list[str]) -> DataFrame:
     return boxes
 
 
-def compress(rows: DataFrame, columns: list[str] | None = None, max_rounds: int = 20) -> DataFrame:
+def compress(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Boxes (one array per column) whose product is exactly the distinct input.
 
-    Rounds go on until the number of boxes stops falling. A group only ever
-    gathers distinct values of one column, which the calendar, the code table
-    or the station list bounds. Each round ends in a reliable checkpoint.
+    Rounds go on until the number of boxes has been the same ``STEADY`` times in
+    a row; it never grows, so that they end. A group only ever gathers distinct
+    values of one column, which the calendar, the code table or the station list
+    bounds. Each round ends in a reliable checkpoint.
     """
     columns = columns or rows.columns
     distinct = rows.select(*[F.col(f"`{c}`") for c in columns]).distinct()
     boxes = cut_lineage(distinct.select(*[F.array(F.col(f"`{c}`")).alias(c) for c in columns]))
     n_before, order = measure(boxes, columns)
-    for _ in range(max_rounds):
+    steady = 0
+    while steady < STEADY and n_before > 1:
         boxes = cut_lineage(merge_once(boxes, order))
         n_after, order = measure(boxes, columns)
-        if n_after >= n_before:
-            break
+        steady = steady + 1 if n_after >= n_before else 0
         n_before = n_after
     return boxes.select(*columns)
 

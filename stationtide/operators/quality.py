@@ -9,6 +9,7 @@ from stationtide.functions.intervals import within
 from stationtide.functions.names import follows_dataset_convention, is_version, underscored
 from stationtide.model.definitions import TableGraph
 from stationtide.model.literals import literal_table, name_table
+from stationtide.model.mapping import field_sources
 
 # Spark types that each declared kind accepts.
 KIND_TYPES = {
@@ -70,29 +71,13 @@ def field_mapping(df: DataFrame, graph: TableGraph) -> DataFrame:
     return literal_table(
         df.sparkSession,
         [("table", pa.string()), ("field", pa.string()), ("column", pa.string()), ("how", pa.string())],
-        mapped_fields(df.columns, graph),
+        field_sources(df.columns, graph),
     )
 
 
-def mapped_fields(columns: list[str], graph: TableGraph) -> list[tuple[str, str, str, str]]:
-    rows = []
-    for name, definition in graph.items():
-        for field in definition.fields:
-            suffixed = f"{field}|{name}"
-            if suffixed in columns:
-                rows.append((name, field, suffixed, "suffixed"))
-            elif field in columns:
-                rows.append((name, field, field, "found"))
-        for child in graph.children(name):
-            for fk in graph[child].foreign_keys:
-                if fk.parent == name and fk.parent_field != fk.field and fk.field in columns:
-                    rows.append((name, fk.parent_field, fk.field, "foreign"))
-    return rows
-
-
 def primary_key_report(df: DataFrame, graph: TableGraph) -> DataFrame:
     """Per primary key: availability and number of nulls, one aggregate for all keys."""
-    mapping = {(t, f): c for t, f, c, _ in reversed(mapped_fields(df.columns, graph))}
+    mapping = {(t, f): c for t, f, c, _ in reversed(field_sources(df.columns, graph))}
     keys = [(t, k, mapping.get((t, k))) for t, d in graph.items() for k in d.primary_keys]
     nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"k{i}") for i, (_, _, c) in enumerate(keys) if c]
     counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
@@ -114,7 +99,7 @@ def type_report(df: DataFrame, graph: TableGraph) -> DataFrame:
     """Declared kind against actual type of every found field, with the number of values it concerns."""
     types = dict(df.dtypes)
     rows = []
-    for table, field, column, how in mapped_fields(df.columns, graph):
+    for table, field, column, how in field_sources(df.columns, graph):
         if how != "foreign":
             kind = graph[table].kind(field)
             rows.append((table, field, kind, types[column], types[column] in KIND_TYPES[kind], column))

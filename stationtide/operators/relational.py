@@ -2,94 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
-from stationtide.model.definitions import (
-    FIELD_TABLES, HEADER_CONFIGURATION_TABLES, OBSERVATION_CONFIGURATION_TABLES, ONE_TO_ONE_TABLES, TableGraph,
-)
+from pyspark.sql import Column, DataFrame, functions as F
+
+from stationtide.config import ConfigError
+from stationtide.model.definitions import FIELD_TABLES, ONE_TO_ONE_TABLES, TableGraph
+from stationtide.model.mapping import table_columns
 from stationtide.operators.joins import join_tables
 
+FACTS = "observations_table"
+
 
 def normalise(df: DataFrame, graph: TableGraph) -> dict[str, DataFrame]:
-    """Distinct rows per table. Tables without a first key or without data beyond keys are left out."""
-    out = {}
-    for name in graph:
-        frame = normalise_table(df, graph, name)
-        if frame is not None:
-            out[name] = frame
-    return out
+    """Distinct rows of every table that the columns can fill."""
+    filled = {name: normalise_table(df, graph, name) for name in graph}
+    return {name: frame for name, frame in filled.items() if frame is not None}
 
 
 def normalise_table(df: DataFrame, graph: TableGraph, name: str) -> DataFrame | None:
-    definition = graph[name]
-    columns = {c: c for c in df.columns if c in definition.fields}
-    columns |= {c.split("|")[0]: c for c in df.columns if "|" in c and c.split("|")[1] == name}
-    if not columns or set(columns) <= set(definition.primary_keys):
-        return None
-    # A foreign key may only be present under its parent's name, and the other way round.
-    for fk in definition.foreign_keys:
-        if fk.parent_field in df.columns and fk.field not in columns:
-            columns[fk.field] = fk.parent_field
-    for fk in graph.foreign_keys:
-        if fk.parent_field in definition.fields and fk.field in df.columns and fk.parent_field not in columns:
-            columns[fk.parent_field] = fk.field
-    if definition.primary_keys[0] not in columns:
-        return None
-    return df.select(*[F.col(f"`{raw}`").alias(new) for new, raw in columns.items()]).dropDuplicates()
-
-
-def denormalise(tables: dict[str, DataFrame], graph: TableGraph, use=None, ignore_missing: bool = False) -> DataFrame:
-    """Join the tables back into one flat table, following the declared keys."""
-    use = set(use if use is not None else tables)
-    work = dict(tables)
-
-    def joined(child: str, parent: str, definition: str, strict: bool = False) -> DataFrame:
-        keys = [(fk.field, fk.parent_field) for fk in graph[definition].foreign_keys if fk.parent == parent]
-        return join_tables(work[child], work[parent], keys, child, parent, ignore_missing and not strict)
-
-    for base in HEADER_CONFIGURATION_TABLES + OBSERVATION_CONFIGURATION_TABLES:
-        optional = base + "_optional"
-        if optional in use and optional in work:
-            work[base] = joined(optional, base, optional)
-    for name in ONE_TO_ONE_TABLES:
-        if name in use and name in work:
-            work["observations_table"] = joined(name, "observations_table", name, strict=True)
-    for name in OBSERVATION_CONFIGURATION_TABLES:
-        if name in work:
-            work["observations_table"] = joined("observations_table", name, "observations_table")
-    for name in HEADER_CONFIGURATION_TABLES:
-        if name in work:
-            work["header_table"] = joined("header_table", name, "header_table")
-    for name in FIELD_TABLES:
-        if name in work:
-            work["observations_table"] = joined(name, "observations_table", name)
-    return joined("observations_table", "header_table", "observations_table")
+    """Distinct rows of one table, or None if its first key or all of its data is missing."""
+    columns = table_columns(df.columns, graph, name)
+    return df.select(*[F.col(f"`{c}`").alias(f) for f, c in columns.items()]).distinct() if columns else None
+
+
+def denormalise(tables: dict[str, DataFrame], graph: TableGraph, use=None, ignore_missing: bool = False,
+                restrict: dict[str, Column] | None = None) -> DataFrame:
+    """One flat table: a walk over the key graph that starts at the observations.
+
+    A table is complete before it is joined: rows that ``restrict`` excludes are gone and its own parents are joined to it,
+    so that filters on reports or stations act before the observations are reached. Parents follow in the order of the
+    keys, then the tables that extend the observations row by row. ``use`` limits the extensions and the
+    ``<table>_optional`` companions; loaded tables that no key reaches are an error unless ``ignore_missing``.
+    """
+    use, restrict = set(tables if use is None else use), restrict or {}
+    reached: set[str] = set()
+
+    def keys(child: str, parent: str) -> list[tuple[str, str]]:
+        return [(k.field, k.parent_field) for k in graph[child].foreign_keys if k.parent == parent] if child in graph else []
+
+    def complete(name: str) -> DataFrame:
+        reached.add(name)
+        frame = tables[name].where(restrict[name]) if name in restrict else tables[name]
+        companion = f"{name}_optional"
+        if companion in use and companion in tables:
+            reached.add(companion)
+            frame = join_tables(tables[companion], frame, keys(companion, name), companion, name, ignore_missing)
+        for parent in dict.fromkeys(k.parent for k in graph[name].foreign_keys):
+            if parent in tables and parent not in reached:
+                frame = join_tables(frame, complete(parent), keys(name, parent), name, parent, ignore_missing)
+        return frame
+
+    flat = complete(FACTS)
+    for name in (*ONE_TO_ONE_TABLES, *FIELD_TABLES):
+        if name in tables and name not in reached:
+            reached.add(name)
+            if name in FIELD_TABLES or name in use:
+                linked = keys(name, FACTS) or [(p, c) for c, p in keys(FACTS, name)]
+                flat = join_tables(tables[name], flat, linked, name, FACTS)
+    stray = sorted(set(tables) - reached - {n for n in tables if n.endswith("_optional") and n not in use})
+    if stray and not ignore_missing:
+        raise ConfigError(f"no key links {stray} with {FACTS}")
+    return flat
 
 
 def key_integrity(tables: dict[str, DataFrame], graph: TableGraph) -> DataFrame:
-    """Per foreign key between loaded tables: child rows, rows without a key and rows without a parent.
+    """Per link between loaded tables: child rows, rows with a null in the key and rows without a parent.
 
-    Child keys are counted first, so a key shared by many rows is shuffled once.
+    The columns of a link between two tables are one key and are looked up together. Child keys are counted first, so a
+    key shared by many rows is shuffled once.
     """
     reports = []
-    for parent in graph:
-        for child in graph.children(parent):
-            for fk in graph[child].foreign_keys:
-                if fk.parent != parent or child not in tables or parent not in tables:
-                    continue
-                if fk.field not in tables[child].columns or fk.parent_field not in tables[parent].columns:
-                    continue
-                counted = tables[child].groupBy(F.col(fk.field).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-                parents = tables[parent].select(F.col(fk.parent_field).cast("string").alias("k")).distinct()
-                parents = parents.withColumn("known", F.lit(True))
-                reports.append(counted.join(parents, "k", "left").agg(
-                    F.lit(child).alias("child"), F.lit(fk.field).alias("field"),
-                    F.lit(parent).alias("parent"), F.lit(fk.parent_field).alias("parent_field"),
-                    F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                    F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
-                    F.coalesce(F.sum(F.when(F.col("k").isNotNull() & F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("n_orphans"),
-                ))
-    out = reports[0]
-    for report in reports[1:]:
-        out = out.unionByName(report)
-    return out
+    for child, parent in dict.fromkeys((k.table, k.parent) for k in graph.foreign_keys):
+        if child not in tables or parent not in tables or parent not in graph:
+            continue
+        link = [(k.field, k.parent_field) for k in graph[child].foreign_keys if k.parent == parent]
+        link = [(c, p) for c, p in link if c in tables[child].columns and p in tables[parent].columns]
+        if not link:
+            continue
+        key = [f"k{i}" for i in range(len(link))]
+        counted = tables[child].groupBy(*[F.col(c).cast("string").alias(k) for k, (c, _) in zip(key, link)]).agg(F.count(F.lit(1)).alias("n"))
+        parents = tables[parent].select(*[F.col(p).cast("string").alias(k) for k, (_, p) in zip(key, link)]).distinct().withColumn("known", F.lit(True))
+        incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+        reports.append(counted.join(parents, key, "left").agg(
+            F.lit(child).alias("child"), F.lit(",".join(c for c, _ in link)).alias("field"),
+            F.lit(parent).alias("parent"), F.lit(",".join(p for _, p in link)).alias("parent_field"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.sum(F.when(incomplete, F.col("n"))), F.lit(0)).alias("n_null"),
+            F.coalesce(F.sum(F.when(~incomplete & F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("n_orphans"),
+        ))
+    return reduce(DataFrame.unionByName, reports)

@@ -30,10 +30,16 @@ def melt(df: DataFrame, variables, key=()) -> DataFrame:
         return out
     if not key:
         raise ConfigError("melting needs observation_id or a natural key (observation_key)")
-    parts = [F.col(f"`{k}`").cast("string") for k in key] + [F.col("observed_variable")]
+    parts = [_id_part(F.col(f"`{k}`").cast("string")) for k in key] + [F.col("observed_variable")]
     return out.withColumn("observation_id", F.concat_ws("-", *parts))
 
 
+def _id_part(value: Column) -> Column:
+    """Part of an id that can be told apart: null has its own mark, and the separator is escaped."""
+    escaped = F.replace(F.replace(value, F.lit("~"), F.lit("~~")), F.lit("-"), F.lit("~-"))
+    return F.coalesce(escaped, F.lit("~0"))
+
+
 def align_uncertainty(df: DataFrame, uncertainty: dict[str, tuple[AuxColumn, ...]]) -> DataFrame:
     """``uncertainty_value/type/units<code>`` on every row, filled for the described variable."""
     out, used = {}, set()

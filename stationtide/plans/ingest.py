@@ -14,7 +14,7 @@ from stationtide.operators.homogenise import homogenise, missing_mandatory, sele
 from stationtide.operators.quality import assert_period
 from stationtide.operators.reshape import melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles
-from stationtide.session import broadcast_if_small, cut_lineage, spread_small
+from stationtide.session import broadcast_if_small, cut_lineage
 from stationtide.sources.store import (
     append_catalogue, has_catalogue, new_run, read_catalogue, read_listed_tiles, read_tiles, replace_catalogue, stored_sizes, write_parts, write_tiles,
 )
@@ -36,7 +36,7 @@ def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: D
     if done is not None:
         rows = without_periods(rows, done, config.time_tile_size)
     if definition.melt:
-        rows = melt_source(spread_small(rows, definition.observation_key[0]) if definition.observation_key else rows, definition)
+        rows = melt_source(rows, definition)
     if period is not None:
         rows = assert_period(rows, *period)
     if "units" not in rows.columns:
@@ -73,34 +73,58 @@ def stored_batches(catalogue: DataFrame, config: DatasetConfig, source: str, ver
 
 
 def ingest(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: str, version: str, root: str,
-           graph=None, units: DataFrame | None = None) -> DataFrame:
-    """Write the missing batches of ``raw`` and return their catalogue entries.
-
-    A batch is a whole period, or a single tile where the source is read by
-    space; one catalogue entry marks it as done. The catalogue is written last
-    and is the commit point. Its rows are computed from the stored tiles, so
-    they describe exactly what can be read back.
+           graph=None, units: DataFrame | None = None, complete_batches: bool = False) -> DataFrame:
+    """Write what the store lacks of ``raw`` and return the new catalogue entries, none for an empty batch.
+
+    Periods (tiles, where the source is read by space) without an entry are written whole. In the others the tiles with
+    fewer stored than incoming rows get the rows whose observation id is not stored yet, so that data which arrives late
+    or in parts is not lost. ``complete_batches`` declares that a stored batch was read whole, and skips it unread. The
+    catalogue is written last and is the commit point. Its rows are computed from the stored tiles, so they describe
+    exactly what can be read back.
     """
     existing = read_catalogue(spark, root) if has_catalogue(spark, root) else None
-    stored = stored_batches(existing, config, source, version) if existing is not None else None
-    by_period = stored.select("time_start").distinct() if stored is not None and not config.read_by_space else None
-    if by_period is not None and without_periods(homogenise(raw, config.sources[source], config.space), by_period, config.time_tile_size).isEmpty():
-        return existing.where("false")
-    pending = tiled_observations(raw, config, source, version, graph, units, done=by_period)
-    if stored is not None and config.read_by_space:
-        pending = pending.join(broadcast_if_small(stored), TILE_KEYS, "left_anti")
-        if pending.isEmpty():
-            return existing.where("false")
+    if existing is None:
+        pending = tiled_observations(raw, config, source, version, graph, units)
+    else:
+        stored = stored_batches(existing, config, source, version)
+        by_period = None if config.read_by_space else stored.select("time_start").distinct()
+        new = tiled_observations(raw, config, source, version, graph, units, done=by_period)
+        if config.read_by_space:
+            new = new.join(broadcast_if_small(stored), TILE_KEYS, "left_anti")
+        late = None if complete_batches else late_rows(spark, tiled_observations(raw, config, source, version, graph, units), existing, config, source, version, root)
+        pending = new if late is None else new.unionByName(late)
+    if pending.isEmpty():
+        return existing.where("false") if existing is not None else build_catalogue(tile_parts(pending, by_day=True), config.time_tile_size)
     run = new_run()
     identity = {"dataset": config.name, "version": version, "dataset_source": source}
     write_tiles(pending, root, run, identity, config.space_of(source))
     return commit_run(spark, root, run, config.time_tile_size, list(config.sources[source].main_variables))
 
 
+def late_rows(spark: SparkSession, tiled: DataFrame, existing: DataFrame, config: DatasetConfig, source: str, version: str,
+              root: str) -> DataFrame | None:
+    """Rows of stored tiles that are not stored themselves, or None if no stored tile has fewer rows than came in.
+
+    Tiles are compared by their row counts; only those that differ are read, and only their ids.
+    """
+    own = existing.where((F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source))
+    keys = own.select(F.col("time_coverage_start").cast("date").alias("time_start"), F.col("latitude_coverage_start").cast("int").alias("lat_start"),
+                          F.col("longitude_coverage_start").cast("int").alias("lon_start"), "run", "n_obs")
+    held = keys.groupBy(*TILE_KEYS).agg(F.sum("n_obs").alias("held"))
+    came = tiled.groupBy(*TILE_KEYS).agg(F.count(F.lit(1)).alias("came"))
+    short = cut_lineage(came.join(held, TILE_KEYS).where("came > held").select(*TILE_KEYS))
+    if short.isEmpty():
+        return None
+    runs = [r.run for r in keys.join(short, TILE_KEYS, "left_semi").select("run").distinct().collect()]
+    chosen = broadcast_if_small(short)
+    ids = read_listed_tiles(spark, root, runs).where(F.col("dataset") == config.name).where(
+        (F.col("version") == version) & (F.col("dataset_source") == source)).join(chosen, TILE_KEYS, "left_semi").select("observation_id")
+    return tiled.join(chosen, TILE_KEYS, "left_semi").join(ids, "observation_id", "left_anti")
+
+
 def commit_run(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None) -> DataFrame:
     """List the tiles of a run: parts first, catalogue last."""
-    written = read_tiles(spark, root).where(F.col("run") == run).drop("run")
-    parts = write_parts(tile_parts(written, by_day=True), root, run)
+    parts = write_parts(tile_parts(read_tiles(spark, root, [run]).drop("run"), by_day=True), root, run)
     entries = build_catalogue(parts, time_size, declared_variables=declared_variables)
     append_catalogue(with_file_size(entries, stored_sizes(spark, root, run)).withColumn("run", F.lit(run)), root)
     return read_catalogue(spark, root).where(F.col("run") == run)
@@ -184,7 +208,7 @@ def backfill_stored_units(spark: SparkSession, root: str, units: DataFrame, time
     rows = tiles.join(broadcast_if_small(stale), stale.columns, "left_semi").drop("run")
     run = new_run()
     write_tiles(backfill_units(rows, units), root, run)
-    parts = write_parts(tile_parts(read_tiles(spark, root).where(F.col("run") == run).drop("run"), by_day=True), root, run)
+    parts = write_parts(tile_parts(read_tiles(spark, root, [run]).drop("run"), by_day=True), root, run)
     fresh = with_file_size(build_catalogue(parts, time_size), stored_sizes(spark, root, run)).withColumn("run", F.lit(run))
     old = stale.select(
         "run", *IDENTITY, F.col("time_start").cast("timestamp_ntz").alias("time_coverage_start"),

@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationtide.functions.intervals import (
     LATITUDE_LIMIT, LONGITUDE_LIMIT, coordinate_within, overlaps, tile_may_hold, within,
@@ -15,6 +15,7 @@ from stationtide.functions.names import VERSION_PATTERN
 from stationtide.functions.times import ts
 from stationtide.model.lite import lite_columns
 from stationtide.session import broadcast_if_small
+from stationtide.sources.store import read_catalogue, read_tiles, run_names
 from stationtide.operators.catalogue import holds_any_month, in_catalogue_order, last_versions, shares_element
 
 FORMATS = {"netCDF": "parquet", "parquet": "parquet", "csv": "csv"}
@@ -180,6 +181,19 @@ def retrieve_from_store(tiles: DataFrame, catalogue: DataFrame, versions: DataFr
     return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in offered])
 
 
+def retrieve_stored(spark: SparkSession, root: str, versions: DataFrame, dataset: str, request: Request, time_size: str,
+                    disabled=()) -> DataFrame:
+    """Retrieve from a store by its own catalogue: entries first, then only the folders of the runs they name.
+
+    No matching entry raises :class:`NoDataFound`.
+    """
+    catalogue = read_catalogue(spark, root)
+    version = request.version if request.version != "last" else resolve_version(versions, dataset)
+    entries = require_entries(catalogue.where(request.entry_condition(dataset) & (F.col("version") == version)))
+    tiles = read_tiles(spark, root, run_names(entries))
+    return retrieve_from_store(tiles, catalogue, versions, dataset, request, time_size, disabled)
+
+
 def write_result(rows: DataFrame, request: Request, path: str) -> None:
     writer = rows.write.mode("overwrite")
     if FORMATS[request.format] == "csv":

@@ -58,29 +58,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Input below this many bytes per core is read by too few tasks to keep the cores busy.
-SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes behind the leaves of the plan, by Spark's own estimate (files, local relations)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Give a small input one partition per core before row-multiplying work.
-
-    A few megabytes often sit in one row group and would be read, and then
-    melted, by a single task. The shuffle is cheap because the size is checked;
-    input above the bound already has enough splits and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if input_bytes(df) >= cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, F.col(f"`{key}`"))
-
-
 # Fixed rows of a few short columns: this many take some tens of megabytes at most.
 BROADCAST_ROWS = 200_000
 

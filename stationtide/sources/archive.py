@@ -10,10 +10,11 @@ from stationtide.operators.archive import (
     apply_displacement, batch_stations, read_columns, reports_in_batch, without_repeated,
 )
 from stationtide.operators.dedupe import first_per_key
-from stationtide.operators.joins import align_by_position
+from stationtide.operators.joins import align_by_position, assert_same_length, join_tables
 from stationtide.operators.relational import denormalise
 
-# Fields of a station index entry, in file order.
+# Tables without a key of their own and the name they have for an observation's id, and the fields of a station index entry in file order.
+KEYLESS = {"era5fb_table": "obs_id", "advanced_homogenisation": "observation_id", "advanced_uncertainty": "observation_id"}
 INDEX_FIELDS = ("record_start", "record_end", "latitude", "longitude", "country", "file_path")
 
 
@@ -45,12 +46,36 @@ def decode_times(df: DataFrame, columns=("record_timestamp", "report_timestamp",
     return df.withColumns({c: from_seconds(F.col(c).cast("bigint")) for c in numeric}) if numeric else df
 
 
+def cleaned(name: str, frame: DataFrame) -> DataFrame:
+    return without_repeated(read_columns(frame), name)
+
+
+def attach_keyless(tables: dict[str, DataFrame], position: list[str]) -> dict[str, DataFrame]:
+    """Columns of the keyless tables on the observations at the same source positions, in one join for each table.
+
+    Only the observations that are left are aligned, and no table is joined with itself.
+    """
+    out = dict(tables)
+    observations = cleaned("observations_table", out["observations_table"])
+    for name in KEYLESS:
+        if name in out:
+            extra = with_uncertainty(cleaned(name, out.pop(name))) if name == "advanced_uncertainty" else cleaned(name, out.pop(name))
+            observations = join_tables(extra, observations, [(p, p) for p in position], name, "observations_table")
+            if name == "advanced_uncertainty" and "units" in observations.columns:
+                observations = observations.withColumn("uncertainty_units1", F.col("units"))
+    return out | {"observations_table": observations}
+
+
+def with_uncertainty(frame: DataFrame) -> DataFrame:
+    return frame.withColumnsRenamed({"desroziers_30": "uncertainty_value1"}).withColumn("uncertainty_type1", F.lit(1))
+
+
 def prepare_tables(tables: dict[str, DataFrame], position: list[str]) -> dict[str, DataFrame]:
     """Table-specific cleaning before the tables are joined.
 
-    Keyless tables get the observation id of the row at the same source position.
+    Keyless tables that are still apart get the observation id of the row at the same source position.
     """
-    out = {name: without_repeated(read_columns(frame), name) for name, frame in tables.items()}
+    out = {name: cleaned(name, frame) for name, frame in tables.items()}
     observations = out["observations_table"]
     if {"latd", "lond", "timed"} <= set(observations.columns):
         observations = apply_displacement(observations)
@@ -59,25 +84,24 @@ def prepare_tables(tables: dict[str, DataFrame], position: list[str]) -> dict[st
         out["station_configuration"] = first_per_key(
             stations, ["primary_id", "record_number"], [c for c in stations.columns if c not in ("primary_id", "record_number")]
         )
-    for name, id_name in (("era5fb_table", "obs_id"), ("advanced_homogenisation", "observation_id"), ("advanced_uncertainty", "observation_id")):
+    for name in KEYLESS:
         if name not in out:
             continue
-        ids = observations.select(*position, F.col("observation_id").alias(id_name), *(
+        ids = observations.select(*position, F.col("observation_id").alias(KEYLESS[name]), *(
             [F.col("units").alias("uncertainty_units1")] if name == "advanced_uncertainty" and "units" in observations.columns else []))
         aligned = align_by_position(ids, out[name], position).drop(*position)
-        if name == "advanced_uncertainty":
-            aligned = aligned.withColumnsRenamed({"desroziers_30": "uncertainty_value1"}).withColumn("uncertainty_type1", F.lit(1))
-        out[name] = aligned
+        out[name] = with_uncertainty(aligned) if name == "advanced_uncertainty" else aligned
     out["observations_table"] = observations.drop(*position)
     return out
 
 
 def read_archive(tables: dict[str, DataFrame], graph: TableGraph, start, end, box, position: list[str] = (),
-                 stations: DataFrame | None = None) -> DataFrame:
+                 stations: DataFrame | None = None, check: bool = True) -> DataFrame:
     """Flat rows of one period and box, all stations in one plan.
 
-    Stations are pruned by the index, reports by time and box; observations
-    follow through the joins, so both filters reach the scans.
+    Stations are pruned by the index, reports by time and box; both filters reach the header scan. Observations are cut
+    to the selected reports before anything is aligned or joined with them. ``check`` compares the lengths of tables that
+    are aligned by position, which reads no column.
     """
     work = dict(tables)
     header = reports_in_batch(work["header_table"], start, end, box)
@@ -85,4 +109,12 @@ def read_archive(tables: dict[str, DataFrame], graph: TableGraph, start, end, bo
         wanted = batch_stations(stations, start, end, box).select("primary_station_id")
         header = header.join(wanted, "primary_station_id", "left_semi")
     work["header_table"] = header
-    return denormalise(prepare_tables(work, list(position)), graph)
+    observations = work["observations_table"]
+    for name in KEYLESS if check else ():
+        if name in work:
+            assert_same_length(observations, work[name])
+    link = next((k for k in graph["observations_table"].foreign_keys if k.parent == "header_table"), None)
+    if link is not None and link.field in observations.columns:
+        reports = header.select(F.col(link.parent_field).alias(link.field))
+        work["observations_table"] = observations.join(reports, link.field, "left_semi")
+    return denormalise(prepare_tables(attach_keyless(work, list(position)), list(position)), graph)

@@ -3,6 +3,7 @@
 Layout below the root::
 
     tiles/run=<run>/dataset=/version=/dataset_source=/time_start=/lat_start=/lon_start=/*.parquet
+    schemas/run=<run>/*.parquet    the columns of the run's tiles
     parts/run=<run>/*.parquet      availability and catalogue parts of the run's tiles
     catalogue/*.parquet            one row per listed tile, naming its run
 
@@ -12,12 +13,14 @@ its repetition is a new run. Nothing is overwritten while others may read it.
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from stationtide.config import SpaceColumns
+from stationtide.config import ConfigError, SpaceColumns
 from stationtide.operators.catalogue import IDENTITY
 from stationtide.operators.tiling import TILE_KEYS, cluster_by_tile
 from stationtide.session import broadcast_if_small, cut_lineage
@@ -49,17 +52,43 @@ def write_tiles(tiled: DataFrame, root: str, run: str, constants: dict[str, str]
         ordered.write.mode("overwrite").option("compression", compression)
         .option("maxRecordsPerFile", max_rows_per_file).partitionBy(*keys).parquet(folder)
     )
+    columns = T.StructType([f for f in tiled.schema.fields if f.name not in LAYOUT])
+    tiled.sparkSession.range(1).select(F.lit(columns.json()).alias("schema")).coalesce(1).write.mode("overwrite").parquet(f"{root}/schemas/run={run}")
 
 
-def read_tiles(spark: SparkSession, root: str) -> DataFrame:
-    """All stored tiles with typed keys; predicates on the keys and on ``run`` prune directories."""
-    text = ["run", *IDENTITY]
-    df = spark.read.parquet(f"{root}/tiles")
-    if any(df.schema[c].dataType.typeName() != "string" for c in text):
-        # Identity values that look like numbers must come back as they were written.
-        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in text else f for f in df.schema])
-        df = spark.read.schema(schema).parquet(f"{root}/tiles")
-    return _typed(df)
+# Types of the partition columns; identity values that look like numbers come back as they were written.
+KEY_TYPES = {"time_start": T.DateType(), "lat_start": T.IntegerType(), "lon_start": T.IntegerType()}
+
+
+def run_schemas(spark: SparkSession, root: str, runs: list[str] | None = None) -> dict[str, list[str]]:
+    """Schema of the tiles -> runs that have it. There are as many schemas as sources with unlike columns."""
+    stored = spark.read.schema("schema string, run string").parquet(f"{root}/schemas")
+    if runs is not None:
+        stored = stored.where(F.col("run").isin(runs))
+    found: dict[str, list[str]] = {}
+    for row in stored.collect():
+        found.setdefault(row.schema, []).append(row.run)
+    return {schema: sorted(names) for schema, names in sorted(found.items())}
+
+
+def read_tiles(spark: SparkSession, root: str, runs: list[str] | None = None) -> DataFrame:
+    """Stored tiles with typed keys, of the named runs only or of all; predicates on the keys prune directories.
+
+    Runs with the same columns are one scan of their own folders. Columns that only some runs have are null for the others;
+    a column with unlike types is an error. No file is opened to find the columns.
+    """
+    keys = T.StructType([T.StructField("run", T.StringType())] + [T.StructField(k, KEY_TYPES.get(k, T.StringType())) for k in LAYOUT])
+    scans, types = [], {}
+    for schema, names in run_schemas(spark, root, runs).items():
+        columns = T.StructType.fromJson(json.loads(schema))
+        for f in columns.fields:
+            if types.setdefault(f.name, f.dataType) != f.dataType:
+                raise ConfigError(f"column {f.name} is stored as {types[f.name].simpleString()} and as {f.dataType.simpleString()}")
+        reader = spark.read.schema(T.StructType(columns.fields + keys.fields)).option("basePath", f"{root}/tiles")
+        scans.append(reader.parquet(*[f"{root}/tiles/run={r}" for r in names]))
+    if not scans:
+        return spark.createDataFrame([], keys)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def listed_keys(catalogue: DataFrame) -> DataFrame:
@@ -71,20 +100,25 @@ def listed_keys(catalogue: DataFrame) -> DataFrame:
     )
 
 
-def read_listed_tiles(spark: SparkSession, root: str) -> DataFrame:
-    """Tiles that the catalogue lists.
+def read_listed_tiles(spark: SparkSession, root: str, runs: list[str] | None = None) -> DataFrame:
+    """Tiles that the catalogue lists, of all runs or of the named ones.
 
-    Whole runs are selected by their few names, and the exceptions (tiles that
-    were deleted or rewritten since) are taken out. Both lists are counted
-    before they are broadcast, so reading all tiles needs no shuffle.
+    Only the folders of listed runs are opened, and the exceptions (tiles that
+    were deleted or rewritten since) are taken out. That list is counted
+    before it is broadcast, so reading all tiles needs no shuffle.
     """
     listed = listed_keys(read_catalogue(spark, root))
     written = _parts(spark, root).select("run", *LAYOUT).distinct()
     removed = written.join(listed, listed.columns, "left_anti")
-    tiles = read_tiles(spark, root).join(broadcast_if_small(listed.select("run").distinct()), "run", "left_semi")
+    tiles = read_tiles(spark, root, run_names(listed) if runs is None else runs)
     return tiles.join(broadcast_if_small(removed), removed.columns, "left_anti")
 
 
+def run_names(entries: DataFrame) -> list[str]:
+    """Runs that catalogue rows name: as many as there were ingestions."""
+    return sorted(r.run for r in entries.select("run").distinct().collect())
+
+
 def _typed(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "time_start": F.col("time_start").cast("date"),
@@ -115,9 +149,9 @@ def write_parts(parts: DataFrame, root: str, run: str) -> DataFrame:
     return parts.sparkSession.read.schema(parts.schema).parquet(path)
 
 
-def read_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Availability parts of the listed tiles."""
-    listed = listed_keys(read_catalogue(spark, root))
+def read_parts(spark: SparkSession, root: str, entries: DataFrame | None = None) -> DataFrame:
+    """Availability parts of the listed tiles, or of the given entries."""
+    listed = listed_keys(read_catalogue(spark, root) if entries is None else entries)
     return _parts(spark, root).join(listed, listed.columns, "left_semi").drop("run")
 
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationtide.operators.joins import join_header_and_data
-from stationtide.plans.ingest import dry_run, ingest, observations_of
+from stationtide.operators.tiling import assign_tiles
+from stationtide.plans.ingest import commit_run, dry_run, ingest, observations_of
+from stationtide.plans.retrieve import Request, retrieve_stored
 from stationtide.session import scratch_path
 from stationtide.sources.registry import read_source
-from stationtide.sources.store import read_catalogue, read_listed_tiles
+from stationtide.sources.store import new_run, read_catalogue, read_listed_tiles, write_tiles
 from stationtide.streaming.incremental import open_file_stream, read_stream_catalogue, read_stream_tiles, stream_tiles
 from stationtide.functions.times import ts
 from stationtide.suite.registry import query
-from stationtide.suite.views import REPORTS, placed_reports, raw_report_tables, table
+from stationtide.suite.views import REPORTS, placed_reports, raw_report_tables, table, versions_of
 
 _SOURCE = "ship_and_land"
 
@@ -109,3 +111,49 @@ def q_stream_rows(spark, folder):
     stream_tiles(raw, REPORTS, _SOURCE, "1.0.0", root, with_header).awaitTermination()
     return read_stream_tiles(spark, root).groupBy("observed_variable").agg(
         F.count(F.lit(1)).alias("n_rows"), F.max("observation_value").alias("max_value"))
+
+
+_TILE_COUNTS = f"""SELECT asset, sum(n_obs) AS n_obs FROM ({_TILES}) GROUP BY 1"""
+
+
+@query(_TILE_COUNTS)
+def q_late_rows_ingest(spark, folder):
+    """Three ingestions: nothing, half of a year, everything. The second leaves a period half stored; no row is lost."""
+    root = scratch_path(spark, "late")
+    raw = _raw(spark, folder)
+    for part in (raw.where("false"), raw.where(F.col("obs_date") < ts("1997-07-01")), raw):
+        ingest(spark, part, REPORTS, _SOURCE, "1.0.0", root)
+    return read_catalogue(spark, root).groupBy("asset").agg(F.sum("n_obs").alias("n_obs"))
+
+
+@query(f"""SELECT observed_variable, count(*) AS n_rows, count(DISTINCT observation_id) AS n_ids, sum(observation_value) AS total FROM ({_LONG}) GROUP BY 1""")
+def q_late_rows_read(spark, folder):
+    """The stored rows after a period came in two parts and then once more."""
+    root = scratch_path(spark, "late")
+    raw = _raw(spark, folder)
+    for part in (raw.where(F.col("obs_date") < ts("1997-07-01")), raw.where(F.col("obs_date") >= ts("1997-06-01")), raw):
+        ingest(spark, part, REPORTS, _SOURCE, "1.0.0", root)
+    return read_listed_tiles(spark, root).groupBy("observed_variable").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("observation_id").alias("n_ids"), F.sum("observation_value").alias("total"))
+
+
+@query("""SELECT o_orderstatus AS dataset_source, count(*) AS n_rows, count(CASE WHEN o_orderstatus = 'O' THEN nullif(o_orderkey % 3, 0) END) AS n_flags,
+             count(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS n_uncertainties
+          FROM placed p JOIN orders o ON o.o_orderkey = p.report_id WHERE o_orderstatus IN ('O', 'F') GROUP BY 1""")
+def q_unlike_sources(spark, folder):
+    """Two sources with different columns in one store: each comes back with all of its own."""
+    root = scratch_path(spark, "unlike")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
+        F.col("o_orderkey").alias("report_id"), F.nullif(F.col("o_orderkey") % 3, F.lit(0)).cast("smallint").alias("quality_flag"),
+        F.col("o_totalprice").alias("uncertainty_value5"), F.col("o_orderstatus").alias("dataset_source"))
+    rows = placed_reports(spark, folder).drop("station_key", "station_record_number", "dataset_source").join(orders, "report_id")
+    rows = rows.withColumns({"dataset": F.lit("orders"), "version": F.lit("1.0.0")})
+    for source, absent in (("O", "uncertainty_value5"), ("F", "quality_flag")):
+        run = new_run()
+        write_tiles(assign_tiles(rows.where(F.col("dataset_source") == source).drop(absent), 90, 180, "year"), root, run)
+        commit_run(spark, root, run, "year")
+    versions = versions_of(read_catalogue(spark, root))
+    found = [retrieve_stored(spark, root, versions, "orders", Request(dataset_source=s), "year").withColumn("dataset_source", F.lit(s)) for s in ("O", "F")]
+    both = found[0].unionByName(found[1], allowMissingColumns=True)
+    return both.groupBy("dataset_source").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("quality_flag").alias("n_flags"), F.count("uncertainty_value5").alias("n_uncertainties"))

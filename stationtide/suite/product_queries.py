@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from stationtide.operators.availability import (
     availability, constraint_size, constraint_table, decode_constraints, encode_constraints, flat_constraints, from_parts,
-    merge_constraints, narrow_availability, variable_names, wide_availability,
+    merge_constraints, narrow_availability, wide_availability,
 )
 from stationtide.operators.factorise import compress, expand, request_set
 from stationtide.operators.tiling import assign_tiles
 from stationtide.plans.ingest import commit_run
 from stationtide.plans.products import compressed_constraints, described_variables, form_choices, station_summary, statistics
-from stationtide.plans.retrieve import Request, request_entries, retrieve_from_store, retrieve_rows
+from stationtide.plans.retrieve import Request, request_entries, retrieve_rows, retrieve_stored
 from stationtide.session import cut_lineage, scratch_path
-from stationtide.sources.store import new_run, read_catalogue, read_parts, read_tiles, write_tiles
+from stationtide.sources.store import new_run, read_catalogue, read_parts, write_tiles
 from stationtide.suite.registry import query
 from stationtide.suite.views import EVENTS, VARIABLES, catalogue, hdr, obs, placed_reports, station, stored_catalogue, versions_of
 
@@ -33,7 +33,7 @@ def q_availability(spark, folder):
             bool_or(observed_variable = 'signup') AS signup, bool_or(observed_variable = 'view') AS view FROM obs GROUP BY ALL""")
 def q_constraints_wide(spark, folder):
     rows = availability(obs(spark, folder))
-    wide = wide_availability(rows, variable_names(rows))
+    wide = wide_availability(rows, sorted(VARIABLES))
     return wide.select("station", _day("day"), *sorted(VARIABLES))
 
 
@@ -200,7 +200,7 @@ def q_retrieve_via_catalogue(spark, folder):
     versions = versions_of(entries)
     request = Request(dataset_source="O", latitude_coverage=(-45.0, 30.0), longitude_coverage=(10.0, 180.0),
                       time_coverage=("1996-02-10", "1998-03-05"), variables=("1-URGENT", "2-HIGH"))
-    return retrieve_from_store(read_tiles(spark, root), entries, versions, "orders", request, "year")
+    return retrieve_stored(spark, root, versions, "orders", request, "year")
 
 
 @query("""SELECT DISTINCT dataset_source, '1.0.0' AS version, observed_variable AS variables, strftime(report_timestamp, '%Y') AS year,

@@ -109,23 +109,23 @@ def q_legal_fields(spark, folder):
     return legal_field_report(_header_columns(spark, folder), default_graph())
 
 
-@query("""SELECT 'header_table' AS child, 'primary_station_id' AS field, 'station_configuration' AS parent, 'primary_id' AS parent_field,
-            count(*) AS n_rows, CAST(0 AS BIGINT) AS n_null, count(*) FILTER (WHERE s.c_custkey IS NULL) AS n_orphans
-          FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 7 <> 0) s ON o.o_custkey = s.c_custkey
-          UNION ALL
-          SELECT 'header_table', 'station_record_number', 'station_configuration', 'record_number', count(*), 0, 0 FROM orders
+@query("""SELECT 'header_table' AS child, 'primary_station_id,station_record_number' AS field, 'station_configuration' AS parent,
+            'primary_id,record_number' AS parent_field, count(*) AS n_rows, count(*) FILTER (WHERE o.o_orderkey % 11 = 0) AS n_null,
+            count(*) FILTER (WHERE o.o_orderkey % 11 <> 0 AND s.c_custkey IS NULL) AS n_orphans
+          FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 7 <> 0) s ON o.o_custkey = s.c_custkey AND o.o_orderkey % 3 <> 1
           UNION ALL
           SELECT 'observations_table', 'report_id', 'header_table', 'report_id', count(*), 0,
             count(*) FILTER (WHERE o.o_orderkey IS NULL)
           FROM lineitem l LEFT JOIN (SELECT * FROM orders WHERE o_totalprice >= 50000) o ON l.l_orderkey = o.o_orderkey""")
 def q_fk_children(spark, folder):
-    # The parents lack some rows on purpose, so that orphans exist.
+    # The parents lack some rows on purpose; a part of the reports has half of its key right, another a null in it.
     stations = station(spark, folder)
     parents = stations.where(F.col("station_key") % 7 != 0).select(
         F.col("primary_station_id").alias("primary_id"), "record_number", "station_name")
     headers = hdr(spark, folder).join(stations.select("station_key", "primary_station_id"), "station_key")
     links = {
-        "header_table": headers.select("report_id", "primary_station_id", "station_record_number"),
+        "header_table": headers.select("report_id", "primary_station_id", F.when(F.col("report_id") % 11 != 0, F.when(
+            F.col("report_id") % 3 == 1, 2).otherwise(F.col("station_record_number"))).alias("station_record_number")),
         "station_configuration": parents,
     }
     reports = {"header_table": hdr(spark, folder).where(F.col("observation_value") >= 50000).select("report_id"),

@@ -96,7 +96,7 @@ def q_suffix_collision(spark, folder):
 @query("""SELECT observation_id, observation_value, observation_value * 0.5 AS departure FROM obs""")
 def q_positional_align(spark, folder):
     """The feedback table has no key; both tables carry the row's position in their source file."""
-    position = [F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.row_index").alias("source_row")]
+    position = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row")]
     events = spark.read.parquet(f"{folder}/events.parquet")
     observations = events.select(*position, F.col("event_id").alias("observation_id"), F.col("value").alias("observation_value"))
     feedback = events.select(*position, (F.col("value") * 0.5).alias("departure"))
@@ -128,9 +128,10 @@ def q_ship_station_filter(spark, folder):
 
 def _archive_tables(spark, folder):
     """Archive-like tables: observations by position, reports, stations with repeated records, feedback."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("*", F.col("_metadata.row_index").alias("row"))
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     observations = lines.select(
-        "row", F.col("row").alias("observation_id"), F.col("l_orderkey").alias("report_id"),
+        "file", "row", F.concat_ws("#", "file", "row").alias("observation_id"), F.col("l_orderkey").alias("report_id"),
         F.col("l_linenumber").alias("observed_variable"), F.col("l_extendedprice").alias("observation_value"),
         F.lit("x").alias("expver"))
     headers = placed_reports(spark, folder).select(
@@ -138,7 +139,7 @@ def _archive_tables(spark, folder):
         F.lit("old name").alias("station_name"))
     stations = station(spark, folder).select(
         F.col("primary_station_id").alias("primary_id"), "record_number", "station_name", "latitude", "longitude")
-    feedback = lines.select("row", (F.col("l_tax") * 2).alias("fg_depar@body"), F.lit(0).alias("stream"))
+    feedback = lines.select("file", "row", (F.col("l_tax") * 2).alias("fg_depar@body"), F.lit(0).alias("stream"))
     return {"observations_table": observations, "header_table": headers,
             "station_configuration": stations.unionByName(stations), "era5fb_table": feedback}
 
@@ -156,7 +157,7 @@ def _archive_graph():
           WHERE p.report_timestamp >= TIMESTAMP '1996-01-01' AND p.report_timestamp < TIMESTAMP '1996-07-01'
             AND p.longitude >= -100 AND p.longitude < 100 AND p.latitude >= -60 AND p.latitude < 60""")
 def q_archive_denormalise(spark, folder):
-    flat = read_archive(_archive_tables(spark, folder), _archive_graph(), ts("1996-01-01"), ts("1996-07-01"), (-100, 100, -60, 60), ["row"])
+    flat = read_archive(_archive_tables(spark, folder), _archive_graph(), ts("1996-01-01"), ts("1996-07-01"), (-100, 100, -60, 60), ["file", "row"])
     return flat.select("report_id", "observed_variable", "observation_value", F.col("`fg_depar@body`").alias("departure"), "station_name")
 
 

@@ -157,3 +157,34 @@ def test_configuration_from_dict_is_checked():
         dataset_from_dict(raw)
     with pytest.raises(ConfigError, match="tile size 7"):
         DatasetConfig(name="x", sources={}, lat_tile_size=7)
+
+
+def test_observation_ids_tell_keys_apart(frame):
+    from stationtide.operators.reshape import melt
+
+    rows = frame([(1, None, "2", 0.0), (1, "2", None, 0.0), (1, "2-v", "x", 0.0), (1, "2", "v-x", 0.0), (1, "~0", "~", 0.0), (1, None, "~", 0.0)],
+                 "a int, b string, c string, v double")
+    ids = [r.observation_id for r in melt(rows, ["v"], ["a", "b", "c"]).collect()]
+    assert len(set(ids)) == 6 and all(i is not None for i in ids)
+
+
+def test_repeated_codes_do_not_multiply_rows(frame):
+    from stationtide.operators.codes import backfill_units, decode_units, decode_variables, repeated_codes
+
+    codes = frame([(1, "a"), (1, "b"), (2, "c")], "code int, name string")
+    rows = frame([(1, 7), (2, 7), (3, 0)], "observed_variable int, units int")
+    assert sorted(map(str, (r.observed_variable for r in decode_variables(rows, codes).collect()))) == ["None", "b", "c"]
+    units = frame([(7, "K"), (7, "k")], "code int, abbreviation string")
+    assert sorted(r.units for r in decode_units(rows, units).collect()) == ["k", "k", "none"]
+    assert backfill_units(frame([("7",), ("m",)], "units string"), units).count() == 2
+    assert [(r.code, r.names) for r in repeated_codes(codes, "code", "name").collect()] == [(1, ["a", "b"])]
+
+
+def test_half_of_a_composite_key_is_an_orphan(frame):
+    from stationtide.model.definitions import default_graph
+    from stationtide.operators.relational import key_integrity
+
+    tables = {"header_table": frame([("s1", 2), ("s1", 1), ("s2", None)], "primary_station_id string, station_record_number int"),
+              "station_configuration": frame([("s1", 1), ("s2", 2)], "primary_id string, record_number int")}
+    row = key_integrity(tables, default_graph()).first()
+    assert (row.n_rows, row.n_null, row.n_orphans) == (3, 1, 1) and row.field == "primary_station_id,station_record_number"

@@ -3,12 +3,12 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from stationtide.config import DatasetConfig, Description, SourceConfig, SpaceColumns
+from stationtide.config import ConfigError, DatasetConfig, Description, SourceConfig, SpaceColumns
 from stationtide.operators.catalogue import tile_parts, build_catalogue
 from stationtide.operators.tiling import assign_tiles, declared_batches, space_batches
 from stationtide.plans.ingest import IngestError, backfill_stored_units, ingest, save_tiles, tiled_observations
 from stationtide.plans.products import form_choices, statistics
-from stationtide.plans.retrieve import NoDataFound, Request, request_entries, require_entries, resolve_version, retrieve_from_store, retrieve_rows, write_result
+from stationtide.plans.retrieve import NoDataFound, Request, request_entries, require_entries, resolve_version, retrieve_from_store, retrieve_rows, retrieve_stored, write_result
 from stationtide.plans.sanity import require_summary
 from stationtide.sources.store import (
     new_run, read_catalogue, read_listed_tiles, read_parts, read_tiles, replace_catalogue, stored_sizes, write_tiles,
@@ -225,3 +225,63 @@ def test_stream_equals_batch(spark, frame, tmp_path, root):
     # A restart finds nothing new.
     stream_tiles(open_file_stream(spark, source, schema, "*.parquet"), config(), "01", "1.0.0", root).awaitTermination()
     assert read_stream_tiles(spark, root).count() == 24
+
+
+def test_streams_of_two_sources_and_a_lost_checkpoint(spark, frame, tmp_path, root):
+    """Each source has its own progress, streamed tiles are in the catalogue, and a new checkpoint overwrites nothing."""
+    two = config(sources={"01": config().sources["01"], "02": config().sources["01"]})
+    schema = None
+    for source, months in (("01", (1,)), ("02", (2,))):
+        folder = str(tmp_path / source)
+        frame(raw_rows(months), RAW).coalesce(1).write.parquet(folder)
+        schema = schema or spark.read.parquet(folder).schema
+        stream_tiles(open_file_stream(spark, folder, schema, "*.parquet"), two, source, "1.0.0", root).awaitTermination()
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in raw_rows((1, 2)))
+    runs = {r.run for r in read_catalogue(spark, root).select("run").distinct().collect()}
+    assert len(runs) == 2 and not any("None" in r for r in runs)
+    later = str(tmp_path / "later")
+    frame(raw_rows((3,)), RAW).coalesce(1).write.parquet(later)
+    (tmp_path / "store" / "stream" / "sondes-1.0.0-01").rename(tmp_path / "gone")
+    stream_tiles(open_file_stream(spark, later, schema, "*.parquet"), two, "01", "1.0.0", root).awaitTermination()
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in raw_rows((1, 2, 3)))
+
+
+def test_late_and_empty_batches(spark, frame, root):
+    rows = raw_rows((1, 2))
+    assert ingest(spark, frame([], RAW), config(), "01", "1.0.0", root).count() == 0
+    ingest(spark, frame(rows[:7], RAW), config(), "01", "1.0.0", root)
+    late = ingest(spark, frame(rows, RAW), config(), "01", "1.0.0", root)
+    assert late.agg(F.sum("n_obs")).first()[0] == len(rows) - 7
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in rows)
+    assert ingest(spark, frame(rows, RAW), config(), "01", "1.0.0", root).count() == 0
+    assert ingest(spark, frame([], RAW), config(), "01", "1.0.0", root).count() == 0
+    # A declared batch is not read again.
+    more = rows + [(datetime(2020, 1, 5), "s9", 0.0, 0.0, "extra", "t", 1.0)]
+    assert ingest(spark, frame(more, RAW), config(), "01", "1.0.0", root, complete_batches=True).count() == 0
+    assert ingest(spark, frame(more, RAW), config(), "01", "1.0.0", root).count() == 1
+
+
+def test_sources_with_unlike_columns(spark, frame, root):
+    two = config(sources={"01": config().sources["01"], "02": config().sources["01"]})
+    ingest(spark, frame(raw_rows((1,)), RAW), two, "01", "1.0.0", root)
+    ingest(spark, frame(raw_rows((1,)), RAW).withColumn("quality_flag", F.lit(2)), two, "02", "1.0.0", root)
+    versions = frame([("sondes", "1.0.0", False)], "dataset string, version string, deprecated boolean")
+    first, second = (retrieve_stored(spark, root, versions, "sondes", Request(dataset_source=s, version="1.0.0"), "month") for s in ("01", "02"))
+    assert first.count() == second.count() == 12
+    assert {r.quality_flag for r in second.select("quality_flag").collect()} == {2}
+    with pytest.raises(NoDataFound):
+        retrieve_stored(spark, root, versions, "sondes", Request(version="1.0.0", year=(1950,)), "month")
+    # Only folders of runs that the entries name are opened.
+    runs = {f.split("/run=")[1].split("/")[0] for f in second.inputFiles() if "/tiles/" in f}
+    named = read_catalogue(spark, root).where("dataset_source = '02'").select("run").distinct().collect()
+    assert runs == {r.run for r in named}
+    ingest(spark, frame(raw_rows((2,)), RAW).withColumn("quality_flag", F.lit("bad")), two, "01", "1.0.0", root)
+    with pytest.raises(ConfigError, match="quality_flag"):
+        read_listed_tiles(spark, root)
+
+
+def test_hash_sees_where_nulls_are(frame):
+    from stationtide.operators.catalogue import row_hash
+
+    rows = frame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int").select(row_hash(["a", "b"]).alias("h")).collect()
+    assert len({r.h for r in rows}) == 4
