@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,14 @@ from stationtide.session import scratch_path
 FOLDS = 5  # rows whose crc32(id) mod FOLDS is 0 are held out
 
 
+def importable_on_workers(spark: SparkSession) -> None:
+    """Let Python workers that share this file system import the package, whatever folder the driver was started in."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stationtide.llm import bpe, covertree, curve, decontaminate, language, licences, quality, simhash, tokencount, warc
-from stationtide.llm.common import table
+from stationtide.llm.common import importable_on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,10 +24,15 @@ PIECE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def query(sql: str | None = None):
     def add(fn):
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable_on_workers(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
-        return fn
+        return run
 
     return add
 
