@@ -23,8 +23,9 @@ from stationtide.llm.common import held_out, ids_and_texts, keep_rows, written
 
 #: Longest piece of the vocabulary that is used, in bytes; every single byte is a piece.
 PIECE_BYTES = 16
-#: Bound of the training sample: documents of each language, the first by a hash of id and text.
-TRAIN_DOCUMENTS = 1500
+#: Bound of the training sample: documents of each language, the first by a hash of id and text. Up to a thousand, Spark
+#: cuts the ranking short before the shuffle.
+TRAIN_DOCUMENTS = 1000
 #: Longer words take no part in training.
 TRAIN_WORD_BYTES = 60
 ROUNDS = 3
@@ -213,9 +214,10 @@ def train(docs: DataFrame, path: str) -> Model:
     """Fit to the labelled rows of ``docs`` (doc_id, text, lang) that are not held out, at most TRAIN_DOCUMENTS of each
     language; rows without text or language teach nothing. Equal ids and texts are interchangeable."""
     labelled = docs.filter("lang IS NOT NULL AND length(text) > 0").filter(~held_out("doc_id")).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    by = Window.partitionBy("lang").orderBy("h", "text")
-    first = labelled.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= TRAIN_DOCUMENTS).select("lang", "text", "h")
-    sample = written(first.repartition(docs.sparkSession.sparkContext.defaultParallelism, "h").select("lang", "text"), "languages")
+    first = _first_hashes(_first_hashes(labelled.select("lang", "h"), "lang", F.pmod("h", F.lit(256))), "lang")
+    # As many hashes as languages times the bound; rows that repeat id and text count once.
+    rows = labelled.join(F.broadcast(first.select("h").distinct()), "h", "left_semi").dropDuplicates(["lang", "h"])
+    sample = written(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism, "h").select("lang", "text"), "languages")
     languages = [r.lang for r in sample.select("lang").distinct().orderBy("lang").collect()]
     table = pieces(path)
     chances = np.full((table.nothing + 1, len(languages)), 1 / table.nothing)
@@ -229,6 +231,12 @@ def train(docs: DataFrame, path: str) -> Model:
     return Model(path, languages, chances)
 
 
+def _first_hashes(rows: DataFrame, *group) -> DataFrame:
+    """The TRAIN_DOCUMENTS smallest values of ``h`` in each group; no text is ranked or shuffled."""
+    by = Window.partitionBy(*group).orderBy("h")
+    return rows.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= TRAIN_DOCUMENTS).select("lang", "h")
+
+
 def _expect(path: str, languages: list[str], chances: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path)
