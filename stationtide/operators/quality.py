@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -131,6 +133,25 @@ def unit_report(df: DataFrame, codes: DataFrame, units_column: str = "units") ->
     return joined.select("observed_variable", F.col(units_column).alias("units"), "n_rows", status.alias("status"))
 
 
+def validation_report(df: DataFrame, graph: TableGraph, codes: DataFrame) -> DataFrame:
+    """(check, item, n_rows): unknown columns, other types than declared, nulls in keys, unknown variables and units."""
+    def rows(frame: DataFrame, check: str, item: Column, n: Column) -> DataFrame:
+        return frame.select(F.lit(check).alias("check"), item.alias("item"), n.alias("n_rows"))
+
+    where = F.concat_ws(".", "table", "field")
+    strange = [c for c in df.columns if c not in set(graph.legal_fields)]
+    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(strange)] or [F.count(F.lit(1))])
+    unknown = counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"v{i}").alias("n")) for i, c in enumerate(strange)]))) if strange else None
+    units = unit_report(df, codes)
+    parts = [
+        rows(type_report(df, graph).where("NOT conforms"), "type", where, F.col("n_values")),
+        rows(primary_key_report(df, graph).where("available AND n_null > 0"), "primary_key", where, F.col("n_null")),
+        rows(units.where("status = 'unknown_variable'"), "variable", F.col("observed_variable"), F.col("n_rows")),
+        rows(units.where("status = 'different_units'"), "units", F.concat_ws(" in ", "observed_variable", "units"), F.col("n_rows")),
+    ] + ([rows(unknown, "unknown_column", F.col("c"), F.col("n"))] if unknown is not None else [])
+    return reduce(DataFrame.unionByName, parts)
+
+
 def schema_drift(df: DataFrame, described, variables_column: str = "observed_variable") -> DataFrame:
     """Columns and variables in the data but not described, and described but not in the data."""
     spark = df.sparkSession

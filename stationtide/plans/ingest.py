@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.config import DatasetConfig
-from stationtide.functions.times import period_start
+from stationtide.functions.intervals import within
+from stationtide.functions.times import period_start, ts
 from stationtide.operators.catalogue import (
     IDENTITY, absent_datasets, absent_versions, build_catalogue, tile_parts, tile_status,
 )
 from stationtide.operators.codes import backfill_units, decode_units, define_units
 from stationtide.operators.homogenise import homogenise, missing_mandatory, select_model_columns
-from stationtide.operators.quality import assert_period
+from stationtide.operators.quality import assert_period, validation_report
 from stationtide.operators.reshape import melt_source
-from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles
+from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles, declared_batches
+from stationtide.plans.sanity import require_summary
 from stationtide.session import broadcast_if_small, cut_lineage
 from stationtide.sources.store import (
-    append_catalogue, has_catalogue, new_run, read_catalogue, read_listed_tiles, read_tiles, replace_catalogue, stored_sizes, write_parts, write_tiles,
+    append_catalogue, has_catalogue, new_run, read_catalogue, read_listed_tiles, read_tiles, register_version, replace_catalogue, stored_sizes, write_parts, write_tiles,
 )
 
 
@@ -161,6 +163,32 @@ def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, sou
     return status
 
 
+def ingest_declared(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: str, version: str, root: str,
+                    start_year: int, end_year: int, start_month: int = 1, graph=None, units: DataFrame | None = None) -> DataFrame:
+    """Ingest the batches of a span of years: (batch_start, batch_end, status, n_obs) for each of them.
+
+    A declared batch is read whole, so one that is ``stored`` is skipped unread; the others are ``written`` or ``empty``. All
+    are one plan over the rows of the span, not a job each. The version is registered first, and afterwards the store must
+    pass the summary check.
+    """
+    register_version(spark, root, config.name, version)
+    batches = declared_batches(spark, start_year, end_year, start_month, config.time_tile_size)
+    ends = batches.agg(F.min("batch_start").alias("a"), F.max("batch_end").alias("b")).first()
+    own = (F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source)
+    per_batch = lambda entries: entries.where(own).groupBy(F.col("time_coverage_start").cast("date").alias("batch_start")).agg(
+        F.sum("n_obs").alias("n"))
+    # Fixed before this run adds to the catalogue.
+    before = cut_lineage(per_batch(read_catalogue(spark, root))).withColumnRenamed("n", "held") if has_catalogue(spark, root) else None
+    span = raw.where(within(F.col(config.sources[source].raw_time_column), ts(str(ends.a)), ts(str(ends.b))))
+    entries = ingest(spark, span, config, source, version, root, graph, units, complete_batches=True)
+    report = batches.join(per_batch(entries), "batch_start", "left")
+    report = report.join(before, "batch_start", "left") if before is not None else report.withColumn("held", F.lit(None).cast("bigint"))
+    if has_catalogue(spark, root):
+        require_summary(read_catalogue(spark, root).where(own), config.sources[source].main_variables)
+    status = F.when(F.col("held").isNotNull(), "stored").when(F.col("n").isNotNull(), "written").otherwise("empty")
+    return report.select("batch_start", "batch_end", status.alias("status"), F.coalesce("held", "n", F.lit(0)).alias("n_obs"))
+
+
 def dry_run(raw: DataFrame, config: DatasetConfig, source: str, version: str, graph=None,
             units: DataFrame | None = None) -> DataFrame:
     """The catalogue an ingestion would produce, without writing anything."""
@@ -168,6 +196,20 @@ def dry_run(raw: DataFrame, config: DatasetConfig, source: str, version: str, gr
     return build_catalogue(tile_parts(tiled), config.time_tile_size)
 
 
+def make_cdm(raw: DataFrame, config: DatasetConfig, source: str, graph, codes: DataFrame, save_to: str | None = None) -> DataFrame:
+    """Homogenise one batch and validate it: (check, item, n_rows) of everything that breaks the model.
+
+    ``unknown_column`` is no field of the model, ``type`` has another kind than declared, ``primary_key`` is null, and
+    ``variable`` or ``units`` are not in the code table. ``save_to`` also writes the rows, untiled; the checks then read what
+    was written.
+    """
+    rows = observations_of(raw, config, source)
+    if save_to is not None:
+        rows.write.mode("overwrite").parquet(save_to)
+        rows = raw.sparkSession.read.schema(rows.schema).parquet(save_to)
+    return validation_report(rows, graph, codes)
+
+
 def register_versions(datasets: DataFrame, versions: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Dataset and version tables with the missing rows added."""
     return (

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.config import DatasetConfig
+from stationtide.functions.tiles import asset_name
 from stationtide.functions.times import ts
 from stationtide.model.literals import name_table
 from stationtide.operators.catalogue import consistency
 from stationtide.operators.quality import CheckFailed, retrieved_report
-from stationtide.plans.retrieve import Request
+from stationtide.plans.retrieve import NoDataFound, Request, retrieve_stored
+from stationtide.sources.store import read_catalogue, stored_sizes
 
 # Box of the routine check.
 CHECK_LATITUDES = (-10.0, 80.0)
@@ -57,5 +61,24 @@ def sanity_report(catalogue: DataFrame, stored_assets: DataFrame, rows: DataFram
     return missing.unionByName(retrieved).unionByName(checked)
 
 
+def sanity_run(spark: SparkSession, root: str, config: DatasetConfig, versions: DataFrame, year: int) -> DataFrame:
+    """(source, check, n_rows) over the real store, a pass for each configured source: entries against the files that are
+    there, and the checks on one month that is retrieved through the catalogue."""
+    catalogue = read_catalogue(spark, root).where(F.col("dataset") == config.name)
+    sizes = stored_sizes(spark, root)
+    stored = sizes.select("dataset_source", asset_name(
+        F.col("dataset"), F.col("version"), F.col("dataset_source"), F.col("time_start"), config.time_tile_size, F.col("lat_start"), F.col("lon_start")).alias("asset"))
+    reports = []
+    for source, definition in config.sources.items():
+        entries = catalogue.where(F.col("dataset_source") == source)
+        try:
+            rows = retrieve_stored(spark, root, versions, config.name, routine_request(source, year, definition.main_variables), config.time_tile_size)
+            report = sanity_report(entries, stored.where(F.col("dataset_source") == source), rows, year, definition.main_variables)
+        except NoDataFound:
+            report = entries.agg(F.lit("no_data").alias("check"), F.lit(1).cast("bigint").alias("n_rows"))
+        reports.append(report.select(F.lit(source).alias("source"), "check", "n_rows"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def declared_variables(config: DatasetConfig) -> list[str]:
     return sorted({v for c in config.sources.values() for v in c.main_variables})

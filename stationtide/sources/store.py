@@ -6,6 +6,7 @@ Layout below the root::
     schemas/run=<run>/*.parquet    the columns of the run's tiles
     parts/run=<run>/*.parquet      availability and catalogue parts of the run's tiles
     catalogue/*.parquet            one row per listed tile, naming its run
+    versions/*.parquet             registered versions of the datasets
 
 A run that dies leaves files that no catalogue row names, so nobody reads them;
 its repetition is a new run. Nothing is overwritten while others may read it.
@@ -21,11 +22,12 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stationtide.config import ConfigError, SpaceColumns
-from stationtide.operators.catalogue import IDENTITY
+from stationtide.operators.catalogue import IDENTITY, absent_versions
 from stationtide.operators.tiling import TILE_KEYS, cluster_by_tile
 from stationtide.session import broadcast_if_small, cut_lineage
 
 LAYOUT = IDENTITY + TILE_KEYS
+VERSIONS = "dataset string, version string, deprecated boolean"
 
 
 def new_run() -> str:
@@ -173,8 +175,26 @@ def read_catalogue(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/catalogue")
 
 
+def read_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Registered versions of the store's datasets; none before the first registration."""
+    if not _is_complete(spark, f"{root}/versions"):
+        return spark.createDataFrame([], VERSIONS)
+    return spark.read.schema(VERSIONS).parquet(f"{root}/versions")
+
+
+def register_version(spark: SparkSession, root: str, dataset: str, version: str) -> None:
+    """Add the version if it is absent; a new one starts deprecated, as in :func:`absent_versions`."""
+    absent = absent_versions(read_versions(spark, root), spark.createDataFrame([(dataset, version)], "dataset string, version string"))
+    if not absent.isEmpty():
+        absent.write.mode("append").parquet(f"{root}/versions")
+
+
 def has_catalogue(spark: SparkSession, root: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/catalogue/_SUCCESS")
+    return _is_complete(spark, f"{root}/catalogue")
+
+
+def _is_complete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 

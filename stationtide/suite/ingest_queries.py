@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from stationtide.model.definitions import default_graph
+from stationtide.model.literals import literal_table
 from stationtide.operators.joins import join_header_and_data
 from stationtide.operators.tiling import assign_tiles
-from stationtide.plans.ingest import commit_run, dry_run, ingest, observations_of
+from stationtide.plans.ingest import commit_run, dry_run, ingest, ingest_declared, make_cdm, observations_of
 from stationtide.plans.retrieve import Request, retrieve_stored
+from stationtide.plans.sanity import sanity_run
 from stationtide.session import scratch_path
 from stationtide.sources.registry import read_source
 from stationtide.sources.store import new_run, read_catalogue, read_listed_tiles, write_tiles
@@ -157,3 +161,38 @@ def q_unlike_sources(spark, folder):
     both = found[0].unionByName(found[1], allowMissingColumns=True)
     return both.groupBy("dataset_source").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("quality_flag").alias("n_flags"), F.count("uncertainty_value5").alias("n_uncertainties"))
+
+
+@query(f"""SELECT concat(y.y, '-01-01') AS batch_start, concat(y.y + 1, '-01-01') AS batch_end,
+            CASE WHEN n IS NULL THEN 'empty' WHEN y.y <= 1996 THEN 'stored' ELSE 'written' END AS status, coalesce(n, 0) AS n_obs
+          FROM (SELECT unnest(generate_series(1996, 2003)) AS y) y
+          LEFT JOIN (SELECT year(report_timestamp) AS y, count(*) AS n FROM ({_LONG}) GROUP BY 1) n ON n.y = y.y""")
+def q_declared_ingest(spark, folder):
+    """Two spans of declared yearly batches that overlap; the last years have no rows."""
+    root = scratch_path(spark, "declared")
+    raw = _raw(spark, folder)
+    ingest_declared(spark, raw, REPORTS, _SOURCE, "1.0.0", root, 1994, 1996)
+    report = ingest_declared(spark, raw, REPORTS, _SOURCE, "1.0.0", root, 1996, 2003)
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return report.select(day("batch_start"), day("batch_end"), "status", "n_obs")
+
+
+@query(f"""SELECT 'type' AS "check", t.item, (SELECT count(*) FROM ({_LONG})) AS n_rows FROM (VALUES ('observations_table.report_id'), ('header_table.report_id'),
+            ('observations_table.observed_variable'), ('observations_table.units'), ('observations_table.original_units')) AS t(item)
+          UNION ALL SELECT 'variable', observed_variable, count(*) FROM ({_LONG}) WHERE observed_variable IN ('discount', 'tax') GROUP BY 2
+          UNION ALL SELECT 'units', 'price in cent', count(*) FROM ({_LONG}) WHERE observed_variable = 'price'""")
+def q_make_cdm_checked(spark, folder):
+    """Homogenise, save and validate the raw tables against the model and a code table that knows two of the variables."""
+    codes = literal_table(spark, [("name", pa.string()), ("units", pa.string())], [("quantity", "1"), ("price", "euro")])
+    return make_cdm(_raw(spark, folder), REPORTS, _SOURCE, default_graph(), codes, scratch_path(spark, "cdm"))
+
+
+@query(f"""SELECT 'ship_and_land' AS source, 'retrieved' AS "check", count(*) AS n_rows FROM ({_LONG}) WHERE year(report_timestamp) = 1996
+            AND month(report_timestamp) = 1 AND latitude >= -10 AND latitude < 80 AND longitude >= -170
+          UNION ALL SELECT 'ship_and_land', c, 0 FROM (VALUES ('missing_in_storage'), ('time_outside'), ('time_null'), ('variable_null'), ('variable_unknown'),
+            ('latitude_outside'), ('latitude_null'), ('longitude_outside'), ('longitude_null'), ('station_null')) AS t(c)""")
+def q_sanity_store(spark, folder):
+    """The routine checks over a store, its files and one retrieved month."""
+    root = scratch_path(spark, "sanity")
+    ingest(spark, _raw(spark, folder), REPORTS, _SOURCE, "1.0.0", root)
+    return sanity_run(spark, root, REPORTS, versions_of(read_catalogue(spark, root)), 1996)

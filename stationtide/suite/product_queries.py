@@ -231,3 +231,18 @@ def q_retrieve_report_counts(spark, folder):
     rows = hdr(spark, folder).join(station(spark, folder), "station_key")
     wanted = rows.where(Request(year=(1996,), month=(1, 2)).row_condition())
     return wanted.groupBy("observed_variable", "country").agg(F.count(F.lit(1)).alias("n_reports"))
+
+
+_CELLS = "SELECT DISTINCT observed_variable AS v, strftime(report_timestamp, '%Y-%m-%d') AS d FROM obs"
+
+
+@query(f"""SELECT count(*) AS n_cells, count(*) AS n_covered,
+            (SELECT count(DISTINCT vs) FROM (SELECT d, string_agg(v, ',' ORDER BY v) AS vs FROM ({_CELLS}) GROUP BY d)) AS n_boxes FROM ({_CELLS})""")
+def q_constraints_boxes(spark, folder):
+    """The boxes themselves: disjoint (as many cells as the product has), complete, and one for each list of variables that
+    days have in common."""
+    rows = availability(obs(spark, folder)).select(_day("day"), "variable").distinct()
+    boxes = cut_lineage(compress(rows, ["day", "variable"]))
+    sizes = boxes.agg(F.sum(F.size("day") * F.size("variable")).cast("bigint").alias("n_cells"), F.count(F.lit(1)).alias("n_boxes"))
+    covered = expand(boxes).distinct().agg(F.count(F.lit(1)).alias("n_covered"))
+    return sizes.withColumn("k", F.lit(0)).join(covered.withColumn("k", F.lit(0)), "k").drop("k")

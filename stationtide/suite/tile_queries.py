@@ -137,3 +137,17 @@ def q_batches_space(spark, folder):
     out = grid.join(filled, ["batch_start", "lat_start", "lon_start"], "left")
     return out.select(F.date_format("batch_start", "yyyy-MM-dd").alias("batch_start"), "lat_start", "lon_start", "lat_end", "lon_end",
                       F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
+@query("""SELECT CASE WHEN lat_start < 0 THEN 'exists_different' ELSE 'exists_identical' END AS status, count(*) AS n_tiles
+          FROM (SELECT lat_start, lon_start FROM placed_tiles WHERE report_id % 2 = 0 GROUP BY 1, 2) GROUP BY 1""")
+def q_moved_values(spark, folder):
+    """Values moved to the neighbouring column, where that one was null, change the status of their tiles and of no other."""
+    rows = _tiled(spark, folder).where(F.col("report_id") % 2 == 0).select(
+        "lat_start", "lon_start", "report_id", F.col("observation_value").alias("a"), F.lit(None).cast("double").alias("b"))
+    moved = rows.select("lat_start", "lon_start", "report_id", F.when(F.col("lat_start") >= 0, F.col("a")).alias("a"),
+                        F.when(F.col("lat_start") < 0, F.col("a")).alias("b"))
+    hashed = lambda df, name: df.groupBy("lat_start", "lon_start").agg(F.bit_xor(row_hash(["report_id", "a", "b"])).alias(name))
+    both = hashed(rows, "old").join(hashed(moved, "new"), ["lat_start", "lon_start"])
+    status = F.when(F.col("old") == F.col("new"), "exists_identical").otherwise("exists_different")
+    return both.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n_tiles"))
