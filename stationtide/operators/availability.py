@@ -116,3 +116,19 @@ def flat_constraints(rows: DataFrame) -> DataFrame:
         F.year("day").cast("string").alias("year"), zero_padded(F.month("day"), 2).alias("month"),
         zero_padded(F.dayofmonth("day"), 2).alias("day"),
     )
+
+
+# The stored form of an encoded entry.
+CONSTRAINT_SCHEMA = "stations array<string>, days array<string>, variable_constraints map<string, array<bigint>>"
+
+
+def constraints_to_json(encoded: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, json): each encoded entry as one JSON object of stations, days and positions."""
+    days = F.transform("days", lambda d: d.cast("string")).alias("days")
+    return encoded.select(*keys, F.to_json(F.struct("stations", days, "variable_constraints")).alias("json"))
+
+
+def constraints_from_json(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Inverse of :func:`constraints_to_json`; a text that is no such object is an error."""
+    parsed = texts.select(*keys, F.from_json("json", CONSTRAINT_SCHEMA, {"mode": "FAILFAST"}).alias("c"))
+    return parsed.select(*keys, "c.stations", F.transform("c.days", lambda d: d.cast("date")).alias("days"), "c.variable_constraints")

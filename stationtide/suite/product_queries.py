@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationtide.operators.availability import (
-    availability, constraint_size, constraint_table, decode_constraints, encode_constraints, flat_constraints, from_parts,
+    availability, constraint_size, constraint_table, constraints_from_json, constraints_to_json, decode_constraints, encode_constraints, flat_constraints, from_parts,
     merge_constraints, narrow_availability, wide_availability,
 )
 from stationtide.operators.factorise import compress, expand, request_set
 from stationtide.operators.tiling import assign_tiles
 from stationtide.plans.ingest import commit_run
 from stationtide.plans.products import compressed_constraints, described_variables, form_choices, station_summary, statistics
-from stationtide.plans.retrieve import Request, request_entries, retrieve_rows, retrieve_stored
+from stationtide.plans.retrieve import Request, request_entries, retrieve_rows, retrieve_stored, write_result
 from stationtide.session import cut_lineage, scratch_path
-from stationtide.sources.store import new_run, read_catalogue, read_parts, write_tiles
+from stationtide.sources.store import new_run, read_catalogue, read_parts, write_json_product, write_tiles
 from stationtide.suite.registry import query
 from stationtide.suite.views import EVENTS, VARIABLES, catalogue, hdr, obs, placed_reports, station, stored_catalogue, versions_of
 
@@ -246,3 +246,39 @@ def q_constraints_boxes(spark, folder):
     sizes = boxes.agg(F.sum(F.size("day") * F.size("variable")).cast("bigint").alias("n_cells"), F.count(F.lit(1)).alias("n_boxes"))
     covered = expand(boxes).distinct().agg(F.count(F.lit(1)).alias("n_covered"))
     return sizes.withColumn("k", F.lit(0)).join(covered.withColumn("k", F.lit(0)), "k").drop("k")
+
+
+@query("""SELECT CAST(floor((latitude + 90) / 90) * 90 - 90 AS INT) AS lat_start, CAST(floor((longitude + 180) / 180) * 180 - 180 AS INT) AS lon_start,
+            primary_station_id AS station, strftime(report_timestamp, '%Y-%m-%d') AS day, observed_variable AS variable FROM obs GROUP BY ALL""")
+def q_constraints_json(spark, folder):
+    """Encoded constraints written as JSON lines, read back and decoded."""
+    keys = ["lat_start", "lon_start"]
+    encoded = encode_constraints(_entry_rows(spark, folder), keys)
+    path = scratch_path(spark, "constraints")
+    write_json_product(constraints_to_json(encoded, keys), path)
+    back = constraints_from_json(spark.read.schema("lat_start int, lon_start int, json string").json(path), keys)
+    return decode_constraints(back, keys).select(*keys, "station", _day("day"), "variable")
+
+
+@query("""SELECT format, count(*) AS n_rows, sum(observation_id) AS id_sum, min(observation_value) AS min_value, max(observation_value) AS max_value
+          FROM obs CROSS JOIN (VALUES ('csv'), ('netCDF')) AS t(format) WHERE observed_variable IN ('click', 'error') AND year(report_timestamp) = 2024 GROUP BY 1""")
+def q_result_formats(spark, folder):
+    """A retrieval written in both formats of a request and read again."""
+    out = []
+    for fmt in ("csv", "netCDF"):
+        request, path = Request(variables=("click", "error"), year=(2024,), format=fmt), scratch_path(spark, "result")
+        rows = retrieve_rows(obs(spark, folder), request)
+        write_result(rows, request, path)
+        back = spark.read.schema(rows.schema).option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
+        out.append(back.agg(F.lit(fmt).alias("format"), F.count(F.lit(1)).alias("n_rows"), F.sum("observation_id").alias("id_sum"),
+                            F.min("observation_value").alias("min_value"), F.max("observation_value").alias("max_value")))
+    return out[0].unionByName(out[1])
+
+
+@query("""SELECT DISTINCT primary_station_id AS station_id, longitude, latitude, dataset_source AS source FROM placed""")
+def q_json_product(spark, folder):
+    """A catalogue product written as JSON and read again."""
+    path = scratch_path(spark, "product")
+    product = station_summary(placed_reports(spark, folder))
+    write_json_product(product, path)
+    return spark.read.schema(product.schema).json(path)

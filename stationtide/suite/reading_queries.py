@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stationtide.config import DatasetConfig, Description, SourceConfig
 from stationtide.functions.times import ts
 from stationtide.model.codes import read_code_table
-from stationtide.model.definitions import default_graph
+from stationtide.model.definitions import default_graph, read_definitions
+from stationtide.model.literals import literal_table, name_table
 from stationtide.operators.archive import in_box
 from stationtide.operators.codes import decode_variables, encode_variables
 from stationtide.operators.homogenise import legal_field_report
+from stationtide.operators.quality import config_problems, stored_field_report
 from stationtide.operators.relational import key_integrity
 from stationtide.operators.tiling import assign_tiles
 from stationtide.session import scratch_path
@@ -22,7 +25,7 @@ from stationtide.sources.registry import read_source
 from stationtide.sources.store import export_flat, read_tiles, write_tiles
 from stationtide.sources.tables import read_single_table
 from stationtide.suite.registry import query
-from stationtide.suite.views import hdr, obs, station, table, varcode, wide
+from stationtide.suite.views import hdr, obs, placed_reports, station, table, varcode, wide
 
 
 @query("""SELECT event_id, ts, event_type, value FROM events
@@ -212,3 +215,40 @@ def q_json_station_index(spark, folder):
     return read_station_index_lines(spark, path).drop("country", "file_path")
 
 
+
+
+@query("""SELECT 'header_table' AS "table", 'primary_station_id' AS field, 'station_configuration' AS parent, 'primary_id' AS parent_field, count(*) AS n_values FROM placed
+          UNION ALL SELECT 'header_table', 'station_record_number', 'station_configuration', 'record_number', count(*) FROM placed
+          UNION ALL SELECT 'observations_table', 'report_id', 'header_table', 'report_id', count(*) FROM placed""")
+def q_read_definitions(spark, folder):
+    """Table definitions written as CSV files and read again: the links that the placed reports use, with their values."""
+    path = scratch_path(spark, "definitions")
+    for definition in default_graph().values():
+        rows = literal_table(spark, [(c, pa.string()) for c in ("element_name", "kind", "external_table")], definition.rows)
+        rows.coalesce(1).write.option("header", True).option("quoteAll", True).option("emptyValue", "").csv(f"{path}/{definition.name}.csv")
+    graph = read_definitions(spark, path)
+    rows = placed_reports(spark, folder)
+    links = graph.to_frame(spark).where(F.col("parent").isin(list(graph))).select("table", "field", "parent", "parent_field")
+    counted = rows.agg(*[F.count(F.col(c)).alias(c) for c in rows.columns]).unpivot([], rows.columns, "field", "n_values")
+    return links.where("table <> 'uncertainty_table'").join(counted, "field")
+
+
+@query("""SELECT 'events' AS source, t.name, t.problem, (SELECT count(*) FROM obs) AS n_rows FROM (VALUES ('signup', 'main_variable'), ('not_a_field', 'field')) AS t(name, problem)""")
+def q_config_problems(spark, folder):
+    """Configured names that the model or the variable table lack, beside the rows that they would concern."""
+    source = SourceConfig(main_variables=("click", "signup"), descriptions={
+        "report_timestamp": Description("datetime64[ns]"), "click": Description("float64"), "signup": Description("float64"), "not_a_field": Description("float64")})
+    config = DatasetConfig(name="events", sources={"events": source}, reader="flat_parquet", lat_tile_size=45, lon_tile_size=45)
+    known = varcode(spark).where("name <> 'signup'")
+    n = obs(spark, folder).agg(F.count(F.lit(1)).alias("n_rows"))
+    return config_problems(spark, config, default_graph(), known).withColumn("k", F.lit(0)).join(n.withColumn("k", F.lit(0)), "k").drop("k")
+
+
+@query("""SELECT 'primary_station_id' AS field, count(*) AS n_rows FROM obs""")
+def q_stored_fields(spark, folder):
+    """Declared fields that stored rows lack."""
+    rows = obs(spark, folder).drop("primary_station_id")
+    source = SourceConfig(main_variables=("click",), descriptions={
+        "report_timestamp": Description("datetime64[ns]"), "primary_station_id": Description("object"), "click": Description("float64")})
+    missing = name_table(spark, "field", stored_field_report(rows, source)).withColumn("k", F.lit(0))
+    return missing.join(rows.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("k", F.lit(0)), "k").drop("k")
