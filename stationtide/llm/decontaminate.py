@@ -23,6 +23,8 @@ EDIT_RATE = 0.08
 PASSAGE_CHARS = 200
 #: Characters of benchmark that are searched for in one pass over the documents.
 BLOCK_CHARS = 4_000_000
+#: Characters of documents that are searched together.
+WINDOW_CHARS = 1_000_000
 FILTER_BITS = 22
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x100000001B3
@@ -64,6 +66,22 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return total[:max(0, len(codes) - Q + 1)]
 
 
+def windows(texts: list[str | None]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+    """(text, start, normalised characters) of whole texts, in groups of about WINDOW_CHARS. A longer text comes as windows
+    that overlap by more than a passage and its edits, so that each place is whole in one of them."""
+    group, held, overlap = [], 0, 2 * PASSAGE_CHARS
+    for number, text in enumerate(texts):
+        codes = code_points(normal(text))
+        for at in range(0, max(1, len(codes) - overlap), WINDOW_CHARS - overlap):
+            group.append((number, at, codes[at:at + WINDOW_CHARS]))
+            held += len(group[-1][2])
+            if held >= WINDOW_CHARS:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
 @dataclass
 class PassageIndex:
     """Passages of one block of the benchmark and the postings of their q-grams."""
@@ -105,10 +123,18 @@ class PassageIndex:
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, passage, start, end, edits) of the best place of each passage in each text, in normalised characters."""
-        normed = [code_points(normal(t)) for t in texts]
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for group in windows(texts):
+            for piece, k, start, end, edits in self._search_group([codes for _, _, codes in group]):
+                text, at, _ = group[piece]
+                value = (edits, at + start, at + end)
+                best[text, k] = min(best.get((text, k), value), value)
+        return [(t, k, i, j, e) for (t, k), (e, i, j) in sorted(best.items())]
+
+    def _search_group(self, pieces: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         gap = np.full(PASSAGE_CHARS * 2, GAP, np.uint32)
-        buffer = np.concatenate([x for codes in normed for x in (codes, gap)])
-        starts = np.concatenate(([0], np.cumsum([len(c) + len(gap) for c in normed])))[:-1]
+        buffer = np.concatenate([x for codes in pieces for x in (codes, gap)])
+        starts = np.concatenate(([0], np.cumsum([len(c) + len(gap) for c in pieces])))[:-1]
         hashes = gram_hashes(buffer)
         if not len(hashes) or not len(self.grams):
             return []
@@ -119,7 +145,7 @@ class PassageIndex:
         n = self.first[known + 1] - self.first[known]
         posting = np.repeat(self.first[known] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else n
         place, passage = np.repeat(at, n), self.passage[posting]
-        return self._align(buffer, starts, [len(c) for c in normed], self._regions(place - self.offset[posting], passage))
+        return self._align(buffer, starts, [len(c) for c in pieces], self._regions(place - self.offset[posting], passage))
 
     def _regions(self, diagonal: np.ndarray, passage: np.ndarray) -> np.ndarray:
         """(passage, first diagonal) of the bands with enough shared q-grams; band b holds width + edits + 1 diagonals."""

@@ -68,6 +68,16 @@ def test_every_place_within_the_budget_and_no_other():
         assert semi_global(index.codes[p].tolist(), place) == edits
 
 
+def test_windows_of_long_texts_give_the_same_places(monkeypatch):
+    rng = random.Random(6)
+    items = [" ".join(word(rng) for _ in range(40)) for _ in range(12)]
+    index = dc.PassageIndex.build(list(enumerate(items)))
+    texts = [" ".join(noisy(rng, rng.choice(items), rng.randint(0, 12)) if rng.random() < 0.2 else word(rng) for _ in range(n)) for n in (900, 0, 3, 1500)]
+    whole = index.search(texts)
+    monkeypatch.setattr(dc, "WINDOW_CHARS", 1000)
+    assert len(whole) > 10 and index.search(texts) == whole
+
+
 def test_rows_and_edge_cases(frame):
     rng = random.Random(4)
     item = " ".join(word(rng) for _ in range(60))
