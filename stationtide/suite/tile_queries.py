@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from stationtide.operators.catalogue import asset_urls, row_hash, tile_parts
-from stationtide.operators.tiling import assign_tiles, space_batches, time_batches, with_bounds, with_coordinates
+from stationtide.operators.tiling import assign_tiles, cluster_by_tile, space_batches, time_batches, with_bounds, with_coordinates
 from stationtide.config import SpaceColumns
 from stationtide.plans.products import largest_tile
 from stationtide.functions.names import asset_bucket, asset_file, readable_size
@@ -151,3 +151,14 @@ def q_moved_values(spark, folder):
     both = hashed(rows, "old").join(hashed(moved, "new"), ["lat_start", "lon_start"])
     status = F.when(F.col("old") == F.col("new"), "exists_identical").otherwise("exists_different")
     return both.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n_tiles"))
+
+
+@query("""SELECT lat_start, lon_start, count(*) AS n_obs, CAST(0 AS BIGINT) AS n_out_of_order FROM placed_tiles GROUP BY 1, 2""")
+def q_tile_storage_order(spark, folder):
+    """Rows as they are stored: inside each partition a tile's times ascend."""
+    stored = cluster_by_tile(_tiled(spark, folder), ["lat_start", "lon_start"]).select(
+        "lat_start", "lon_start", "report_timestamp", F.monotonically_increasing_id().alias("at"))
+    part = F.shiftright("at", 33)
+    before = F.lag("report_timestamp").over(Window.partitionBy("lat_start", "lon_start", part).orderBy("at"))
+    checked = stored.withColumn("late", F.coalesce(before > F.col("report_timestamp"), F.lit(False)))
+    return checked.groupBy("lat_start", "lon_start").agg(F.count(F.lit(1)).alias("n_obs"), F.count_if(F.col("late")).alias("n_out_of_order"))
