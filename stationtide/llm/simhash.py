@@ -203,12 +203,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for ids, texts in ids_and_texts(batch, max_chars=1_000_000):
-                yield pa.RecordBatch.from_arrays([ids, pa.array(fingerprints(texts).view(np.int64)), batch.column("row").slice(at, len(texts))], ["doc_id", "fp", "row"])
+            row = batch.column("row")
+            own = pa.RecordBatch.from_arrays([batch.column("doc_id"), row.field("text").cast(pa.string())], ["doc_id", "text"])
+            for ids, texts in ids_and_texts(own, max_chars=1_000_000):
+                yield pa.RecordBatch.from_arrays([ids, pa.array(fingerprints(texts).view(np.int64)), row.slice(at, len(texts))], ["doc_id", "fp", "row"])
                 at += len(texts)
 
+    # The text crosses to Python once, inside the row.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row.alias("row"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"))
     marked = keyed.mapInArrow(run, f"doc_id long, fp long, row {docs.select(row.alias('row')).schema['row'].dataType.simpleString()}")
     groups = _groups(written(fingerprint_documents(docs), "marks"))
     chosen = groups.filter(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("lowest", "component_id").agg(F.min("fp").alias("c"))
