@@ -14,13 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stationtide.llm import jaccard
 from stationtide.llm.common import ids_and_texts, written
 from stationtide.llm.components import connected_components, merge_labels
+from stationtide.llm.jaccard import shingle_hashes
 
-SEED = 42
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 #: Free bits left, and block width, of each cut; after the last at most 2**20 different leaves can share a bucket.
@@ -30,24 +30,9 @@ BUCKET_LEAVES = 100_000
 FRONTIER = 200_000
 
 
-def shingle_hashes(text: str | None) -> list[int]:
-    """XXH64 of each word shingle, repeats included; a text with fewer words has one shingle, one without words none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return []
-    joined = b" ".join(words)
-    n = SHINGLE_WORDS
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= n:
-        return [digest(joined, SEED)]
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[:-n])).tolist()
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[n - 1:] - 1).tolist())]
-
-
 def fingerprints(texts: list[str | None]) -> np.ndarray:
     """Fingerprint of each text as an unsigned 64-bit integer: the bits set in over half of its shingle hashes."""
-    hashes = [shingle_hashes(t) for t in texts]
+    hashes = [shingle_hashes(t, SHINGLE_WORDS) for t in texts]
     counts = np.array([len(h) for h in hashes], np.int64)
     out = np.zeros(len(texts), np.uint64)
     full = np.flatnonzero(counts)
@@ -169,11 +154,11 @@ def _walk_subtries(starts: np.ndarray, perm: np.ndarray, free: int) -> tuple[np.
     return moved, parent[moved]
 
 
-def _groups(marks: DataFrame) -> DataFrame:
+def _groups(leaves: DataFrame, links: DataFrame) -> DataFrame:
     """``fp``, ``first`` (smallest id of the fingerprint's rows), ``component_id`` and ``lowest`` (smallest fingerprint of the
-    component) of each fingerprint in ``marks`` (doc_id, fp)."""
-    leaves = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "leaves")
-    members = connected_components(trie_links(leaves)).withColumnRenamed("id", "fp")
+    component over ``links``) of each fingerprint in ``leaves`` (fp, first)."""
+    members = connected_components(links).withColumnRenamed("id", "fp")
+    leaves = leaves.select("fp", "first")
     linked = members.join(leaves, "fp")
     least = linked.groupBy("component").agg(F.min("first").alias("component_id"), F.min("fp").alias("lowest"))
     named = linked.join(least, "component").select("fp", "component_id", "lowest")
@@ -190,14 +175,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows share them. An empty table gives an empty result; other columns are not read.
     """
     marks = written(fingerprint_documents(docs), "marks")
-    groups = _groups(marks).select("fp", "component_id")
+    leaves = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "leaves")
+    groups = _groups(leaves, trie_links(leaves)).select("fp", "component_id")
     return marks.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component, that of the smallest doc_id, all columns unchanged.
+    """One row of ``docs`` for each component, that of the smallest doc_id, all columns unchanged. Unlike in ``near_duplicates``
+    texts link where their sets of five-word shingles have a Jaccard similarity of 0.8 or more, and equal texts anyway.
 
-    Where rows repeat that id with the same fingerprint one of them stays; of different ones, and in components without
+    A row's fingerprint is here that of its words. Where rows repeat that id with the same fingerprint one of them stays; of different ones, and in components without
     any id, the one with the smallest fingerprint.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,14 +193,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
             row = batch.column("row")
             own = pa.RecordBatch.from_arrays([batch.column("doc_id"), row.field("text").cast(pa.string())], ["doc_id", "text"])
             for ids, texts in ids_and_texts(own, max_chars=1_000_000):
-                yield pa.RecordBatch.from_arrays([ids, pa.array(fingerprints(texts).view(np.int64)), row.slice(at, len(texts))], ["doc_id", "fp", "row"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(jaccard.identities(texts)), row.slice(at, len(texts))], ["doc_id", "fp", "row"])
                 at += len(texts)
 
     # The text crosses to Python once, inside the row.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"))
     marked = keyed.mapInArrow(run, f"doc_id long, fp long, row {docs.select(row.alias('row')).schema['row'].dataType.simpleString()}")
-    groups = _groups(written(fingerprint_documents(docs), "marks"))
+    leaves = written(jaccard.describe(docs).groupBy("fp").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "keys", "sketch"))), "leaves")
+    groups = _groups(leaves, jaccard.links(docs, leaves))
     chosen = groups.filter(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("lowest", "component_id").agg(F.min("fp").alias("c"))
     chosen = chosen.select(F.col("component_id").alias("least"), "c")
     kept = marked.join(chosen, (F.col("fp") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
