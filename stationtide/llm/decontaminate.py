@@ -21,6 +21,11 @@ Q = 10
 EDIT_RATE = 0.08
 #: Longer benchmark items are searched as overlapping passages of this many characters, so that a part counts as well.
 PASSAGE_CHARS = 200
+#: Shorter passages start at every multiple of STRIDE_CHARS and at the item's end less their length. Every excerpt of
+#: RUN_CHARS normalised characters holds one of them whole.
+SHORT_CHARS = 100
+STRIDE_CHARS = 20
+RUN_CHARS = SHORT_CHARS + STRIDE_CHARS - 1
 #: Characters of benchmark that are searched for in one pass over the documents.
 BLOCK_CHARS = 4_000_000
 #: Characters of documents that are searched together.
@@ -104,17 +109,20 @@ class PassageIndex:
             whole = code_points(normal(text))
             if len(whole) < Q:
                 continue
-            last = max(0, len(whole) - PASSAGE_CHARS)
-            for start in sorted({*range(0, last, PASSAGE_CHARS // 2), last}):
-                items.append(item)
-                codes.append(whole[start:start + PASSAGE_CHARS])
+            for size, stride in ((PASSAGE_CHARS, PASSAGE_CHARS // 2), (SHORT_CHARS, STRIDE_CHARS)):
+                if size < PASSAGE_CHARS and len(whole) <= size:
+                    continue  # is a passage already
+                last = max(0, len(whole) - size)
+                for start in sorted({*range(0, last, stride), last}):
+                    items.append(item)
+                    codes.append(whole[start:start + size])
         length = np.array([len(c) for c in codes], np.int64)
         edits = np.floor(length * EDIT_RATE).astype(np.int64)
         bound = np.maximum(1, length + 1 - Q * (edits + 1))
         hashes = [gram_hashes(c) for c in codes]
         flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
-        passage = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
-        offset = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(h)) for h in hashes)])
+        passage = np.repeat(np.arange(len(codes), dtype=np.int32), [len(h) for h in hashes])
+        offset = np.concatenate([np.zeros(0, np.int32), *(np.arange(len(h), dtype=np.int32) for h in hashes)])
         order = np.argsort(flat, kind="stable")
         grams, first = np.unique(flat[order], return_index=True)
         bits = np.zeros(1 << FILTER_BITS, np.bool_)
@@ -144,7 +152,7 @@ class PassageIndex:
         at, known = at[same], known[same]
         n = self.first[known + 1] - self.first[known]
         posting = np.repeat(self.first[known] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else n
-        place, passage = np.repeat(at, n), self.passage[posting]
+        place, passage = np.repeat(at, n), self.passage[posting].astype(np.int64)
         return self._align(buffer, starts, [len(c) for c in pieces], self._regions(place - self.offset[posting], passage))
 
     def _regions(self, diagonal: np.ndarray, passage: np.ndarray) -> np.ndarray:
@@ -236,6 +244,10 @@ def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``edits``, ``start``, ``end`` for each document and benchmark item of which it holds a passage.
 
+    A passage is a whole item of up to PASSAGE_CHARS characters, PASSAGE_CHARS of a longer one, or SHORT_CHARS of any longer
+    than that, each with its own budget of EDIT_RATE. An excerpt of RUN_CHARS (119) or more characters of an item is found
+    wherever it is cut out; a shorter excerpt of a longer item need not be.
+
     The place counts characters of the document in lower case with single blanks; of several passages or places the one
     with the fewest edits, then the first, is given. Null and empty texts, null items and items of fewer than Q
     characters match nothing. Repeated documents have a row each; repeated items count once. Rows without doc_id are found

@@ -68,6 +68,30 @@ def test_every_place_within_the_budget_and_no_other():
         assert semi_global(index.codes[p].tolist(), place) == edits
 
 
+def test_excerpts_of_the_stated_length_at_every_offset():
+    rng = random.Random(9)
+    prose = lambda n: " ".join(word(rng) for _ in range(n))
+    for words in (22, 28, 33, 60, 130):
+        item = prose(words)
+        index = dc.PassageIndex.build([(1, item)])
+        excerpts = [item[at:at + dc.RUN_CHARS].strip() for at in range(len(item) - dc.RUN_CHARS + 1)]
+        texts = [f"{prose(30)} {x} {prose(30)}" for x in excerpts]
+        whole = [k for k, x in enumerate(excerpts) if len(x) == dc.RUN_CHARS]
+        assert set(whole) <= {t for t, *_ in index.search(texts)}
+        assert index.search([f"{prose(30)} {item[at:at + 60]} {prose(30)}" for at in range(0, len(item) - 60, 7)]) == []
+
+
+def test_parts_of_items_are_found():
+    rng = random.Random(10)
+    for _ in range(20):
+        item = " ".join(word(rng) for _ in range(32))[:170]
+        for share in (0.9, 0.85, 0.75):
+            n = int(len(item) * share)
+            at = rng.randrange(len(item) - n)
+            text = " ".join(word(rng) for _ in range(20)) + item[at:at + n] + " ".join(word(rng) for _ in range(20))
+            assert dc.PassageIndex.build([(1, item)]).search([text])
+
+
 def test_windows_of_long_texts_give_the_same_places(monkeypatch):
     rng = random.Random(6)
     items = [" ".join(word(rng) for _ in range(40)) for _ in range(12)]
