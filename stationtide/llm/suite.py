@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, curve, decontaminate, language, licences, quality, simhash, tokencount, warc
+from stationtide.llm import bpe, covertree, curve, decontaminate, exact, language, licences, quality, simhash, tokencount, warc
 from stationtide.llm.common import importable_on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,9 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and wording in every document."""
     return licences.scan_files(table(spark, sf_dir, "documents"))
+
+
+@query(exact.oracle_sql())
+def op13_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts and the row that stays, for every document."""
+    return exact.mark_repeats(table(spark, sf_dir, "documents"))
