@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationtide.llm import bpe, covertree, curve, decontaminate, exact, language, licences, quality, simhash, tokencount, warc
+from stationtide.llm import bpe, covertree, curve, decontaminate, exact, language, licences, merkle, quality, simhash, spelling, tokencount, warc
 from stationtide.llm.common import importable_on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,15 @@ def op6_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts and the row that stays, for every document."""
     return exact.mark_repeats(table(spark, sf_dir, "documents"))
+
+
+@query(merkle.oracle_sql())
+def op11_merkle_multiproof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document against the manifest of all."""
+    return merkle.audit(table(spark, sf_dir, "documents"), merkle.tampered_text())
+
+
+@query(spelling.oracle_sql())
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, root and near words of every word of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
