@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationtide.functions.intervals import holds_point, overlaps
+from stationtide.functions.intervals import LATITUDE_LIMIT, LONGITUDE_LIMIT, holds_point, overlaps, tile_may_hold
 from stationtide.functions.names import asset_bucket, asset_file, version_key
 from stationtide.functions.tiles import asset_name
 from stationtide.operators.tiling import TILE_KEYS, with_bounds
@@ -46,15 +46,21 @@ def row_bytes(df: DataFrame, columns) -> Column:
     return reduce(lambda a, b: a + b, variable, F.lit(fixed)).cast("bigint")
 
 
+def content_columns(tiled: DataFrame) -> list[str]:
+    """Columns of a tiled table that are no keys of its tiles."""
+    return [c for c in tiled.columns if c not in TILE_KEYS + ["lat_size", "lon_size"] + IDENTITY]
+
+
 def tile_parts(tiled: DataFrame, hashed: list[str] | None = None, by_day: bool = False) -> DataFrame:
     """One row per (tile, station, variable): everything a catalogue row is made of.
 
     Counts, hashes and extremes combine on the map side and merge further, so
     parts of several ingests can be added up. ``by_day`` adds the day to the
     grain: the parts then are the availability of the tile as well, and one pass
-    over the rows serves both.
+    over the rows serves both. The content is the sum of the row hashes, their
+    lower and upper 32 bits apart, so that neither order nor repeats get lost.
     """
-    content = hashed or [c for c in tiled.columns if c not in TILE_KEYS + ["lat_size", "lon_size"] + IDENTITY]
+    content = hashed or content_columns(tiled)
     identity = [c for c in IDENTITY if c in tiled.columns]
     with_hash = tiled.withColumn("_hash", row_hash(content))
     return with_hash.withColumn("_size", row_bytes(tiled, content)).groupBy(
@@ -63,7 +69,7 @@ def tile_parts(tiled: DataFrame, hashed: list[str] | None = None, by_day: bool =
         *([F.col("report_timestamp").cast("date").alias("day")] if by_day else []),
     ).agg(
         F.count(F.lit(1)).alias("n_obs"), F.sum("_size").alias("data_size"),
-        F.bit_xor("_hash").alias("hash_xor"), F.sum(F.col("_hash").bitwiseAND(F.lit(0xFFFFF))).alias("hash_sum"),
+        F.sum(F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("hash_low"), F.sum(F.shiftrightunsigned("_hash", 32)).alias("hash_high"),
         F.min("report_timestamp").alias("first_time"), F.max("report_timestamp").alias("last_time"),
     )
 
@@ -76,12 +82,12 @@ def build_catalogue(parts: DataFrame, time_size: str, dataset: str | None = None
     if version is not None:
         parts = parts.withColumn("version", F.lit(version))
     variables = (
-        F.array(*[F.lit(v) for v in declared_variables]) if declared_variables else F.array_sort(F.collect_set("variable"))
+        F.array(*[F.lit(v) for v in sorted(declared_variables)]) if declared_variables else F.array_sort(F.collect_set("variable"))
     )
     grouped = parts.groupBy(*IDENTITY, *TILE_KEYS, "lat_size", "lon_size").agg(
         variables.alias("variables"), F.array_sort(F.collect_set("station")).alias("stations"),
         F.sum("n_obs").alias("n_obs"), F.sum("data_size").alias("data_size"),
-        F.bit_xor("hash_xor").alias("_x"), F.sum("hash_sum").alias("_s"),
+        F.sum("hash_low").alias("hash_low"), F.sum("hash_high").alias("hash_high"),
     )
     bounded = with_bounds(grouped, time_size)
     return bounded.select(
@@ -95,14 +101,76 @@ def build_catalogue(parts: DataFrame, time_size: str, dataset: str | None = None
         "variables", "stations", F.array().cast("array<string>").alias("sources"),
         asset_name(F.col("dataset"), F.col("version"), F.col("dataset_source"), F.col("time_start"), time_size,
                    F.col("lat_start"), F.col("lon_start")).alias("asset"),
-        "n_obs", "data_size", F.concat_ws("-", F.hex("_x"), F.hex("_s"), F.col("n_obs").cast("string")).alias("file_checksum"),
+        "n_obs", "data_size", checksum().alias("file_checksum"), "hash_low", "hash_high",
     )
 
 
+def checksum() -> Column:
+    """Text that two tiles share if they hold the same rows, whatever their order and however many runs wrote them."""
+    return F.concat_ws("-", F.hex("hash_low"), F.hex("hash_high"), F.col("n_obs").cast("string"))
+
+
+def merged_entries(held: DataFrame, added: DataFrame) -> DataFrame:
+    """``added`` with what ``held`` has of the same assets: an entry is a sum, and so is the entry of several runs.
+
+    Both have at most one row for an asset, so a row grows with the stations of its tile and not with the number of runs.
+    """
+    sums, sets = ("n_obs", "data_size", "file_size", "hash_low", "hash_high"), ("variables", "stations", "sources")
+    before = held.select("asset", *[F.col(c).alias(f"_{c}") for c in (*sums, *sets, "runs")])
+    both = added.join(before, "asset", "left")
+    nothing = F.array().cast("array<string>")
+    united = lambda c: F.array_union(F.coalesce(f"_{c}", nothing), F.col(c))
+    summed = both.withColumns({**{c: F.coalesce(f"_{c}", F.lit(0)) + F.col(c) for c in sums},
+                               **{c: F.array_sort(united(c)) for c in sets}, "runs": united("runs")})
+    return summed.withColumn("file_checksum", checksum()).select(*added.columns)
+
+
 def catalogue_of(tiled: DataFrame, time_size: str, dataset: str, version: str, declared_variables=None) -> DataFrame:
     return build_catalogue(tile_parts(tiled), time_size, dataset, version, declared_variables)
 
 
+def _one_of(column: str):
+    return lambda names: F.col(column).isin([names] if isinstance(names, str) else list(names))
+
+
+def _span(axis: str, kind: str):
+    """One value is a point that the entry's closed range holds, two are a half-open range that it meets."""
+    def test(values) -> Column:
+        start, end = F.col(f"{axis}_coverage_start"), F.col(f"{axis}_coverage_end")
+        ends = [F.lit(v).cast(kind) for v in values]
+        if len(ends) > 2:
+            raise ValueError(f"{axis} takes one value or two")
+        return holds_point(start, end, *ends) if len(ends) == 1 else overlaps(start, end, *ends)
+
+    return test
+
+
+def _box(axis: str, limit: float):
+    return lambda ends: tile_may_hold(F.col(f"{axis}_coverage_start"), F.col(f"{axis}_coverage_end"), *ends, limit)
+
+
+#: What can be asked of an entry, by name: the wanted value to a predicate.
+ENTRY_TESTS = {
+    "dataset": _one_of("dataset"),
+    "dataset_source": _one_of("dataset_source"),
+    "version": _one_of("version"),
+    "stations": lambda names: shares_element("stations", names),
+    "variables": lambda names: shares_element("variables", names),
+    "time": _span("time", "timestamp_ntz"),
+    "latitudes": _span("latitude", "double"),
+    "longitudes": _span("longitude", "double"),
+    # Of a retrieval: no entry that may hold a row is lost, those on the ends of the axes included.
+    "latitude_box": _box("latitude", LATITUDE_LIMIT),
+    "longitude_box": _box("longitude", LONGITUDE_LIMIT),
+    "months": lambda asked: holds_any_month(*asked),
+}
+
+
+def entries_with(**wanted) -> Column:
+    """Predicate on entries: every test of ENTRY_TESTS whose value is given and not blank."""
+    return reduce(lambda a, b: a & b, (ENTRY_TESTS[name](value) for name, value in wanted.items() if value), F.lit(True))
+
+
 @dataclass(frozen=True)
 class CatalogueFilter:
     """Optional catalogue conditions; blank ones are left out."""
@@ -118,29 +186,8 @@ class CatalogueFilter:
     deprecated: bool | str = False
 
     def condition(self) -> Column:
-        terms = []
-        if self.dataset:
-            terms.append(F.col("dataset") == self.dataset)
-        if self.dataset_source:
-            terms.append(F.col("dataset_source") == self.dataset_source)
-        if self.variables:
-            terms.append(shares_element("variables", self.variables))
-        if self.stations:
-            terms.append(shares_element("stations", self.stations))
-        if self.versions:
-            terms.append(F.col("version").isin(list(self.versions)))
-        for values, name, kind in (
-            (self.time, "time", "timestamp_ntz"), (self.latitudes, "latitude", "double"), (self.longitudes, "longitude", "double")
-        ):
-            start, end = F.col(f"{name}_coverage_start"), F.col(f"{name}_coverage_end")
-            literals = [F.lit(v).cast(kind) for v in values]
-            if len(literals) == 1:
-                terms.append(holds_point(start, end, literals[0]))
-            elif len(literals) == 2:
-                terms.append(overlaps(start, end, *literals))
-            elif literals:
-                raise ValueError(f"{name} takes one value or two")
-        return reduce(lambda a, b: a & b, terms, F.lit(True))
+        asked = {name: value for name, value in vars(self).items() if name in ENTRY_TESTS}
+        return entries_with(**asked, version=self.versions)
 
 
 def shares_element(column: str, values) -> Column:

@@ -1,8 +1,16 @@
-"""Tables of value combinations as few boxes of value sets, and back."""
+"""Tables of value combinations as few boxes of value sets, and back.
+
+A set of values goes by its fingerprint while boxes are merged: the XOR of 128-bit hashes of its members. Boxes that agree in
+all other columns have disjoint sets in the one that is left, so the fingerprint of their union is the XOR of theirs, and
+no round groups by a set, shuffles one as a key or looks into one. The members of each different set stand in a side table
+for each column, which only changes where boxes were merged.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationtide.session import cut_lineage
 
@@ -10,22 +18,59 @@ from stationtide.session import cut_lineage
 STEADY = 3
 
 
-def measure(boxes: DataFrame, columns: list[str]) -> tuple[int, list[str]]:
-    """Number of boxes, and the columns by ascending number of distinct values (ties by name), in one job."""
-    counts = boxes.agg(
-        F.count(F.lit(1)).alias("n_boxes"), *[F.count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)]
-    ).first()
-    distinct = dict(zip(columns, counts[1:]))
-    return counts[0], sorted(columns, key=lambda c: (distinct[c], c))
-
-
-def merge_once(boxes: DataFrame, order: list[str]) -> DataFrame:
-    """For each column: join the boxes that agree on all others."""
-    for column in order:
-        rest = [c for c in order if c != column]
-        merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.col(f"`{column}`")))))
-        boxes = boxes.groupBy(*[F.col(f"`{c}`") for c in rest]).agg(merged.alias(column))
-    return boxes
+def _mark(i: int) -> list[str]:
+    """Columns with the fingerprint of the set in column i."""
+    return [f"a{i}", f"b{i}"]
+
+
+def _fingerprint(value: Column) -> list[Column]:
+    """Two 64-bit hashes; null is a value of its own."""
+    known = value.isNotNull()
+    return [F.xxhash64(known, value), F.xxhash64(value, known, F.lit(1))]
+
+
+@dataclass
+class Boxes:
+    """``rows``: the fingerprints of each box; ``sets``: for each column its different sets as (a, b, value)."""
+
+    columns: list[str]
+    rows: DataFrame
+    sets: list[DataFrame]
+    n: int
+
+    @classmethod
+    def of(cls, rows: DataFrame, columns: list[str]) -> Boxes:
+        distinct = cut_lineage(rows.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns)]).distinct())
+        marks = [[m.alias(name) for m, name in zip(_fingerprint(F.col(f"v{i}")), _mark(i))] for i in range(len(columns))]
+        sets = [cut_lineage(distinct.select(*marks[i], F.col(f"v{i}").alias("value")).distinct()) for i in range(len(columns))]
+        boxes = cut_lineage(distinct.select(*[m for pair in marks for m in pair]))
+        return cls(columns, boxes, sets, boxes.count())
+
+    def order(self) -> list[int]:
+        """Columns by ascending number of different sets, ties by name."""
+        counts = [s.select(*_mark(i)).distinct().count() for i, s in enumerate(self.sets)]
+        return sorted(range(len(self.columns)), key=lambda i: (counts[i], self.columns[i]))
+
+    def merge(self, i: int) -> None:
+        """Join the boxes that agree on all columns but i."""
+        rest = [m for j in range(len(self.columns)) if j != i for m in _mark(j)]
+        a, b = _mark(i)
+        merged = self.rows.groupBy(*rest).agg(F.bit_xor(a).alias(a), F.bit_xor(b).alias(b), F.collect_set(F.struct(a, b)).alias("kids"))
+        merged = cut_lineage(merged)
+        n = merged.count()
+        if n < self.n:
+            kids = merged.select(F.col(a).alias("_a"), F.col(b).alias("_b"), F.explode("kids").alias("k")).select("_a", "_b", f"k.{a}", f"k.{b}").distinct()
+            self.sets[i] = cut_lineage(kids.join(self.sets[i], [a, b]).select(F.col("_a").alias(a), F.col("_b").alias(b), "value").distinct())
+        self.rows, self.n = merged.drop("kids"), n
+
+    def arrays(self) -> DataFrame:
+        """One row for each box with the sorted members of its sets. A member is looked up for different sets only."""
+        out = self.rows
+        for i, s in enumerate(self.sets):
+            members = s.groupBy(*_mark(i)).agg(F.collect_list(F.struct(F.col("value"))).alias("m"))
+            named = members.select(*_mark(i), F.transform(F.array_sort("m"), lambda x: x["value"]).alias(f"s{i}"))
+            out = out.join(named, _mark(i))
+        return out.select(*[F.col(f"s{i}").alias(c) for i, c in enumerate(self.columns)])
 
 
 def compress(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -33,20 +78,19 @@ def compress(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     Rounds go on until the number of boxes has been the same ``STEADY`` times in
     a row; it never grows, so that they end. A group only ever gathers distinct
-    values of one column, which the calendar, the code table or the station list
-    bounds. Each round ends in a reliable checkpoint.
+    sets of one column, which the calendar, the code table or the station list
+    bounds. Each step ends in a reliable checkpoint. Two sets are taken for equal
+    with a chance of about 2**-128 for each pair.
     """
     columns = columns or rows.columns
-    distinct = rows.select(*[F.col(f"`{c}`") for c in columns]).distinct()
-    boxes = cut_lineage(distinct.select(*[F.array(F.col(f"`{c}`")).alias(c) for c in columns]))
-    n_before, order = measure(boxes, columns)
-    steady = 0
+    boxes = Boxes.of(rows, columns)
+    steady, n_before = 0, boxes.n
     while steady < STEADY and n_before > 1:
-        boxes = cut_lineage(merge_once(boxes, order))
-        n_after, order = measure(boxes, columns)
-        steady = steady + 1 if n_after >= n_before else 0
-        n_before = n_after
-    return boxes.select(*columns)
+        for i in boxes.order():
+            boxes.merge(i)
+        steady = steady + 1 if boxes.n >= n_before else 0
+        n_before = boxes.n
+    return boxes.arrays()
 
 
 def expand(boxes: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -23,12 +23,12 @@ def assign_tiles(
     df: DataFrame, lat_size=5, lon_size=5, time_size: str = "month", space: SpaceColumns = SpaceColumns("longitude", "latitude"),
     time_column: str = "report_timestamp", source_column: str = "dataset_source",
 ) -> DataFrame:
-    """Add the tile keys and sizes. Rows without a coordinate belong to no tile and are dropped.
+    """Add the tile keys and sizes. Rows without a coordinate or without a time belong to no tile and are dropped.
 
     Sizes may depend on source and year; data of several years then gets its
     sizes row by row, without a join.
     """
-    kept, _ = with_coordinates(df, space)
+    kept = with_coordinates(df, space)[0].where(F.col(time_column).isNotNull())
     year = F.year(time_column)
     source = F.col(source_column) if source_column in df.columns else F.lit("")
     lat, lon = per_year_size(lat_size, source, year), per_year_size(lon_size, source, year)

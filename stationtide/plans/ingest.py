@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.config import DatasetConfig
 from stationtide.functions.intervals import within
+from stationtide.functions.tiles import asset_name
 from stationtide.functions.times import period_start, ts
 from stationtide.operators.catalogue import (
-    IDENTITY, absent_datasets, absent_versions, build_catalogue, tile_parts, tile_status,
+    IDENTITY, absent_datasets, absent_versions, build_catalogue, content_columns, row_hash, tile_parts, tile_status,
 )
 from stationtide.operators.codes import backfill_units, decode_units, define_units
 from stationtide.operators.homogenise import homogenise, missing_mandatory, select_model_columns
@@ -16,27 +20,27 @@ from stationtide.operators.quality import assert_period, validation_report
 from stationtide.operators.reshape import melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles, declared_batches
 from stationtide.plans.sanity import require_summary
-from stationtide.session import broadcast_if_small, cut_lineage
+from stationtide.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
 from stationtide.sources.store import (
-    append_catalogue, has_catalogue, new_run, read_catalogue, read_listed_tiles, read_tiles, register_version, replace_catalogue, stored_sizes, write_parts, write_tiles,
+    BATCHES, ENTRIES, LAYOUT, RUN_MARK, Commit, CommitConflict, commit_entries, entries_at, files_of, has_catalogue, listed_keys, new_run, parts_of, read_batches,
+    read_catalogue, read_files, read_listed_tiles, read_log, read_tiles, register_version, write_manifest, write_parts, write_tiles,
 )
 
+#: Grain at which new and stored rows are compared.
+GROUP = [*TILE_KEYS, "station", "variable", "day"]
+#: How often an ingestion starts again after another writer got in between.
+ATTEMPTS = 5
+
 
 class IngestError(RuntimeError):
     """Stored tiles and new tiles contradict each other."""
 
 
 def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: DataFrame | None = None,
-                    period=None, done: DataFrame | None = None) -> DataFrame:
-    """Homogenised long observations with units. Narrow: the only joins are with code tables.
-
-    ``done`` lists period starts to leave out; they are removed before the rows
-    are multiplied by melting.
-    """
+                    period=None) -> DataFrame:
+    """Homogenised long observations with units. Narrow: the only joins are with code tables."""
     definition = config.sources[source]
     rows = homogenise(raw, definition, config.space)
-    if done is not None:
-        rows = without_periods(rows, done, config.time_tile_size)
     if definition.melt:
         rows = melt_source(rows, definition)
     if period is not None:
@@ -46,90 +50,204 @@ def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: D
     return decode_units(rows, units) if units is not None else rows
 
 
-def without_periods(rows: DataFrame, done: DataFrame, time_size: str) -> DataFrame:
-    """Rows of periods that are not listed. The list is bounded by the calendar."""
-    listed = broadcast_if_small(done.select(F.col("time_start").alias("_done")))
-    start = period_start(F.col("report_timestamp"), time_size)
-    return rows.join(listed, start == F.col("_done"), "left_anti")
+def raw_period(config: DatasetConfig, source: str):
+    """Start of the period of a raw row; rows without a time have none and belong to no tile."""
+    return period_start(F.col(f"`{config.sources[source].raw_time_column}`").cast("timestamp_ntz"), config.time_tile_size)
+
+
+def of_periods(raw: DataFrame, config: DatasetConfig, source: str, periods: list) -> DataFrame:
+    """Raw rows of the listed periods; the list is bounded by the calendar."""
+    return raw.where(raw_period(config, source).isin(periods))
 
 
 def tiled_observations(raw: DataFrame, config: DatasetConfig, source: str, version: str,
-                       graph=None, units: DataFrame | None = None, period=None, done: DataFrame | None = None) -> DataFrame:
+                       graph=None, units: DataFrame | None = None, period=None) -> DataFrame:
     """Observations with tile keys and identity columns, ready to be written."""
-    rows = observations_of(raw, config, source, units, period, done)
+    rows = observations_of(raw, config, source, units, period)
     if graph is not None:
         rows = select_model_columns(rows, graph)
     rows = rows.withColumns({"dataset": F.lit(config.name), "version": F.lit(version), "dataset_source": F.lit(source)})
     return assign_dataset_tiles(rows, config, source)
 
 
-def stored_batches(catalogue: DataFrame, config: DatasetConfig, source: str, version: str) -> DataFrame:
-    """Tile keys that the catalogue lists for one source and version."""
-    return catalogue.where(
-        (F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source)
-    ).select(
-        F.col("time_coverage_start").cast("date").alias("time_start"),
-        F.col("latitude_coverage_start").cast("int").alias("lat_start"),
-        F.col("longitude_coverage_start").cast("int").alias("lon_start"),
-    ).distinct()
+def raw_batches(raw: DataFrame, config: DatasetConfig, source: str, version: str, mark: str) -> DataFrame:
+    """BATCHES: the rows of each period of ``raw`` as a count and an order-free sum of their hashes.
+
+    ``mark`` stands for everything else that the stored rows depend on.
+    """
+    plain = [f.name for f in raw.schema.fields if f.dataType.typeName() != "map"]
+    hashed = raw.select(raw_period(config, source).alias("batch_start"), row_hash(plain).alias("h")).where("batch_start IS NOT NULL")
+    return hashed.groupBy("batch_start").agg(
+        F.count(F.lit(1)).alias("n_raw"), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("raw_low"), F.sum(F.shiftrightunsigned("h", 32)).alias("raw_high")
+    ).select(F.lit(config.name).alias("dataset"), F.lit(version).alias("version"), F.lit(source).alias("dataset_source"), F.lit(mark).alias("mark"),
+             "batch_start", "n_raw", "raw_low", "raw_high")
+
+
+def _identified(df: DataFrame, config: DatasetConfig, source: str, version: str) -> DataFrame:
+    return df.where((F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source))
 
 
 def ingest(spark: SparkSession, raw: DataFrame, config: DatasetConfig, source: str, version: str, root: str,
-           graph=None, units: DataFrame | None = None, complete_batches: bool = False) -> DataFrame:
-    """Write what the store lacks of ``raw`` and return the new catalogue entries, none for an empty batch.
-
-    Periods (tiles, where the source is read by space) without an entry are written whole. In the others the tiles with
-    fewer stored than incoming rows get the rows whose observation id is not stored yet, so that data which arrives late
-    or in parts is not lost. ``complete_batches`` declares that a stored batch was read whole, and skips it unread. The
-    catalogue is written last and is the commit point. Its rows are computed from the stored tiles, so they describe
-    exactly what can be read back.
+           graph=None, units: DataFrame | None = None, complete_batches: bool = False, on_change: str = "error", run: str | None = None) -> DataFrame:
+    """Write what the store lacks of ``raw`` and return the entries of what was written, none for an empty batch.
+
+    Periods that were taken in before with the same raw rows are left out unread. Those without an entry are written whole.
+    In the others new and stored rows are compared by content: parts (tile, station, variable, day) with the same number of
+    rows and the same sum of row hashes hold the same; in the parts that differ, the rows whose observation id is not stored
+    are written, be they many or few. A row without an id is known by its content.
+
+    An id that comes back with other values is an error with ``on_change`` "error"; with "replace" the tile is written anew with
+    the new row in place of the old one; with "keep" the stored row stays. ``complete_batches`` declares that a stored period
+    was read whole, and skips it uncompared. ``run`` names the run, for callers that must find it again.
+
+    The commit is the last step. If another writer has changed one of the same tiles meanwhile, the ingestion starts again
+    on what is stored then.
     """
-    existing = read_catalogue(spark, root) if has_catalogue(spark, root) else None
-    if existing is None:
-        pending = tiled_observations(raw, config, source, version, graph, units)
-    else:
-        stored = stored_batches(existing, config, source, version)
-        by_period = None if config.read_by_space else stored.select("time_start").distinct()
-        new = tiled_observations(raw, config, source, version, graph, units, done=by_period)
-        if config.read_by_space:
-            new = new.join(broadcast_if_small(stored), TILE_KEYS, "left_anti")
-        late = None if complete_batches else late_rows(spark, tiled_observations(raw, config, source, version, graph, units), existing, config, source, version, root)
-        pending = new if late is None else new.unionByName(late)
-    if pending.isEmpty():
-        return existing.where("false") if existing is not None else build_catalogue(tile_parts(pending, by_day=True), config.time_tile_size)
-    run = new_run()
+    if on_change not in ("error", "replace", "keep"):
+        raise ValueError(f"on_change is {on_change!r}")
+    for left in range(ATTEMPTS - 1, -1, -1):
+        try:
+            return _ingest(spark, raw, config, source, version, root, graph, units, complete_batches, on_change, run or new_run())
+        except CommitConflict:
+            if not left:
+                raise
+    raise AssertionError
+
+
+def _ingest(spark, raw, config, source, version, root, graph, units, complete_batches, on_change, run) -> DataFrame:
+    log = read_log(spark, root)
+    existing = entries_at(spark, root, log)
+    own = _identified(existing, config, source, version)
+    mark = f"{crc32(repr((config.sources[source], config.space_of(source), graph is not None, units is not None)).encode()):08x}"
+    # Periods are as many as the calendar has: their counts may pass the driver.
+    came = raw_batches(raw, config, source, version, mark).collect()
+    if not came:
+        return nothing_written(spark, log, root, run)
+    batches = spark.createDataFrame(came, BATCHES)
+    known = {r.batch_start for r in read_batches(spark, root, log).join(F.broadcast(batches), batches.columns, "left_semi").collect()} if log else set()
+    fresh = sorted(r.batch_start for r in came if r.batch_start not in known)
+    start = F.col("time_coverage_start").cast("date")
+    stored = {r.s for r in own.where(start.isin(fresh)).select(start.alias("s")).distinct().collect()} if log and fresh else set()
+    new, old = [p for p in fresh if p not in stored], [p for p in fresh if p in stored and not complete_batches]
+    if not new and not old:
+        return nothing_written(spark, log, root, run)
+    tiled = lambda periods: tiled_observations(of_periods(raw, config, source, periods), config, source, version, graph, units)
+    rows, rewritten = tiled(new) if new else None, None
+    if old:
+        late, rewritten = late_rows(spark, root, tiled(old), cut_lineage(own.where(start.isin(old))), on_change)
+        if late is not None:
+            rows = late if rows is None else rows.unionByName(late, allowMissingColumns=True)
+    taken = batches.where(F.col("batch_start").isin(new + old))
+    if rows is None:
+        return nothing_written(spark, log, root, run, taken)
     identity = {"dataset": config.name, "version": version, "dataset_source": source}
-    write_tiles(pending, root, run, identity, config.space_of(source))
-    return commit_run(spark, root, run, config.time_tile_size, list(config.sources[source].main_variables))
+    write_tiles(rows, root, run, identity, config.space_of(source))
+    return commit_run(spark, root, run, config.time_tile_size, list(config.sources[source].main_variables), log, rewritten, taken)
+
+
+def nothing_written(spark: SparkSession, log: list[Commit], root: str, run: str, taken: DataFrame | None = None) -> DataFrame:
+    """No entries. What was taken in is logged, and so is a streamed run, which must not be taken for lost."""
+    if taken is not None or run.startswith(RUN_MARK):
+        commit_entries(spark, root, log, run, batches=taken)
+    return spark.createDataFrame([], ENTRIES)
 
 
-def late_rows(spark: SparkSession, tiled: DataFrame, existing: DataFrame, config: DatasetConfig, source: str, version: str,
-              root: str) -> DataFrame | None:
-    """Rows of stored tiles that are not stored themselves, or None if no stored tile has fewer rows than came in.
+def late_rows(spark: SparkSession, root: str, tiled: DataFrame, own: DataFrame, on_change: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows to write, tiles to be written anew with them) of ``tiled`` against the entries ``own``; either may be None.
 
-    Tiles are compared by their row counts; only those that differ are read, and only their ids.
+    Only parts that differ are read from the store, and of those only ids and hashes.
     """
-    own = existing.where((F.col("dataset") == config.name) & (F.col("version") == version) & (F.col("dataset_source") == source))
-    keys = own.select(F.col("time_coverage_start").cast("date").alias("time_start"), F.col("latitude_coverage_start").cast("int").alias("lat_start"),
-                          F.col("longitude_coverage_start").cast("int").alias("lon_start"), "run", "n_obs")
-    held = keys.groupBy(*TILE_KEYS).agg(F.sum("n_obs").alias("held"))
-    came = tiled.groupBy(*TILE_KEYS).agg(F.count(F.lit(1)).alias("came"))
-    short = cut_lineage(came.join(held, TILE_KEYS).where("came > held").select(*TILE_KEYS))
-    if short.isEmpty():
-        return None
-    runs = [r.run for r in keys.join(short, TILE_KEYS, "left_semi").select("run").distinct().collect()]
-    chosen = broadcast_if_small(short)
-    ids = read_listed_tiles(spark, root, runs).where(F.col("dataset") == config.name).where(
-        (F.col("version") == version) & (F.col("dataset_source") == source)).join(chosen, TILE_KEYS, "left_semi").select("observation_id")
-    return tiled.join(chosen, TILE_KEYS, "left_semi").join(ids, "observation_id", "left_anti")
-
-
-def commit_run(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None) -> DataFrame:
-    """List the tiles of a run: parts first, catalogue last."""
+    came = tile_parts(tiled, by_day=True).select(*GROUP, "n_obs", "hash_low", "hash_high")
+    held = parts_of(spark, root, listed_keys(own)).groupBy(*GROUP).agg(*[F.sum(c).alias(f"_{c}") for c in ("n_obs", "hash_low", "hash_high")])
+    # Stations can be null.
+    both = came.join(held.withColumnsRenamed({c: f"_{c}" for c in GROUP}), _same(GROUP, "_"), "left")
+    differ = both.where(F.col("_n_obs").isNull() | (F.col("n_obs") != F.col("_n_obs")) | (F.col("hash_low") != F.col("_hash_low")) | (F.col("hash_high") != F.col("_hash_high")))
+    differ = cut_lineage(differ.select(*GROUP, F.col("_n_obs").isNotNull().alias("_met")))
+    n_parts = {r["_met"]: r["count"] for r in differ.groupBy("_met").count().collect()}
+    if not n_parts:
+        return None, None
+    named = _listed(differ.withColumnsRenamed({c: f"_{c}" for c in GROUP}), sum(n_parts.values()))
+    content = content_columns(tiled)
+    rows = _with_group(tiled).join(named, _same(GROUP, "_"))
+    if True not in n_parts:
+        return rows.select(*tiled.columns), None
+    rows = _with_id(rows.withColumn("_hash", row_hash(content)).drop(*[f"_{c}" for c in GROUP]), content)
+    met = _listed(differ.where("_met").select(*[F.col(c).alias(f"_{c}") for c in GROUP]), n_parts[True])
+    tiles = met.select(*[f"_{c}" for c in TILE_KEYS]).distinct()
+    kept = _with_group(_stored(spark, root, own.join(tiles, _entry_of("_"), "left_semi"), tiled, content)).join(met, _same(GROUP, "_"), "left_semi")
+    known = _with_id(kept.withColumn("_hash", row_hash(content)), content).select(*TILE_KEYS, "_id", "_hash").distinct()
+    # An id is stored once as a rule; where it has several contents, each of them counts as stored.
+    known = known.groupBy(*TILE_KEYS, "_id").agg(F.collect_set("_hash").alias("_hashes"))
+    judged = rows.join(known, [*TILE_KEYS, "_id"], "left")
+    state = F.when(F.col("_hashes").isNull(), "new").when(F.array_contains("_hashes", F.col("_hash")), "same").otherwise("changed")
+    judged = cut_lineage(judged.withColumn("_state", state).where("_state <> 'same'").drop("_hashes"))
+    found = {r["_state"]: r for r in judged.groupBy("_state").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("id"), F.min("time_start").alias("period")).collect()}
+    if "changed" in found and on_change == "error":
+        bad = found["changed"]
+        raise IngestError(f"{bad.n} stored observations came with other values, observation {bad.id} for one; the first is of the period {bad.period}")
+    fresh = judged.where("_state = 'new'").select(*tiled.columns) if "new" in found else None
+    if "changed" not in found or on_change == "keep":
+        return fresh, None
+    changed = judged.where("_state = 'changed'")
+    again = cut_lineage(changed.select(*TILE_KEYS).distinct())
+    whole = _stored(spark, root, own.join(again.withColumnsRenamed({c: f"_{c}" for c in TILE_KEYS}), _entry_of("_"), "left_semi"), tiled, content)
+    whole = _with_id(whole.withColumn("_hash", row_hash(content)), content)
+    rest = whole.join(changed.select(*TILE_KEYS, "_id").distinct(), [*TILE_KEYS, "_id"], "left_anti").drop("_id", "_hash", "run")
+    return judged.select(*tiled.columns).unionByName(rest, allowMissingColumns=True), again
+
+
+def _listed(parts: DataFrame, n: int) -> DataFrame:
+    """A list whose rows were counted: broadcast within the bound."""
+    return F.broadcast(parts) if n <= BROADCAST_ROWS else parts
+
+
+def _stored(spark: SparkSession, root: str, entries: DataFrame, like: DataFrame, content: list[str]) -> DataFrame:
+    """Stored rows of the entries, with null for columns that they lack."""
+    rows = read_files(spark, root, files_of(spark, root, entries))
+    return rows.withColumns({c: F.lit(None).cast(like.schema[c].dataType) for c in content if c not in rows.columns})
+
+
+def _same(columns: list[str], prefix: str):
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns))
+
+
+def _entry_of(prefix: str):
+    """The entry of a tile whose keys have a prefix."""
+    return ((F.col("time_coverage_start").cast("date") == F.col(f"{prefix}time_start")) & (F.col("latitude_coverage_start").cast("int") == F.col(f"{prefix}lat_start"))
+            & (F.col("longitude_coverage_start").cast("int") == F.col(f"{prefix}lon_start")))
+
+
+def _with_group(tiled: DataFrame) -> DataFrame:
+    return tiled.withColumns({"station": F.col("primary_station_id").cast("string"), "variable": F.col("observed_variable").cast("string"),
+                              "day": F.col("report_timestamp").cast("date")})
+
+
+def _with_id(rows: DataFrame, content: list[str]) -> DataFrame:
+    """The id that a row is known by: its own, or its content."""
+    mark = F.concat(F.lit("content "), F.hex("_hash"))
+    return rows.withColumn("_id", F.coalesce(F.col("observation_id").cast("string"), mark) if "observation_id" in content else mark)
+
+
+def run_entries(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None) -> DataFrame:
+    """Entries of the tiles of a run, from what is stored: its parts and its manifest are written first."""
     parts = write_parts(tile_parts(read_tiles(spark, root, [run]).drop("run"), by_day=True), root, run)
+    sizes = write_manifest(spark, root, run).groupBy(*LAYOUT).agg(F.sum("bytes").alias("file_size"))
     entries = build_catalogue(parts, time_size, declared_variables=declared_variables)
-    append_catalogue(with_file_size(entries, stored_sizes(spark, root, run)).withColumn("run", F.lit(run)), root)
-    return read_catalogue(spark, root).where(F.col("run") == run)
+    return with_file_size(entries, sizes).withColumns({"runs": F.array(F.lit(run)), "run": F.lit(run)})
+
+
+def commit_run(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None, log: list[Commit] | None = None,
+               rewritten: DataFrame | None = None, batches: DataFrame | None = None) -> DataFrame:
+    """List the tiles of a run: parts and manifest first, the catalogue last. ``rewritten`` tiles (TILE_KEYS) take the place of what
+    is stored of them, the others add to it. Returns the entries of the run alone."""
+    entries = run_entries(spark, root, run, time_size, declared_variables)
+    log = read_log(spark, root) if log is None else log
+    if rewritten is None:
+        commit_entries(spark, root, log, run, added=entries, batches=batches)
+    else:
+        tiles = broadcast_if_small(rewritten.withColumnsRenamed({c: f"_{c}" for c in TILE_KEYS}))
+        commit_entries(spark, root, log, run, added=entries.join(tiles, _entry_of("_"), "left_anti"), replaced=entries.join(tiles, _entry_of("_"), "left_semi"), batches=batches)
+    return entries
 
 
 def with_file_size(entries: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -142,11 +260,64 @@ def with_file_size(entries: DataFrame, sizes: DataFrame) -> DataFrame:
     return entries.join(keyed, IDENTITY + ["time_coverage_start", "latitude_coverage_start", "longitude_coverage_start"])
 
 
+def compact(spark: SparkSession, root: str, time_size: str, target_bytes: int = 128 << 20, keep_commits: int = 20) -> DataFrame:
+    """Write the small pieces of tiles that several runs hold into one run, and return the entries that changed.
+
+    Of a tile, the runs whose files there are smaller than ``target_bytes`` are read and written together; larger ones stay
+    where they are. Pieces of streams and others are packed apart, so that both can still be told from each other. The new
+    run takes their place in one commit; whoever has read the catalogue before goes on reading the old files. A catalogue
+    of more than ``keep_commits`` commits is folded into one.
+    """
+    log = read_log(spark, root)
+    entries = entries_at(spark, root, log)
+    files = files_of(spark, root, entries)
+    lane = F.col("run").startswith(RUN_MARK)
+    pieces = files.groupBy("run", *LAYOUT).agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") < target_bytes).withColumn("_lane", lane)
+    crowded = pieces.groupBy(*LAYOUT, "_lane").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    chosen = cut_lineage(pieces.join(crowded, [*LAYOUT, "_lane"], "left_semi").select("run", *LAYOUT, "_lane"))
+    changed = None
+    for streamed in (False, True):
+        lane_pieces = chosen.where(F.col("_lane") == streamed).drop("_lane")
+        if lane_pieces.isEmpty():
+            continue
+        run = (RUN_MARK if streamed else "") + new_run()
+        own = broadcast_if_small(lane_pieces)
+        rows = read_files(spark, root, files.join(own, own.columns, "left_semi")).drop("run")
+        write_tiles(rows, root, run)
+        fresh = run_entries(spark, root, run, time_size)
+        n_before = files.join(own, own.columns, "left_semi").agg(F.sum("n_rows")).first()[0]
+        if fresh.agg(F.sum("n_obs")).first()[0] != n_before:
+            raise IngestError("the packed run does not hold the rows of its pieces")
+        # The entry of a tile stays what it is but for the runs that hold it and their bytes.
+        packed = _by_asset(lane_pieces, time_size).groupBy("asset").agg(F.collect_set("run").alias("_old"))
+        bytes_of = _by_asset(files, time_size).groupBy("asset", "run").agg(F.sum("bytes").alias("b")).join(packed, "asset").where(F.array_contains("_old", F.col("run")))
+        freed = bytes_of.groupBy("asset").agg(F.sum("b").alias("_freed"))
+        now = entries_at(spark, root, log).join(packed, "asset").join(freed, "asset").join(fresh.select("asset", F.col("file_size").alias("_new")), "asset")
+        moved = now.withColumns({"runs": F.concat(F.array_except("runs", "_old"), F.array(F.lit(run))), "run": F.lit(run), "file_size": F.col("file_size") - F.col("_freed") + F.col("_new")})
+        commit = commit_entries(spark, root, log, run, replaced=cut_lineage(moved.select(*entries.columns)))
+        log = [*log, commit] if commit.number == (log[-1].number if log else 0) + 1 else read_log(spark, root)
+        ours = entries_at(spark, root, log).where(F.array_contains("runs", run))
+        changed = ours if changed is None else changed.unionByName(ours)
+    if len(log) > keep_commits:
+        fold_log(spark, root)
+    return changed if changed is not None else entries.where("false")
+
+
+def _by_asset(keyed: DataFrame, time_size: str) -> DataFrame:
+    return keyed.withColumn("asset", asset_name(F.col("dataset"), F.col("version"), F.col("dataset_source"), F.col("time_start"), time_size, F.col("lat_start"), F.col("lon_start")))
+
+
+def fold_log(spark: SparkSession, root: str) -> Commit:
+    """One commit that holds all entries and batches, so that readers need not put the catalogue together."""
+    log = read_log(spark, root)
+    return commit_entries(spark, root, log, replaced=entries_at(spark, root, log), batches=read_batches(spark, root, log).distinct(), whole=True)
+
+
 def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, source: str, version: str, root: str) -> DataFrame:
     """Tile-level save: identical tiles are skipped, different ones are an error, new ones are written."""
+    log = read_log(spark, root)
     entries = build_catalogue(tile_parts(tiled), config.time_tile_size)
-    existing = read_catalogue(spark, root) if has_catalogue(spark, root) else entries.where("false")
-    status = cut_lineage(tile_status(entries, existing))
+    status = cut_lineage(tile_status(entries, entries_at(spark, root, log)))
     clash = status.where(F.col("status") == "exists_different").first()
     if clash is not None:
         raise IngestError(f"{clash.asset} is stored with different content")
@@ -159,7 +330,7 @@ def save_tiles(spark: SparkSession, tiled: DataFrame, config: DatasetConfig, sou
         run = new_run()
         rows = tiled.join(broadcast_if_small(new), IDENTITY + TILE_KEYS, "left_semi")
         write_tiles(rows, root, run, {"dataset": config.name, "version": version, "dataset_source": source}, config.space_of(source))
-        commit_run(spark, root, run, config.time_tile_size)
+        commit_run(spark, root, run, config.time_tile_size, log=log)
     return status
 
 
@@ -178,11 +349,11 @@ def ingest_declared(spark: SparkSession, raw: DataFrame, config: DatasetConfig,
     per_batch = lambda entries: entries.where(own).groupBy(F.col("time_coverage_start").cast("date").alias("batch_start")).agg(
         F.sum("n_obs").alias("n"))
     # Fixed before this run adds to the catalogue.
-    before = cut_lineage(per_batch(read_catalogue(spark, root))).withColumnRenamed("n", "held") if has_catalogue(spark, root) else None
+    before = cut_lineage(per_batch(read_catalogue(spark, root))).withColumnRenamed("n", "held")
     span = raw.where(within(F.col(config.sources[source].raw_time_column), ts(str(ends.a)), ts(str(ends.b))))
     entries = ingest(spark, span, config, source, version, root, graph, units, complete_batches=True)
     report = batches.join(per_batch(entries), "batch_start", "left")
-    report = report.join(before, "batch_start", "left") if before is not None else report.withColumn("held", F.lit(None).cast("bigint"))
+    report = report.join(before, "batch_start", "left")
     if has_catalogue(spark, root):
         require_summary(read_catalogue(spark, root).where(own), config.sources[source].main_variables)
     status = F.when(F.col("held").isNotNull(), "stored").when(F.col("n").isNotNull(), "written").otherwise("empty")
@@ -241,24 +412,15 @@ def backfill_stored_units(spark: SparkSession, root: str, units: DataFrame, time
     """Rewrite stored tiles whose units still are numeric codes; tiles with names are left alone.
 
     The rewritten tiles are a new run. The catalogue then names it in place of
-    the old one, with the new sizes and checksums.
+    the old ones, with the new sizes and checksums.
     """
-    tiles, entries = read_listed_tiles(spark, root), read_catalogue(spark, root)
-    stale = cut_lineage(tiles.where(F.col("units").rlike(r"^\d+$")).select("run", *IDENTITY, *TILE_KEYS).distinct())
+    log = read_log(spark, root)
+    entries = entries_at(spark, root, log)
+    tiles = read_files(spark, root, files_of(spark, root, entries))
+    stale = cut_lineage(tiles.where(F.col("units").rlike(r"^\d+$")).select(*IDENTITY, *TILE_KEYS).distinct())
     if stale.isEmpty():
         return entries.where("false")
-    rows = tiles.join(broadcast_if_small(stale), stale.columns, "left_semi").drop("run")
     run = new_run()
-    write_tiles(backfill_units(rows, units), root, run)
-    parts = write_parts(tile_parts(read_tiles(spark, root, [run]).drop("run"), by_day=True), root, run)
-    fresh = with_file_size(build_catalogue(parts, time_size), stored_sizes(spark, root, run)).withColumn("run", F.lit(run))
-    old = stale.select(
-        "run", *IDENTITY, F.col("time_start").cast("timestamp_ntz").alias("time_coverage_start"),
-        F.col("lat_start").cast("double").alias("latitude_coverage_start"),
-        F.col("lon_start").cast("double").alias("longitude_coverage_start"),
-    )
-    kept = entries.join(old, old.columns, "left_anti")
-    # The variables of an entry are those declared at ingestion and do not change.
-    declared = entries.join(old, old.columns, "left_semi").select("asset", "variables")
-    replace_catalogue(kept.unionByName(fresh.drop("variables").join(declared, "asset").select(*kept.columns)), root)
+    write_tiles(backfill_units(tiles.join(broadcast_if_small(stale), stale.columns, "left_semi").drop("run"), units), root, run)
+    commit_entries(spark, root, log, run, replaced=run_entries(spark, root, run, time_size))
     return read_catalogue(spark, root).where(F.col("run") == run)

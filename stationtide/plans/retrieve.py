@@ -8,15 +8,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stationtide.functions.intervals import (
-    LATITUDE_LIMIT, LONGITUDE_LIMIT, coordinate_within, overlaps, tile_may_hold, within,
-)
+from stationtide.functions.intervals import LATITUDE_LIMIT, LONGITUDE_LIMIT, coordinate_within, within
 from stationtide.functions.names import VERSION_PATTERN
 from stationtide.functions.times import ts
 from stationtide.model.lite import lite_columns
 from stationtide.session import broadcast_if_small
-from stationtide.sources.store import read_catalogue, read_tiles, run_names
-from stationtide.operators.catalogue import holds_any_month, in_catalogue_order, last_versions, shares_element
+from stationtide.sources.store import files_of, read_catalogue, read_files
+from stationtide.operators.catalogue import entries_with, in_catalogue_order, last_versions
 
 FORMATS = {"netCDF": "parquet", "parquet": "parquet", "csv": "csv"}
 
@@ -78,25 +76,23 @@ class Request:
         return _all(terms)
 
     def entry_condition(self, dataset: str | None = None) -> Column:
-        """Filter on catalogue entries; keeps every entry that may hold a requested row."""
-        terms = [] if dataset is None else [F.col("dataset") == dataset]
-        if self.dataset_source:
-            terms.append(F.col("dataset_source") == self.dataset_source)
-        if self.version != "last":
-            terms.append(F.col("version") == self.version)
-        if self.stations:
-            terms.append(shares_element("stations", self.stations))
-        if self.variables:
-            terms.append(shares_element("variables", self.variables))
-        for name, axis, limit in (("latitude", self.latitude_coverage, LATITUDE_LIMIT), ("longitude", self.longitude_coverage, LONGITUDE_LIMIT)):
-            if axis:
-                terms.append(tile_may_hold(F.col(f"{name}_coverage_start"), F.col(f"{name}_coverage_end"), *axis, limit))
+        """Filter on catalogue entries; keeps every entry that may hold a requested row.
+
+        A yearly tile holds the first of every month of its year, a monthly one of its own.
+        """
+        return entries_with(
+            dataset=dataset, dataset_source=self.dataset_source, version=None if self.version == "last" else self.version,
+            stations=self.stations, variables=self.variables, time=self.time_coverage, latitude_box=self.latitude_coverage,
+            longitude_box=self.longitude_coverage, months=self.year and (self.year, self.month))
+
+    def file_condition(self) -> Column:
+        """Filter on files by the times of their rows."""
+        first, last = F.col("first_time"), F.col("last_time")
+        terms = []
         if self.time_coverage:
-            terms.append(overlaps(F.col("time_coverage_start"), F.col("time_coverage_end"),
-                                  ts(self.time_coverage[0]), ts(self.time_coverage[1])))
+            terms.append((last >= ts(self.time_coverage[0])) & (first < ts(self.time_coverage[1])))
         if self.year:
-            # A yearly tile holds the first of every month of its year, a monthly one of its own.
-            terms.append(holds_any_month(self.year, self.month))
+            terms.append((last >= ts(f"{min(self.year)}-01-01")) & (first < ts(f"{max(self.year) + 1}-01-01")))
         return _all(terms)
 
     def tile_condition(self, time_size: str, lat_size: int | None = None, lon_size: int | None = None) -> Column:
@@ -171,7 +167,7 @@ def retrieve_from_store(tiles: DataFrame, catalogue: DataFrame, versions: DataFr
         "dataset", "version", "dataset_source", F.col("time_coverage_start").cast("date").alias("time_start"),
         F.col("latitude_coverage_start").cast("int").alias("lat_start"),
         F.col("longitude_coverage_start").cast("int").alias("lon_start"),
-        *[c for c in ("run",) if c in entries.columns and c in tiles.columns],
+        *([F.explode("runs").alias("run")] if "runs" in entries.columns and "run" in tiles.columns else []),
     )
     pruned = tiles.where((F.col("dataset") == dataset) & (F.col("version") == version) & request.tile_condition(time_size))
     if request.dataset_source:
@@ -183,15 +179,18 @@ def retrieve_from_store(tiles: DataFrame, catalogue: DataFrame, versions: DataFr
 
 def retrieve_stored(spark: SparkSession, root: str, versions: DataFrame, dataset: str, request: Request, time_size: str,
                     disabled=()) -> DataFrame:
-    """Retrieve from a store by its own catalogue: entries first, then only the folders of the runs they name.
+    """Retrieve from a store by its own catalogue: entries first, then only the files that hold their tiles.
 
-    No matching entry raises :class:`NoDataFound`.
+    The files come from the manifests of the runs that the entries name, less those whose times lie outside the request; no
+    directory is searched, and no other file is opened. No matching entry raises :class:`NoDataFound`.
     """
     catalogue = read_catalogue(spark, root)
     version = request.version if request.version != "last" else resolve_version(versions, dataset)
     entries = require_entries(catalogue.where(request.entry_condition(dataset) & (F.col("version") == version)))
-    tiles = read_tiles(spark, root, run_names(entries))
-    return retrieve_from_store(tiles, catalogue, versions, dataset, request, time_size, disabled)
+    tiles = read_files(spark, root, files_of(spark, root, entries).where(request.file_condition()))
+    rows = tiles.where(request.tile_condition(time_size) & request.row_condition())
+    offered = lite_columns(disabled)
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in offered])
 
 
 def write_result(rows: DataFrame, request: Request, path: str) -> None:

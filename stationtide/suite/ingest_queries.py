@@ -9,16 +9,18 @@ from stationtide.model.definitions import default_graph
 from stationtide.model.literals import literal_table
 from stationtide.operators.joins import join_header_and_data
 from stationtide.operators.tiling import assign_tiles
-from stationtide.plans.ingest import commit_run, dry_run, ingest, ingest_declared, make_cdm, observations_of
+from stationtide.operators.catalogue import tile_status
+from stationtide.plans.ingest import commit_run, compact, dry_run, ingest, ingest_declared, make_cdm, observations_of
+from stationtide.plans.products import statistics
 from stationtide.plans.retrieve import Request, retrieve_stored
 from stationtide.plans.sanity import sanity_run
 from stationtide.session import scratch_path
 from stationtide.sources.registry import read_source
-from stationtide.sources.store import new_run, read_catalogue, read_listed_tiles, write_tiles
+from stationtide.sources.store import files_of, new_run, read_catalogue, read_files, read_listed_tiles, write_tiles
 from stationtide.streaming.incremental import open_file_stream, read_stream_catalogue, read_stream_tiles, stream_tiles
 from stationtide.functions.times import ts
 from stationtide.suite.registry import query
-from stationtide.suite.views import REPORTS, placed_reports, raw_report_tables, table, versions_of
+from stationtide.suite.views import REPORTS, obs, placed_reports, raw_report_tables, table, versions_of
 
 _SOURCE = "ship_and_land"
 
@@ -196,3 +198,95 @@ def q_sanity_store(spark, folder):
     root = scratch_path(spark, "sanity")
     ingest(spark, _raw(spark, folder), REPORTS, _SOURCE, "1.0.0", root)
     return sanity_run(spark, root, REPORTS, versions_of(read_catalogue(spark, root)), 1996)
+
+
+@query(_TILES.replace(f"FROM ({_LONG})", f"FROM ({_LONG}) WHERE report_timestamp < TIMESTAMP '1998-01-01'"))
+def q_delta_ingest(spark, folder):
+    """Everything before December 1997, then December alone: far fewer rows than the tiles hold, and all of them are kept."""
+    root = scratch_path(spark, "delta")
+    raw = _raw(spark, folder)
+    december = F.col("obs_date") >= ts("1997-12-01")
+    ingest(spark, raw.where(F.col("obs_date") < ts("1997-12-01")), REPORTS, _SOURCE, "1.0.0", root)
+    ingest(spark, raw.where(december & (F.col("obs_date") < ts("1998-01-01"))), REPORTS, _SOURCE, "1.0.0", root)
+    return read_catalogue(spark, root).select("asset", "n_obs", F.size("stations").cast("bigint").alias("n_stations"))
+
+
+@query(f"""SELECT observed_variable, count(*) AS n_rows, count(DISTINCT observation_id) AS n_ids,
+            sum(CASE WHEN observed_variable = 'quantity' AND report_id % 50 = 0 AND year(report_timestamp) = 1996 THEN observation_value + 1 ELSE observation_value END) AS total
+          FROM ({_LONG}) WHERE year(report_timestamp) <= 1996 GROUP BY 1""")
+def q_changed_rows(spark, folder):
+    """As many rows as are stored, some with other values: the new ones take the place of the old ones."""
+    root = scratch_path(spark, "changed")
+    raw = _raw(spark, folder).where(F.col("obs_date") < ts("1997-01-01"))
+    ingest(spark, raw, REPORTS, _SOURCE, "1.0.0", root)
+    wrong = (F.col("report_id") % 50 == 0) & (F.year("obs_date") == 1996)
+    again = raw.withColumn("l_quantity", F.when(wrong, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    ingest(spark, again, REPORTS, _SOURCE, "1.0.0", root, on_change="replace")
+    return read_listed_tiles(spark, root).groupBy("observed_variable").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("observation_id").alias("n_ids"), F.sum("observation_value").alias("total"))
+
+
+def _two_runs(spark, folder):
+    """A store whose tiles of 1997 came in two runs."""
+    root = scratch_path(spark, "two")
+    raw = _raw(spark, folder)
+    for part in (raw.where(F.col("obs_date") < ts("1997-07-01")), raw.where(F.col("obs_date") >= ts("1997-07-01"))):
+        ingest(spark, part, REPORTS, _SOURCE, "1.0.0", root)
+    return root, raw
+
+
+@query(f"""SELECT asset, 'exists_identical' AS status, CASE WHEN asset LIKE '%_1997_%' THEN 2 ELSE 1 END AS n_runs FROM ({_TILES})""")
+def q_status_of_two_runs(spark, folder):
+    """Tiles whose rows came in two runs have one entry, and it is identical with that of all rows."""
+    root, raw = _two_runs(spark, folder)
+    stored = read_catalogue(spark, root)
+    status = tile_status(dry_run(raw, REPORTS, _SOURCE, "1.0.0"), stored).select("asset", "status")
+    return status.join(stored.select("asset", F.size("runs").alias("n_runs")), "asset")
+
+
+@query(f"""SELECT 'number of partitions' AS metric, CAST(count(*) AS VARCHAR) AS "value" FROM ({_TILES})
+          UNION ALL SELECT 'number of stations', CAST(count(DISTINCT primary_station_id) AS VARCHAR) FROM ({_LONG})
+          UNION ALL SELECT 'version', '1.0.0' UNION ALL SELECT 'source', 'ship_and_land'""")
+def q_statistics_of_two_runs(spark, folder):
+    """Statistics count tiles, not the runs that brought them."""
+    root, _ = _two_runs(spark, folder)
+    return statistics(read_catalogue(spark, root)).where(F.col("metric").isin("number of partitions", "number of stations", "version", "source"))
+
+
+@query("""SELECT observed_variable, count(*) AS n_rows, sum(observation_value) AS total, true AS fewer_files, 1 AS n_runs FROM obs GROUP BY 1""")
+def q_compacted_store(spark, folder):
+    """Five runs of small files over the same tiles, packed into one: the same rows from fewer files, and no entry names an old run."""
+    root = scratch_path(spark, "packed")
+    rows = obs(spark, folder).withColumns({"dataset": F.lit("events"), "version": F.lit("1.0.0"), "dataset_source": F.lit("events")})
+    for k in range(5):
+        run = new_run()
+        part = rows.where(F.col("observation_id") % 5 == k)
+        write_tiles(assign_tiles(part, 180, 360, "year"), root, run, {"dataset": "events", "version": "1.0.0", "dataset_source": "events"})
+        commit_run(spark, root, run, "year")
+    before = files_of(spark, root, read_catalogue(spark, root)).count()
+    compact(spark, root, "year", keep_commits=4)
+    entries = read_catalogue(spark, root)
+    files = files_of(spark, root, entries)
+    counted = files.agg((F.count(F.lit(1)) < before).alias("fewer_files"), F.count_distinct("run").cast("int").alias("n_runs"))
+    kept = read_files(spark, root, files).groupBy("observed_variable").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("observation_value").alias("total"))
+    return kept.join(F.broadcast(counted), F.col("n_rows") > 0)
+
+
+@query(f"""SELECT observed_variable, count(*) AS n_rows, count(DISTINCT observation_id) AS n_ids, sum(observation_value) AS total FROM ({_LONG}) GROUP BY 1""")
+def q_stream_overlap(spark, folder):
+    """Three streamed files of which each repeats rows of the others: every row is stored once, as in a batch."""
+    root, source = scratch_path(spark, "overlap"), scratch_path(spark, "overlap-in")
+    header, _ = raw_report_tables(spark, folder)
+    lines = table(spark, folder, "lineitem")
+    for k in range(3):
+        lines.where(F.col("l_orderkey") % 3 != k).coalesce(1).write.mode("append").parquet(source)
+    raw = open_file_stream(spark, source, lines.schema, "*.parquet", files_per_batch=1)
+
+    def with_header(batch):
+        flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "R", 1)
+        return join_header_and_data(header.withColumnsRenamed({"o_orderkey": "report_id"}),
+                                    batch.withColumns({"flag": flag, "spread": F.col("l_tax")}).withColumnsRenamed({"l_orderkey": "report_id"}))
+
+    stream_tiles(raw, REPORTS, _SOURCE, "1.0.0", root, with_header).awaitTermination()
+    return read_stream_tiles(spark, root).groupBy("observed_variable").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("observation_id").alias("n_ids"), F.sum("observation_value").alias("total"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationtide.operators.availability import (
-    availability, constraint_size, constraint_table, constraints_from_json, constraints_to_json, decode_constraints, encode_constraints, flat_constraints, from_parts,
-    merge_constraints, narrow_availability, wide_availability,
+    availability, bitmap_size, bitmap_table, constraint_size, constraint_table, constraints_from_json, constraints_to_json, day_bitmaps, days_of, decode_constraints,
+    encode_constraints, flat_constraints, from_parts, json_fragments, merge_constraints, narrow_availability, positions_of, wide_availability,
 )
 from stationtide.operators.factorise import compress, expand, request_set
 from stationtide.operators.tiling import assign_tiles
@@ -71,6 +71,51 @@ def q_constraints_table(spark, folder):
     return constraint_size(encoded, keys).join(cells, keys)
 
 
+@query("""SELECT CAST(floor((latitude + 90) / 90) * 90 - 90 AS INT) AS lat_start, CAST(floor((longitude + 180) / 180) * 180 - 180 AS INT) AS lon_start,
+            primary_station_id AS station, strftime(report_timestamp, '%Y-%m-%d') AS day, observed_variable AS variable FROM obs GROUP BY ALL""")
+def q_constraints_bitmaps(spark, folder):
+    """Availability as day bitmaps of each station and variable, and back."""
+    keys = ["lat_start", "lon_start"]
+    bitmaps = cut_lineage(day_bitmaps(_entry_rows(spark, folder), keys))
+    return days_of(bitmaps, keys).select(*keys, "station", _day("day"), "variable")
+
+
+_CELLS = """SELECT CAST(floor((latitude + 90) / 90) * 90 - 90 AS INT) AS la, CAST(floor((longitude + 180) / 180) * 180 - 180 AS INT) AS lo,
+            primary_station_id AS s, CAST(report_timestamp AS DATE) AS d, observed_variable AS v FROM obs GROUP BY ALL"""
+
+
+@query(f"""WITH c AS ({_CELLS}), r AS (SELECT la, lo, v, dense_rank() OVER (PARTITION BY la, lo ORDER BY s) - 1 AS i, dense_rank() OVER (PARTITION BY la, lo ORDER BY d) - 1 AS j FROM c),
+            n AS (SELECT la, lo, count(DISTINCT d) AS n FROM c GROUP BY ALL)
+          SELECT la AS lat_start, lo AS lon_start, v AS variable, i * n + j AS position FROM r JOIN n USING (la, lo)""")
+def q_constraint_positions(spark, folder):
+    """Positions of every entry and variable, a row for each."""
+    keys = ["lat_start", "lon_start"]
+    return positions_of(cut_lineage(day_bitmaps(_entry_rows(spark, folder), keys)), keys)
+
+
+@query(f"""WITH c AS ({_CELLS}), a AS (SELECT la, lo, count(DISTINCT s) * count(DISTINCT d) AS n_cells, count(DISTINCT (s, d)) * count(DISTINCT v) AS n_observations,
+              count(DISTINCT (s, d)) FILTER (WHERE v = 'error') AS n_true FROM c GROUP BY ALL)
+          SELECT la AS lat_start, lo AS lon_start, n_observations, n_cells, n_true FROM a""")
+def q_constraint_cells(spark, folder):
+    """Size and full table of every entry, from the bitmaps."""
+    keys = ["lat_start", "lon_start"]
+    bitmaps = cut_lineage(day_bitmaps(_entry_rows(spark, folder), keys))
+    cells = bitmap_table(bitmaps, keys, ["error"]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_cells"), F.count_if(F.col("error")).alias("n_true"))
+    return bitmap_size(bitmaps, keys).join(cells, keys)
+
+
+@query(f"""WITH c AS ({_CELLS}), n AS (SELECT la, lo, count(DISTINCT s) AS ns, count(DISTINCT d) AS nd, count(DISTINCT (s, d, v)) AS nc FROM c GROUP BY ALL)
+          SELECT la AS lat_start, lo AS lon_start, ns AS n_stations, nd AS n_days, nc AS n_positions FROM n""")
+def q_constraints_json_stream(spark, folder):
+    """The JSON object of every entry in pieces that no task has to put together: its stations, days and positions are counted in the text."""
+    keys = ["lat_start", "lon_start"]
+    pieces = json_fragments(cut_lineage(day_bitmaps(_entry_rows(spark, folder), keys)), keys, 500)
+    numbers = F.size(F.split(F.regexp_replace(F.regexp_extract("text", r"([0-9,]*)$", 1), "^,", ""), ","))
+    return pieces.groupBy(*keys).agg(
+        F.count_if(F.col("part") == 1).alias("n_stations"), F.count_if(F.col("part") == 3).alias("n_days"),
+        F.sum(F.when(F.col("part") == 5, numbers)).alias("n_positions"))
+
+
 def _report_rows(spark, folder):
     rows = placed_reports(spark, folder).withColumns({"source": F.col("dataset_source"), "version": F.lit("1.0.0")})
     return availability(rows, ["source", "version"])

@@ -1,10 +1,12 @@
+import json
 from datetime import date, datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from stationtide.operators.availability import (
-    availability, constraint_size, constraint_table, decode_constraints, encode_constraints, merge_constraints,
+    availability, bitmap_size, bitmap_table, constraint_size, constraint_table, constraints_to_json, day_bitmaps, days_of, decode_constraints, encode_constraints,
+    json_fragments, merge_constraints, positions_of, write_entry_json,
 )
 from stationtide.operators.factorise import compress, expand, partial_expand, request_set
 
@@ -83,3 +85,58 @@ def test_availability_has_day_granularity(frame):
     rows = frame([("7", datetime(2000, 1, 1, 3), "t"), ("7", datetime(2000, 1, 1, 9), "t"), ("7", datetime(2000, 1, 2), "t")],
                  "primary_station_id string, report_timestamp timestamp_ntz, observed_variable string")
     assert availability(rows).count() == 2
+
+
+CELLS = "entry int, station string, day date, variable string"
+
+
+def cells(n=400):
+    """Cells over two years, quotes and commas in names."""
+    out = {(1 + i % 2, f's"{i * 7 % 13},', date(2000, 1, 1) + timedelta(days=i * i % 700), f"v{i % 3}") for i in range(n)}
+    return sorted(out | {(3, "only", date(1999, 12, 31), "x")})
+
+
+def test_bitmaps_and_back(frame):
+    rows = frame(cells(), CELLS)
+    bitmaps = day_bitmaps(rows, ["entry"])
+    assert as_set(days_of(bitmaps, ["entry"]).select("entry", "station", "day", "variable")) == set(cells())
+    # A row grows with the days of its entry, 64 of them to a word.
+    assert bitmaps.select(F.max(F.size("words"))).first()[0] <= 700 // 64 + 1
+    encoded = encode_constraints(rows, ["entry"])
+    assert as_set(bitmap_size(bitmaps, ["entry"])) == as_set(constraint_size(encoded, ["entry"]))
+    names = ["v0", "v1", "v2", "x"]
+    assert as_set(bitmap_table(bitmaps, ["entry"], names)) == as_set(constraint_table(encoded, ["entry"], names))
+    nested = {(r.entry, v, p) for r in encoded.collect() for v, ps in r.variable_constraints.items() for p in ps}
+    assert as_set(positions_of(bitmaps, ["entry"])) == nested
+
+
+def test_json_in_pieces_is_the_same_object(spark, frame, tmp_path):
+    rows = frame(cells(), CELLS)
+    bitmaps = day_bitmaps(rows, ["entry"])
+    whole = {r.entry: json.loads(r.json) for r in constraints_to_json(encode_constraints(rows, ["entry"]), ["entry"]).collect()}
+    for step in (50, 10_000):
+        pieces = json_fragments(bitmaps, ["entry"], step).orderBy("entry", "part", "at").collect()
+        texts = {e: "".join(r.text for r in pieces if r.entry == e) for e in whole}
+        assert {e: json.loads(t) for e, t in texts.items()} == whole
+        assert max(len(r.text) for r in pieces) <= 30 + step * 6
+    write_entry_json(bitmaps, ["entry"], str(tmp_path / "json"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "json").glob("part-*")))
+    decoder, found = json.JSONDecoder(), []
+    while text.strip():
+        value, end = decoder.raw_decode(text.lstrip())
+        found.append(value)
+        text = text.lstrip()[end:]
+    assert found == [whole[e] for e in sorted(whole)]
+
+
+def test_no_set_is_a_shuffle_key(spark, monkeypatch):
+    from stationtide.operators import factorise
+
+    plans = []
+    real = factorise.cut_lineage
+    monkeypatch.setattr(factorise, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    days = spark.range(200).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).cast("string").alias("b"), F.floor(F.col("id") / 50).alias("c"))
+    boxes = compress(days)
+    assert as_set(expand(boxes)) == as_set(days.distinct())
+    keys = [line for p in plans for line in p.splitlines() if "hashpartitioning" in line]
+    assert keys and not any("[]" in k or "array" in k for k in keys)

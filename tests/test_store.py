@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from stationtide.config import ConfigError, DatasetConfig, Description, SourceConfig, SpaceColumns
 from stationtide.operators.catalogue import tile_parts, build_catalogue
 from stationtide.operators.tiling import assign_tiles, declared_batches, space_batches
-from stationtide.plans.ingest import IngestError, backfill_stored_units, ingest, save_tiles, tiled_observations
+from stationtide.plans import ingest as ingestion
+from stationtide.plans.ingest import IngestError, backfill_stored_units, commit_run, compact, fold_log, ingest, save_tiles, tiled_observations
 from stationtide.plans.products import form_choices, statistics
 from stationtide.plans.retrieve import NoDataFound, Request, request_entries, require_entries, resolve_version, retrieve_from_store, retrieve_rows, retrieve_stored, write_result
 from stationtide.plans.sanity import require_summary
 from stationtide.sources.store import (
-    new_run, read_catalogue, read_listed_tiles, read_parts, read_tiles, replace_catalogue, stored_sizes, write_tiles,
+    CommitConflict, files_of, new_run, read_catalogue, read_listed_tiles, read_log, read_parts, read_tiles, replace_catalogue, stored_sizes, write_tiles,
 )
 from stationtide.streaming.incremental import open_file_stream, read_stream_catalogue, read_stream_tiles, stream_tiles
 
@@ -285,3 +286,150 @@ def test_hash_sees_where_nulls_are(frame):
 
     rows = frame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int").select(row_hash(["a", "b"]).alias("h")).collect()
     assert len({r.h for r in rows}) == 4
+
+
+def values(spark, root):
+    return sorted((r.observation_id, r.observation_value) for r in read_listed_tiles(spark, root).collect())
+
+
+def test_a_delta_smaller_than_its_tiles_is_kept(spark, frame, root):
+    rows = raw_rows((1, 2, 3), 30)
+    yearly = config(time_tile_size="year")
+    ingest(spark, frame(rows[:-7], RAW), yearly, "01", "1.0.0", root)
+    late = ingest(spark, frame(rows[-7:], RAW), yearly, "01", "1.0.0", root)
+    assert late.agg(F.sum("n_obs")).first()[0] == 7 and ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in rows)
+    # Parts that overlap with what is stored, in any mixture.
+    for part in (rows[5:9] + rows[-3:], rows[::2], rows):
+        assert ingest(spark, frame(part, RAW), yearly, "01", "1.0.0", root).count() == 0
+    # One entry for each tile, equal to that of all rows at once.
+    entries = read_catalogue(spark, root)
+    whole = build_catalogue(tile_parts(tiled_observations(frame(rows, RAW), yearly, "01", "1.0.0")), "year")
+    columns = ["asset", "n_obs", "stations", "file_checksum", "data_size"]
+    assert sorted(map(tuple, entries.select(columns).collect())) == sorted(map(tuple, whole.select(columns).collect()))
+    assert {r.metric: r.value for r in statistics(entries).collect()}["number of partitions"] == str(whole.count())
+
+
+def test_changed_values_raise_or_replace(spark, frame, root):
+    rows = raw_rows((1,))
+    ingest(spark, frame(rows, RAW), config(), "01", "1.0.0", root)
+    changed = [r if i != 3 else (*r[:6], 99.0) for i, r in enumerate(rows)]
+    more = changed + [(datetime(2020, 1, 5), "s9", 0.0, 0.0, "extra", "t", 1.0)]
+    with pytest.raises(IngestError, match=rows[3][4]):
+        ingest(spark, frame(more, RAW), config(), "01", "1.0.0", root)
+    assert values(spark, root) == sorted((r[4], r[6]) for r in rows)
+    assert ingest(spark, frame(changed, RAW), config(), "01", "1.0.0", root, on_change="keep").count() == 0
+    ingest(spark, frame(more, RAW), config(), "01", "1.0.0", root, on_change="replace")
+    assert values(spark, root) == sorted((r[4], r[6]) for r in more)
+    entries = read_catalogue(spark, root)
+    assert entries.agg(F.sum("n_obs")).first()[0] == 13 == read_parts(spark, root).agg(F.sum("n_obs")).first()[0]
+    whole = build_catalogue(tile_parts(tiled_observations(frame(more, RAW), config(), "01", "1.0.0")), "month")
+    assert {(r.asset, r.file_checksum) for r in entries.collect()} == {(r.asset, r.file_checksum) for r in whole.collect()}
+    with pytest.raises(ValueError):
+        ingest(spark, frame(more, RAW), config(), "01", "1.0.0", root, on_change="maybe")
+
+
+def test_rows_without_an_id_station_or_time(spark, frame, root):
+    at = datetime(2020, 1, 5)
+    rows = [(at, None, 0.0, 0.0, None, "t", 1.0), (at, None, 0.0, 0.0, None, "t", 2.0), (at, "s", 0.0, 0.0, "a", "t", 2.0), (None, "s", 0.0, 0.0, "b", "t", 1.0)]
+    ingest(spark, frame(rows[:1] + rows[2:], RAW), config(), "01", "1.0.0", root)
+    assert ingest(spark, frame(rows[::-1], RAW), config(), "01", "1.0.0", root).agg(F.sum("n_obs")).first()[0] == 1
+    assert ingest(spark, frame(rows[1:], RAW), config(), "01", "1.0.0", root).count() == 0
+    assert read_listed_tiles(spark, root).count() == 3
+
+
+def test_two_writers_of_one_period(spark, frame, root, monkeypatch):
+    rows, first = raw_rows((1, 2)), []
+    real = ingestion.write_tiles
+
+    def meanwhile(*args, **kwargs):
+        real(*args, **kwargs)
+        if not first:  # another ingestion of the same rows begins and ends before this one commits
+            first.append(True)
+            ingest(spark, frame(rows[:12], RAW), config(), "01", "1.0.0", root)
+
+    monkeypatch.setattr(ingestion, "write_tiles", meanwhile)
+    late = ingest(spark, frame(rows, RAW), config(), "01", "1.0.0", root)
+    assert late.agg(F.sum("n_obs")).first()[0] == 12
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in rows)
+    assert [c.number for c in read_log(spark, root)] == [1, 2]
+
+
+def test_writers_of_different_tiles_both_commit(spark, frame, root):
+    log = read_log(spark, root)
+    for month in (1, 2):
+        run = new_run()
+        write_tiles(tiled_observations(frame(raw_rows((month,)), RAW), config(), "01", "1.0.0"), root, run)
+        commit_run(spark, root, run, "month", log=log)
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in raw_rows((1, 2)))
+    with pytest.raises(CommitConflict):
+        commit_run(spark, root, run, "month", log=log)
+    assert read_listed_tiles(spark, root).count() == 24
+
+
+def test_compaction_keeps_rows_and_entries(spark, frame, root):
+    rows = raw_rows((1, 2), 20)
+    for k in range(6):
+        run = new_run() if k < 4 else f"s-{k}"
+        write_tiles(tiled_observations(frame(rows[k::6], RAW), config(), "01", "1.0.0"), root, run)
+        commit_run(spark, root, run, "month")
+    columns = ["asset", "n_obs", "stations", "variables", "file_checksum", "data_size"]
+    entries = read_catalogue(spark, root)
+    before, n_files = sorted(map(tuple, entries.select(columns).collect())), files_of(spark, root, entries).count()
+    old_reader = read_listed_tiles(spark, root)
+    assert compact(spark, root, "month").count() > 0
+    entries = read_catalogue(spark, root)
+    files = files_of(spark, root, entries)
+    assert sorted(map(tuple, entries.select(columns).collect())) == before and files.count() < n_files
+    assert ids(read_listed_tiles(spark, root)) == ids(old_reader) == sorted(r[4] for r in rows)
+    # A run stays only where it is the only one of its kind in a tile.
+    assert files.groupBy("dataset", "time_start", "lat_start", "lon_start", F.col("run").startswith("s-")).count().where("count > 1").count() == 0
+    assert ids(read_stream_tiles(spark, root)) == sorted(r[4] for k in (4, 5) for r in rows[k::6])
+    sizes = files.agg(F.sum("bytes")).first()[0]
+    assert entries.agg(F.sum("file_size")).first()[0] == sizes and read_parts(spark, root).agg(F.sum("n_obs")).first()[0] == len(rows)
+    assert compact(spark, root, "month").count() == 0
+    fold_log(spark, root)
+    assert sorted(map(tuple, read_catalogue(spark, root).select(columns).collect())) == before
+    assert ingest(spark, frame(rows, RAW), config(), "01", "1.0.0", root).count() == 0
+
+
+def test_only_listed_files_are_opened(spark, frame, root):
+    import shutil
+
+    for months in ((1,), (2,), (3,)):
+        ingest(spark, frame(raw_rows(months), RAW), config(), "01", "1.0.0", root)
+    versions = frame([("sondes", "1.0.0", False)], "dataset string, version string, deprecated boolean")
+    request = Request(time_coverage=("2020-02-10", "2020-03-01"), latitude_coverage=(-60.0, 0.0))
+    shutil.rmtree(f"{root}/parts")  # retrieval does not look there
+    got = retrieve_stored(spark, root, versions, "sondes", request, "month")
+    wanted = {r.path for r in files_of(spark, root, read_catalogue(spark, root).where(request.entry_condition("sondes"))).where(request.file_condition()).collect()}
+    opened = {"tiles/" + f.split("/tiles/")[1] for f in got.inputFiles()}
+    assert opened == wanted and 0 < len(opened) < files_of(spark, root, read_catalogue(spark, root)).count() / 2
+    assert ids(got) == ids(retrieve_rows(frame(raw_rows((1, 2, 3)), RAW), request))
+
+
+def test_awkward_identity_names(spark, frame, root):
+    odd = config(name="a+b c%d", sources={"x/y=z": config().sources["01"]})
+    ingest(spark, frame(raw_rows((1,)), RAW), odd, "x/y=z", "1.0.0", root)
+    assert ingest(spark, frame(raw_rows((1,))[:5], RAW), odd, "x/y=z", "1.0.0", root).count() == 0
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in raw_rows((1,)))
+    assert {tuple(r) for r in read_listed_tiles(spark, root).select("dataset", "dataset_source").collect()} == {("a+b c%d", "x/y=z")}
+
+
+def test_overlapping_streamed_files(spark, frame, tmp_path, root):
+    rows, source = raw_rows((1, 2)), str(tmp_path / "in")
+    for part in (rows[:15], rows[5:20], rows[10:], rows[:3]):
+        frame(part, RAW).coalesce(1).write.mode("append").parquet(source)
+    stream = open_file_stream(spark, source, spark.read.parquet(source).schema, "*.parquet", files_per_batch=1)
+    stream_tiles(stream, config(), "01", "1.0.0", root).awaitTermination()
+    assert ids(read_stream_tiles(spark, root)) == sorted(r[4] for r in rows)
+    # Each micro-batch is in the log, also one that brought nothing.
+    assert len({c.run for c in read_log(spark, root)}) == 4
+
+
+def test_deleted_tiles_can_be_ingested_again(spark, frame, root):
+    raw = frame(raw_rows((1, 2)), RAW)
+    ingest(spark, raw, config(), "01", "1.0.0", root)
+    replace_catalogue(read_catalogue(spark, root).where("latitude_coverage_start >= 0"), root)
+    assert read_listed_tiles(spark, root).count() < 24
+    ingest(spark, raw, config(), "01", "1.0.0", root)
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in raw_rows((1, 2)))
