@@ -3,6 +3,9 @@
 A passage of m characters that occurs with at most e edits shares at least m + 1 - q(e + 1) of its q-grams with the
 place, all on e + 1 neighbouring diagonals. Shared q-grams are therefore counted in bands of diagonals that overlap by
 e, bands that reach the bound are kept as regions, and a banded alignment of the passage inside the region decides.
+
+The bound must be positive, so q may be m / (e + 1) at most. For most lengths ten characters are not too many; passages
+for which they are have an index of shorter q-grams of their own.
 """
 
 from __future__ import annotations
@@ -17,14 +20,16 @@ from pyspark.sql import DataFrame, functions as F
 from stationtide.llm.common import ids_and_texts, keep_rows
 
 Q = 10
+#: Characters of a q-gram of passages whose bound would not be positive with Q: those of 13 to 19, 25 to 29, 38 and 39.
+SHORT_Q = 6
 #: Edits for each character of a passage.
 EDIT_RATE = 0.08
 #: Longer benchmark items are searched as overlapping passages of this many characters, so that a part counts as well.
 PASSAGE_CHARS = 200
 #: Shorter passages start at every multiple of STRIDE_CHARS and at the item's end less their length. Every excerpt of
 #: RUN_CHARS normalised characters holds one of them whole.
-SHORT_CHARS = 100
-STRIDE_CHARS = 20
+SHORT_CHARS = 64
+STRIDE_CHARS = 16
 RUN_CHARS = SHORT_CHARS + STRIDE_CHARS - 1
 #: Characters of benchmark that are searched for in one pass over the documents.
 BLOCK_CHARS = 4_000_000
@@ -41,15 +46,20 @@ def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def budget(length: int) -> int:
+    """Edits that a passage of so many characters may have."""
+    return int(length * EDIT_RATE)
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """Polynomial hash of the Q characters from each position on, by doubling the window."""
+def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
+    """Polynomial hash of the q characters from each position on, by doubling the window."""
     h = codes.astype(np.uint64) + np.uint64(1)
     have, power, total, total_len = h, BASE, None, 0
-    width, left = 1, Q
+    width, left = 1, q
     while left:
         if left & 1:
             if total is None:
@@ -68,7 +78,7 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
                 return np.zeros(0, np.uint64)
             have = have[:n] * np.uint64(power) + have[width:width + n]
             power, width = power * power % (1 << 64), width * 2
-    return total[:max(0, len(codes) - Q + 1)]
+    return total[:max(0, len(codes) - q + 1)]
 
 
 def windows(texts: list[str | None]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
@@ -101,9 +111,12 @@ class PassageIndex:
     passage: np.ndarray    # postings: passage and offset
     offset: np.ndarray
     filter: np.ndarray     # bit table of the hashes
+    q: int = Q
+    short: PassageIndex | None = None  # the last passages, which have an index of their own
 
     @classmethod
     def build(cls, rows: list[tuple[int, str | None]]) -> PassageIndex:
+        """Index of the passages of benchmark items (item, text)."""
         items, codes = [], []
         for item, text in rows:
             whole = code_points(normal(text))
@@ -116,10 +129,22 @@ class PassageIndex:
                 for start in sorted({*range(0, last, stride), last}):
                     items.append(item)
                     codes.append(whole[start:start + size])
+        own = [len(c) >= Q * (budget(len(c)) + 1) for c in codes]
+        halves = [([i for i, k in zip(items, own) if k is wanted], [c for c, k in zip(codes, own) if k is wanted]) for wanted in (True, False)]
+        index = cls._of(*halves[0], Q)
+        if halves[1][0]:
+            index.short = cls._of(*halves[1], SHORT_Q)
+            index.items = np.concatenate([index.items, index.short.items])
+            index.codes, index.edits = index.codes + index.short.codes, np.concatenate([index.edits, index.short.edits])
+        return index
+
+    @classmethod
+    def _of(cls, items: list[int], codes: list[np.ndarray], q: int) -> PassageIndex:
         length = np.array([len(c) for c in codes], np.int64)
-        edits = np.floor(length * EDIT_RATE).astype(np.int64)
-        bound = np.maximum(1, length + 1 - Q * (edits + 1))
-        hashes = [gram_hashes(c) for c in codes]
+        edits = np.array([budget(n) for n in length.tolist()], np.int64)
+        bound = length + 1 - q * (edits + 1)
+        assert (bound > 0).all()
+        hashes = [gram_hashes(c, q) for c in codes]
         flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
         passage = np.repeat(np.arange(len(codes), dtype=np.int32), [len(h) for h in hashes])
         offset = np.concatenate([np.zeros(0, np.int32), *(np.arange(len(h), dtype=np.int32) for h in hashes)])
@@ -127,23 +152,26 @@ class PassageIndex:
         grams, first = np.unique(flat[order], return_index=True)
         bits = np.zeros(1 << FILTER_BITS, np.bool_)
         bits[_slot(grams)] = True
-        return cls(np.array(items, np.int64), codes, edits, bound, edits + 8, grams, np.append(first, len(flat)), passage[order], offset[order], bits)
+        return cls(np.array(items, np.int64), codes, edits, bound, edits + 8, grams, np.append(first, len(flat)), passage[order], offset[order], bits, q)
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, passage, start, end, edits) of the best place of each passage in each text, in normalised characters."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        parts = [(self, 0)] + ([(self.short, len(self.codes) - len(self.short.codes))] if self.short else [])
         for group in windows(texts):
-            for piece, k, start, end, edits in self._search_group([codes for _, _, codes in group]):
-                text, at, _ = group[piece]
-                value = (edits, at + start, at + end)
-                best[text, k] = min(best.get((text, k), value), value)
+            pieces = [codes for _, _, codes in group]
+            for part, first in parts:
+                for piece, k, start, end, edits in part._search_group(pieces):
+                    text, at, _ = group[piece]
+                    key, value = (text, first + k), (edits, at + start, at + end)
+                    best[key] = min(best.get(key, value), value)
         return [(t, k, i, j, e) for (t, k), (e, i, j) in sorted(best.items())]
 
     def _search_group(self, pieces: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         gap = np.full(PASSAGE_CHARS * 2, GAP, np.uint32)
         buffer = np.concatenate([x for codes in pieces for x in (codes, gap)])
         starts = np.concatenate(([0], np.cumsum([len(c) + len(gap) for c in pieces])))[:-1]
-        hashes = gram_hashes(buffer)
+        hashes = gram_hashes(buffer, self.q)
         if not len(hashes) or not len(self.grams):
             return []
         at = np.flatnonzero(self.filter[_slot(hashes)])
@@ -174,8 +202,8 @@ class PassageIndex:
             passage, diagonal = regions[:, at:at + 256]
             own = [self.codes[p] for p in passage.tolist()]
             edits, start, end = banded_alignments(own, buffer, diagonal, self.width[passage] + self.edits[passage], self.edits[passage])
-            middle = np.clip(diagonal, 0, None) + np.array([len(c) // 2 for c in own])
-            text = np.searchsorted(starts, np.minimum(middle, len(buffer) - 1), "right") - 1
+            # A place within the budget is nearly all text, so that its middle is in the document, whatever its ends are.
+            text = np.searchsorted(starts, np.clip((start + end) // 2, 0, len(buffer) - 1), "right") - 1
             low = starts[text]
             high = low + np.asarray(lengths)[text]
             rows = np.stack([text, passage, edits, np.clip(start, low, high) - low, np.clip(end, low, high) - low], axis=1)
@@ -245,7 +273,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``edits``, ``start``, ``end`` for each document and benchmark item of which it holds a passage.
 
     A passage is a whole item of up to PASSAGE_CHARS characters, PASSAGE_CHARS of a longer one, or SHORT_CHARS of any longer
-    than that, each with its own budget of EDIT_RATE. An excerpt of RUN_CHARS (119) or more characters of an item is found
+    than that, each with its own budget of EDIT_RATE. An excerpt of RUN_CHARS (79) or more characters of an item is found
     wherever it is cut out; a shorter excerpt of a longer item need not be.
 
     The place counts characters of the document in lower case with single blanks; of several passages or places the one

@@ -4,7 +4,8 @@ A pair's smallest shingle hashes agree: of n shingles the n - ceil(LEAST n) + 1
 two such sets the KEYS smallest have none in common with a chance below 2**-64. Texts meet in the buckets of these keys.
 There sketches of min-hashes part the unlike ones (a pair at LEAST is taken for unlike with a chance of about 2**-64), and
 what is left connects to rough clusters. Only the texts of a cluster are read again, and their whole sets are compared.
-No step emits the pairs of a group: buckets and clusters give a spanning forest.
+No step emits the pairs of a group: buckets and clusters give a spanning forest. A bucket of many texts, and a cluster of many
+shingles, is dealt out as pairs of blocks, so that no key and no group is one task, and every pair still meets.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ KEYS = 28
 #: Min-hashes of a sketch, one byte each, and how many of them agree at least in a pair that is looked at further.
 SKETCH = 128
 AGREE = 54
+#: Texts of a bucket that are a block; larger buckets are dealt out as pairs of blocks.
+BLOCK_TEXTS = 3_000
 #: Shingles of a cluster that are compared together; larger clusters are dealt out as pairs of blocks.
 BLOCK_SHINGLES = 2_000_000
 MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 64, SKETCH, np.uint64) | np.uint64(1)
@@ -87,23 +90,27 @@ def links(docs: DataFrame, leaves: DataFrame) -> DataFrame:
     """``u``, ``v``: enough pairs of LEAST or more to connect all such identities. ``leaves`` (fp, first, n, keys, sketch) has a
     row for each identity in ``docs`` (doc_id, text), with its smallest doc_id."""
     postings = leaves.select("fp", F.explode("keys").alias("key"))
-    shared = postings.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    met = postings.join(shared, "key", "left_semi").join(leaves.select("fp", "n", "sketch"), "fp")
-    rough = met.select("key", "n", "fp", "sketch").repartition("key").sortWithinPartitions("key", "n").mapInArrow(_alike, "u long, v long")
+    shared = postings.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key", F.ceil(F.col("c") / BLOCK_TEXTS).alias("blocks"))
+    met = _in_pairs_of_blocks(postings.join(shared, "key").join(leaves.select("fp", "n", "sketch"), "fp"))
+    dealt = met.select("key", F.col("i").cast("int"), F.col("j").cast("int"), "n", "fp", "sketch")
+    rough = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n").mapInArrow(_alike, "u long, v long")
     members = written(connected_components(rough.distinct()).withColumnRenamed("id", "fp").join(leaves.select("fp", "first", "n"), "fp"), "clusters")
     firsts = broadcast_if_small(members.select(F.col("first").alias("doc")).distinct())
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sets = own.join(firsts, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi").mapInArrow(_sets, "fp long, shingles binary")
     blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
     placed = sets.join(members.select("fp", "component"), "fp").dropDuplicates(["fp"]).join(blocks, "component")
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("blocks") - 1, F.lit(1).cast("long"))))
-    # Blocks i < j meet in the group (i, j); a cluster of one block is the group (0, 1).
-    dealt = placed.withColumn("own", block).withColumn("other", other).filter("own <> other").select(
-        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "shingles")
+    dealt = _in_pairs_of_blocks(placed).select("component", "i", "j", "fp", "shingles")
     return dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(_similar, "u long, v long").distinct()
 
 
+def _in_pairs_of_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (fp, blocks) with ``i``, ``j``: blocks i < j of a group meet in (i, j), and the only block of a group is in (0, 1)."""
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("blocks") - 1, F.lit(1).cast("long"))))
+    both = rows.withColumn("_own", F.pmod(F.xxhash64("fp"), F.col("blocks"))).withColumn("_other", other).filter("_own <> _other")
+    return both.withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other")})
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in ids_and_texts(batch, max_chars=1_000_000):
@@ -149,9 +156,9 @@ def _forest(n: int, near) -> tuple[list[int], list[int]]:
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each bucket, between sketches that agree in AGREE places and sets whose sizes allow LEAST."""
+    """Spanning links of each pair of blocks of a bucket, between sketches that agree in AGREE places and sets whose sizes allow LEAST."""
     out_u, out_v = [], []
-    for group in _groups(batches, ["key"]):
+    for group in _groups(batches, ["key", "i", "j"]):
         fp, n = group["fp"].to_numpy(), group["n"].to_numpy()
         marks = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
 

@@ -4,7 +4,8 @@ A fixed public byte-level vocabulary gives the pieces. For each language, expect
 probabilities to a bounded sample of labelled documents: the forward-backward algorithm spreads every word over all of
 its segmentations. A text is scored by the forward algorithm alone: the probability of a word is the sum over its
 segmentations, that of a text the product over its words. Words are aligned in arrays by length, so one step of the
-recursion serves all of them and all languages.
+recursion serves all of them and all languages. A word of more than RUN_BYTES, as in scripts without spaces, is cut into
+runs that are scored and learned side by side, whatever its length.
 """
 
 from __future__ import annotations
@@ -26,8 +27,13 @@ PIECE_BYTES = 16
 #: Bound of the training sample: documents of each language, the first by a hash of id and text. Up to a thousand, Spark
 #: cuts the ranking short before the shuffle.
 TRAIN_DOCUMENTS = 1000
-#: Longer words take no part in training.
-TRAIN_WORD_BYTES = 60
+#: Longer words are cut, between characters, into runs of so many bytes at most.
+RUN_BYTES = 60
+#: Of the training documents, by their mean log probability of a byte: a text that lies below this share of them by more than
+#: SLACK times their spread is in no learned language. Texts of fewer bytes than CERTAIN_BYTES are not judged by it.
+FLOOR_SHARE = 0.02
+SLACK = 2.0
+CERTAIN_BYTES = 200
 ROUNDS = 3
 SMOOTHING = 0.1
 UNKNOWN = "und"
@@ -43,6 +49,18 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
+def runs_of(word: str) -> list[bytes]:
+    """The word with a blank before it, in runs of RUN_BYTES at most that end between characters."""
+    data, out = b" " + word.encode("utf-8", "surrogatepass"), []
+    while len(data) > RUN_BYTES:
+        end = RUN_BYTES
+        while data[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(data[:end])
+        data = data[end:]
+    return [*out, data]
+
+
 class Pieces:
     """Hash table from byte strings to piece numbers, read for whole arrays at once."""
 
@@ -141,7 +159,7 @@ def expected_counts(table: Pieces, words: Counter, chances: np.ndarray) -> np.nd
     """How often each piece is used, over all segmentations of all words under one language's probabilities."""
     out = np.zeros(table.nothing + 1)
     chances = chances.ravel()
-    items = [(w, n) for w, n in ((b" " + w.encode("utf-8", "surrogatepass"), n) for w, n in words.items()) if len(w) <= TRAIN_WORD_BYTES]
+    items = [(run, n) for w, n in words.items() for run in runs_of(w)]
     times = np.array([n for _, n in items], float)
     for own, data, size in aligned([w for w, _ in items]):
         spans, wide = table.spans(data), data.shape[1]
@@ -162,23 +180,25 @@ def expected_counts(table: Pieces, words: Counter, chances: np.ndarray) -> np.nd
 
 
 class Model:
-    """Piece probabilities of each language."""
+    """Piece probabilities of each language, and the mean log probability of a byte below which a text is in none of them."""
 
-    def __init__(self, path: str, languages: list[str], chances: np.ndarray):
+    def __init__(self, path: str, languages: list[str], chances: np.ndarray, floors: np.ndarray | None = None):
         self.path, self.languages, self.chances = path, languages, chances
+        self.floors = np.full(len(languages), -np.inf) if floors is None else floors
         self.memo: dict[str, int] = {}
         self.rows = np.zeros((0, len(languages)))
 
     def __getstate__(self):
-        return {"path": self.path, "languages": self.languages, "chances": self.chances, "memo": {}, "rows": np.zeros((0, len(self.languages)))}
+        return vars(self) | {"memo": {}, "rows": np.zeros((0, len(self.languages)))}
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         table = pieces(self.path)
-        data = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
-        out = np.zeros((len(words), len(self.languages)))
-        for own, block, size in aligned(data):
-            out[own] = forward(table.spans(block), size, self.chances)
-        return out
+        runs = [runs_of(w) for w in words]
+        counts = np.fromiter(map(len, runs), np.int64, len(runs))
+        scores = np.zeros((int(counts.sum()), len(self.languages)))
+        for own, block, size in aligned([run for each in runs for run in each]):
+            scores[own] = forward(table.spans(block), size, self.chances)
+        return np.add.reduceat(scores, np.cumsum(counts) - counts, axis=0) if len(runs) else scores
 
     def text_scores(self, texts: list[str]) -> np.ndarray:
         """Log probability of each text, for each language."""
@@ -197,24 +217,38 @@ class Model:
                 out[i] = self.rows[np.fromiter(map(memo.__getitem__, words), np.int64, len(words))].sum(axis=0)
         return out
 
+    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts with a letter: their places, the number of the most probable language, its posterior under equal
+        priors, and the text's log probability under it."""
+        known = np.array([i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.languages else [], np.int64)
+        logs = self.text_scores([texts[i] for i in known.tolist()])
+        if not len(known):
+            return known, known, np.zeros(0), np.zeros(0)
+        best = logs.argmax(axis=1)
+        top = logs.max(axis=1)
+        return known, best, 1 / np.exp(logs - top[:, None]).sum(axis=1), top
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Most probable language and its posterior under equal priors; ``und`` and 0 without a letter."""
-        known = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.languages else []
+        """Most probable language and its posterior; ``und`` and 0 without a letter."""
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if known:
-            logs = self.text_scores([texts[i] for i in known])
-            best = logs.argmax(axis=1)
-            scores[known] = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-            for i, b in zip(known, best.tolist()):
-                names[i] = self.languages[b]
+        known, best, posterior, _ = self.judge(texts)
+        scores[known] = posterior
+        for i, b in zip(known.tolist(), best.tolist()):
+            names[i] = self.languages[b]
         return names, scores
 
 
-def train(docs: DataFrame, path: str) -> Model:
-    """Fit to the labelled rows of ``docs`` (doc_id, text, lang) that are not held out, at most TRAIN_DOCUMENTS of each
-    language; rows without text or language teach nothing. Equal ids and texts are interchangeable."""
+def text_bytes(text: str | None) -> int:
+    """Bytes that are scored: those of the words, and a blank for each."""
+    words = words_of(text or "")
+    return len(" ".join(words).encode("utf-8", "surrogatepass")) + 1 if words else 0
+
+
+def train(docs: DataFrame, path: str, documents: int = TRAIN_DOCUMENTS) -> Model:
+    """Fit to the labelled rows of ``docs`` (doc_id, text, lang) that are not held out, at most ``documents`` of each language;
+    rows without text or language teach nothing. Equal ids and texts are interchangeable."""
     labelled = docs.filter("lang IS NOT NULL AND length(text) > 0").filter(~held_out("doc_id")).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    first = _first_hashes(_first_hashes(labelled.select("lang", "h"), "lang", F.pmod("h", F.lit(256))), "lang")
+    first = _first_hashes(_first_hashes(labelled.select("lang", "h"), documents, "lang", F.pmod("h", F.lit(256))), documents, "lang")
     # As many hashes as languages times the bound; rows that repeat id and text count once.
     rows = labelled.join(F.broadcast(first.select("h").distinct()), "h", "left_semi").dropDuplicates(["lang", "h"])
     sample = written(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism, "h").select("lang", "text"), "languages")
@@ -228,13 +262,30 @@ def train(docs: DataFrame, path: str) -> Model:
         chances[counts["piece"].to_numpy(), counts["lang"].to_numpy()] += counts["n"].to_numpy()
         chances[-1] = 0
         chances /= chances.sum(axis=0)
-    return Model(path, languages, chances)
+    model = Model(path, languages, chances)
+    # The sample is bounded, so these are as many figures as documents at most.
+    fits = sample.mapInArrow(_fits(model), "lang string, fit double").groupBy("lang").agg(F.percentile("fit", F.lit(FLOOR_SHARE)).alias("low"), F.stddev_pop("fit").alias("spread"))
+    for row in fits.collect():
+        model.floors[languages.index(row.lang)] = row.low - SLACK * row.spread
+    return model
 
 
-def _first_hashes(rows: DataFrame, *group) -> DataFrame:
-    """The TRAIN_DOCUMENTS smallest values of ``h`` in each group; no text is ranked or shuffled."""
+def _fits(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for langs, texts in ids_and_texts(batch, "lang", max_chars=1_000_000):
+                own = [(lang, t, n) for lang, t, n in zip(langs.to_pylist(), texts, map(text_bytes, texts)) if n >= CERTAIN_BYTES]
+                logs = model.text_scores([t for _, t, _ in own])
+                fit = [logs[k, model.languages.index(lang)] / n for k, (lang, _, n) in enumerate(own)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in own], pa.string()), pa.array(fit, pa.float64())], ["lang", "fit"])
+
+    return run
+
+
+def _first_hashes(rows: DataFrame, most: int, *group) -> DataFrame:
+    """The ``most`` smallest values of ``h`` in each group; no text is ranked or shuffled."""
     by = Window.partitionBy(*group).orderBy("h")
-    return rows.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= TRAIN_DOCUMENTS).select("lang", "h")
+    return rows.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= most).select("lang", "h")
 
 
 def _expect(path: str, languages: list[str], chances: np.ndarray):
@@ -278,13 +329,19 @@ def predict_documents(docs: DataFrame, model: Model) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def recognised(model: Model, texts: list[str | None], least: float = 0.5) -> np.ndarray:
+    """Which texts are in a learned language: its posterior among the learned ones is ``least`` or more, and the text is not less
+    probable under it, by the byte, than nearly all of the documents that taught it. Where nothing was learned, all with a letter."""
+    if not model.languages:
+        return np.array([bool(t and LETTER.search(t)) for t in texts], bool)
+    known, best, posterior, top = model.judge(texts)
+    sizes = np.array([text_bytes(texts[i]) for i in known.tolist()], np.int64)
+    like = (sizes < CERTAIN_BYTES) | (top >= model.floors[best] * sizes)
+    out = np.zeros(len(texts), bool)
+    out[known] = (posterior >= least) & like
+    return out
+
+
 def keep_recognised(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with a posterior of ``least`` or more, all columns unchanged; all rows
-    with a letter where nothing was learned."""
-    def decide(texts: list[str | None]) -> np.ndarray:
-        if not model.languages:
-            return np.array([bool(t and LETTER.search(t)) for t in texts])
-        names, scores = model.predict(texts)
-        return (np.array(names) != UNKNOWN) & (scores >= least)
-
-    return keep_rows(docs, decide)
+    """The rows of ``docs`` whose language is :func:`recognised`, all columns unchanged."""
+    return keep_rows(docs, lambda texts: recognised(model, texts, least))

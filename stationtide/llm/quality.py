@@ -79,6 +79,23 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def risk_parts(z: np.ndarray, n: int, prior: float) -> tuple[float, float]:
+    """Of outputs whose first n are the positives': what these lose as positives, and what is left of the unlabelled rows' loss as
+    negatives once the positives among them are taken off. The risk is their sum, with nothing for a negative second part."""
+    return prior * np.logaddexp(0, -z[:n]).mean(), np.logaddexp(0, z[n:]).mean() - prior * np.logaddexp(0, z[:n]).mean()
+
+
+def risk_slope(z: np.ndarray, n: int, prior: float | None) -> np.ndarray:
+    """Derivative of the risk by each output. Where the second part is negative it is that part, turned round, which is
+    followed: a step back from fitting the rest below nothing. Without a prior, of the two groups' mean loss."""
+    p, m = sigmoid(z), len(z) - n
+    if prior is None:
+        return np.concatenate([(p[:n] - 1) / n / 2, p[n:] / m / 2])
+    if risk_parts(z, n, prior)[1] >= 0:
+        return np.concatenate([prior * (p[:n] - 1) / n - prior * p[:n] / n, p[n:] / m])
+    return np.concatenate([prior * p[:n] / n, -p[n:] / m])
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps: int = STEPS) -> Network:
     """Minimise the non-negative risk at the given prior; without a prior, tell the two groups apart."""
     rng = np.random.default_rng(0)
@@ -91,18 +108,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps
     for step in range(1, steps + 1):
         a, b, c, d = weights
         hidden = np.tanh(x @ a + b)
-        z = np.clip(hidden @ c + d[0], -30, 30)
-        p = sigmoid(z)
-        slope = np.empty(n + m)
-        if prior is None:
-            slope[:n], slope[n:] = (p[:n] - 1) / n / 2, p[n:] / m / 2
-        else:
-            as_negative = np.logaddexp(0, z)
-            rest = as_negative[n:].mean() - prior * as_negative[:n].mean()
-            if rest >= 0:
-                slope[:n], slope[n:] = prior * (p[:n] - 1) / n - prior * p[:n] / n, p[n:] / m
-            else:  # step back from fitting the rest below nothing
-                slope[:n], slope[n:] = prior * p[:n] / n, -p[n:] / m
+        slope = risk_slope(np.clip(hidden @ c + d[0], -30, 30), n, prior)
         inner = slope[:, None] * c * (1 - hidden * hidden)
         for k, g in enumerate((x.T @ inner, inner.sum(axis=0), hidden.T @ slope, np.array([slope.sum()]))):
             first, second = moments[k]
@@ -130,13 +136,14 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(ratio[best], 0.01, 0.99))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Network | None:
+def train(docs: DataFrame, labels: DataFrame, positives: int = TRAIN_POSITIVES, unlabelled_rows: int = TRAIN_UNLABELLED) -> Network | None:
     """Learn from the positives of ``labels`` (doc_id, quality) and from ``docs`` (doc_id, text), both without the rows held
-    out. Ids with labels of both kinds are not trusted. None when either group has fewer than two rows."""
+    out: at most ``positives`` and ``unlabelled_rows`` of them, by a hash of their ids. Ids with labels of both kinds are not
+    trusted. None when either group has fewer than two rows."""
     trusted = labels.filter("quality IS NOT NULL").filter(~held_out("doc_id")).groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
     open_docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(~held_out("doc_id"))
     groups = []
-    for ids, bound, seed in ((trusted.select("doc_id"), TRAIN_POSITIVES, 1), (open_docs.select("doc_id").distinct(), TRAIN_UNLABELLED, 2)):
+    for ids, bound, seed in ((trusted.select("doc_id"), positives, 1), (open_docs.select("doc_id").distinct(), unlabelled_rows, 2)):
         h = F.xxhash64("doc_id", F.lit(seed))
         if seed == 1:
             ids = ids.join(open_docs.select("doc_id"), "doc_id", "left_semi")

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stationtide.llm import jaccard
 from stationtide.llm.common import ids_and_texts, written
@@ -199,7 +199,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     # The text crosses to Python once, inside the row.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"))
-    marked = keyed.mapInArrow(run, f"doc_id long, fp long, row {docs.select(row.alias('row')).schema['row'].dataType.simpleString()}")
+    marked = keyed.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), keyed.schema["row"]]))
     leaves = written(jaccard.describe(docs).groupBy("fp").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "keys", "sketch"))), "leaves")
     groups = _groups(leaves, jaccard.links(docs, leaves))
     chosen = groups.filter(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("lowest", "component_id").agg(F.min("fp").alias("c"))

@@ -337,7 +337,7 @@ pairs AS (SELECT a.word AS a, b.word AS b, b.n FROM cut a JOIN cut b ON a.i = b.
   UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
 best AS (SELECT a, count(*) AS n_near, arg_max(b, (n, -rk)) AS b, max(n) AS b_n FROM (SELECT *, row_number() OVER (ORDER BY b) AS rk FROM pairs) GROUP BY a),
 forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 2 * n THEN b END AS form, CASE WHEN b_n >= 2 * n THEN b_n END AS form_n FROM words w LEFT JOIN best ON a = word),
-way(word, at) AS (SELECT word, word FROM forms UNION ALL SELECT y.word, f.form FROM way y JOIN forms f ON f.word = y.at WHERE f.form IS NOT NULL),
-ends AS (SELECT y.word, y.at AS root FROM way y JOIN forms f ON f.word = y.at WHERE f.form IS NULL)
+way(word, place) AS (SELECT word, word FROM forms UNION ALL SELECT y.word, f.form FROM way y JOIN forms f ON f.word = y.place WHERE f.form IS NOT NULL),
+ends AS (SELECT y.word, y.place AS root FROM way y JOIN forms f ON f.word = y.place WHERE f.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
 """

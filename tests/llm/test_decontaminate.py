@@ -78,7 +78,35 @@ def test_excerpts_of_the_stated_length_at_every_offset():
         texts = [f"{prose(30)} {x} {prose(30)}" for x in excerpts]
         whole = [k for k, x in enumerate(excerpts) if len(x) == dc.RUN_CHARS]
         assert set(whole) <= {t for t, *_ in index.search(texts)}
-        assert index.search([f"{prose(30)} {item[at:at + 60]} {prose(30)}" for at in range(0, len(item) - 60, 7)]) == []
+        assert index.search([f"{prose(30)} {item[at:at + 40]} {prose(30)}" for at in range(0, len(item) - 40, 7)]) == []
+
+
+def test_short_items_with_an_edit_at_every_place():
+    rng = random.Random(12)
+    for n in range(dc.Q, 51):
+        item = "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+        index = dc.PassageIndex.build([(1, item)])
+        texts, most = [item, item], dc.budget(n)
+        for at in range(n):
+            spots = [(at + k * n // max(1, most)) % n for k in range(most)]  # edits spread evenly, from each place on
+            texts.append("".join("#" if k in spots else c for k, c in enumerate(item)))
+            texts.append("".join(c for k, c in enumerate(item) if k not in spots))
+        texts = [f"{'z' * 30} {t} {'y' * 30}" for t in texts]
+        assert {t for t, *_ in index.search(texts)} == set(range(len(texts))), n
+
+
+def test_the_document_with_the_place_is_named():
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvw"
+    for n in range(dc.Q, 45):
+        item = "".join(rng.choice(letters) for _ in range(n))
+        index = dc.PassageIndex.build([(1, item)])
+        texts = ["x" * rng.randrange(60) if rng.random() < 0.7 else None for _ in range(40)]
+        hit = sorted(rng.sample(range(40), 9))
+        for t in hit:
+            kind, more = rng.randrange(3), "y" * rng.randrange(40)
+            texts[t] = (item + " " + more, more + " " + item, item)[kind]
+        assert [(t, e) for t, _, _, _, e in index.search(texts)] == [(t, 0) for t in hit], n
 
 
 def test_parts_of_items_are_found():
@@ -110,7 +138,7 @@ def test_rows_and_edge_cases(frame):
                  "doc_id long, text string").selectExpr("*", "7 AS item_id", "'x' AS edits")
     bench = frame([(1, item), (1, item), (2, None), (3, "short"), (None, clean)], "item_id long, text string")
     got = sorted((r.doc_id or 0, r.item_id, r.edits) for r in dc.contaminated(docs, bench).collect())
-    assert got == [(0, 1, 0), (2, 1, 0), (2, 1, 0), (5, 1, 0)]
+    assert got == [(0, 1, 0), (2, 1, 0), (2, 1, 0), (5, 1, 0), (6, 1, 0)]
     assert dc.contaminated(docs.limit(0), bench).count() == 0
     assert dc.contaminated(docs, bench.limit(0)).count() == 0
 

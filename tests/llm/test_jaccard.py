@@ -40,9 +40,10 @@ def edited(rng, words, n):
     return words
 
 
-@pytest.mark.parametrize("block", [2_000_000, 1500])
-def test_stage_equals_brute_force_on_edited_copies(spark, frame, monkeypatch, block):
+@pytest.mark.parametrize("block, texts", [(2_000_000, 3_000), (1500, 7)])
+def test_stage_equals_brute_force_on_edited_copies(spark, frame, monkeypatch, block, texts):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard, "BLOCK_TEXTS", texts)
     rng = random.Random(2)
     passage = [f"common{k}" for k in range(60)]
     rows = []
@@ -78,3 +79,17 @@ def test_sketches_part_and_keys_meet():
             assert np.count_nonzero(x == y) >= jaccard.AGREE
     a, b = (np.frombuffer(jaccard.sketch(rng.integers(0, 1 << 64, 500, np.uint64)), np.uint8) for _ in range(2))
     assert np.count_nonzero(a == b) < 10
+
+
+def test_a_bucket_of_unlike_texts_is_many_groups(spark, frame, monkeypatch):
+    """Texts that share one common smallest shingle and nothing else meet in blocks, each pair of which is a group of its own."""
+    monkeypatch.setattr(jaccard, "BLOCK_TEXTS", 50)
+    rows = [(i, i, 40, [7, 1000 + i], b"x" * jaccard.SKETCH) for i in range(600)]
+    leaves = frame(rows, "fp long, first long, n long, keys array<long>, sketch binary")
+    postings = leaves.selectExpr("fp", "explode(keys) AS key").filter("key = 7").selectExpr("*", "12L AS blocks")
+    groups = jaccard._in_pairs_of_blocks(postings)
+    sizes = [r["count"] for r in groups.groupBy("key", "i", "j").count().collect()]
+    assert len(sizes) == 12 * 11 // 2 and max(sizes) < 200
+    met = {(r.fp, r.i, r.j) for r in groups.collect()}
+    places = {fp: {(i, j) for f, i, j in met if f == fp} for fp in range(0, 600, 37)}
+    assert all(places[a] & places[b] for a in places for b in places)

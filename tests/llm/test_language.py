@@ -69,3 +69,38 @@ def test_edge_cases(frame):
     assert language.predict_documents(test, model).count() == 7 and language.predict_documents(test.limit(0), model).count() == 0
     nothing = language.train(docs.limit(0), PATH)
     assert {(r.lang_pred, r.score) for r in language.predict_documents(test, nothing).collect()} == {("und", 0.0)}
+
+
+def test_runs_are_whole_characters():
+    for word in ("short", "日本語" * 100, "é" * 31, "x" * 59, "x" * 60, "x" * 61, "🙂" * 500):
+        runs = language.runs_of(word)
+        assert b"".join(runs) == b" " + word.encode() and all(0 < len(r) <= language.RUN_BYTES for r in runs)
+        assert "".join(r.decode() for r in runs) == " " + word
+
+
+def test_scripts_without_spaces(frame):
+    """Texts that are one word each teach as much as any, and are scored in no time."""
+    import random
+    import time
+
+    rng = random.Random(1)
+    kinds = {"ja": "あいうえおかきくけこさしすせそ", "zh": "的一是了我不人在他有这个上们来"}
+    text = lambda lang, n: "".join(rng.choice(kinds[lang]) for _ in range(n))
+    docs = frame([(i, text(lang, 300), lang) for i, lang in enumerate(["ja", "zh"] * 30)], "doc_id long, text string, lang string")
+    model = language.train(docs, PATH)
+    assert [model.predict([text(lang, 40)])[0][0] for lang in ("ja", "zh")] == ["ja", "zh"]
+    started = time.perf_counter()
+    names, _ = model.predict([text("zh", 100_000)])
+    assert names == ["zh"] and time.perf_counter() - started < 3
+
+
+def test_a_language_that_was_not_learned_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 4 = 0")
+    rows = [(r.text, r.lang) for r in docs.select("text", "lang").collect()]
+    for left in ("en", "fr"):
+        model = language.train(docs.filter(f"lang <> '{left}'"), PATH, documents=200)
+        keep = language.recognised(model, [t for t, _ in rows])
+        long = np.array([language.text_bytes(t) >= language.CERTAIN_BYTES for t, _ in rows])
+        own = np.array([lang != left for _, lang in rows])
+        assert keep[own].mean() > 0.98, (left, keep[own].mean())
+        assert keep[~own & long].mean() < 0.1, (left, keep[~own & long].mean())

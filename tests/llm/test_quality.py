@@ -62,3 +62,30 @@ def test_edge_cases(spark, frame):
     assert len({r.score for r in got if r.doc_id == 1}) == 1
     assert quality.score_documents(docs.limit(0), net).count() == 0
     assert quality.train(docs.limit(0), labels.limit(0)) is None
+
+
+@pytest.mark.parametrize("prior", [None, 0.05, 0.4, 0.9])
+def test_slope_of_the_risk_is_its_derivative(prior):
+    rng = np.random.default_rng(2)
+    seen = set()
+    for shift in (-4.0, 0.0, 4.0):
+        z, n, step = rng.normal(shift, 2, 40), 15, 1e-6
+
+        def risk(at):
+            if prior is None:
+                return (np.logaddexp(0, -at[:n]).mean() + np.logaddexp(0, at[n:]).mean()) / 2
+            first, rest = quality.risk_parts(at, n, prior)
+            return first + rest if below is False else -rest
+
+        below = prior is not None and quality.risk_parts(z, n, prior)[1] < 0
+        seen.add(below)
+        numeric = [(risk(z + step * (np.arange(40) == k)) - risk(z - step * (np.arange(40) == k))) / 2 / step for k in range(40)]
+        assert np.allclose(quality.risk_slope(z, n, prior), numeric, atol=1e-7)
+    assert prior != 0.9 or seen == {True, False}
+
+
+def test_bounds_of_the_sample_are_parameters(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    sizes = []
+    monkeypatch.setattr(quality, "class_prior", lambda p, u: sizes.append((len(p), len(u))) or 0.5)
+    assert quality.train(docs, labels, 9, 20) is not None and sizes == [(9, 20)]
