@@ -59,11 +59,15 @@ def ids_and_texts(batch, id_column: str = "doc_id", text_column: str = "text", m
 def keep_rows(docs: DataFrame, decide: Callable[[list], np.ndarray], text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` for whose texts ``decide`` gives True, all columns as they are; no shuffle and no key is needed.
     ``decide`` gets lists of whole texts, null as None."""
+    # An Arrow map looks its columns up by name, which names with dots do not survive.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_column)}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for _, texts in ids_and_texts(batch, text_column, text_column, 1_000_000):
+            for _, texts in ids_and_texts(batch, text, text, 1_000_000):
                 yield batch.slice(at, len(texts)).filter(pa.array(np.asarray(decide(texts), bool)))
                 at += len(texts)
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationtide.llm.common import ids_and_texts, written
 from stationtide.llm.components import connected_components
@@ -55,6 +55,12 @@ def identities(texts: list[str | None]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(texts)).view(np.int64)
 
 
+def identity(text: Column) -> Column:
+    """``identities`` as a built-in expression."""
+    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.xxhash64(F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " ")))
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Different shingle hashes, ascending."""
     return np.unique(np.array(shingle_hashes(text, WORDS), np.uint64))

@@ -14,12 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationtide.llm import jaccard
 from stationtide.llm.common import ids_and_texts, written
 from stationtide.llm.components import connected_components, merge_labels
 from stationtide.llm.jaccard import shingle_hashes
+from stationtide.session import broadcast_if_small
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -180,29 +181,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marks.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Rows of two numbers that may be broadcast when whole documents would be shuffled otherwise: some 200 MB of hash table.
+LISTED_ROWS = 2_000_000
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component, that of the smallest doc_id, all columns unchanged. Unlike in ``near_duplicates``
     texts link where their sets of five-word shingles have a Jaccard similarity of 0.8 or more, and equal texts anyway.
 
     A row's fingerprint is here that of its words. Where rows repeat that id with the same fingerprint one of them stays; of different ones, and in components without
-    any id, the one with the smallest fingerprint.
+    any id, the one with the smallest fingerprint. Rows are told by id and fingerprint: the list of those that go is
+    broadcast within LISTED_ROWS, so that documents which stay are not shuffled.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            row = batch.column("row")
-            own = pa.RecordBatch.from_arrays([batch.column("doc_id"), row.field("text").cast(pa.string())], ["doc_id", "text"])
-            for ids, texts in ids_and_texts(own, max_chars=1_000_000):
-                yield pa.RecordBatch.from_arrays([ids, pa.array(jaccard.identities(texts)), row.slice(at, len(texts))], ["doc_id", "fp", "row"])
-                at += len(texts)
-
-    # The text crosses to Python once, inside the row.
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"))
-    marked = keyed.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), keyed.schema["row"]]))
-    leaves = written(jaccard.describe(docs).groupBy("fp").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "keys", "sketch"))), "leaves")
+    described = written(jaccard.describe(docs), "described")
+    leaves = written(described.groupBy("fp").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "keys", "sketch"))), "leaves")
     groups = _groups(leaves, jaccard.links(docs, leaves))
     chosen = groups.filter(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("lowest", "component_id").agg(F.min("fp").alias("c"))
     chosen = chosen.select(F.col("component_id").alias("least"), "c")
-    kept = marked.join(chosen, (F.col("fp") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    return kept.dropDuplicates(["fp", "doc_id"]).select("row.*")
+    rows = described.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))
+    stays = rows.join(chosen, (F.col("fp") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("least")), "left").withColumn("_stays", F.col("c").isNotNull())
+    listed = written(stays.filter("NOT _stays OR n > 1").select(F.col("fp").alias("_fp_of"), F.col("doc_id").alias("_id_of"), "_stays"), "listed")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    marked = docs.select(row.alias("_row"), F.col("doc_id").cast("long").alias("_id"), jaccard.identity(F.col("text")).alias("_fp"))
+    found = marked.join(broadcast_if_small(listed, LISTED_ROWS), (F.col("_fp") == F.col("_fp_of")) & F.col("_id").eqNullSafe(F.col("_id_of")), "left")
+    kept = found.filter("_stays IS NULL").select("_row")
+    if not listed.filter("_stays").isEmpty():
+        kept = kept.union(found.filter("_stays").dropDuplicates(["_fp", "_id"]).select("_row"))
+    return kept.select("_row.*")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stationtide.llm import jaccard, simhash
 
@@ -93,3 +94,9 @@ def test_a_bucket_of_unlike_texts_is_many_groups(spark, frame, monkeypatch):
     met = {(r.fp, r.i, r.j) for r in groups.collect()}
     places = {fp: {(i, j) for f, i, j in met if f == fp} for fp in range(0, 600, 37)}
     assert all(places[a] & places[b] for a in places for b in places)
+
+
+def test_identity_is_the_same_in_both_forms(frame):
+    texts = ["", None, " ", "\t\n\x0b\x0c\r", "A b  C\n", " a B c", "É é\u00a0x", "one", "x" * 70_000, "\u2003 a"]
+    got = [r.h for r in frame([(t,) for t in texts], "text string").select(jaccard.identity(F.col("text")).alias("h")).collect()]
+    assert got == jaccard.identities(texts).tolist()

@@ -75,9 +75,9 @@ def test_slope_of_the_risk_is_its_derivative(prior):
             if prior is None:
                 return (np.logaddexp(0, -at[:n]).mean() + np.logaddexp(0, at[n:]).mean()) / 2
             first, rest = quality.risk_parts(at, n, prior)
-            return first + rest if below is False else -rest
+            return -rest if below else first + rest
 
-        below = prior is not None and quality.risk_parts(z, n, prior)[1] < 0
+        below = prior is not None and bool(quality.risk_parts(z, n, prior)[1] < 0)
         seen.add(below)
         numeric = [(risk(z + step * (np.arange(40) == k)) - risk(z - step * (np.arange(40) == k))) / 2 / step for k in range(40)]
         assert np.allclose(quality.risk_slope(z, n, prior), numeric, atol=1e-7)
