@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationtide.functions.intervals import within
 from stationtide.functions.names import is_ship
@@ -117,3 +117,37 @@ def slice_bounds(df: DataFrame, position: str, time_column: str, start, end) ->
     return df.where(within(F.col(time_column), start, end)).groupBy("observed_variable").agg(
         F.min(position).alias("first_position"), F.max(position).alias("last_position"), F.count(F.lit(1)).alias("n_rows")
     )
+
+
+def in_seconds(column: str, start, end) -> Column:
+    """Times of a period as archives count them: up to its last whole second, 23:59:59 of the last day, which is included."""
+    return (F.col(column) >= start) & (F.col(column) <= end - F.expr("interval 1 second"))
+
+
+def record_intervals(index: DataFrame, start, end, file: str = "file") -> DataFrame:
+    """(file, observed_variable, first, stop): the rows of each variable in the period, as a half-open range of positions.
+
+    ``index`` (file, observed_variable, record_timestamp, position) has a row for each record of a table that is sorted by variable
+    and date: its time and the position of its first row. A record ends where the next one of the file begins, whatever its
+    variable; the last one has no end, and ``stop`` is null.
+    """
+    after = F.lead("position").over(Window.partitionBy(file).orderBy("position"))
+    records = index.withColumn("_stop", after).where(in_seconds("record_timestamp", start, end))
+    return records.groupBy(file, "observed_variable").agg(
+        F.min("position").alias("first"), F.when(F.count("_stop") == F.count(F.lit(1)), F.max("_stop")).alias("stop"))
+
+
+def rows_of_intervals(table: DataFrame, intervals: DataFrame, position=("file", "row")) -> DataFrame:
+    """Rows of a sorted archive table inside the intervals of their file.
+
+    The positions between the lowest and the highest one are a static predicate on the sorted position column, by which
+    the scan leaves out row groups; the ranges of each file are then matched by a join on the file.
+    """
+    file, row = position
+    span = intervals.agg(F.min("first").alias("a"), F.when(F.count("stop") == F.count(F.lit(1)), F.max("stop")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    if not span.n:
+        return table.where("false")
+    inside = F.col(row) >= span.a if span.b is None else (F.col(row) >= span.a) & (F.col(row) < span.b)
+    ranges = intervals.select(F.col(file).alias("_file"), F.col("first").alias("_first"), F.col("stop").alias("_stop"))
+    match = (F.col(file) == F.col("_file")) & (F.col(row) >= F.col("_first")) & (F.col("_stop").isNull() | (F.col(row) < F.col("_stop")))
+    return table.where(inside).join(ranges, match, "left_semi")

@@ -12,7 +12,7 @@ from stationtide.functions.intervals import within
 from stationtide.functions.tiles import asset_name
 from stationtide.functions.times import period_start, ts
 from stationtide.operators.catalogue import (
-    IDENTITY, absent_datasets, absent_versions, build_catalogue, content_columns, row_hash, tile_parts, tile_status,
+    IDENTITY, build_catalogue, content_columns, row_hash, tile_parts, tile_status,
 )
 from stationtide.operators.codes import backfill_units, decode_units, define_units
 from stationtide.operators.homogenise import homogenise, missing_mandatory, select_model_columns
@@ -381,14 +381,6 @@ def make_cdm(raw: DataFrame, config: DatasetConfig, source: str, graph, codes: D
     return validation_report(rows, graph, codes)
 
 
-def register_versions(datasets: DataFrame, versions: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Dataset and version tables with the missing rows added."""
-    return (
-        datasets.unionByName(absent_datasets(datasets, wanted)),
-        versions.unionByName(absent_versions(versions, wanted.select("dataset", "version").distinct())),
-    )
-
-
 def batch_is_stored(catalogue: DataFrame, dataset: str, source: str, version: str, start, end,
                     box=(-180, 180, -90, 90)) -> bool:
     """Is there an entry for exactly this period inside the box?"""

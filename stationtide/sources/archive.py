@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stationtide.functions.times import from_seconds
 from stationtide.model.definitions import TableGraph
 from stationtide.operators.archive import (
-    apply_displacement, batch_stations, read_columns, reports_in_batch, without_repeated,
+    apply_displacement, batch_stations, in_seconds, read_columns, record_intervals, reports_in_batch, rows_of_intervals, without_repeated,
 )
 from stationtide.operators.dedupe import first_per_key
 from stationtide.operators.joins import align_by_position, assert_same_length, join_tables
 from stationtide.operators.relational import denormalise
+from stationtide.session import cut_lineage
 
 # Tables without a key of their own and the name they have for an observation's id, and the fields of a station index entry in file order.
 KEYLESS = {"era5fb_table": "obs_id", "advanced_homogenisation": "observation_id", "advanced_uncertainty": "observation_id"}
@@ -96,12 +97,16 @@ def prepare_tables(tables: dict[str, DataFrame], position: list[str]) -> dict[st
 
 
 def read_archive(tables: dict[str, DataFrame], graph: TableGraph, start, end, box, position: list[str] = (),
-                 stations: DataFrame | None = None, check: bool = True) -> DataFrame:
+                 stations: DataFrame | None = None, check: bool = True, sorted_by_date: dict[str, str] | None = None,
+                 record_index: DataFrame | None = None) -> DataFrame:
     """Flat rows of one period and box, all stations in one plan.
 
     Stations are pruned by the index, reports by time and box; both filters reach the header scan. Observations are cut
     to the selected reports before anything is aligned or joined with them. ``check`` compares the lengths of tables that
     are aligned by position, which reads no column.
+
+    Tables that are sorted by date get a time mask of their own before anything else: ``sorted_by_date`` names their time
+    columns, and ``record_index`` gives the rows of the period in the tables that are sorted by variable and date.
     """
     work = dict(tables)
     header = reports_in_batch(work["header_table"], start, end, box)
@@ -113,6 +118,15 @@ def read_archive(tables: dict[str, DataFrame], graph: TableGraph, start, end, bo
     for name in KEYLESS if check else ():
         if name in work:
             assert_same_length(observations, work[name])
+    for name, column in (sorted_by_date or {}).items():
+        if name in work and name != "header_table":
+            work[name] = work[name].where(in_seconds(column, start, end))
+    if record_index is not None:
+        intervals = cut_lineage(record_intervals(record_index, start, end, position[0]))
+        for name in ("observations_table", *KEYLESS):
+            if name in work:
+                work[name] = rows_of_intervals(work[name], intervals, position)
+    observations = work["observations_table"]
     link = next((k for k in graph["observations_table"].foreign_keys if k.parent == "header_table"), None)
     if link is not None and link.field in observations.columns:
         reports = header.select(F.col(link.parent_field).alias(link.field))

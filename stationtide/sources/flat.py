@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationtide.functions.intervals import within
@@ -15,15 +16,15 @@ def expand_template(template: str, dataset: str, source: str, months: list[tuple
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     """Paths (or globs) that match a file; a missing batch is an empty batch, not an error."""
-    context = spark.sparkContext
-    hadoop = context._jvm.org.apache.hadoop.fs.Path
-    conf = context._jsc.hadoopConfiguration()
     out = []
     for path in paths:
-        p = hadoop(path)
-        found = p.getFileSystem(conf).globStatus(p)
-        if found is not None and len(found) > 0:
-            out.append(path)
+        try:
+            spark.read.text(path)  # looks the path up, reads nothing
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        out.append(path)
     return out
 
 

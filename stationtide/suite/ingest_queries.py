@@ -89,7 +89,7 @@ def q_stream_ingest(spark, folder):
     root = scratch_path(spark, "stream")
     header, _ = raw_report_tables(spark, folder)
     header = header.withColumnsRenamed({"o_orderkey": "report_id"})
-    raw = open_file_stream(spark, folder, table(spark, folder, "lineitem").schema, "lineitem.parquet")
+    raw = open_file_stream(spark, f"{folder}/lineitem.parquet*", table(spark, folder, "lineitem").schema)
 
     def with_header(batch):
         flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "R", 1)
@@ -108,7 +108,7 @@ def q_stream_rows(spark, folder):
     header = placed_reports(spark, folder).select(
         "report_id", F.col("report_timestamp").alias("obs_date"), F.col("primary_station_id").alias("stn"),
         F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
-    raw = open_file_stream(spark, folder, table(spark, folder, "lineitem").schema, "lineitem.parquet")
+    raw = open_file_stream(spark, f"{folder}/lineitem.parquet*", table(spark, folder, "lineitem").schema)
 
     def with_header(batch):
         lines = batch.withColumns({"flag": F.lit(0), "spread": F.col("l_tax")}).withColumnsRenamed({"l_orderkey": "report_id"})

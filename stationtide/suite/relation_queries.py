@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import Window, functions as F
 
 from stationtide.functions.times import ts
 from stationtide.model.definitions import TableDefinition, TableGraph, default_graph
-from stationtide.operators.archive import batch_stations, fix_units, fix_values, merge_bias, slice_bounds
+from stationtide.model.literals import literal_table
+from stationtide.operators.archive import batch_stations, fix_units, fix_values, merge_bias, record_intervals, rows_of_intervals, slice_bounds
 from stationtide.operators.dedupe import distinct_rows, first_per_key, repeated_keys
 from stationtide.operators.joins import (
     active_stations_by_month, align_by_position, column_conflicts, data_of_period, headers_of_first,
-    join_header_and_data, join_tables, subset_archive,
+    join_header_and_data, join_tables, store_by_position, subset_archive,
 )
-from stationtide.operators.relational import denormalise, normalise_table
+from stationtide.operators.relational import denormalise, normalise, normalise_table
+from stationtide.session import scratch_path
 from stationtide.sources.archive import read_archive
+from stationtide.sources.tables import discovered_types
 from stationtide.suite.registry import query
 from stationtide.suite.views import hdr, obs, placed_reports, station, table, wide
 
@@ -62,6 +66,15 @@ def q_normalise_header(spark, folder):
     return normalise_table(_flat(spark, folder), default_graph(), "header_table")
 
 
+@query("""SELECT 'header_table' AS "table", count(*) AS n_rows FROM (SELECT DISTINCT report_id, report_timestamp, primary_station_id, station_record_number, latitude, longitude FROM placed)
+          UNION ALL SELECT 'station_configuration', count(*) FROM (SELECT DISTINCT s.station_name, s.primary_station_id FROM hdr h JOIN station s ON h.station_key = s.station_key)""")
+def q_normalise_all(spark, folder):
+    """Every table that the flat columns can fill, at once."""
+    tables = normalise(_flat(spark, folder), default_graph())
+    counts = [tables[name].agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n_rows")) for name in ("header_table", "station_configuration")]
+    return counts[0].unionByName(counts[1])
+
+
 @query("""SELECT DISTINCT s.station_name, s.primary_station_id AS primary_id, 1 AS record_number
           FROM hdr h JOIN station s ON h.station_key = s.station_key""")
 def q_normalise_station(spark, folder):
@@ -103,6 +116,46 @@ def q_positional_align(spark, folder):
     return align_by_position(observations, feedback, ["source_file", "source_row"]).drop("source_file", "source_row")
 
 
+@query("""SELECT observation_id, observation_value, observation_value * 0.5 AS departure FROM obs""")
+def q_aligned_buckets(spark, folder):
+    """The same alignment of tables that were stored by position: bucket joins bucket, and nothing is shuffled."""
+    position = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row")]
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    sides = {"observations": events.select(*position, F.col("event_id").alias("observation_id"), F.col("value").alias("observation_value")),
+             "feedback": events.select(*position, (F.col("value") * 0.5).alias("departure"))}
+    stored = []
+    for side, frame in sides.items():
+        path = scratch_path(spark, side)
+        stored.append(store_by_position(frame, ["source_file", "source_row"], path.rsplit("/", 1)[1].replace("-", "_"), path, 8))
+    return align_by_position(*stored, ["source_file", "source_row"], check=False).drop("source_file", "source_row")
+
+
+@query("""SELECT observation_id, observed_variable FROM obs WHERE report_timestamp >= TIMESTAMP '2024-01-10' AND report_timestamp < TIMESTAMP '2024-01-17'""")
+def q_record_intervals(spark, folder):
+    """Rows of a week from a table sorted by variable and date, through the positions of its daily records."""
+    place = Window.partitionBy("file").orderBy("observed_variable", "report_timestamp", "observation_id")
+    path = scratch_path(spark, "sorted")
+    rows = obs(spark, folder).withColumn("file", F.pmod(F.crc32("primary_station_id"), F.lit(5)))
+    rows.withColumn("row", F.row_number().over(place) - 1).sortWithinPartitions("file", "row").write.parquet(path)
+    table = spark.read.parquet(path)
+    index = table.groupBy("file", "observed_variable", F.date_trunc("day", "report_timestamp").cast("timestamp_ntz").alias("record_timestamp")).agg(F.min("row").alias("position"))
+    found = rows_of_intervals(table, record_intervals(index, ts("2024-01-10"), ts("2024-01-17")))
+    return found.select("observation_id", "observed_variable")
+
+
+@query("""WITH h AS (SELECT column_name AS c, column_type AS t FROM (DESCRIBE SELECT * FROM orders)), d AS (SELECT column_name AS c, column_type AS t FROM (DESCRIBE
+              SELECT *, CAST(NULL AS VARCHAR) AS o_orderdate FROM lineitem)),
+            b AS (SELECT c, t FROM h UNION ALL SELECT c, t FROM d WHERE c NOT IN (SELECT c FROM h))
+          SELECT c AS "column", CASE t WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE lower(t) END AS type FROM b""")
+def q_discovered_types(spark, folder):
+    """Columns of a header and a data table that clash in one name: the header's type counts."""
+    header = spark.read.parquet(f"{folder}/orders.parquet")
+    data = spark.read.parquet(f"{folder}/lineitem.parquet").withColumn("o_orderdate", F.lit(None).cast("string"))
+    text = pa.string()
+    return literal_table(spark, [("column", text), ("type", text)], sorted(discovered_types(header, data).items()))
+
+
 @query("""SELECT strftime(m, '%Y-%m-%d') AS month, count(*) AS n_stations FROM (
             SELECT unnest(generate_series(date_trunc('month', a) + CASE WHEN a > date_trunc('month', a) THEN INTERVAL 1 MONTH ELSE INTERVAL 0 MONTH END,
               date_trunc('month', b), INTERVAL 1 MONTH)) AS m

@@ -174,3 +174,93 @@ def test_custom_graph_joins_optional_tables(frame):
         denormalise({"header_table": frame([("k",)], "source_key string"), "observations_table": frame([("o", "r")], "observation_id string, report_id string")}, graph)
     loose = denormalise({"header_table": frame([("k",)], "source_key string"), "observations_table": frame([("o", "r")], "observation_id string, report_id string")}, graph, ignore_missing=True)
     assert loose.columns == ["observation_id", "report_id"]
+
+
+def test_time_mask_of_sorted_tables(spark, frame, tmp_path):
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from stationtide.functions.times import ts
+    from stationtide.operators.archive import in_seconds, record_intervals, rows_of_intervals
+
+    rows, position = [], 0
+    for variable in (1, 2):
+        for hour in range(0, 24 * 90, 6):
+            for _ in range(3):
+                rows.append(("f", position, variable, datetime(2020, 1, 1) + timedelta(hours=hour)))
+                position += 1
+    rows += [("g", i, 1, datetime(2020, 1, 31, 23, 59, 59) if i < 2 else datetime(2020, 1, 31, 23, 59, 59, 500_000)) for i in range(4)]
+    path = str(tmp_path / "t")
+    frame(rows, "file string, row bigint, observed_variable int, at timestamp_ntz").coalesce(1).sortWithinPartitions("file", "row").write.option(
+        "parquet.block.size", 4096).parquet(path)
+    table = spark.read.parquet(path)
+    index = table.groupBy("file", "observed_variable", F.col("at").alias("record_timestamp")).agg(F.min("row").alias("position"))
+    intervals = record_intervals(index, ts("2020-01-01"), ts("2020-02-01"))
+    assert {(r.file, r.observed_variable): (r.first, r.stop) for r in intervals.collect()} == {("f", 1): (0, 372), ("f", 2): (1080, 1452), ("g", 1): (0, 2)}
+    found = rows_of_intervals(table, intervals)
+    want = sorted((f, i) for f, i, _, at in rows if at <= datetime(2020, 1, 31, 23, 59, 59))
+    assert sorted((r.file, r.row) for r in found.collect()) == want
+    # The range of positions reaches the scan.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(row,0)" in plan and "LessThan(row,1452)" in plan
+    last = record_intervals(index, ts("2020-03-01"), ts("2020-04-01"))
+    assert {(r.file, r.observed_variable): r.stop for r in last.collect()} == {("f", 1): 1080, ("f", 2): None}
+    assert rows_of_intervals(table, last).count() == 2 * 30 * 4 * 3 - 2 * 4 * 3
+    assert rows_of_intervals(table, record_intervals(index, ts("2021-01-01"), ts("2021-02-01"))).count() == 0
+    assert table.where(in_seconds("at", ts("2020-01-31"), ts("2020-02-01"))).where("file = 'g'").count() == 2
+
+
+def test_archive_reads_only_the_rows_of_the_period(spark):
+    from pyspark.sql import functions as F
+
+    from stationtide.functions.times import ts
+    from stationtide.sources.archive import read_archive
+    from stationtide.suite.relation_queries import _archive_graph, _archive_tables
+
+    folder = "/root/testdata/sf0.001"
+    tables = _archive_tables(spark, folder)
+    times = tables["header_table"].select("report_id", "report_timestamp")
+    tables["observations_table"] = tables["observations_table"].join(times.withColumnRenamed("report_timestamp", "date_time"), "report_id")
+    args = (_archive_graph(), ts("1996-01-01"), ts("1996-07-01"), (-100, 100, -60, 60), ["file", "row"])
+    key = lambda df: sorted(map(tuple, df.select("report_id", "observed_variable", "observation_value", "`fg_depar@body`").collect()))
+    plain = key(read_archive(tables, *args))
+    masked = read_archive(tables, *args, sorted_by_date={"observations_table": "date_time"}, check=False)
+    assert plain and key(masked) == plain
+    index = tables["observations_table"].select("file", F.col("row").alias("position"), "observed_variable", F.col("date_time").alias("record_timestamp"))
+    assert key(read_archive(tables, *args, record_index=index)) == plain
+
+
+def test_aligned_buckets_are_not_shuffled(spark):
+    from stationtide.suite.relation_queries import q_aligned_buckets
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = q_aligned_buckets(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_missing_columns_are_named_before_an_ingestion(frame):
+    from stationtide.config import DatasetConfig, Description, SourceConfig
+    from stationtide.plans.ingest import preparation_warnings
+
+    source = SourceConfig(main_variables=("t",), rename={"when": "report_timestamp"}, descriptions={"report_timestamp": Description("datetime64[ns]")})
+    warnings = preparation_warnings(frame([(None, 1.0)], "when timestamp_ntz, t double"), DatasetConfig(name="d", sources={"s": source}), "s")
+    assert "mandatory column latitude is missing" in warnings and not any("report_timestamp" in w for w in warnings)
+
+
+def test_a_stored_batch_is_known_by_its_period_and_box(spark, frame, tmp_path):
+    from datetime import datetime
+
+    from stationtide.plans.ingest import batch_is_stored, ingest
+    from stationtide.sources.store import read_catalogue
+    from test_store import RAW, config, raw_rows
+
+    root = str(tmp_path / "store")
+    ingest(spark, frame(raw_rows((1,)), RAW), config(), "01", "1.0.0", root)
+    entries, period = read_catalogue(spark, root), (datetime(2020, 1, 1), datetime(2020, 2, 1))
+    assert batch_is_stored(entries, "sondes", "01", "1.0.0", *period)
+    assert not batch_is_stored(entries, "sondes", "01", "1.0.0", *period, box=(-10, 10, -10, 10))
+    assert not batch_is_stored(entries, "sondes", "01", "2.0.0", *period)
