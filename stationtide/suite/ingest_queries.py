@@ -235,7 +235,8 @@ def _two_runs(spark, folder):
     return root, raw
 
 
-@query(f"""SELECT asset, 'exists_identical' AS status, CASE WHEN asset LIKE '%_1997_%' THEN 2 ELSE 1 END AS n_runs FROM ({_TILES})""")
+@query(_TILES.replace("count(*) AS n_obs, count(DISTINCT primary_station_id) AS n_stations",
+                      "'exists_identical' AS status, count(DISTINCT report_timestamp < TIMESTAMP '1997-07-01') AS n_runs"))
 def q_status_of_two_runs(spark, folder):
     """Tiles whose rows came in two runs have one entry, and it is identical with that of all rows."""
     root, raw = _two_runs(spark, folder)

@@ -84,18 +84,18 @@ _CELLS = """SELECT CAST(floor((latitude + 90) / 90) * 90 - 90 AS INT) AS la, CAS
             primary_station_id AS s, CAST(report_timestamp AS DATE) AS d, observed_variable AS v FROM obs GROUP BY ALL"""
 
 
-@query(f"""WITH c AS ({_CELLS}), r AS (SELECT la, lo, v, dense_rank() OVER (PARTITION BY la, lo ORDER BY s) - 1 AS i, dense_rank() OVER (PARTITION BY la, lo ORDER BY d) - 1 AS j FROM c),
+@query(f"""SELECT * FROM (WITH c AS ({_CELLS}), r AS (SELECT la, lo, v, dense_rank() OVER (PARTITION BY la, lo ORDER BY s) - 1 AS i, dense_rank() OVER (PARTITION BY la, lo ORDER BY d) - 1 AS j FROM c),
             n AS (SELECT la, lo, count(DISTINCT d) AS n FROM c GROUP BY ALL)
-          SELECT la AS lat_start, lo AS lon_start, v AS variable, i * n + j AS position FROM r JOIN n USING (la, lo)""")
+          SELECT la AS lat_start, lo AS lon_start, v AS variable, i * n + j AS position FROM r JOIN n USING (la, lo))""")
 def q_constraint_positions(spark, folder):
     """Positions of every entry and variable, a row for each."""
     keys = ["lat_start", "lon_start"]
     return positions_of(cut_lineage(day_bitmaps(_entry_rows(spark, folder), keys)), keys)
 
 
-@query(f"""WITH c AS ({_CELLS}), a AS (SELECT la, lo, count(DISTINCT s) * count(DISTINCT d) AS n_cells, count(DISTINCT (s, d)) * count(DISTINCT v) AS n_observations,
+@query(f"""SELECT * FROM (WITH c AS ({_CELLS}), a AS (SELECT la, lo, count(DISTINCT s) * count(DISTINCT d) AS n_cells, count(DISTINCT (s, d)) * count(DISTINCT v) AS n_observations,
               count(DISTINCT (s, d)) FILTER (WHERE v = 'error') AS n_true FROM c GROUP BY ALL)
-          SELECT la AS lat_start, lo AS lon_start, n_observations, n_cells, n_true FROM a""")
+          SELECT la AS lat_start, lo AS lon_start, n_observations, n_cells, n_true FROM a)""")
 def q_constraint_cells(spark, folder):
     """Size and full table of every entry, from the bitmaps."""
     keys = ["lat_start", "lon_start"]
@@ -104,8 +104,8 @@ def q_constraint_cells(spark, folder):
     return bitmap_size(bitmaps, keys).join(cells, keys)
 
 
-@query(f"""WITH c AS ({_CELLS}), n AS (SELECT la, lo, count(DISTINCT s) AS ns, count(DISTINCT d) AS nd, count(DISTINCT (s, d, v)) AS nc FROM c GROUP BY ALL)
-          SELECT la AS lat_start, lo AS lon_start, ns AS n_stations, nd AS n_days, nc AS n_positions FROM n""")
+@query(f"""SELECT * FROM (WITH c AS ({_CELLS}), n AS (SELECT la, lo, count(DISTINCT s) AS ns, count(DISTINCT d) AS nd, count(DISTINCT (s, d, v)) AS nc FROM c GROUP BY ALL)
+          SELECT la AS lat_start, lo AS lon_start, ns AS n_stations, nd AS n_days, nc AS n_positions FROM n)""")
 def q_constraints_json_stream(spark, folder):
     """The JSON object of every entry in pieces that no task has to put together: its stations, days and positions are counted in the text."""
     keys = ["lat_start", "lon_start"]
