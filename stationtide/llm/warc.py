@@ -13,6 +13,7 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -151,21 +152,45 @@ def write_archives(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Fields (names in lower case) and block of each record of an archive file, compressed or not."""
+    """Fields (names in lower case) and block of each record of an archive file, compressed or not.
+
+    What is no record is skipped up to the next line that starts one. A place where something was lost comes with the field
+    ``problem``: a record whose length is missing or reaches beyond the file, with what there is of its fields, lines
+    between records, or the broken end of a compressed file, without any.
+    """
     stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)), 1 << 16) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError("no record at this place of the archive")
-        fields = {}
-        while (line := stream.readline()).strip():
-            name, value = _field(line)
-            fields[name] = value
-        block = stream.read(int(fields["content-length"]))
-        if len(block) < int(fields["content-length"]):
-            raise ValueError("the archive ends inside a record")
-        yield fields, block
+    lost = False
+    try:
+        while line := stream.readline():
+            if not line.strip():
+                continue
+            if not line.startswith(b"WARC/"):
+                if not lost:
+                    yield {"problem": "archive"}, b""
+                lost = True
+                continue
+            fields, lost = {}, False
+            while (line := stream.readline()).strip():
+                name, value = _field(line)
+                fields[name] = value
+            size = _number(fields.get("content-length"))
+            if size is None:
+                lost = True
+                yield fields | {"problem": "archive"}, b""
+                continue
+            block = stream.read(size)
+            yield (fields if len(block) == size else fields | {"problem": "archive"}), block
+    except (EOFError, OSError, zlib.error):
+        yield {"problem": "archive"}, b""
+
+
+def _number(value: str | None) -> int | None:
+    return int(value) if value and value.isascii() and value.isdigit() else None
+
+
+def _signed(value: str | None) -> int | None:
+    size = _number((value or "").removeprefix("-"))
+    return -size if size is not None and value.startswith("-") else size
 
 
 def _checked(kind: str, block: bytes, digest: str | None) -> tuple[int | None, str | None, str | None]:
@@ -184,30 +209,38 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """``page_id``, ``url``, ``record_type``, ``payload_bytes``, ``payload_digest``, ``refers_to``, ``problem`` of each page below ``path``.
 
     Revisits take the payload's length from the response they refer to. ``problem`` is null for sound records, else
-    ``segments`` (one is missing or repeated), ``length`` (they do not add up), ``framing``, ``digest`` or ``target`` (a revisit
-    of nothing).
+    ``segments`` (one is missing or repeated), ``length`` (they do not add up), ``framing``, ``digest``, ``target`` (a revisit
+    of nothing) or ``archive``: the file is damaged there. A damaged place that cannot be told to be of a page has a row of its
+    own with the record type ``damaged`` and no page_id; the rest of the file is read.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for path_of, content in zip(batch.column("path"), batch.column("content")):
                 rows, held = [], 0
-                for fields, block in parse(content.as_py()):
-                    kind, number = fields["warc-type"], fields.get("warc-segment-number")
-                    if kind not in ("response", "revisit", "continuation"):
+                for place, (fields, block) in enumerate(parse(content.as_py())):
+                    kind, bad, record = fields.get("warc-type"), fields.get("problem"), fields.get("warc-record-id")
+                    known = kind in ("response", "revisit", "continuation")
+                    if not known and bad is None:
+                        continue
+                    origin = fields.get("warc-segment-origin-id") if kind == "continuation" else record
+                    if not known or origin is None:
+                        rows.append((f"damaged {path_of}/{place}", 0, None, "damaged", None, None, None, None, None, bad or "archive", None))
                         continue
+                    if bad and kind == "continuation":
+                        continue  # its origin lacks a segment then
+                    number = _number(fields.get("warc-segment-number"))
                     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
-                    whole = number is None
-                    size, found, problem = _checked(kind, block, digest) if whole else (None, digest, None)
-                    number_of = lambda name: int(fields[name]) if name in fields else None
-                    rows.append((fields.get("warc-segment-origin-id") if kind == "continuation" else fields["warc-record-id"], int(number or 0), number_of("warc-segment-total-length"),
-                                 kind, number_of("page-id"), fields.get("warc-target-uri"), found, number_of("refers-to-page-id"), size, problem, None if whole else block))
+                    whole = number is None or bad is not None
+                    size, found, problem = (None, digest, bad) if bad or not whole else _checked(kind, block, digest)
+                    rows.append((origin, 0 if whole else number, _number(fields.get("warc-segment-total-length")), kind, _signed(fields.get("page-id")), fields.get("warc-target-uri"),
+                                 found, _signed(fields.get("refers-to-page-id")), size, problem, None if whole else block))
                     held += len(block)
                     if held > 8_000_000:
                         yield _batch(rows)
                         rows, held = [], 0
                 yield _batch(rows)
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     parts = files.mapInArrow(scan, PARSED).groupBy("origin").agg(
         F.sort_array(F.collect_list(F.struct("segment", "total", "kind", "page_id", "url", "digest", "refers_to", "payload_bytes", "problem", "block"))).alias("s"))
     whole = parts.mapInArrow(_assemble, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, problem string")
@@ -237,7 +270,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total = parts[-1]["total"]
                 if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or kind == "continuation" or (total is None and len(parts) > 1):
                     problem = "segments"
-                elif total is not None and total != sum(len(p["block"]) for p in parts):
+                elif total is not None and total != sum(len(p["block"] or b"") for p in parts):
                     problem = "length"
                 else:
                     size, digest, problem = _checked(kind, b"".join(p["block"] for p in parts), digest)

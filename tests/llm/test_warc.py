@@ -90,3 +90,32 @@ def test_chunks():
 
 def test_empty_table(frame):
     assert warc.archived_pages(frame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_a_damaged_file_is_read_as_far_as_it_goes(spark, frame, tmp_path):
+    path = tmp_path / "warc"
+    rows = [(-7, "u", "seven"), (1, "u", "one " * 50), (2, "u", "two " * 50), (3, "u", "three " * 50), (4, "u", "four " * 30_000)]
+    warc.write_archives(frame(rows, "page_id long, url string, html string").coalesce(1), str(path))
+    (file,) = path.glob("*.gz")
+    records = list(warc.parse(file.read_bytes()))
+    small = {f.get("page-id"): (f, b) for f, b in records if "warc-segment-number" not in f}
+    records = [small[i] for i in ("-7", "2", "3", "1")] + [r for r in records if "warc-segment-number" in r[0]]
+    assert all("problem" not in fields for fields, _ in records)
+
+    def text(fields, block, length=None):
+        fields = {k: v for k, v in fields.items() if k != "content-length"} | ({} if length is None else {"content-length": str(length)})
+        return b"WARC/1.1\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in fields.items()) + b"\r\n" + block + b"\r\n\r\n"
+
+    whole = [text(f, b, len(b)) for f, b in records]
+    folder = tmp_path / "damaged"
+    folder.mkdir()
+    whole[1] = b"garbage\r\nmore\r\n" + whole[1]
+    whole[3] = text(*records[3])  # no length
+    (folder / "a.warc").write_bytes(b"".join(whole)[:-3000])
+    (folder / "b.warc.gz").write_bytes(file.read_bytes()[:60])
+    (folder / "c.warc").write_bytes(bytes(range(256)) * 9)
+    (folder / "d.warc").write_bytes(b"")
+    (folder / "e.warc").write_bytes(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: 1\r\n\r\nx\r\n\r\n")
+    got = warc.read_archives(spark, str(folder)).collect()
+    assert {r.page_id: r.problem for r in got if r.page_id is not None} == {-7: None, 1: "archive", 2: None, 3: None, 4: "segments"}
+    assert [r.problem for r in got if r.record_type == "damaged"] == ["archive"] * 4
