@@ -285,7 +285,8 @@ def commit_entries(spark: SparkSession, root: str, log: list[Commit], run: str |
     columns = [f.name for f in T.StructType.fromDDL(ENTRIES).fields]
     rows = []
     if added is not None:
-        rows.append(merged_entries(held, added).withColumn("run", F.element_at("runs", -1)).select(*columns))
+        summed = merged_entries(held, added) if log else added
+        rows.append(summed.withColumn("run", F.element_at("runs", -1)).select(*columns))
     if replaced is not None:
         fresh = replaced if whole else replaced.join(held.select("asset", F.col("variables").alias("_declared")), "asset", "left").withColumn(
             "variables", F.array_sort(F.array_union("variables", F.coalesce("_declared", F.array().cast("array<string>")))))
