@@ -1,13 +1,14 @@
-"""What an ingestion moves: rows before they are melted, paths once a file."""
+"""What an ingestion moves: rows before they are melted, late rows by column, paths once a file."""
 
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from stationtide.operators.tiling import TILE_KEYS, assign_tiles
-from stationtide.plans.ingest import tiled_observations
-from stationtide.sources.store import read_tiles, write_manifest, write_tiles
-from tests.test_store import RAW, config, raw_rows, root  # noqa: F401
+from stationtide.plans import ingest as plan
+from stationtide.plans.ingest import ingest, tiled_observations
+from stationtide.sources.store import read_listed_tiles, read_tiles, write_manifest, write_tiles
+from tests.test_store import RAW, config, ids, raw_rows, root  # noqa: F401
 
 
 def test_rows_are_gathered_before_they_are_melted(spark, frame):
@@ -21,6 +22,16 @@ def test_rows_are_gathered_before_they_are_melted(spark, frame):
     assert gathered.columns == plain.columns and sorted(map(str, gathered.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_rows_that_come_late_are_not_checkpointed(spark, frame, root, monkeypatch):
+    cut, seen = plan.cut_lineage, []
+    monkeypatch.setattr(plan, "cut_lineage", lambda df: (seen.extend(df.columns), cut(df))[1])
+    rows = raw_rows((1,))
+    for part in (rows[::2], rows):
+        ingest(spark, frame(part, RAW), config(), "01", "1.0.0", root)
+    assert ids(read_listed_tiles(spark, root)) == sorted(r[4] for r in rows)
+    assert "observation_value" not in seen
+
+
 def test_manifest_keys_of_odd_names(spark, frame, root):
     odd = "a b+c%25/x=1"
     tiled = assign_tiles(frame(raw_rows((1,)), RAW).withColumns({"dataset": F.lit("d"), "version": F.lit("1"), "dataset_source": F.lit(odd)}), 90, 180)
