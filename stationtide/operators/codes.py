@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationtide.config import ConfigError, SourceConfig
 from stationtide.functions.names import underscored
@@ -44,7 +44,7 @@ def unknown_variables(df: DataFrame, codes: DataFrame, column: str = "observed_v
     return counted.join(names, column, "left_anti")
 
 
-def unit_rules(spark: SparkSession, source: SourceConfig) -> DataFrame:
+def listed_unit_rules(source: SourceConfig) -> list[tuple]:
     """(variable, units, original_units, scale, offset) of one source."""
     rows = []
     for name, description in source.descriptions.items():
@@ -57,13 +57,24 @@ def unit_rules(spark: SparkSession, source: SourceConfig) -> DataFrame:
                 f"new units {change.target_units!r} of {name} differ from the described units {description.units!r}"
             )
         rows.append((name, change.target_units, change.source_units, float(change.scale), float(change.offset)))
+    return rows
+
+
+def unit_rules(spark: SparkSession, source: SourceConfig) -> DataFrame:
+    """The unit rules as a table."""
     text, number = pa.string(), pa.float64()
     return literal_table(
         spark, [("_variable", text), ("_units", text), ("_original", text), ("_scale", number), ("_offset", number)],
-        rows,
+        listed_unit_rules(source),
     )
 
 
+def units_of_variable(source: SourceConfig, variable: str, value: Column) -> dict[str, Column]:
+    """What :func:`define_units` gives a row of ``variable``; the variable must be described."""
+    _, units, original, scale, offset = next(r for r in listed_unit_rules(source) if r[0] == variable)
+    return {"observation_value": value * F.lit(scale) + F.lit(offset), "units": F.lit(units), "original_units": F.lit(original)}
+
+
 def define_units(df: DataFrame, source: SourceConfig) -> DataFrame:
     """Set ``units`` and ``original_units`` and convert values where the source asks for it."""
     rules = unit_rules(df.sparkSession, source)

@@ -28,10 +28,14 @@ def melt(df: DataFrame, variables, key=()) -> DataFrame:
     out = values.unpivot([F.col(f"`{c}`") for c in ids], variables, "observed_variable", "observation_value")
     if "observation_id" in ids:
         return out
+    return out.withColumn("observation_id", F.concat_ws("-", natural_key(key), "observed_variable"))
+
+
+def natural_key(key) -> Column:
+    """What an observation id starts with: the same for all variables of a row."""
     if not key:
         raise ConfigError("melting needs observation_id or a natural key (observation_key)")
-    parts = [_id_part(F.col(f"`{k}`").cast("string")) for k in key] + [F.col("observed_variable")]
-    return out.withColumn("observation_id", F.concat_ws("-", *parts))
+    return F.concat_ws("-", *[_id_part(F.col(f"`{k}`").cast("string")) for k in key])
 
 
 def _id_part(value: Column) -> Column:
@@ -42,35 +46,54 @@ def _id_part(value: Column) -> Column:
 
 def align_uncertainty(df: DataFrame, uncertainty: dict[str, tuple[AuxColumn, ...]]) -> DataFrame:
     """``uncertainty_value/type/units<code>`` on every row, filled for the described variable."""
-    out, used = {}, set()
+    out = _uncertainty_columns(uncertainty, F.col("observed_variable"))
+    return df.withColumns(out).drop(*{c.name for columns in uncertainty.values() for c in columns}) if out else df
+
+
+def _uncertainty_columns(uncertainty: dict[str, tuple[AuxColumn, ...]], variable: Column) -> dict[str, Column]:
+    out = {}
     for kind, columns in uncertainty.items():
         code = uncertainty_code(uncertainty_label(kind))
-        out[f"uncertainty_value{code}"] = _for_variable(columns, lambda c: F.col(f"`{c.name}`")).cast("float")
+        out[f"uncertainty_value{code}"] = _for_variable(columns, lambda c: F.col(f"`{c.name}`"), variable).cast("float")
         out[f"uncertainty_type{code}"] = F.lit(code).cast("smallint")
         out[f"uncertainty_units{code}"] = F.coalesce(
-            _for_variable(columns, lambda c: F.lit(c.units)), F.lit(UNITS_MISSING)
+            _for_variable(columns, lambda c: F.lit(c.units), variable), F.lit(UNITS_MISSING)
         )
-        used |= {c.name for c in columns}
-    return df.withColumns(out).drop(*used) if out else df
+    return out
 
 
 def align_code(df: DataFrame, name: str, columns: tuple[AuxColumn, ...], missing: int) -> DataFrame:
     """Integer column ``name``, taken per variable from its raw column, else ``missing``."""
     if not columns:
         return df
-    value = _for_variable(columns, lambda c: F.col(f"`{c.name}`").cast("int"))
-    aligned = F.coalesce(value, F.lit(missing)).cast("smallint")
-    return df.withColumn(name, aligned).drop(*[c.name for c in columns if c.name != name])
+    return df.withColumn(name, _code_column(columns, missing, F.col("observed_variable"))).drop(*[c.name for c in columns if c.name != name])
 
 
-def _for_variable(columns: tuple[AuxColumn, ...], value) -> Column:
+def _code_column(columns: tuple[AuxColumn, ...], missing: int, variable: Column) -> Column:
+    value = _for_variable(columns, lambda c: F.col(f"`{c.name}`").cast("int"), variable)
+    return F.coalesce(value, F.lit(missing)).cast("smallint")
+
+
+def _for_variable(columns: tuple[AuxColumn, ...], value, variable: Column) -> Column:
     """CASE over the variables; of two rules for one variable the later wins."""
     return reduce(
-        lambda rest, c: F.when(F.col("observed_variable") == c.main_variable, value(c)).otherwise(rest),
+        lambda rest, c: F.when(variable == c.main_variable, value(c)).otherwise(rest),
         columns, F.lit(None),
     )
 
 
+def columns_of_variable(df: DataFrame, source: SourceConfig, variable: str) -> dict[str, Column]:
+    """The columns that :func:`melt_source` gives the row of ``variable``, as expressions over the row that is still wide."""
+    out = {"observed_variable": F.lit(variable), "observation_value": F.col(f"`{variable}`").cast("double")}
+    if "observation_id" not in df.columns:
+        out["observation_id"] = F.concat_ws("-", natural_key(source.observation_key), F.lit(variable))
+    out |= _uncertainty_columns(source.uncertainty, F.lit(variable))
+    for name, columns, missing in (("quality_flag", source.quality_flag, QUALITY_FLAG_MISSING), ("processing_level", source.processing_level, PROCESSING_LEVEL_MISSING)):
+        if columns:
+            out[name] = _code_column(columns, missing, F.lit(variable))
+    return out
+
+
 def melt_source(df: DataFrame, source: SourceConfig) -> DataFrame:
     """Melt and align in one narrow stage: no shuffle."""
     out = melt(df, source.main_variables, source.observation_key)

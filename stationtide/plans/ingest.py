@@ -12,12 +12,12 @@ from stationtide.functions.intervals import within
 from stationtide.functions.tiles import asset_name
 from stationtide.functions.times import period_start, ts
 from stationtide.operators.catalogue import (
-    IDENTITY, build_catalogue, content_columns, row_hash, tile_parts, tile_status,
+    IDENTITY, build_catalogue, content_columns, row_hash, tile_parts, tile_parts_of_wide, tile_status,
 )
-from stationtide.operators.codes import backfill_units, decode_units, define_units
+from stationtide.operators.codes import backfill_units, decode_units, define_units, units_of_variable
 from stationtide.operators.homogenise import homogenise, missing_mandatory, select_model_columns
 from stationtide.operators.quality import assert_period, validation_report
-from stationtide.operators.reshape import melt_source
+from stationtide.operators.reshape import columns_of_variable, melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles, declared_batches, gather_by_tile
 from stationtide.plans.sanity import require_summary
 from stationtide.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, staged
@@ -30,6 +30,8 @@ from stationtide.sources.store import (
 GROUP = [*TILE_KEYS, "station", "variable", "day"]
 #: How often an ingestion starts again after another writer got in between.
 ATTEMPTS = 5
+#: All rows that came, where a list of them is not needed.
+ALL = object()
 
 
 class IngestError(RuntimeError):
@@ -37,15 +39,20 @@ class IngestError(RuntimeError):
 
 
 def observations_of(raw: DataFrame, config: DatasetConfig, source: str, units: DataFrame | None = None,
-                    period=None, gather: bool = False) -> DataFrame:
+                    period=None, gather: bool = False, wanted: DataFrame | None = None) -> DataFrame:
     """Homogenised long observations with units. Narrow: the only joins are with code tables. ``gather`` brings the rows of a
-    tile together first, while there is one row for all variables."""
+    tile together first, while there is one row for all variables. ``wanted`` are parts (GROUP) that the rows of a melted source
+    are cut to, also while there is one row for all variables."""
     definition = config.sources[source]
     rows = homogenise(raw, definition, config.space)
+    if wanted is not None:
+        rows = _of_parts(rows, config, source, wanted)
     if gather:
         rows = gather_by_tile(rows, config, source)
     if definition.melt:
         rows = melt_source(rows, definition)
+    if wanted is not None:
+        rows = rows.where(F.array_contains("_wanted", F.col("observed_variable"))).drop("_wanted")
     if period is not None:
         rows = assert_period(rows, *period)
     if "units" not in rows.columns:
@@ -64,15 +71,41 @@ def of_periods(raw: DataFrame, config: DatasetConfig, source: str, periods: list
 
 
 def tiled_observations(raw: DataFrame, config: DatasetConfig, source: str, version: str,
-                       graph=None, units: DataFrame | None = None, period=None, gather: bool = False) -> DataFrame:
+                       graph=None, units: DataFrame | None = None, period=None, gather: bool = False, wanted: DataFrame | None = None) -> DataFrame:
     """Observations with tile keys and identity columns, ready to be written."""
-    rows = observations_of(raw, config, source, units, period, gather)
+    rows = observations_of(raw, config, source, units, period, gather, wanted)
     if graph is not None:
         rows = select_model_columns(rows, graph)
     rows = rows.withColumns({"dataset": F.lit(config.name), "version": F.lit(version), "dataset_source": F.lit(source)})
     return assign_dataset_tiles(rows, config, source)
 
 
+def _of_parts(rows: DataFrame, config: DatasetConfig, source: str, wanted: DataFrame) -> DataFrame:
+    """Rows that are not melted yet, of the parts ``wanted``: ``_wanted`` lists the variables that are meant."""
+    day = [*TILE_KEYS, "station", "day"]
+    lists = wanted.groupBy(*[F.col(c).alias(f"_{c}") for c in day]).agg(F.collect_set("variable").alias("_wanted"))
+    tiled = assign_dataset_tiles(rows.withColumn("dataset_source", F.lit(source)), config, source)
+    tiled = tiled.withColumns({"station": F.col("primary_station_id").cast("string"), "day": F.col("report_timestamp").cast("date")})
+    return tiled.join(broadcast_if_small(lists), _same(day, "_")).select(*[F.col(f"`{c}`") for c in rows.columns], "_wanted")
+
+
+def parts_of_raw(raw: DataFrame, config: DatasetConfig, source: str, version: str, graph=None, units: DataFrame | None = None, by_day: bool = False) -> DataFrame:
+    """:func:`tile_parts` of what ``raw`` turns into. Where a row turns into several, they are hashed while they are one row."""
+    definition, tiled = config.sources[source], tiled_observations(raw, config, source, version, graph, units)
+    rows = homogenise(raw, definition, config.space)
+    own = {"station", "variable", "day", "dataset_source", "lat_size", "lon_size", *TILE_KEYS}
+    if not definition.melt or units is not None or not set(definition.main_variables) <= set(definition.descriptions) or own & set(rows.columns):
+        return tile_parts(tiled, by_day=by_day)
+    content, cells = content_columns(tiled), {}
+    for variable in sorted(definition.main_variables):
+        found = columns_of_variable(rows, definition, variable)
+        if "units" not in rows.columns:
+            found |= units_of_variable(definition, variable, found["observation_value"])
+        cells[variable] = {c: found.get(c, F.col(f"`{c}`")).cast(tiled.schema[c].dataType) for c in content}
+    wide = assign_dataset_tiles(rows.withColumn("dataset_source", F.lit(source)), config, source)
+    return tile_parts_of_wide(wide, cells, tiled, {"dataset": config.name, "version": version, "dataset_source": source}, by_day)
+
+
 def raw_batches(raw: DataFrame, config: DatasetConfig, source: str, version: str, mark: str) -> DataFrame:
     """BATCHES: the rows of each period of ``raw`` as a count and an order-free sum of their hashes.
 
@@ -122,6 +155,9 @@ def _ingest(spark, raw, config, source, version, root, graph, units, complete_ba
     existing = entries_at(spark, root, log)
     own = _identified(existing, config, source, version)
     mark = f"{crc32(repr((config.sources[source], config.space_of(source), graph is not None, units is not None)).encode()):08x}"
+    if not log:
+        # Nothing is known yet, so all rows will be wanted: they are put together once for all passes over them.
+        raw = staged(raw, "raw")
     # Periods are as many as the calendar has: their counts may pass the driver.
     came = raw_batches(raw, config, source, version, mark).collect()
     if not came:
@@ -134,21 +170,30 @@ def _ingest(spark, raw, config, source, version, root, graph, units, complete_ba
     new, old = [p for p in fresh if p not in stored], [p for p in fresh if p in stored and not complete_batches]
     if not new and not old:
         return nothing_written(spark, log, root, run)
-    rows, rewritten = tiled_observations(of_periods(raw, config, source, new), config, source, version, graph, units, gather=True) if new else None, None
-    if old:
-        # Late rows are looked at several times, so their periods are read once and kept aside as they came.
-        came_late = staged(of_periods(raw, config, source, old), "raw")
-        late, rewritten = late_rows(spark, root, tiled_observations(came_late, config, source, version, graph, units), cut_lineage(own.where(start.isin(old))), on_change)
-        if late is not None:
-            late = late.hint("rebalance", *[F.col(k) for k in TILE_KEYS])
-            rows = late if rows is None else rows.unionByName(late, allowMissingColumns=True)
     taken = batches.where(F.col("batch_start").isin(new + old))
+    raw = of_periods(raw, config, source, new + old)
+    if log:
+        # What is taken in is looked at several times, so it is put together once and kept aside as it came.
+        raw = staged(raw, "raw")
+    rows, parts, rewritten = None, None, None
+    if old:
+        late, rewritten = late_rows(spark, root, of_periods(raw, config, source, old), config, source, version, graph, units, cut_lineage(own.where(start.isin(old))), on_change)
+        if late is ALL:
+            # Nothing of them was stored, as of months that a stored year lacked: they are like a new period.
+            new, old = new + old, []
+        elif late is not None:
+            rows = late.hint("rebalance", *[F.col(k) for k in TILE_KEYS])
+    if new:
+        fresh = raw if not old else of_periods(raw, config, source, new)
+        gathered = tiled_observations(fresh, config, source, version, graph, units, gather=True)
+        rows = gathered if rows is None else gathered.unionByName(rows, allowMissingColumns=True)
+        parts = parts_of_raw(fresh, config, source, version, graph, units, by_day=True)
     if rows is None:
         return nothing_written(spark, log, root, run, taken)
     identity = {"dataset": config.name, "version": version, "dataset_source": source}
     melted = new and config.sources[source].melt
     write_tiles(rows, root, run, identity, config.space_of(source), gathered=len(config.sources[source].main_variables) if melted else 1)
-    return commit_run(spark, root, run, config.time_tile_size, list(config.sources[source].main_variables), log, rewritten, taken)
+    return commit_run(spark, root, run, config.time_tile_size, list(config.sources[source].main_variables), log, rewritten, taken, parts, old)
 
 
 def nothing_written(spark: SparkSession, log: list[Commit], root: str, run: str, taken: DataFrame | None = None) -> DataFrame:
@@ -158,12 +203,15 @@ def nothing_written(spark: SparkSession, log: list[Commit], root: str, run: str,
     return spark.createDataFrame([], ENTRIES)
 
 
-def late_rows(spark: SparkSession, root: str, tiled: DataFrame, own: DataFrame, on_change: str) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows to write, tiles to be written anew with them) of ``tiled`` against the entries ``own``; either may be None.
+def late_rows(spark: SparkSession, root: str, raw: DataFrame, config: DatasetConfig, source: str, version: str, graph, units, own: DataFrame,
+              on_change: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows to write, tiles to be written anew with them) of ``raw`` against the entries ``own``; either may be None. The rows
+    are ALL if no part of them is stored.
 
     Only parts that differ are read from the store, and of those only ids and hashes.
     """
-    came = tile_parts(tiled, by_day=True).select(*GROUP, "n_obs", "hash_low", "hash_high")
+    tiled = tiled_observations(raw, config, source, version, graph, units)
+    came = staged(parts_of_raw(raw, config, source, version, graph, units, by_day=True).select(*GROUP, "n_obs", "hash_low", "hash_high"), "came")
     held = parts_of(spark, root, listed_keys(own)).groupBy(*GROUP).agg(*[F.sum(c).alias(f"_{c}") for c in ("n_obs", "hash_low", "hash_high")])
     # Stations can be null.
     both = came.join(held.withColumnsRenamed({c: f"_{c}" for c in GROUP}), _same(GROUP, "_"), "left")
@@ -172,12 +220,17 @@ def late_rows(spark: SparkSession, root: str, tiled: DataFrame, own: DataFrame,
     n_parts = {r["_met"]: r["count"] for r in differ.groupBy("_met").count().collect()}
     if not n_parts:
         return None, None
-    named = _listed(differ.withColumnsRenamed({c: f"_{c}" for c in GROUP}), sum(n_parts.values()))
+    if True not in n_parts and n_parts[False] == came.count():
+        return ALL, None
     content = content_columns(tiled)
-    rows = _with_group(tiled).join(named, _same(GROUP, "_"))
+    if config.sources[source].melt:
+        rows = tiled_observations(raw, config, source, version, graph, units, wanted=differ)
+    else:
+        named = _listed(differ.withColumnsRenamed({c: f"_{c}" for c in GROUP}), sum(n_parts.values()))
+        rows = _with_group(tiled).join(named, _same(GROUP, "_")).select(*tiled.columns)
     if True not in n_parts:
-        return rows.select(*tiled.columns), None
-    rows = _with_id(rows.withColumn("_hash", row_hash(content)).drop(*[f"_{c}" for c in GROUP]), content)
+        return rows, None
+    rows = _with_id(rows.withColumn("_hash", row_hash(content)), content)
     met = _listed(differ.where("_met").select(*[F.col(c).alias(f"_{c}") for c in GROUP]), n_parts[True])
     tiles = met.select(*[f"_{c}" for c in TILE_KEYS]).distinct()
     kept = _with_group(_stored(spark, root, own.join(tiles, _entry_of("_"), "left_semi"), tiled, content)).join(met, _same(GROUP, "_"), "left_semi")
@@ -234,19 +287,33 @@ def _with_id(rows: DataFrame, content: list[str]) -> DataFrame:
     return rows.withColumn("_id", F.coalesce(F.col("observation_id").cast("string"), mark) if "observation_id" in content else mark)
 
 
-def run_entries(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None) -> DataFrame:
-    """Entries of the tiles of a run, from what is stored: its parts and its manifest are written first."""
-    parts = write_parts(tile_parts(read_tiles(spark, root, [run]).drop("run"), by_day=True), root, run)
-    sizes = write_manifest(spark, root, run).groupBy(*LAYOUT).agg(F.sum("bytes").alias("file_size"))
+def run_entries(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None, known: DataFrame | None = None, rest: list = ()) -> DataFrame:
+    """Entries of the tiles of a run: its parts and its manifest are written first.
+
+    ``known`` are the parts of all tiles but those of the periods ``rest``. The stored rows are hashed for the others alone;
+    what is known must agree with the files in the number of rows.
+    """
+    stored = read_tiles(spark, root, [run]).drop("run")
+    if known is None:
+        parts = tile_parts(stored, by_day=True)
+    else:
+        parts = known.unionByName(tile_parts(stored.where(F.col("time_start").isin(rest)), by_day=True)) if rest else known
+    parts = write_parts(parts, root, run)
+    files = write_manifest(spark, root, run)
     entries = build_catalogue(parts, time_size, declared_variables=declared_variables)
+    if known is not None:
+        n_parts, n_rows = parts.agg(F.sum("n_obs")).first()[0], files.agg(F.sum("n_rows")).first()[0]
+        if n_parts != n_rows:
+            raise IngestError(f"{n_rows} rows were stored of {n_parts} that came")
+    sizes = files.groupBy(*LAYOUT).agg(F.sum("bytes").alias("file_size"))
     return with_file_size(entries, sizes).withColumns({"runs": F.array(F.lit(run)), "run": F.lit(run)})
 
 
 def commit_run(spark: SparkSession, root: str, run: str, time_size: str, declared_variables=None, log: list[Commit] | None = None,
-               rewritten: DataFrame | None = None, batches: DataFrame | None = None) -> DataFrame:
+               rewritten: DataFrame | None = None, batches: DataFrame | None = None, known: DataFrame | None = None, rest: list = ()) -> DataFrame:
     """List the tiles of a run: parts and manifest first, the catalogue last. ``rewritten`` tiles (TILE_KEYS) take the place of what
-    is stored of them, the others add to it. Returns the entries of the run alone."""
-    entries = run_entries(spark, root, run, time_size, declared_variables)
+    is stored of them, the others add to it. Returns the entries of the run alone. ``known`` and ``rest`` are as in :func:`run_entries`."""
+    entries = run_entries(spark, root, run, time_size, declared_variables, known, rest)
     log = read_log(spark, root) if log is None else log
     if rewritten is None:
         commit_entries(spark, root, log, run, added=entries, batches=batches)
@@ -369,8 +436,7 @@ def ingest_declared(spark: SparkSession, raw: DataFrame, config: DatasetConfig,
 def dry_run(raw: DataFrame, config: DatasetConfig, source: str, version: str, graph=None,
             units: DataFrame | None = None) -> DataFrame:
     """The catalogue an ingestion would produce, without writing anything."""
-    tiled = tiled_observations(raw, config, source, version, graph, units)
-    return build_catalogue(tile_parts(tiled), config.time_tile_size)
+    return build_catalogue(parts_of_raw(raw, config, source, version, graph, units), config.time_tile_size)
 
 
 def make_cdm(raw: DataFrame, config: DatasetConfig, source: str, graph, codes: DataFrame, save_to: str | None = None) -> DataFrame:

@@ -65,6 +65,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df``, written to the shared folder and read from there: what a checkpoint does, but compressed, and read by column."""
     path = scratch_path(df.sparkSession, label)
+    # A column without a type has nothing but nulls, and no file format for them.
+    untyped = [f.name for f in df.schema.fields if f.dataType.typeName() == "void"]
+    df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in untyped}) if untyped else df
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

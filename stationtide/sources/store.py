@@ -28,7 +28,7 @@ from functools import reduce
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stationtide.config import ConfigError, SpaceColumns
 from stationtide.operators.catalogue import IDENTITY, absent_versions, merged_entries
@@ -175,6 +175,11 @@ def _typed(df: DataFrame) -> DataFrame:
     })
 
 
+def _decoded(text: Column) -> Column:
+    """Text of a path without its percent signs; a plus sign stands for itself."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def stored_sizes(spark: SparkSession, root: str, run: str | None = None) -> DataFrame:
     """File bytes per stored tile, from a file listing: no data file is opened.
 
@@ -186,8 +191,7 @@ def stored_sizes(spark: SparkSession, root: str, run: str | None = None) -> Data
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
         .load(folder).select("path", "length")
     )
-    part = lambda name: F.url_decode(F.replace(F.regexp_extract("path", f"/{name}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
-    listed = files.select(*[part(c).alias(c) for c in ("run", *LAYOUT)], "length")
+    listed = files.select(*[_decoded(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in ("run", *LAYOUT)], "length")
     return _typed(listed).groupBy("run", *LAYOUT).agg(F.sum("length").alias("file_size"), F.count(F.lit(1)).alias("n_files"))
 
 
@@ -201,12 +205,13 @@ def _of_runs(spark: SparkSession, root: str, folder: str, runs: list[str], schem
 def write_manifest(spark: SparkSession, root: str, run: str) -> DataFrame:
     """List the files of a run with their tile, size, rows and times. Only the times are read, and paths are decoded once a file."""
     tiles = read_tiles(spark, root, [run])
-    listed = tiles.groupBy(F.col("_metadata.file_path").alias("path"), *LAYOUT).agg(
+    # Tile keys go with the file, so they are read from its path afterwards and are no keys of the aggregate.
+    listed = tiles.groupBy(F.col("_metadata.file_path").alias("path")).agg(
         F.max("_metadata.file_size").alias("bytes"), F.count(F.lit(1)).alias("n_rows"),
         F.min("report_timestamp").alias("first_time"), F.max("report_timestamp").alias("last_time"))
     # The path comes encoded as a URI; names below the root are kept as they are on disk.
-    path = F.regexp_extract(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), r"(tiles/run=.*)$", 1)
-    files = listed.withColumn("path", path)
+    path = F.regexp_extract(_decoded(F.col("path")), r"(tiles/run=.*)$", 1)
+    files = _typed(listed.withColumn("path", path).withColumns({c: _decoded(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)) for c in LAYOUT}))
     folder = f"{root}/files/run={run}"
     files.select("path", "bytes", "n_rows", "first_time", "last_time", *LAYOUT).write.mode("overwrite").parquet(folder)
     return _of_runs(spark, root, "files", [run], FILES)

@@ -2,12 +2,16 @@
 
 from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
+from stationtide.config import AuxColumn, UnitChange
+from stationtide.functions.times import ts
+from stationtide.operators.catalogue import build_catalogue, tile_parts
 from stationtide.operators.tiling import TILE_KEYS, assign_tiles
 from stationtide.plans import ingest as plan
 from stationtide.plans.ingest import ingest, tiled_observations
-from stationtide.sources.store import read_listed_tiles, read_tiles, write_manifest, write_tiles
+from stationtide.sources.store import has_catalogue, read_catalogue, read_listed_tiles, read_tiles, write_manifest, write_tiles
 from tests.test_store import RAW, config, ids, raw_rows, root  # noqa: F401
 
 
@@ -40,3 +44,44 @@ def test_manifest_keys_of_odd_names(spark, frame, root):
     stored = read_tiles(spark, root, ["r1"]).groupBy(*TILE_KEYS, "dataset_source").count()
     assert sorted(map(tuple, files.select(*TILE_KEYS, "dataset_source", "n_rows").collect())) == sorted(map(tuple, stored.collect()))
     assert files.where(F.col("dataset_source") != odd).count() == 0
+
+
+def wide_source(frame, n=12):
+    """Rows of two variables each, one of them with an uncertainty and sometimes without a value."""
+    raw = frame(raw_rows((1, 2), n), RAW).drop("observation_id", "observed_variable").withColumnRenamed("observation_value", "t")
+    raw = raw.withColumns({"p": F.when(F.col("t") % 3 > 0, F.col("t") * 2), "spread": F.col("t") / 7, "flag": F.when(F.col("t") % 2 > 0, 1)})
+    cfg = config(time_tile_size="year")
+    source = replace(cfg.sources["01"], melt=True, observation_key=("primary_station_id", "report_timestamp"), unit_changes={"t": UnitChange("degC", "K", 1.0, 273.15)},
+                     uncertainty={"total_uncertainty": (AuxColumn("spread", "t", "K"),)}, quality_flag=(AuxColumn("flag", "p"),))
+    return raw, replace(cfg, sources={"01": source})
+
+
+def test_parts_of_rows_that_are_not_melted_yet(spark, frame, monkeypatch):
+    raw, cfg = wide_source(frame)
+    long = tiled_observations(raw, cfg, "01", "1.0.0")
+    for by_day in (True, False):
+        want, got = tile_parts(long, by_day=by_day), plan.parts_of_raw(raw, cfg, "01", "1.0.0", by_day=by_day)
+        assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert "Expand" in want._jdf.queryExecution().optimizedPlan().toString() and "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_rows_of_new_periods_are_not_hashed_again(spark, frame, root, monkeypatch):
+    raw, cfg = wide_source(frame)
+    hashed = []
+    monkeypatch.setattr(plan, "tile_parts", lambda *a, **k: hashed.append(a) or tile_parts(*a, **k))
+    january = F.col("report_timestamp") < ts("2020-02-01")
+    # February is new in a year that is stored; the third ingestion has rows that are stored and a row that is not.
+    for part, n_hashed in ((raw.where(january), 0), (raw.where(~january), 0), (wide_source(frame, 13)[0], 1)):
+        ingest(spark, part, cfg, "01", "1.0.0", root)
+        assert len(hashed) == n_hashed
+    whole = build_catalogue(tile_parts(tiled_observations(wide_source(frame, 13)[0], cfg, "01", "1.0.0")), "year")
+    columns = ["asset", "n_obs", "data_size", "file_checksum"]
+    assert sorted(map(tuple, read_catalogue(spark, root).select(columns).collect())) == sorted(map(tuple, whole.select(columns).collect()))
+
+
+def test_files_that_lack_rows_are_not_listed(spark, frame, root, monkeypatch):
+    raw, cfg = wide_source(frame)
+    monkeypatch.setattr(plan, "write_tiles", lambda rows, *a, **k: write_tiles(rows.where("observed_variable = 't'"), *a, **k))
+    with pytest.raises(plan.IngestError):
+        ingest(spark, raw, cfg, "01", "1.0.0", root)
+    assert not has_catalogue(spark, root)
