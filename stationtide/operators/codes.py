@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationtide.config import ConfigError, SourceConfig
 from stationtide.functions.names import underscored
-from stationtide.model.literals import literal_table
 
 
 def encode_variables(df: DataFrame, codes: DataFrame, column: str = "observed_variable") -> DataFrame:
@@ -60,13 +60,12 @@ def listed_unit_rules(source: SourceConfig) -> list[tuple]:
     return rows
 
 
-def unit_rules(spark: SparkSession, source: SourceConfig) -> DataFrame:
-    """The unit rules as a table."""
-    text, number = pa.string(), pa.float64()
-    return literal_table(
-        spark, [("_variable", text), ("_units", text), ("_original", text), ("_scale", number), ("_offset", number)],
-        listed_unit_rules(source),
-    )
+def _of_rules(rules: list[tuple], i: int, kind: str) -> Column:
+    """Value ``i`` of the unit rule of a row's variable: a CASE over its distinct values, of which there are few."""
+    variables = {}
+    for rule in rules:
+        variables.setdefault(rule[i], []).append(rule[0])
+    return reduce(lambda rest, v: F.when(F.col("observed_variable").isin(variables[v]), F.lit(v)).otherwise(rest), variables, F.lit(None)).cast(kind)
 
 
 def units_of_variable(source: SourceConfig, variable: str, value: Column) -> dict[str, Column]:
@@ -76,17 +75,17 @@ def units_of_variable(source: SourceConfig, variable: str, value: Column) -> dic
 
 
 def define_units(df: DataFrame, source: SourceConfig) -> DataFrame:
-    """Set ``units`` and ``original_units`` and convert values where the source asks for it."""
-    rules = unit_rules(df.sparkSession, source)
+    """Set ``units`` and ``original_units`` and convert values where the source asks for it. The rules are part of the projection: no join."""
+    rules = listed_unit_rules(source)
     kept = [c for c in df.columns if c not in ("units", "original_units", "observation_value")]
-    joined = df.join(rules, F.col("observed_variable") == F.col("_variable"), "left")
     undescribed = F.raise_error(F.concat(F.lit("variable is not described: "), F.coalesce("observed_variable", F.lit("null"))))
-    value = F.when(F.col("_variable").isNull(), undescribed.cast("double")).otherwise(
-        F.col("observation_value") * F.col("_scale") + F.col("_offset")
-    )
-    return joined.select(
+    value = F.when(
+        F.col("observed_variable").isin([r[0] for r in rules]),
+        F.col("observation_value") * _of_rules(rules, 3, "double") + _of_rules(rules, 4, "double"),
+    ).otherwise(undescribed.cast("double"))
+    return df.select(
         *[F.col(f"`{c}`") for c in kept], value.alias("observation_value"),
-        F.col("_units").alias("units"), F.col("_original").alias("original_units"),
+        _of_rules(rules, 1, "string").alias("units"), _of_rules(rules, 2, "string").alias("original_units"),
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -77,10 +75,15 @@ def field_mapping(df: DataFrame, graph: TableGraph) -> DataFrame:
     )
 
 
+def _key_columns(df: DataFrame, graph: TableGraph) -> list[tuple]:
+    """(table, key, column) of every primary key; the column is None where the data has none for it."""
+    mapping = {(t, f): c for t, f, c, _ in reversed(field_sources(df.columns, graph))}
+    return [(t, k, mapping.get((t, k))) for t, d in graph.items() for k in d.primary_keys]
+
+
 def primary_key_report(df: DataFrame, graph: TableGraph) -> DataFrame:
     """Per primary key: availability and number of nulls, one aggregate for all keys."""
-    mapping = {(t, f): c for t, f, c, _ in reversed(field_sources(df.columns, graph))}
-    keys = [(t, k, mapping.get((t, k))) for t, d in graph.items() for k in d.primary_keys]
+    keys = _key_columns(df, graph)
     nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"k{i}") for i, (_, _, c) in enumerate(keys) if c]
     counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
     rows = [
@@ -97,14 +100,20 @@ def assert_primary_keys(df: DataFrame, graph: TableGraph) -> None:
         raise CheckFailed(f"null in primary key {broken.field} of {broken.table}")
 
 
-def type_report(df: DataFrame, graph: TableGraph) -> DataFrame:
-    """Declared kind against actual type of every found field, with the number of values it concerns."""
+def _typed_columns(df: DataFrame, graph: TableGraph) -> list[tuple]:
+    """(table, field, kind, type, conforms, column) of every found field."""
     types = dict(df.dtypes)
     rows = []
     for table, field, column, how in field_sources(df.columns, graph):
         if how != "foreign":
             kind = graph[table].kind(field)
             rows.append((table, field, kind, types[column], types[column] in KIND_TYPES[kind], column))
+    return rows
+
+
+def type_report(df: DataFrame, graph: TableGraph) -> DataFrame:
+    """Declared kind against actual type of every found field, with the number of values it concerns."""
+    rows = _typed_columns(df, graph)
     counted = df.agg(*[F.count(F.col(f"`{r[5]}`")).alias(f"v{i}") for i, r in enumerate(rows)])
     return counted.select(F.inline(F.array(*[
         F.struct(F.lit(t).alias("table"), F.lit(f).alias("field"), F.lit(k).alias("kind"), F.lit(a).alias("type"),
@@ -123,33 +132,48 @@ def ambiguous_columns(df: DataFrame, graph: TableGraph) -> DataFrame:
 
 def unit_report(df: DataFrame, codes: DataFrame, units_column: str = "units") -> DataFrame:
     """Every (variable, units) of the data: is the variable known and are its units accepted."""
+    found = df.groupBy("observed_variable", units_column).agg(F.count(F.lit(1)).alias("n_rows"))
+    return _judged_units(found, codes, units_column).select("observed_variable", F.col(units_column).alias("units"), "n_rows", "status")
+
+
+def _judged_units(found: DataFrame, codes: DataFrame, units_column: str) -> DataFrame:
+    """Every (variable, units) with its ``status``."""
     accepted = codes.select(
         underscored(F.col("name")).alias("observed_variable"), F.col("units").alias(units_column)
     ).distinct().withColumn("_ok", F.lit(True))
     known = accepted.select("observed_variable").distinct().withColumn("_known", F.lit(True))
-    found = df.groupBy("observed_variable", units_column).agg(F.count(F.lit(1)).alias("n_rows"))
     joined = found.join(accepted, ["observed_variable", units_column], "left").join(known, "observed_variable", "left")
     status = F.when(F.col("_known").isNull(), "unknown_variable").when(F.col("_ok").isNull(), "different_units").otherwise("ok")
-    return joined.select("observed_variable", F.col(units_column).alias("units"), "n_rows", status.alias("status"))
+    return joined.withColumn("status", status)
 
 
 def validation_report(df: DataFrame, graph: TableGraph, codes: DataFrame) -> DataFrame:
-    """(check, item, n_rows): unknown columns, other types than declared, nulls in keys, unknown variables and units."""
-    def rows(frame: DataFrame, check: str, item: Column, n: Column) -> DataFrame:
-        return frame.select(F.lit(check).alias("check"), item.alias("item"), n.alias("n_rows"))
+    """(check, item, n_rows): unknown columns, other types than declared, nulls in keys, unknown variables and units.
 
-    where = F.concat_ws(".", "table", "field")
+    The rows are read once: everything is counted per (variable, units), and these few counts are added up.
+    """
     strange = [c for c in df.columns if c not in set(graph.legal_fields)]
-    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(strange)] or [F.count(F.lit(1))])
-    unknown = counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"v{i}").alias("n")) for i, c in enumerate(strange)]))) if strange else None
-    units = unit_report(df, codes)
-    parts = [
-        rows(type_report(df, graph).where("NOT conforms"), "type", where, F.col("n_values")),
-        rows(primary_key_report(df, graph).where("available AND n_null > 0"), "primary_key", where, F.col("n_null")),
-        rows(units.where("status = 'unknown_variable'"), "variable", F.col("observed_variable"), F.col("n_rows")),
-        rows(units.where("status = 'different_units'"), "units", F.concat_ws(" in ", "observed_variable", "units"), F.col("n_rows")),
-    ] + ([rows(unknown, "unknown_column", F.col("c"), F.col("n"))] if unknown is not None else [])
-    return reduce(DataFrame.unionByName, parts)
+    counts = [("type", f"{t}.{f}", F.count(F.col(f"`{c}`"))) for t, f, _, _, conforms, c in _typed_columns(df, graph) if not conforms]
+    counts += [("primary_key", f"{t}.{k}", F.count_if(F.col(f"`{c}`").isNull())) for t, k, c in _key_columns(df, graph) if c]
+    counts += [("unknown_column", c, F.count(F.col(f"`{c}`"))) for c in strange]
+    found = df.groupBy("observed_variable", "units").agg(F.count(F.lit(1)).alias("n_rows"), *[n.alias(f"v{i}") for i, (_, _, n) in enumerate(counts)])
+
+    variable, units, status = F.col("observed_variable"), F.col("units"), F.col("status")
+    none = {c: F.lit(None).cast(df.schema[c].dataType) for c in ("observed_variable", "units")}
+
+    def row(check: Column, item: Column, n: Column, a: Column, b: Column) -> Column:
+        return F.struct(check.alias("check"), item.cast("string").alias("item"), n.alias("n"), a.alias("a"), b.alias("b"))
+
+    of_units = row(F.when(status == "unknown_variable", "variable").when(status == "different_units", "units"),
+                   F.when(status == "unknown_variable", variable.cast("string")).otherwise(F.concat_ws(" in ", variable, units)), F.col("n_rows"), variable, units)
+    others = [row(F.lit(check), F.lit(item), F.col(f"v{i}"), *none.values()) for i, (check, item, _) in enumerate(counts)]
+    parts = _judged_units(found, codes, "units").select(F.inline(F.array(of_units, *others))).where("check IS NOT NULL")
+    # What is counted has a row also where the data has none.
+    named = literal_table(df.sparkSession, [("check", pa.string()), ("item", pa.string())], [c[:2] for c in counts])
+    parts = parts.unionByName(named.select("check", "item", F.lit(0).cast("bigint").alias("n"), none["observed_variable"].alias("a"), none["units"].alias("b")))
+    # Of a variable there is one row for each of its units.
+    summed = parts.groupBy("check", "item", "a", "b").agg(F.sum("n").alias("n_rows"))
+    return summed.where("check <> 'primary_key' OR n_rows > 0").select("check", "item", "n_rows")
 
 
 def schema_drift(df: DataFrame, described, variables_column: str = "observed_variable") -> DataFrame:

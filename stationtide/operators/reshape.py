@@ -20,15 +20,19 @@ def melt(df: DataFrame, variables, key=()) -> DataFrame:
     """One row per (input row, variable); rows without a value are kept.
 
     A missing ``observation_id`` is built from the natural key and the variable,
-    so a retried task or a rerun gives the same ids.
+    so a retried task or a rerun gives the same ids. The key is put together while
+    there is one row for all variables.
     """
     variables = list(variables)
-    ids = [c for c in df.columns if c not in variables]
     values = df.withColumns({v: F.col(f"`{v}`").cast("double") for v in variables})
+    given = "observation_id" in df.columns and "observation_id" not in variables
+    if not given:
+        values = values.withColumn("_natural_key", natural_key(key))
+    ids = [c for c in values.columns if c not in variables]
     out = values.unpivot([F.col(f"`{c}`") for c in ids], variables, "observed_variable", "observation_value")
-    if "observation_id" in ids:
+    if given:
         return out
-    return out.withColumn("observation_id", F.concat_ws("-", natural_key(key), "observed_variable"))
+    return out.withColumn("observation_id", F.concat_ws("-", "_natural_key", "observed_variable")).drop("_natural_key")
 
 
 def natural_key(key) -> Column:

@@ -20,7 +20,7 @@ from stationtide.operators.quality import assert_period, validation_report
 from stationtide.operators.reshape import columns_of_variable, melt_source
 from stationtide.operators.tiling import TILE_KEYS, assign_dataset_tiles, declared_batches, gather_by_tile
 from stationtide.plans.sanity import require_summary
-from stationtide.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, staged
+from stationtide.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, smaller_partitions, staged
 from stationtide.sources.store import (
     BATCHES, ENTRIES, LAYOUT, RUN_MARK, Commit, CommitConflict, commit_entries, entries_at, files_of, has_catalogue, listed_keys, new_run, parts_of, read_batches,
     read_catalogue, read_files, read_listed_tiles, read_log, read_tiles, register_version, write_manifest, write_parts, write_tiles,
@@ -448,7 +448,10 @@ def make_cdm(raw: DataFrame, config: DatasetConfig, source: str, graph, codes: D
     """
     rows = observations_of(raw, config, source)
     if save_to is not None:
-        rows.write.mode("overwrite").parquet(save_to)
+        definition = config.sources[source]
+        # Ids do not repeat: a dictionary of them would be begun and given up in every file.
+        with smaller_partitions(raw.sparkSession, len(definition.main_variables) if definition.melt else 1):
+            rows.write.mode("overwrite").option("parquet.enable.dictionary#observation_id", "false").parquet(save_to)
         rows = raw.sparkSession.read.schema(rows.schema).parquet(save_to)
     return validation_report(rows, graph, codes)
 

@@ -2,12 +2,15 @@
 
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stationtide.config import AuxColumn, UnitChange
 from stationtide.functions.times import ts
+from stationtide.model.definitions import default_graph
 from stationtide.operators.catalogue import build_catalogue, tile_parts
+from stationtide.operators.quality import validation_report
 from stationtide.operators.tiling import TILE_KEYS, assign_tiles
 from stationtide.plans import ingest as plan
 from stationtide.plans.ingest import ingest, tiled_observations
@@ -85,3 +88,48 @@ def test_files_that_lack_rows_are_not_listed(spark, frame, root, monkeypatch):
     with pytest.raises(plan.IngestError):
         ingest(spark, raw, cfg, "01", "1.0.0", root)
     assert not has_catalogue(spark, root)
+
+
+def test_ids_and_units_of_rows_that_are_melted(spark, frame):
+    raw, cfg = wide_source(frame)
+    optimized = plan.observations_of(raw, cfg, "01")._jdf.queryExecution().optimizedPlan().toString()
+    # The key is put together once for all variables of a row, and the unit rules need no join.
+    assert "replace(" not in optimized[:optimized.index("Expand")] and "replace(" in optimized
+    assert "Join" not in optimized
+
+
+def test_saved_rows_are_checked_in_one_pass(spark, frame, tmp_path):
+    raw, cfg = wide_source(frame)
+    raw = raw.withColumns({"primary_station_id": F.when(F.col("t") > 1, F.col("primary_station_id")), "odd.one": F.when(F.col("t") > 2, F.col("t"))})
+    codes = frame([("t", "K")], "name string, units string")
+    n, path = raw.count(), str(tmp_path / "cdm")
+    found = plan.make_cdm(raw, cfg, "01", default_graph(), codes, path)
+    rows = spark.read.parquet(path)
+    strange = [r for r in map(tuple, found.collect()) if r[0] == "unknown_column" and r[1] == "odd.one"]
+    assert strange == [("unknown_column", "odd.one", rows.where("`odd.one` IS NOT NULL").count())] and rows.count() == 2 * n
+    assert [tuple(r) for r in found.where("check = 'variable'").collect()] == [("variable", "p", n)]
+    assert found.columns == ["check", "item", "n_rows"]
+    assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
+def test_checks_of_no_rows_and_of_several_units(frame):
+    codes = frame([("t", "K"), ("q", "m")], "name string, units string")
+    kind = "observation_id string, report_id bigint, observed_variable string, units string, strange int"
+    some = [("a", 1, "t", "K", None), (None, 2, "t", "C", 5), ("c", None, "t", None, None), ("d", 4, "x", "K", None), ("e", 5, "x", "m", None), ("f", 6, None, "m", None), ("g", 7, "q", "m", 7)]
+    report = lambda rows: sorted(map(str, map(tuple, validation_report(frame(rows, kind), default_graph(), codes).collect())))
+    typed = {"observations_table.report_id": 6, "header_table.report_id": 6, "observations_table.observed_variable": 6, "observations_table.units": 6}
+    keys = [("primary_key", k, 1) for k in ("observations_table.observation_id", "header_table.report_id", "uncertainty_table.observation_id")]
+    units = [("variable", None, 1), ("variable", "x", 1), ("variable", "x", 1), ("units", "t in C", 1), ("units", "t", 1)]
+    assert report(some) == sorted(map(str, [*[("type", c, n) for c, n in typed.items()], *keys, *units, ("unknown_column", "strange", 2)]))
+    assert report([]) == sorted(map(str, [*[("type", c, 0) for c in typed], ("unknown_column", "strange", 0)]))
+
+
+def test_saved_ids_have_no_dictionary(spark, frame, tmp_path):
+    raw, cfg = wide_source(frame)
+    # Where ids do repeat, a dictionary would be kept; the option is seen by that.
+    raw = raw.crossJoin(spark.range(20)).drop("id").coalesce(1)
+    plan.make_cdm(raw, cfg, "01", default_graph(), frame([("t", "K")], "name string, units string"), str(tmp_path / "cdm"))
+    for file in (tmp_path / "cdm").glob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        coded = {c.path_in_schema: any("DICTIONARY" in e for e in c.encodings) for c in map(group.column, range(group.num_columns))}
+        assert not coded["observation_id"] and coded["units"]
