@@ -60,12 +60,17 @@ def listed_unit_rules(source: SourceConfig) -> list[tuple]:
     return rows
 
 
-def _of_rules(rules: list[tuple], i: int, kind: str) -> Column:
-    """Value ``i`` of the unit rule of a row's variable: a CASE over its distinct values, of which there are few."""
+def _of_rules(rules: list[tuple], i: int, kind: str, described: bool = False) -> Column:
+    """Value ``i`` of the unit rule of a row's variable: a CASE over its distinct values, of which there are few.
+
+    Null without a rule; where the variable is known to be ``described``, the most common value needs no comparison.
+    """
     variables = {}
     for rule in rules:
         variables.setdefault(rule[i], []).append(rule[0])
-    return reduce(lambda rest, v: F.when(F.col("observed_variable").isin(variables[v]), F.lit(v)).otherwise(rest), variables, F.lit(None)).cast(kind)
+    rest = max(variables, key=lambda v: len(variables[v]), default=None) if described else None
+    return reduce(lambda out, v: F.when(F.col("observed_variable").isin(variables[v]), F.lit(v)).otherwise(out),
+                  [v for v in variables if v != rest], F.lit(rest)).cast(kind)
 
 
 def units_of_variable(source: SourceConfig, variable: str, value: Column) -> dict[str, Column]:
@@ -81,7 +86,7 @@ def define_units(df: DataFrame, source: SourceConfig) -> DataFrame:
     undescribed = F.raise_error(F.concat(F.lit("variable is not described: "), F.coalesce("observed_variable", F.lit("null"))))
     value = F.when(
         F.col("observed_variable").isin([r[0] for r in rules]),
-        F.col("observation_value") * _of_rules(rules, 3, "double") + _of_rules(rules, 4, "double"),
+        F.col("observation_value") * _of_rules(rules, 3, "double", True) + _of_rules(rules, 4, "double", True),
     ).otherwise(undescribed.cast("double"))
     return df.select(
         *[F.col(f"`{c}`") for c in kept], value.alias("observation_value"),
