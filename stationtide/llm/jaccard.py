@@ -10,7 +10,7 @@ shingles, is dealt out as pairs of blocks, so that no key and no group is one ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +78,9 @@ def sketch(own: np.ndarray) -> bytes:
     return ((least >> np.uint64(16)) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
-def describe(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``fp`` (identity), ``n`` (shingles), ``keys`` and ``sketch`` of each row."""
+def describe(docs: DataFrame, marks: Callable[[list], np.ndarray]) -> DataFrame:
+    """``doc_id``, ``fp`` (identity), ``n`` (shingles), ``keys``, ``sketch`` and ``mark`` of each row. ``marks`` gives an unsigned
+    64-bit integer for each text of a list; ``mark`` has its bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in ids_and_texts(batch, max_chars=1_000_000):
@@ -87,9 +88,11 @@ def describe(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array(identities(texts)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([keys_of(s).view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.binary()),
-                ], ["doc_id", "fp", "n", "keys", "sketch"])
+                    pa.array(marks(texts).view(np.int64)),
+                ], ["doc_id", "fp", "n", "keys", "sketch", "mark"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long, n long, keys array<long>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, fp long, n long, keys array<long>, sketch binary, mark long")
 
 
 def links(docs: DataFrame, leaves: DataFrame) -> DataFrame:

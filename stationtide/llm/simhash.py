@@ -185,17 +185,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 LISTED_ROWS = 2_000_000
 
 
+def _links_of_marks(leaves: DataFrame) -> DataFrame:
+    """``u``, ``v``: enough links to connect all identities in ``leaves`` (fp, mark) whose fingerprints (``mark``) differ in
+    MAX_BITS bits or fewer. The smallest identity of a fingerprint stands for it in the trie."""
+    marks = written(leaves.groupBy("mark").agg(F.min("fp").alias("least")), "marks")
+    equal = leaves.select("fp", "mark").join(marks, "mark").filter("fp <> least").select(F.col("fp").alias("u"), F.col("least").alias("v"))
+    near = trie_links(marks.select(F.col("mark").alias("fp")))
+    for end in ("u", "v"):
+        near = near.join(marks.select(F.col("mark").alias(end), F.col("least").alias(f"_{end}")), end)
+    return equal.union(near.select("_u", "_v"))
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component, that of the smallest doc_id, all columns unchanged. Unlike in ``near_duplicates``
-    texts link where their sets of five-word shingles have a Jaccard similarity of 0.8 or more, and equal texts anyway.
+    """One row of ``docs`` for each component, that of the smallest doc_id, all columns unchanged. Texts link as in
+    ``near_duplicates``, by fingerprints that differ in MAX_BITS bits or fewer; also where their sets of five-word shingles have a
+    Jaccard similarity of 0.8 or more, and equal texts anyway.
 
-    A row's fingerprint is here that of its words. Where rows repeat that id with the same fingerprint one of them stays; of different ones, and in components without
+    A row's identity, told as its fingerprint below, is here that of its words. Where rows repeat that id with the same fingerprint one of them stays; of different ones, and in components without
     any id, the one with the smallest fingerprint. Rows are told by id and fingerprint: the list of those that go is
     broadcast within LISTED_ROWS, so that documents which stay are not shuffled.
     """
-    described = written(jaccard.describe(docs), "described")
-    leaves = written(described.groupBy("fp").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "keys", "sketch"))), "leaves")
-    groups = _groups(leaves, jaccard.links(docs, leaves))
+    described = written(jaccard.describe(docs, fingerprints), "described")
+    leaves = written(described.groupBy("fp").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "keys", "sketch", "mark"))), "leaves")
+    groups = _groups(leaves, jaccard.links(docs, leaves).union(_links_of_marks(leaves)))
     chosen = groups.filter(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("lowest", "component_id").agg(F.min("fp").alias("c"))
     chosen = chosen.select(F.col("component_id").alias("least"), "c")
     rows = described.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))

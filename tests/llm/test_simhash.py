@@ -80,5 +80,19 @@ def test_components_of_paths_stars_and_nothing(frame):
     assert connected_components(frame([], "u long, v long")).count() == 0
 
 
+def test_stage_keeps_one_of_what_the_trie_links(frame):
+    """Texts that repeat their lines and differ in the rest: few bits apart, but most of their different shingles are not shared."""
+    line = "the same line comes again and again on this very page "
+    base = [line * 60, line * 60 + " ".join(f"tail{k}" for k in range(12)), line * 80 + " ".join(f"end{k}" for k in range(15)), "quite another text " * 9]
+    # Eleven repeated shingles are far from a tie in every bit, so that the tails turn hardly any.
+    marks = [brute_fingerprint(t) for t in base]
+    assert max((marks[0] ^ m).bit_count() for m in marks[1:3]) <= 2 < (marks[0] ^ marks[3]).bit_count()
+    sets = [set(simhash.jaccard.shingle_set(t).tolist()) for t in base]
+    assert all(len(a & b) < 0.8 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    rows = [(7, base[0]), (4, base[1]), (9, base[2]), (9, base[2].upper()), (5, base[3]), (None, base[1])]
+    kept = simhash.keep_one_of_each(frame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(4, base[1]), (5, base[3])]
+
+
 def test_empty_table(frame):
     assert simhash.near_duplicates(frame([], "doc_id long, text string")).count() == 0
