@@ -12,6 +12,7 @@ from stationtide.config import AuxColumn, UnitChange
 from stationtide.functions.times import ts
 from stationtide.model.definitions import default_graph
 from stationtide.operators.catalogue import build_catalogue, tile_parts
+from stationtide.operators.dedupe import count_different
 from stationtide.operators.quality import validation_report
 from stationtide.operators.tiling import TILE_KEYS, assign_tiles
 from stationtide.plans import ingest as plan
@@ -205,3 +206,10 @@ def test_an_id_that_moves_to_a_part_without_rows_is_known(spark, frame, root):
     ingest(spark, frame(moved, RAW), config(), "01", "1.0.0", root, on_change="replace")
     stored = sorted((r.observation_id, r.primary_station_id) for r in read_listed_tiles(spark, root).collect())
     assert stored == [("a", "s1"), ("b", "s9"), ("c", "s8")]
+
+
+def test_different_values_are_counted_exactly(frame):
+    rows = [("x", "a"), ("x", "a"), ("x", "b"), ("x", None), ("y", "a"), (None, "c"), (None, "c"), ("z", None)] + [("x", f"v{i}") for i in range(50)]
+    got = count_different(frame(rows, "g string, v string"), ["g"], "v")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("x", 52), ("y", 1), (None, 1)], key=str)
+    assert count_different(frame([], "g string, v string"), ["g"], "v").count() == 0
